@@ -68,7 +68,7 @@ def last_per(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
 def last_by_identity(target: DataFrame, spec: TableSpec) -> DataFrame:
     """Target rows as the identity lookup sees them: of equal identities the highest key wins."""
     named = target.withColumn("_identity", folded_identity(target, spec))
-    if not spec.name_col:
+    if spec.goes_by_key:
         return named  # the identity is the key, which is unique
     return last_per(named, ["_identity"], [actual_name(target, k) for k in spec.keys])
 
@@ -92,8 +92,8 @@ def classify_changes(
     t = last_by_identity(target, spec)
     t = t.select("_identity", row_checksum(t, spec, columns).alias("_target_checksum"))
     same = F.coalesce(F.col("_checksum") == F.col("_target_checksum"), F.lit(False))
-    if not spec.name_col:
-        # Without a name column a row of the same identity is the row of the same key: one join.
+    if spec.goes_by_key:
+        # A row of the same identity is the row of the same key: one join.
         both = s.join(t, "_identity", "left")
         exists = F.col("_target_checksum").isNotNull()
     else:

@@ -73,6 +73,10 @@ def _fillable(target: DataFrame, incoming: DataFrame, spec: TableSpec) -> list[s
     ]
 
 
+def _noted(notes: Column, col: str) -> Column:
+    return F.transform(notes, lambda n: F.struct(F.lit(col).alias("col"), n.alias("note")))
+
+
 def _fill_plan(pairs: DataFrame, target: DataFrame, incoming: DataFrame, spec: TableSpec, seed: Column):
     """Add ``_filled`` (columns a seed value goes into) and ``_xml_fills`` for rows where ``seed`` holds."""
     flags, xml_notes = [], []
@@ -86,10 +90,7 @@ def _fill_plan(pairs: DataFrame, target: DataFrame, incoming: DataFrame, spec: T
             changed = (F.size(notes) > 0) & ~F.col(f"`_xml_{c}`.xml").eqNullSafe(mine)
             changed = changed & mine.isNotNull()
             xml_notes.append(
-                F.when(
-                    seed & F.coalesce(changed, F.lit(False)),
-                    F.transform(notes, lambda n, c=c: F.struct(F.lit(c).alias("col"), n.alias("note"))),
-                )
+                F.when(seed & F.coalesce(changed, F.lit(False)), _noted(notes, c))
             )
         else:
             changed = is_unset(mine, target.schema[c].dataType)
@@ -113,11 +114,10 @@ def _seed_value(pairs: DataFrame, target: DataFrame, incoming: DataFrame, spec:
 def merge_rows(target: DataFrame, incoming: DataFrame, spec: TableSpec, strategy: str = SOURCE_WINS) -> DataFrame:
     """Apply ``incoming`` to ``target``; add ``outcome`` and ``filled`` to the merged rows.
 
-    Without a name column a row is skipped, filled and written by the same key, so everything is
-    decided in one join. With one, identity decides what is skipped or filled and the key decides
-    what is written; see ``_merge_by_name``.
+    Where rows go by their key, everything is decided in one join. With a separate name column the
+    name decides what is skipped or filled and the key what is written; see ``_merge_by_name``.
     """
-    if spec.name_col:
+    if not spec.goes_by_key:
         return _merge_by_name(target, incoming, spec, strategy)
     s = incoming.withColumn("_sum", row_checksum(incoming, spec, target.columns))
     t = target.withColumn("_sum", row_checksum(target, spec, target.columns))
@@ -198,7 +198,7 @@ def _merge_by_name(target: DataFrame, incoming: DataFrame, spec: TableSpec, stra
 
 def incoming_outcomes(target: DataFrame, incoming: DataFrame, spec: TableSpec, strategy: str = SOURCE_WINS) -> DataFrame:
     """``outcome`` of every incoming row, skipped ones included."""
-    if not spec.name_col:
+    if spec.goes_by_key:
         return merge_rows(target, incoming, spec, strategy).where(F.col("outcome") != KEPT).select("outcome")
     sides, quiet, seeded = _judge_by_name(target, incoming, spec, strategy)
     rows = sides.select(

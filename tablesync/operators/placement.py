@@ -12,16 +12,19 @@ HOT_ROWS = 1_000_000
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); a temporary one only on a local master."""
+    """This application's folder in the cluster's shared folder (``spark.checkpoint.dir``).
+
+    Where that is unset, a folder set on the context counts, and only on a local master a temporary
+    one is made: executors of a cluster could not reach it.
+    """
     sc = spark.sparkContext
-    shared = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared
-    if not sc.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor reaches")
-    folder = tempfile.mkdtemp(prefix="tablesync-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    shared = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not shared:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor reaches")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tablesync-"))
+        shared = sc.getCheckpointDir()
+    return f"{shared}/{sc.applicationId}"
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -76,7 +76,7 @@ def _with_row_maps(df: DataFrame, keys: list[str], texts: Column, page_map: Data
     """
     texts = F.array_compact(texts)
     wanted = df.withColumn("_pages", _page_ids(texts)).withColumn("_paras", _para_ids(texts))
-    mentions = F.size("_pages") > 0
+    mentions = F.coalesce(F.size("_pages") > 0, F.lit(False))
     plain = wanted.where(~mentions).drop("_pages", "_paras")
     pairs = wanted.where(mentions).select(
         *keys,

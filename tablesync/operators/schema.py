@@ -106,7 +106,8 @@ def _parsed(col: Column, dtype: T.DataType, sql_type: str | None) -> Column:
     if isinstance(dtype, T.BinaryType):
         return F.try_to_binary(col, F.lit("base64"))
     if sql_type == "uniqueidentifier":
-        return F.when(text.rlike(GUID), F.lower(text))
+        digits = F.regexp_replace(F.lower(text), "[^0-9a-f]", "")
+        return F.when(text.rlike(GUID), F.regexp_replace(digits, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"))
     return col.try_cast(dtype)
 
 

@@ -45,6 +45,11 @@ class TableSpec:
     xml_cols: tuple[str, ...] = ()
     not_null: tuple[str, ...] = ()
 
+    @property
+    def goes_by_key(self) -> bool:
+        """Rows are recognised by their key: no name column, or the name column is the key."""
+        return not self.name_col or [k.lower() for k in self.keys] == [self.name_col.lower()]
+
 
 @dataclass(frozen=True)
 class SyncSpec:
