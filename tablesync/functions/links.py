@@ -11,9 +11,10 @@ from tablesync.functions.text import trimmed
 LINK = r"(?i)(Default\.aspx\?ID=)([0-9]+)(#([0-9]+))?"
 SELECTED = r'("SelectedValue":\s*")([0-9]+)(")'
 
-# The same notations as cutting points: a text splits into pieces that each begin with one reference.
-LINK_START = r"(?i)(?=Default\.aspx\?ID=[0-9])"
-SELECTED_START = r'(?="SelectedValue":\s*"[0-9]+")'
+# A text without a match of this holds no reference and is no number.
+MENTIONS = LINK + r"|" + SELECTED + r"|^\s*[+-]?[0-9]+\s*$"
+
+PREFIX_LENGTH = len("Default.aspx?ID=")
 
 
 def as_id(digits: Column) -> Column:
@@ -27,24 +28,44 @@ def whole_number(text: Column) -> Column:
     return F.when(clean.rlike(r"^[+-]?[0-9]+$"), as_id(clean))
 
 
-def link_ids(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(text, F.lit(LINK), F.lit(2)), as_id)
+def links_in(text: Column) -> Column:
+    """All links of a text, as they stand there: prefix, digits, perhaps ``#`` and digits."""
+    return F.regexp_extract_all(text, F.lit(LINK), F.lit(0))
+
+
+def selections_in(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(SELECTED), F.lit(0))
+
+
+def _numbers(link: Column) -> Column:
+    return F.split(F.substring(link, PREFIX_LENGTH + 1, F.length(link)), "#", -1)
+
 
+def page_of(link: Column) -> Column:
+    return as_id(_numbers(link)[0])
 
-def anchor_ids(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(text, F.lit(LINK), F.lit(4)), as_id)
 
+def anchor_of(link: Column) -> Column:
+    """The paragraph id behind ``#``, NULL without one."""
+    return as_id(F.try_element_at(_numbers(link), F.lit(2)))
 
-def selected_ids(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(text, F.lit(SELECTED), F.lit(2)), as_id)
 
+def id_of(selection: Column) -> Column:
+    return as_id(F.regexp_extract(selection, SELECTED, 2))
 
-def _rewrite_piece(piece: Column, pattern: str, replacement) -> Column:
-    """Replace the reference at the head of a piece; the rest of the piece is copied."""
-    hit = F.regexp_extract(piece, "^" + pattern, 0)
-    return F.when(hit == "", piece).otherwise(
-        F.concat(replacement(piece, hit), F.substring(piece, F.length(hit) + 1, F.length(piece)))
+
+def _bound(value: Column, use) -> Column:
+    """Compute ``value`` once and use it several times."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _rewrite_all(text: Column, pattern: str, found, replacement) -> Column:
+    """Put the text together again from what stands between the references and their replacements."""
+    between = F.split(text, pattern, -1)
+    pairs = F.zip_with(
+        between, found(text), lambda b, m: F.when(m.isNull(), b).otherwise(F.concat(b, replacement(m)))
     )
+    return F.array_join(pairs, "")
 
 
 def rewrite_text(text: Column, page_map: Column, para_map: Column) -> Column:
@@ -54,32 +75,21 @@ def rewrite_text(text: Column, page_map: Column, para_map: Column) -> Column:
     rewritten first, then links with their anchors. Unmapped pages leave the whole link as it is.
     """
 
-    def mapped(lookup: Column, digits: Column) -> Column:
-        return F.try_element_at(lookup, as_id(digits))
-
-    def selection(piece, hit):
-        new = mapped(page_map, F.regexp_extract(piece, "^" + SELECTED, 2)).cast("string")
-        return F.when(new.isNull(), hit).otherwise(
-            F.concat(F.regexp_extract(piece, "^" + SELECTED, 1), new, F.lit('"'))
-        )
-
-    def link(piece, hit):
-        head = "^" + LINK
-        page = mapped(page_map, F.regexp_extract(piece, head, 2)).cast("string")
-        anchor = F.regexp_extract(piece, head, 4)
-        target = F.coalesce(mapped(para_map, anchor).cast("string"), as_id(anchor).cast("string"), anchor)
-        return F.when(page.isNull(), hit).otherwise(
-            F.concat(
-                F.regexp_extract(piece, head, 1),
-                page,
-                F.when(anchor == "", "").otherwise(F.concat(F.lit("#"), target)),
-            )
-        )
-
-    def through(value, start, pattern, replacement):
-        pieces = F.split(value, start, -1)
-        return F.array_join(F.transform(pieces, lambda p: _rewrite_piece(p, pattern, replacement)), "")
-
-    whole = F.try_element_at(page_map, whole_number(text)).cast("string")
-    rewritten = through(through(text, SELECTED_START, SELECTED, selection), LINK_START, LINK, link)
+    def mapped(lookup: Column, number: Column) -> Column:
+        return F.try_element_at(lookup, number).cast("string")
+
+    def selection(m: Column) -> Column:
+        new = mapped(page_map, id_of(m))
+        return F.when(new.isNull(), m).otherwise(F.concat(F.regexp_extract(m, SELECTED, 1), new, F.lit('"')))
+
+    def link(m: Column) -> Column:
+        page = mapped(page_map, page_of(m))
+        digits = F.try_element_at(_numbers(m), F.lit(2))
+        anchor = F.coalesce(mapped(para_map, as_id(digits)), as_id(digits).cast("string"), digits)
+        tail = F.when(digits.isNull(), "").otherwise(F.concat(F.lit("#"), anchor))
+        return F.when(page.isNull(), m).otherwise(F.concat(F.substring(m, 1, PREFIX_LENGTH), page, tail))
+
+    whole = mapped(page_map, whole_number(text))
+    chosen = F.when(F.contains(text, F.lit('"SelectedValue"')), _rewrite_all(text, SELECTED, selections_in, selection))
+    rewritten = _bound(F.coalesce(chosen, text), lambda t: _rewrite_all(t, LINK, links_in, link))
     return F.when(whole.isNotNull(), whole).otherwise(rewritten)

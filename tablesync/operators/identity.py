@@ -68,8 +68,6 @@ def last_per(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
 def last_by_identity(target: DataFrame, spec: TableSpec) -> DataFrame:
     """Target rows as the identity lookup sees them: of equal identities the highest key wins."""
     named = target.withColumn("_identity", folded_identity(target, spec))
-    if spec.goes_by_key:
-        return named  # the identity is the key, which is unique
     return last_per(named, ["_identity"], [actual_name(target, k) for k in spec.keys])
 
 
@@ -84,22 +82,19 @@ def classify_changes(
     """
     have = {c.lower() for c in incoming.columns}
     columns = target.columns if compare == "target" else [c for c in target.columns if c.lower() in have]
-    s = incoming.select(
-        "*",
-        folded_identity(incoming, spec).alias("_identity"),
-        row_checksum(incoming, spec, columns).alias("_checksum"),
-    )
-    t = last_by_identity(target, spec)
-    t = t.select("_identity", row_checksum(t, spec, columns).alias("_target_checksum"))
+    s, keys = with_match_keys(incoming.withColumn("_checksum", row_checksum(incoming, spec, columns)), spec)
+    t, _ = with_match_keys(target.withColumn("_target_checksum", row_checksum(target, spec, columns)), spec)
     same = F.coalesce(F.col("_checksum") == F.col("_target_checksum"), F.lit(False))
     if spec.goes_by_key:
         # A row of the same identity is the row of the same key: one join.
-        both = s.join(t, "_identity", "left")
+        both = s.join(t.select(*keys, "_target_checksum"), keys, "left")
         exists = F.col("_target_checksum").isNotNull()
     else:
-        s, keys = with_match_keys(s, spec)
-        known = target.select([k.alias(n) for k, n in zip(match_keys(target, spec), keys)])
-        both = s.join(t, "_identity", "left").join(known.withColumn("_known", F.lit(True)), keys, "left")
+        named = last_by_identity(target, spec)
+        named = named.select("_identity", row_checksum(named, spec, columns).alias("_target_checksum"))
+        known = t.select(*keys, F.lit(True).alias("_known"))
+        both = s.withColumn("_identity", folded_identity(incoming, spec)).join(named, "_identity", "left")
+        both = both.join(known, keys, "left")
         exists = F.col("_known").isNotNull()
     outcome = F.when(same, SKIPPED).when(exists, UPDATED).otherwise(CREATED)
     return both.select(*[f"`{c}`" for c in incoming.columns], outcome.alias("outcome"))

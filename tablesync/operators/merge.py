@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.functions.text import actual_name, listed
+from tablesync.functions.text import actual_name, all_of, is_blank, listed
 from tablesync.functions.unset import default_value, is_unset
 from tablesync.operators.identity import (
     folded_identity,
@@ -111,6 +111,31 @@ def _seed_value(pairs: DataFrame, target: DataFrame, incoming: DataFrame, spec:
     return _plain_value(spec, target, incoming, col, whole | F.array_contains("_filled", col))
 
 
+def _same_cells(target: DataFrame, incoming: DataFrame, spec: TableSpec) -> Column:
+    """What equal checksums say, asked of paired rows directly: no hash to compute and none to move.
+
+    Blank text equals NULL; a compared column that one side lacks counts as blank there.
+    """
+    if spec.compare_cols:
+        names = list(spec.compare_cols)
+    else:
+        names = [c for c in target.columns if not listed(spec.auto_cols, c)]
+
+    def side(df: DataFrame, prefix: str, name: str):
+        found = actual_name(df, name)
+        if found is None:
+            return F.lit(None).cast("string"), None
+        return F.col(f"`{prefix}{found}`"), df.schema[found].dataType
+
+    checks = []
+    for name in names:
+        (mine, my_type), (theirs, their_type) = side(target, T, name), side(incoming, S, name)
+        if my_type is None or my_type != their_type or my_type.typeName() == "string":
+            mine, theirs = (F.when(~is_blank(v.cast("string")), v.cast("string")) for v in (mine, theirs))
+        checks.append(mine.eqNullSafe(theirs))
+    return all_of(checks)
+
+
 def merge_rows(target: DataFrame, incoming: DataFrame, spec: TableSpec, strategy: str = SOURCE_WINS) -> DataFrame:
     """Apply ``incoming`` to ``target``; add ``outcome`` and ``filled`` to the merged rows.
 
@@ -119,12 +144,10 @@ def merge_rows(target: DataFrame, incoming: DataFrame, spec: TableSpec, strategy
     """
     if not spec.goes_by_key:
         return _merge_by_name(target, incoming, spec, strategy)
-    s = incoming.withColumn("_sum", row_checksum(incoming, spec, target.columns))
-    t = target.withColumn("_sum", row_checksum(target, spec, target.columns))
-    pairs = pair_rows(t, s, spec)
+    pairs = pair_rows(target, incoming, spec)
     in_t = F.coalesce(F.col(f"{T}in"), F.lit(False))
     in_s = F.coalesce(F.col(f"{S}in"), F.lit(False))
-    same = F.coalesce(F.col(f"{T}_sum") == F.col(f"{S}_sum"), F.lit(False))
+    same = in_t & in_s & _same_cells(target, incoming, spec)
     if strategy == DESTINATION_WINS:
         pairs = _fill_plan(pairs, target, incoming, spec, in_t & in_s & ~same)
         quiet = same | (F.size("_filled") == 0)

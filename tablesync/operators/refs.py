@@ -19,18 +19,10 @@ NO_ANCHOR = -1
 def _hits(name: str) -> Column:
     """All references of one cell: (col, kind, target_id, anchor_id, ref)."""
     col = F.col(f"`{name}`")
-
-    def link(m: Column) -> Column:
-        anchor = links.as_id(F.regexp_extract(m, links.LINK, 4))
-        return _hit(name, "link", links.as_id(F.regexp_extract(m, links.LINK, 2)), anchor, m)
-
-    def selected(m: Column) -> Column:
-        found = links.as_id(F.regexp_extract(m, links.SELECTED, 2))
-        return _hit(name, "selected", found, F.lit(None).cast("int"), m)
-
+    none = F.lit(None).cast("int")
     found = F.concat(
-        F.transform(F.regexp_extract_all(col, F.lit(links.LINK), F.lit(0)), link),
-        F.transform(F.regexp_extract_all(col, F.lit(links.SELECTED), F.lit(0)), selected),
+        F.transform(links.links_in(col), lambda m: _hit(name, "link", links.page_of(m), links.anchor_of(m), m)),
+        F.transform(links.selections_in(col), lambda m: _hit(name, "selected", links.id_of(m), none, m)),
     )
     return F.coalesce(found, F.array().cast(f"array<{HIT}>"))
 
@@ -55,60 +47,57 @@ def extract_links(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     return df.select(*keys, F.inline(hits))
 
 
-def _page_ids(texts: Column) -> Column:
-    """Distinct page ids that a row's texts may need, whole-number texts included."""
-    each = F.transform(
-        texts, lambda t: F.concat(F.array(links.whole_number(t)), links.link_ids(t), links.selected_ids(t))
-    )
-    return F.array_distinct(F.array_compact(F.flatten(F.array_compact(each))))
+def _needed_ids(texts: Column) -> Column:
+    """Distinct (kind, id) that a row's texts may look up, whole-number texts included."""
+
+    def entry(kind: str, number: Column) -> Column:
+        return F.struct(F.lit(kind).alias("_kind"), number.alias("_id"))
 
+    def one(text: Column) -> Column:
+        of_links = F.transform(
+            links.links_in(text), lambda m: F.array(entry("page", links.page_of(m)), entry("para", links.anchor_of(m)))
+        )
+        of_selections = F.transform(links.selections_in(text), lambda m: entry("page", links.id_of(m)))
+        return F.concat(F.array(entry("page", links.whole_number(text))), F.flatten(of_links), of_selections)
 
-def _para_ids(texts: Column) -> Column:
-    each = F.transform(texts, links.anchor_ids)
-    return F.array_distinct(F.array_compact(F.flatten(F.array_compact(each))))
+    found = F.array_distinct(F.flatten(F.transform(texts, one)))
+    return F.filter(found, lambda e: e["_id"].isNotNull())
 
 
 def _with_row_maps(df: DataFrame, keys: list[str], texts: Column, page_map: DataFrame, para_map: DataFrame):
     """Split rows by whether they mention an id, and give those that do the part of the maps they need.
 
-    Only (row, id) pairs travel to the id maps; the texts themselves move once, to meet the result
-    by row key. How often an id is mentioned only shows in the small pairs.
+    Only distinct (row, id) pairs travel to the id maps; texts move once, to meet the result by row
+    key, and only those that mention anything. How often a page is mentioned shows in nothing but
+    the number of its small pairs, which an adaptive join may split at will.
     """
     texts = F.array_compact(texts)
-    wanted = df.withColumn("_pages", _page_ids(texts)).withColumn("_paras", _para_ids(texts))
-    mentions = F.coalesce(F.size("_pages") > 0, F.lit(False))
-    plain = wanted.where(~mentions).drop("_pages", "_paras")
-    pairs = wanted.where(mentions).select(
-        *keys,
-        F.inline(
-            F.concat(
-                F.transform("_pages", lambda i: F.struct(F.lit("page").alias("_kind"), i.alias("_id"))),
-                F.transform("_paras", lambda i: F.struct(F.lit("para").alias("_kind"), i.alias("_id"))),
-            )
-        ),
-    )
-    known = page_map.select(
-        F.lit("page").alias("_kind"), F.col("source_id").cast("int").alias("_id"), F.col("target_id").cast("int")
-    ).unionByName(
-        para_map.select(
-            F.lit("para").alias("_kind"), F.col("source_id").cast("int").alias("_id"), F.col("target_id").cast("int")
-        )
-    )
+    mentions = F.coalesce(F.exists(texts, lambda t: t.rlike(links.MENTIONS)), F.lit(False))
+    plain, linked = df.where(~mentions), df.where(mentions)
+    pairs = linked.select(*keys, F.inline(_needed_ids(texts)))
+
+    def known(kind: str, id_map: DataFrame) -> DataFrame:
+        source, target = F.col("source_id").cast("int").alias("_id"), F.col("target_id").cast("int").alias("_target")
+        return id_map.select(F.lit(kind).alias("_kind"), source, target)
 
-    def part(kind):
-        entry = F.when(F.col("_kind") == kind, F.struct("_id", "target_id"))
+    def part(kind: str) -> Column:
+        entry = F.when(F.col("_kind") == kind, F.struct("_id", "_target"))
         return F.map_from_entries(F.collect_list(entry))  # bounded by the ids one row mentions
 
-    maps = pairs.join(known, ["_kind", "_id"]).groupBy(*keys).agg(
-        part("page").alias("_page_map"), part("para").alias("_para_map")
+    id_maps = known("page", page_map).unionByName(known("para", para_map))
+    maps = (
+        pairs.join(id_maps, ["_kind", "_id"])
+        .groupBy(*keys)
+        .agg(part("page").alias("_page_map"), part("para").alias("_para_map"))
+        .where(F.size("_page_map") > 0)  # without a mapped page nothing of the row changes
     )
-    linked = wanted.where(mentions).drop("_pages", "_paras").join(maps, keys, "left")
-    return plain, linked
+    return plain, linked.join(maps, keys, "left")
 
 
 def _rewritten(text: Column) -> Column:
-    """Texts of rows without any mapped page id stay untouched."""
-    return F.when(F.size("_page_map") > 0, links.rewrite_text(text, F.col("_page_map"), F.col("_para_map"))).otherwise(text)
+    """Texts of rows without a mapped page id stay untouched."""
+    new = links.rewrite_text(text, F.col("_page_map"), F.col("_para_map"))
+    return F.when(F.col("_page_map").isNotNull(), new).otherwise(text)
 
 
 def rewrite_links(
