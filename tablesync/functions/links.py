@@ -11,9 +11,6 @@ from tablesync.functions.text import trimmed
 LINK = r"(?i)(Default\.aspx\?ID=)([0-9]+)(#([0-9]+))?"
 SELECTED = r'("SelectedValue":\s*")([0-9]+)(")'
 
-# A text without a match of this holds no reference and is no number.
-MENTIONS = LINK + r"|" + SELECTED + r"|^\s*[+-]?[0-9]+\s*$"
-
 PREFIX_LENGTH = len("Default.aspx?ID=")
 
 
@@ -28,6 +25,12 @@ def whole_number(text: Column) -> Column:
     return F.when(clean.rlike(r"^[+-]?[0-9]+$"), as_id(clean))
 
 
+def mentions(text: Column) -> Column:
+    """Cheap test that every text with a reference, and every whole number, passes."""
+    number = text.rlike(r"^\s*[+-]?[0-9]+\s*$")
+    return F.contains(text, F.lit('"SelectedValue"')) | text.rlike(LINK) | number
+
+
 def links_in(text: Column) -> Column:
     """All links of a text, as they stand there: prefix, digits, perhaps ``#`` and digits."""
     return F.regexp_extract_all(text, F.lit(LINK), F.lit(0))

@@ -116,7 +116,7 @@ def resolve_guid(df: DataFrame, id_col: str, dim: DataFrame, dim_id: str, dim_gu
     Ids of zero and below mean "none" and stay NULL without a warning. Unusable ids are kept out of
     the join, so that they do not meet in one partition.
     """
-    lookup = dim.select(F.col(dim_id).alias("_id"), F.col(dim_guid).alias(out)).dropDuplicates(["_id"])
+    lookup = dim.groupBy(F.col(dim_id).alias("_id")).agg(F.min(dim_guid).alias(out))
     usable = F.coalesce(F.col(id_col) > 0, F.lit(False))
     joined = df.where(usable).join(lookup, F.col(id_col) == F.col("_id"), "left").drop("_id")
     guid_type = dim.schema[dim_guid].dataType

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types
 
 from tablesync.functions.text import actual_name, all_of, is_blank, listed
 from tablesync.functions.unset import default_value, is_unset
@@ -19,7 +20,8 @@ from tablesync.operators.identity import (
     with_match_keys,
 )
 from tablesync.operators.placement import is_small, prefixed
-from tablesync.operators.xmlcols import fill_pair
+from tablesync.operators.selection import fill_map, fill_map_counts, lowered, overwrite_map
+from tablesync.operators.xmlcols import fill_pair, overlay_pair
 from tablesync.spec import CREATED, DESTINATION_WINS, KEPT, SKIPPED, SOURCE_WINS, UPDATED, TableSpec
 
 T, S = "t__", "s__"
@@ -54,6 +56,14 @@ def _plain_value(spec: TableSpec, target: DataFrame, incoming: DataFrame, col: s
     if key:
         default = default_value(dtype)
         return F.when(present, mine).otherwise(theirs if default is None else F.coalesce(theirs, default))
+    if isinstance(dtype, types.MapType):
+        merged = overwrite_map(mine, theirs, lowered(spec.keep_fields))
+        return F.when(~present, theirs).when(overwrite, merged).otherwise(mine)
+    if listed(spec.overlay_cols, col):
+        changing = present & overwrite
+        return F.when(changing, overlay_pair(F.when(changing, theirs), F.when(changing, mine))).when(
+            present, mine
+        ).otherwise(theirs)
     return F.when(present & ~overwrite, mine).otherwise(theirs)
 
 
@@ -92,6 +102,8 @@ def _fill_plan(pairs: DataFrame, target: DataFrame, incoming: DataFrame, spec: T
             xml_notes.append(
                 F.when(seed & F.coalesce(changed, F.lit(False)), _noted(notes, c))
             )
+        elif isinstance(target.schema[c].dataType, types.MapType):
+            changed = fill_map_counts(mine, theirs, lowered(spec.keep_fields))[0] > 0
         else:
             changed = is_unset(mine, target.schema[c].dataType)
         flags.append(F.when(seed & F.coalesce(changed, F.lit(False)), F.lit(c)))
@@ -102,11 +114,22 @@ def _fill_plan(pairs: DataFrame, target: DataFrame, incoming: DataFrame, spec: T
     return pairs.withColumn("_xml_fills", notes)
 
 
+def _filled_value(pairs: DataFrame, target: DataFrame, incoming: DataFrame, spec: TableSpec, col: str):
+    """What a filled XML cell or field map becomes; None for columns that are filled as one value."""
+    if f"_xml_{col}" in pairs.columns:
+        return F.col(f"`_xml_{col}`.xml")
+    name = actual_name(incoming, col)
+    if name and isinstance(target.schema[col].dataType, types.MapType):
+        return fill_map(F.col(f"`{T}{col}`"), F.col(f"`{S}{name}`"), lowered(spec.keep_fields))
+    return None
+
+
 def _seed_value(pairs: DataFrame, target: DataFrame, incoming: DataFrame, spec: TableSpec, col: str, whole: Column):
     """The merged cell under destination-wins: filled cells and rows where ``whole`` holds change."""
-    if f"_xml_{col}" in pairs.columns:
-        mine = F.col(f"`{T}{col}`")
-        filled = F.when(F.array_contains("_filled", col), F.col(f"`_xml_{col}`.xml")).otherwise(mine)
+    mine = F.col(f"`{T}{col}`")
+    merged = _filled_value(pairs, target, incoming, spec, col)
+    if merged is not None:
+        filled = F.when(F.array_contains("_filled", col), merged).otherwise(mine)
         return F.when(whole, _plain_value(spec, target, incoming, col, whole)).otherwise(filled)
     return _plain_value(spec, target, incoming, col, whole | F.array_contains("_filled", col))
 
@@ -130,7 +153,9 @@ def _same_cells(target: DataFrame, incoming: DataFrame, spec: TableSpec) -> Colu
     checks = []
     for name in names:
         (mine, my_type), (theirs, their_type) = side(target, T, name), side(incoming, S, name)
-        if my_type is None or my_type != their_type or my_type.typeName() == "string":
+        if isinstance(my_type, types.MapType) and isinstance(their_type, types.MapType):
+            mine, theirs = (F.array_sort(F.map_entries(v)) for v in (mine, theirs))
+        elif my_type is None or my_type != their_type or my_type.typeName() == "string":
             mine, theirs = (F.when(~is_blank(v.cast("string")), v.cast("string")) for v in (mine, theirs))
         checks.append(mine.eqNullSafe(theirs))
     return all_of(checks)
@@ -196,8 +221,9 @@ def _merge_by_name(target: DataFrame, incoming: DataFrame, spec: TableSpec, stra
     for c in incoming.columns:
         col = F.col(f"`{S}{c}`")
         mine = actual_name(target, c)
-        if mine and f"_xml_{mine}" in sides.columns:
-            col = F.when(F.array_contains("_filled", mine), F.col(f"`_xml_{mine}`.xml")).otherwise(col)
+        merged = _filled_value(sides, target, incoming, spec, mine) if mine else None
+        if merged is not None:
+            col = F.when(F.array_contains("_filled", mine), merged).otherwise(col)
         if mine and listed(spec.keys, c):
             col = F.when(seeded, F.col(f"`{T}{mine}`")).otherwise(col)
         cells.append(col.alias(c))
@@ -304,13 +330,38 @@ def diff_rows(target: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFr
     s, _ = with_match_keys(incoming, spec)
     pairs = prefixed(t, T, keys).join(prefixed(s, S, keys), keys)
     cells = []
+    fields = []
     for c in _fillable(target, incoming, spec):
-        old = F.col(f"`{T}{c}`").cast("string")
-        new = F.col(f"`{S}{actual_name(incoming, c)}`").cast(target.schema[c].dataType).cast("string")
+        mine, theirs = F.col(f"`{T}{c}`"), F.col(f"`{S}{actual_name(incoming, c)}`")
+        if isinstance(target.schema[c].dataType, types.MapType):
+            fields.append(_field_diffs(c, mine, theirs))
+            continue
+        old, new = mine.cast("string"), theirs.cast(target.schema[c].dataType).cast("string")
         cell = F.struct(F.lit(c).alias("col"), old.alias("old_value"), new.alias("new_value"))
         cells.append(F.when(~old.eqNullSafe(new), cell))
+    differing = F.array_compact(F.array(*cells)) if cells else F.array().cast(DIFF)
+    if fields:
+        differing = F.concat(differing.cast(DIFF), *fields)
     shown = [F.col(f"`{T}{actual_name(target, k)}`").alias(actual_name(target, k)) for k in spec.keys]
-    return pairs.select(*shown, F.inline(F.array_compact(F.array(*cells))))
+    return pairs.select(*shown, F.inline(differing))
+
+
+DIFF = "array<struct<col:string,old_value:string,new_value:string>>"
+
+
+def _field_diffs(col: str, mine: Column, theirs: Column) -> Column:
+    """Entries of an incoming field map that differ from the target's, as ``col[key]``."""
+    own = F.coalesce(mine, F.create_map().cast("map<string,string>"))
+    entries = F.coalesce(F.map_entries(theirs), F.array().cast("array<struct<key:string,value:string>>"))
+    changed = F.filter(entries, lambda e: ~F.try_element_at(own, e["key"]).eqNullSafe(e["value"]))
+    return F.transform(
+        changed,
+        lambda e: F.struct(
+            F.concat(F.lit(col + "["), e["key"], F.lit("]")).alias("col"),
+            F.try_element_at(own, e["key"]).alias("old_value"),
+            e["value"].alias("new_value"),
+        ),
+    ).cast(DIFF)
 
 
 def dedupe_incoming(df: DataFrame, keys: list[str], order: str) -> DataFrame:

@@ -19,14 +19,16 @@ def export_permissions(perms: DataFrame, groups: DataFrame, levels: dict[str, in
 
     The owner is a role, or a group given by id; an unknown group keeps its raw id as its name.
     """
-    is_role = F.coalesce(_is_role(F.col("owner_id")), F.lit(False))
-    group_id = F.when(~is_role, F.col("owner_id").try_cast("int"))
-    named = groups.where(F.col("name") != "").groupBy("group_id").agg(F.min("name").alias("_name"))
-    named = named.withColumnRenamed("group_id", "_gid")
+    named = groups.where(F.col("name") != "").groupBy(F.col("group_id").alias("_gid")).agg(F.min("name").alias("_name"))
     level = F.col("level_value").cast("string")
     for name, code in levels.items():
         level = F.when(F.col("level_value") == code, name).otherwise(level)
-    return perms.join(named, group_id == F.col("_gid"), "left").select(
+    rules = perms.withColumn("_id", F.when(~_is_role(F.col("owner_id")), F.col("owner_id").try_cast("int")))
+    # Roles and owners that are no number skip the lookup; they would all meet in one partition.
+    found = rules.where("_id is not null").join(named, F.col("_id") == F.col("_gid"), "left").drop("_gid")
+    others = rules.where("_id is null").withColumn("_name", F.lit(None).cast("string"))
+    is_role = F.coalesce(_is_role(F.col("owner_id")), F.lit(False))
+    return found.unionByName(others).select(
         "page_id",
         F.when(is_role, F.col("owner_id")).otherwise(F.coalesce("_name", "owner_id")).alias("owner"),
         F.when(is_role, "role").otherwise("group").alias("owner_type"),

@@ -72,7 +72,7 @@ def _with_row_maps(df: DataFrame, keys: list[str], texts: Column, page_map: Data
     the number of its small pairs, which an adaptive join may split at will.
     """
     texts = F.array_compact(texts)
-    mentions = F.coalesce(F.exists(texts, lambda t: t.rlike(links.MENTIONS)), F.lit(False))
+    mentions = F.coalesce(F.exists(texts, links.mentions), F.lit(False))
     plain, linked = df.where(~mentions), df.where(mentions)
     pairs = linked.select(*keys, F.inline(_needed_ids(texts)))
 

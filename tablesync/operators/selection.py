@@ -21,17 +21,18 @@ def exclude_columns(df: DataFrame, exclude=(), table: str | None = None, include
     return df.select([F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
 
 
-def _lowered(names) -> Column:
+def lowered(names) -> Column:
+    """Names as an array of lower-case literals."""
     return F.array(*[F.lit(n.lower()) for n in names]).cast("array<string>")
 
 
 def excluded_fields(type_col: Column, flat, by_type: dict[str, list[str]]) -> Column:
     """The lower-case names a row leaves out: the flat list and the list of the row's type."""
-    names = _lowered(flat)
+    names = lowered(flat)
     typed = F.lit(None).cast("array<string>")
     for item_type, fields in by_type.items():
-        typed = F.when(F.lower(type_col) == item_type.lower(), _lowered(fields)).otherwise(typed)
-    return F.array_union(names, F.coalesce(typed, _lowered(())))
+        typed = F.when(F.lower(type_col) == item_type.lower(), lowered(fields)).otherwise(typed)
+    return F.array_union(names, F.coalesce(typed, lowered(())))
 
 
 def exclude_fields_by_type(df: DataFrame, map_col: str, type_col: str, flat=(), by_type=None) -> DataFrame:
@@ -43,7 +44,7 @@ def exclude_fields_by_type(df: DataFrame, map_col: str, type_col: str, flat=(),
 
 def compact_fields(df: DataFrame, map_col: str, held: tuple[str, ...] = ()) -> DataFrame:
     """Keep map entries that have a value and are not held in columns of their own."""
-    names = _lowered(held)
+    names = lowered(held)
     return df.withColumn(
         map_col, F.map_filter(map_col, lambda k, v: v.isNotNull() & ~F.array_contains(names, F.lower(k)))
     )
@@ -77,7 +78,7 @@ def excluded_field_counts(types: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def _is_system(k: Column, excluded: Column | None) -> Column:
-    reserved = F.array_contains(_lowered(SYSTEM_FIELDS), F.lower(k))
+    reserved = F.array_contains(lowered(SYSTEM_FIELDS), F.lower(k))
     return reserved if excluded is None else reserved | F.array_contains(excluded, F.lower(k))
 
 
@@ -87,7 +88,7 @@ def overwrite_map(target: Column, source: Column, excluded: Column | None = None
     Excluded fields of the target keep their value when the source does not bring them; bookkeeping
     fields always do.
     """
-    reserved = _lowered(SYSTEM_FIELDS)
+    reserved = lowered(SYSTEM_FIELDS)
     incoming = F.map_filter(source, lambda k, v: ~F.array_contains(reserved, F.lower(k)))
     rest = F.map_filter(target, lambda k, v: ~F.map_contains_key(incoming, k))
     rest = F.transform_values(rest, lambda k, v: F.when(_is_system(k, excluded), v))
@@ -120,15 +121,15 @@ def _joined_maps(target: DataFrame, incoming: DataFrame, keys: list[str], map_co
 def overwrite_fields(target: DataFrame, incoming: DataFrame, keys: list[str], map_col: str, exclude=()) -> DataFrame:
     """Apply ``overwrite_map`` to the rows of the same key; other target rows stay."""
     rows = _joined_maps(target, incoming, keys, map_col)
-    merged = overwrite_map(F.col(map_col), F.col("_source"), _lowered(exclude))
+    merged = overwrite_map(F.col(map_col), F.col("_source"), lowered(exclude))
     return rows.withColumn(map_col, merged).select(*target.columns)
 
 
 def fill_fields(target: DataFrame, incoming: DataFrame, keys: list[str], map_col: str, exclude=()) -> DataFrame:
     """Apply ``fill_map`` to the rows of the same key; add ``n_filled`` and ``n_left``."""
     rows = _joined_maps(target, incoming, keys, map_col)
-    n_filled, n_left = fill_map_counts(F.col(map_col), F.col("_source"), _lowered(exclude))
-    merged = fill_map(F.col(map_col), F.col("_source"), _lowered(exclude))
+    n_filled, n_left = fill_map_counts(F.col(map_col), F.col("_source"), lowered(exclude))
+    merged = fill_map(F.col(map_col), F.col("_source"), lowered(exclude))
     rows = rows.withColumns({"n_filled": n_filled, "n_left": n_left}).withColumn(map_col, merged)
     return rows.select(*target.columns, "n_filled", "n_left")
 

@@ -169,8 +169,10 @@ def tree_counts(
     inside = cut(subtree(nodes, id_col, parent_col, roots, root_id)).select(F.col(id_col).alias("_node"))
     out = inside.agg(F.count("*").alias("n")).select(F.lit("nodes").alias("kind"), "n")
     for kind, (df, key) in dependents.items():
-        rows = df.select(key).join(inside, F.col(key) == F.col("_node"), "left_semi")
-        out = out.unionByName(rows.agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n"))
+        counts = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_rows"))  # one row per node meets the tree
+        hits = counts.join(inside, F.col("_key") == F.col("_node"), "left_semi")
+        total = hits.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n"))
+        out = out.unionByName(total.select(F.lit(kind).alias("kind"), "n"))
     return out
 
 
@@ -194,9 +196,15 @@ def assemble_rows(
                      F.col(para_id).alias("para_id")),
         ["_row", "_col"], ["_sort", "para_id"], "para_no", **options,
     )
-    joined = numbered.join(placed, F.col(row_id) == F.col("_row"), "left")
-    return joined.select(
-        page, row_id, "row_no", F.coalesce("_col", F.lit(1)).alias("column_id"), "para_no", "para_id"
+    # The paragraphs are the probing side of the join: a row that holds very many may be split there.
+    filled = placed.join(numbered, F.col("_row") == F.col(row_id))
+    empty = numbered.join(placed.select("_row").distinct(), F.col(row_id) == F.col("_row"), "left_anti")
+    out = [page, row_id, "row_no", F.coalesce("_col", F.lit(1)).alias("column_id"), "para_no", "para_id"]
+    return filled.select(*out).unionByName(
+        empty.select(
+            page, row_id, "row_no", F.lit(1).alias("column_id"), F.lit(None).cast("long").alias("para_no"),
+            F.lit(None).cast(paras.schema[para_id].dataType).alias("para_id"),
+        )
     )
 
 

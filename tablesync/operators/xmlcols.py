@@ -155,8 +155,12 @@ def sample_per_type(sources: list[tuple[DataFrame, str, str, str]]) -> DataFrame
             F.col(xml_col).alias("sample"),
         )
         union = part if union is None else union.unionByName(part)
-    best = F.min_by(F.struct("source_rank", "sample_key", "sample"), F.struct("source_rank", "sample_key"))
-    return union.groupBy("type_name").agg(best.alias("b")).select("type_name", "b.*")
+    # Find the place of each sample first: only ranks and keys are grouped, never the documents.
+    place = F.min(F.struct("source_rank", "sample_key")).alias("_best")
+    best = union.groupBy(F.col("type_name").alias("_t")).agg(place).select("_t", "_best.*")
+    best = best.toDF("_t", "_rank", "_key")
+    at = (F.col("type_name") == F.col("_t")) & (F.col("source_rank") == F.col("_rank")) & (F.col("sample_key") == F.col("_key"))
+    return union.join(best, at, "left_semi")
 
 
 def missing_declared_fields(

@@ -7,13 +7,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.functions.text import any_of, listed
+from tablesync.functions.text import actual_name, any_of, listed
+from tablesync.operators.identity import with_match_keys
 from tablesync.operators.merge import dedupe_incoming, incoming_outcomes, merge_rows, replace_all
+from tablesync.operators.placement import cut
 from tablesync.operators.quality import run_summary
 from tablesync.operators.refs import rewrite_links
 from tablesync.operators.schema import align_to_schema, coerce, fill_not_null
 from tablesync.operators.xmlcols import canonical_xml
-from tablesync.spec import CREATED, FAILED, SOURCE_WINS, SyncSpec
+from tablesync.spec import CREATED, FAILED, KEPT, SOURCE_WINS, SyncSpec
 
 
 @dataclass(frozen=True)
@@ -37,35 +39,43 @@ class ApplyResult:
 
 
 def prepare_incoming(incoming: DataFrame, target: DataFrame, spec: SyncSpec, page_map=None, para_map=None, order=None):
-    """Incoming rows fitted to the target: last file per key, known columns, types, defaults, XML, links."""
+    """Incoming rows fitted to the target: known columns, types, defaults, last file per key, XML, links."""
     table = spec.table
-    if order and table.keys:
-        incoming = dedupe_incoming(incoming, [c for c in incoming.columns if listed(table.keys, c)], order)
     schema = target.schema
     for field in schema.fields:
         if listed(table.not_null, field.name) or listed(table.keys, field.name):
             field.nullable = False
-    rows, warnings = align_to_schema(incoming.drop(order) if order else incoming, schema, table.table)
-    keys = [c for c in rows.columns if listed(table.keys, c)]
-    rows, rejects = coerce(rows, schema, keys)
+    place = [F.col(order).alias("_order")] if order else []
+    aligned, warnings = align_to_schema(incoming.drop(order) if order else incoming, schema, table.table)
+    if order:
+        aligned = incoming.select(*[F.col(f"`{actual_name(incoming, c)}`").alias(c) for c in aligned.columns], *place)
+    keys = [c for c in aligned.columns if listed(table.keys, c)]
+    rows, rejects = coerce(aligned, schema, keys)
     rows = fill_not_null(rows, schema)
+    if order and keys:
+        # Keys are compared as the merge will compare them, so that no key is left twice.
+        keyed, names = with_match_keys(rows, table)
+        rows = dedupe_incoming(keyed, names, "_order").drop(*names, "_order")
     xml = [c for c in rows.columns if listed(spec.xml_text_cols, c)]
     if xml:
         rows = canonical_xml(rows, xml, "compact")
     linked = [c for c in rows.columns if listed(spec.link_cols, c)]
     if linked and page_map is not None and keys:
         rows = rewrite_links(rows, keys, linked, page_map, para_map)
-    return rows, rejects, warnings
+    return rows.drop("_order"), rejects, warnings
 
 
 def apply_snapshot(
     target: DataFrame, snapshot: DataFrame, spec: SyncSpec, strategy: str = SOURCE_WINS,
     page_map: DataFrame | None = None, para_map: DataFrame | None = None, order: str | None = None,
+    once: bool = False,
 ) -> ApplyResult:
     """Apply a snapshot to a target table.
 
-    Nothing is written here, so a dry run is the same call without a write of ``table``. ``order``
-    names the column (a file path) that decides which of several rows with one key counts.
+    Nothing is written to the target, so a dry run is the same call without a write of ``table``.
+    ``order`` names the column (a file path) that decides which of several rows with one key counts;
+    without it the keys of the snapshot must be unique. ``once`` computes the merge right away, into
+    the shared work folder, so that table and outcomes both read the result of one join.
     """
     table = spec.table
     rows, rejects, warnings = prepare_incoming(snapshot, target, spec, page_map, para_map, order)
@@ -79,7 +89,13 @@ def apply_snapshot(
     keys = [c for c in rows.columns if listed(table.keys, c)]
     no_key = any_of(F.col(f"`{k}`").isNull() for k in keys)
     failed, rows = rows.where(no_key), rows.where(~no_key)
-    merged = merge_rows(target, rows, table, strategy).select(*target.columns)
-    outcomes = incoming_outcomes(target, rows, table, strategy).select(name, "outcome")
+    merged = merge_rows(target, rows, table, strategy).select(*target.columns, F.col("outcome").alias("_outcome"))
+    if once:
+        merged = cut(merged)
+    if table.goes_by_key:
+        outcomes = merged.where(F.col("_outcome") != KEPT).select(name, F.col("_outcome").alias("outcome"))
+    else:
+        outcomes = incoming_outcomes(target, rows, table, strategy).select(name, "outcome")
+    merged = merged.select(*target.columns)
     outcomes = outcomes.unionByName(failed.select(name, F.lit(FAILED).alias("outcome")))
     return ApplyResult(merged, outcomes, rejects, failed, warnings)

@@ -34,6 +34,8 @@ class TableSpec:
     ``compare_cols``  columns that decide whether a row changed (default: all but ``auto_cols``)
     ``auto_cols``     auto-number columns, local to one environment
     ``xml_cols``      columns of XML type: filled element by element, not as one value
+    ``overlay_cols``  XML text whose root children the target keeps when the source lacks them
+    ``keep_fields``   map fields left out of snapshots, which an overwrite therefore must not clear
     ``not_null``      columns that must not be NULL
     """
 
@@ -43,6 +45,8 @@ class TableSpec:
     compare_cols: tuple[str, ...] = ()
     auto_cols: tuple[str, ...] = ()
     xml_cols: tuple[str, ...] = ()
+    overlay_cols: tuple[str, ...] = ()
+    keep_fields: tuple[str, ...] = ()
     not_null: tuple[str, ...] = ()
 
     @property
