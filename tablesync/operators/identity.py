@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablesync.functions.text import actual_name, cell, is_blank, safe_name, trimmed
 from tablesync.functions.unset import default_value
-from tablesync.operators.placement import ordinal, scatter_ordinal
+from tablesync.operators.placement import ordinal, scatter_rank
 from tablesync.spec import CREATED, SKIPPED, UPDATED, TableSpec
 
 
@@ -158,14 +158,10 @@ def allocate_ids(
     known = target.groupBy(F.lower(guid_col).alias("_guid")).agg(F.max(id_col).alias("_known"))
     top = target.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long").alias("_top"))
     rows = incoming.withColumn("_guid", F.lower(guid_col)).join(known, "_guid", "left")
-    fresh = rows.where("_known is null").select("_guid").distinct()
-    numbered = scatter_ordinal(fresh, "_guid", "_n", hex_digits)
+    rows = scatter_rank(rows.withColumn("is_new", F.col("_known").isNull()), "_guid", "is_new", "_n", hex_digits)
     highest = top.first()["_top"]  # one number
-    rows = rows.join(numbered, "_guid", "left")
     target_id = F.coalesce(F.col("_known").cast("long"), F.lit(highest) + F.col("_n"))
-    return rows.select(
-        *incoming.columns, target_id.alias("target_id"), F.col("_known").isNull().alias("is_new")
-    )
+    return rows.select(*incoming.columns, target_id.alias("target_id"), "is_new")
 
 
 def snapshot_manifest(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -96,26 +96,22 @@ def ordinal(df: DataFrame, group: list[str], order: list, out: str, hot_rows: in
     return cold.unionByName(numbered.select(*df.columns, out))
 
 
-def scatter_ordinal(df: DataFrame, key: str, out: str, hex_digits: int = 3) -> DataFrame:
-    """Number all rows 1..n in the order of ``md5(key)``, without sorting in one place.
+def scatter_rank(df: DataFrame, key: str, flag: str, out: str, hex_digits: int = 3) -> DataFrame:
+    """Number the distinct keys of the flagged rows 1..n in the order of ``md5(key)``; others get NULL.
 
-    The leading digits of the hash cut the rows into ``16**hex_digits`` even ranges that keep the
-    order; each range is numbered by itself and shifted by the counts of the ranges before it.
-    Raise ``hex_digits`` with the data: 4 gives 65,536 ranges.
+    There is no sort in one place: the leading digits of the hash cut the rows into
+    ``16**hex_digits`` even ranges that keep the order, each range is ranked by itself and shifted by
+    the counts of the ranges before it. Raise ``hex_digits`` with the data: 4 gives 65,536 ranges.
     """
-    hashed = df.withColumn("_h", F.md5(F.col(key).cast("string"))).withColumn(
-        "_range", F.substring("_h", 1, hex_digits)
-    )
+    hashed = df.withColumn("_h", F.md5(F.col(key).cast("string"))).withColumn("_range", F.substring("_h", 1, hex_digits))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     shift = (
-        hashed.groupBy("_range").count()  # at most 16**hex_digits rows reach the window
-        .withColumn("_shift", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
-        .drop("count")
-    )
-    inside = Window.partitionBy("_range").orderBy("_h", key)
-    return (
-        hashed.withColumn("_inside", F.row_number().over(inside))
-        .join(shift, "_range")
-        .withColumn(out, F.col("_inside") + F.col("_shift"))
-        .drop("_h", "_range", "_inside", "_shift")
+        hashed.where(flag)
+        .groupBy("_range")
+        .agg(F.countDistinct(key).alias("_keys"))  # at most 16**hex_digits rows reach the window
+        .select("_range", F.coalesce(F.sum("_keys").over(earlier), F.lit(0)).alias("_shift"))
     )
+    flagged_first = Window.partitionBy("_range").orderBy(F.desc(flag), "_h", key)
+    ranked = hashed.withColumn("_rank", F.dense_rank().over(flagged_first)).join(shift, "_range", "left")
+    number = F.when(F.col(flag), F.col("_rank") + F.col("_shift"))
+    return ranked.withColumn(out, number).drop("_h", "_range", "_rank", "_shift")

@@ -62,12 +62,9 @@ def is_safe_path(path):
 def missing_assets(refs: DataFrame, inventory: DataFrame) -> DataFrame:
     """Assets with an unsafe path, and assets that the inventory (kind, path) does not hold."""
     safe = F.coalesce(is_safe_path(F.col("path")), F.lit(False))
-    have = inventory.select("kind", "path").distinct()
-    missing = refs.where(safe).join(have, ["kind", "path"], "left_anti").withColumn("problem", F.lit("missing"))
-    unsafe = refs.where(~safe).withColumn("problem", F.lit("unsafe path"))
-    bad = missing.unionByName(unsafe)
-    problems = bad.select("kind", "path", "problem").distinct()
-    return problems.join(asset_users(bad.drop("problem")), ["kind", "path"])
+    have = inventory.select("kind", "path").distinct().withColumn("_have", F.lit(True))
+    bad = refs.join(have, ["kind", "path"], "left").where(~safe | F.col("_have").isNull()).drop("_have")
+    return asset_users(bad).withColumn("problem", F.when(safe, "missing").otherwise("unsafe path"))
 
 
 class StrictModeError(RuntimeError):

@@ -13,6 +13,7 @@ from compare import session  # noqa: E402
 def spark():
     s = session(8)
     s.sparkContext.setLogLevel("OFF")
+    s.conf.set("spark.sql.shuffle.partitions", "3")
     return s
 
 

@@ -152,14 +152,14 @@ def test_unknown_spec_column_is_refused(rows):
         snapshot_rows(rows([(1,)], "k int"), SyncSpec(TableSpec("t", ("k",), compare_cols=("nope",))))
 
 
-def test_scatter_ordinal_is_dense_over_ranges(rows):
-    from tablesync.operators.placement import scatter_ordinal
-
-    df = rows([(f"key{i}",) for i in range(300)], "k string")
-    got = scatter_ordinal(df, "k", "n", hex_digits=2).orderBy("n").collect()
-    assert [r["n"] for r in got] == list(range(1, 301))
-    order = sorted((f"key{i}" for i in range(300)), key=lambda k: hashlib.md5(k.encode()).hexdigest())
-    assert [r["k"] for r in got] == order
+def test_scatter_rank_is_dense_over_ranges(rows):
+    from tablesync.operators.placement import scatter_rank
+
+    df = rows([(f"key{i % 300}", i % 3 > 0) for i in range(600)], "k string, f boolean")
+    got = scatter_rank(df, "k", "f", "n", hex_digits=2)
+    assert got.where("not f and n is not null").count() == 0 and got.count() == 600
+    flagged = sorted({f"key{i}" for i in range(300) if i % 3}, key=lambda k: hashlib.md5(k.encode()).hexdigest())
+    assert dict(values(got.where("f").distinct(), "k", "n")) == {k: i + 1 for i, k in enumerate(flagged)}
 
 
 def test_ordinal_hot_and_cold_groups_agree(rows):
