@@ -80,6 +80,17 @@ def _(spark, d):
     return integrity.dangling_pairs(rows, "item_id", "item_type")[1]
 
 
+@case("g5_assert_count", "SELECT * FROM orders WHERE NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'P')")
+def _(spark, d):
+    rows = table(spark, d, "orders")
+    stale = (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P")
+    total = rows.count()
+    found = integrity.assert_count(rows.where(stale), 1, total // 2, "before", zero_ok=False)
+    kept = integrity.delete_where(rows, stale)
+    integrity.assert_count(kept, total - found, stage="after")
+    return kept
+
+
 @case("g6_delete_where", "SELECT * FROM orders WHERE NOT (o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus = 'P')")
 def _(spark, d):
     stale = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") & (F.col("o_orderstatus") == "P")

@@ -41,6 +41,23 @@ def _(spark, d):
     return quality.missing_assets(assets(spark, d), have)
 
 
+@case(
+    "j3_assert_no_warnings",
+    f"""SELECT 'unknown id ' || o_custkey AS warning, count(*) AS n, TRUE AS strict_fails FROM orders
+        WHERE o_custkey > 0 AND o_custkey NOT IN (SELECT c_custkey FROM ({GOOD}) c) GROUP BY o_custkey""",
+)
+def _(spark, d):
+    dim = solvent(spark, d)
+    warnings = identity.resolve_guid(table(spark, d, "orders"), "o_custkey", dim, "c_custkey", "c_name", "guid")[1]
+    quality.assert_no_warnings(warnings, strict=False)
+    try:
+        quality.assert_no_warnings(warnings)
+        failed = False
+    except quality.StrictModeError:
+        failed = True
+    return warnings.select("warning", F.col("rows").alias("n"), F.lit(failed).alias("strict_fails"))
+
+
 @case(
     "j4_run_summary",
     f"""{PAIR_SQL}, o AS (SELECT i.o_orderpriority AS table_name, CASE WHEN t.o_orderkey IS NULL THEN 'created'

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import importlib.util
 import uuid
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.base import LIVE_SQL, DROP_SQL, ORDERS, case, incoming_orders, live_orders, money, part_tree, table
-from tablesync.operators import identity, schema, selection, tree
-from tablesync.operators.placement import work_dir
-from tablesync.sources import tables
+from tablesync.operators import identity, integrity, merge, quality, schema, selection, tree
+from tablesync.operators.placement import cut, work_dir
+from tablesync.sources import rowfiles, tables
 from tablesync.spec import PathRule, SyncSpec, TableSpec
 
 CUSTOMER = TableSpec("customer", keys=("c_custkey",))
@@ -45,6 +46,66 @@ def _(spark, d):
     return tables.read_snapshot(spark, out)
 
 
+@case(
+    "a4_schema_beside_data",
+    """SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal, c_mktsegment,
+       CAST(c_custkey AS VARCHAR) AS "_identity" FROM customer WHERE c_acctbal > 0""",
+)
+def _(spark, d):
+    # JSON rows carry no types: the stored schema brings the decimal and the long back.
+    out = f"{work_dir(spark)}/snapshot-{uuid.uuid4().hex}"
+    tables.write_snapshot(customers(spark, d), SNAP, out, "json")
+    return tables.read_snapshot(spark, out, "json")
+
+
+def one_file_per_row(spark, text) -> str:
+    out = f"{work_dir(spark)}/files-{uuid.uuid4().hex}"
+    text.write.option("maxRecordsPerFile", 1).text(out)
+    return out
+
+
+if importlib.util.find_spec("yaml"):
+
+    @case(
+        "a2_read_row_files",
+        """SELECT s_suppkey, s_name, s_nationkey, CAST(s_acctbal AS DECIMAL(18,2)) AS s_acctbal, CAST(NULL AS VARCHAR) AS note
+           FROM supplier""",
+    )
+    def _(spark, d):
+        rows = table(spark, d, "supplier").withColumn("s_acctbal", money("s_acctbal"))
+        text = rows.select(F.format_string(
+            '"S_SuppKey": %d\n"s_name": "%s"\n"s_nationkey": %d\n"note": \n"s_acctbal": "%s"\n',
+            "s_suppkey", "s_name", "s_nationkey", F.col("s_acctbal").cast("string"),
+        ))
+        goal = T.StructType().add("s_suppkey", "long").add("s_name", "string").add("s_nationkey", "integer")
+        goal = goal.add("s_acctbal", "decimal(18,2)").add("note", "string")
+        return rowfiles.read_row_files(spark, one_file_per_row(spark, text), goal, "*.txt")[0].drop("_path")
+
+
+@case("a9_read_run_logs", "SELECT s_name AS operation, s_nationkey AS created, 'line of ' || s_suppkey AS log_text FROM supplier")
+def _(spark, d):
+    summary = F.to_json(F.struct(F.col("s_name").alias("operation"), F.col("s_nationkey").alias("totalCreated")))
+    lines = F.concat(F.lit("line of "), F.col("s_suppkey").cast("string"))
+    text = F.concat(F.lit("=== RUN SUMMARY ===\n"), summary, F.lit("\n=== END SUMMARY ===\n"), lines)
+    logs = rowfiles.read_run_logs(spark, one_file_per_row(spark, table(spark, d, "supplier").select(text)), "*.txt")
+    return logs.select("summary.operation", F.col("summary.totalCreated").alias("created"), F.rtrim(F.regexp_replace("log_text", "\\n$", "")).alias("log_text"))
+
+
+@case("a11_purge_tables", "SELECT 'customer' AS table_name, 0 AS n, count(*) AS before FROM customer UNION ALL SELECT 'orders', 0, count(*) FROM orders")
+def _(spark, d):
+    out = f"{work_dir(spark)}/purge-{uuid.uuid4().hex}"
+    names = ("customer", "orders")
+    report = tables.backup_tables(spark, {n: table(spark, d, n) for n in names}, out, "copy")
+    paths = {n: f"{out}/{n}_copy" for n in names}
+    report = cut(report)
+    edges = spark.createDataFrame([("orders", "customer")], "child string, parent string")
+    levels = integrity.dependency_levels(report.select(F.col("table_name").alias("name")), edges)
+    tables.purge_tables(spark, paths, levels)
+    left = quality.verify_post({n: tables.read_table(spark, p) for n, p in paths.items()})
+    left = left.select(F.col("check_name").alias("table_name"), "n")
+    return left.join(report.select("table_name", F.col("rows_before").alias("before")), "table_name")
+
+
 MANIFEST_SQL = """SELECT CAST(c_custkey AS VARCHAR) AS identity,
   md5('C_ACCTBAL=' || CAST(c_acctbal AS DECIMAL(18,2)) || '|C_CUSTKEY=' || c_custkey || '|C_MKTSEGMENT=' || c_mktsegment
       || '|C_NAME=' || c_name || '|C_NATIONKEY=' || c_nationkey) AS checksum FROM customer"""
@@ -273,6 +334,16 @@ def _(spark, d):
     return schema.fill_not_null(rows, goal)
 
 
+@case("c4_empty_from_schema", "SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal FROM customer")
+def _(spark, d):
+    defs = [
+        schema.ColumnDef("c_custkey", "bigint", nullable=False), schema.ColumnDef("c_name", "nvarchar", 50),
+        schema.ColumnDef("c_acctbal", "decimal", None, 18, 2),
+    ]
+    created = schema.empty_from_schema(spark, defs, ("c_custkey",))
+    return merge.upsert(created, customers(spark, d), CUSTOMER)
+
+
 @case(
     "c5_add_defined_columns",
     """SELECT c_custkey, c_name, (SELECT count(*) FROM nation WHERE n_regionkey = 1) AS false_columns,

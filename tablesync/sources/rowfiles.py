@@ -36,14 +36,16 @@ def _decode(text: str) -> dict:
     return cells
 
 
-def read_row_files(spark: SparkSession, folder: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+def read_row_files(
+    spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.yml"
+) -> tuple[DataFrame, DataFrame]:
     """Rows of a folder with one file each, typed by ``schema``; adds ``_path``. Returns (rows, rejects).
 
     ``_meta`` files are skipped, column names match without case, and ``_path`` gives the order that
     ``dedupe_incoming`` needs.
     """
     files = (
-        spark.read.option("pathGlobFilter", "*.yml").option("recursiveFileLookup", "true")
+        spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
         .text(folder, wholetext=True)
         .select(F.col("_metadata.file_path").alias("_path"), "value", F.col("_metadata.file_name").alias("_file"))
         .where(F.lower("_file") != "_meta.yml")
@@ -58,9 +60,9 @@ def read_row_files(spark: SparkSession, folder: str, schema: T.StructType) -> tu
     return coerce(text, schema, ["_path"])
 
 
-def read_run_logs(spark: SparkSession, folder: str) -> DataFrame:
+def read_run_logs(spark: SparkSession, folder: str, pattern: str = "*.log") -> DataFrame:
     """One row per log, newest first: the parsed summary (NULL if there is none) and the raw text after it."""
-    files = spark.read.option("pathGlobFilter", "*.log").text(folder, wholetext=True).select(
+    files = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True).select(
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_modification_time").alias("written_at"),
         "value",
