@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.functions import links
-from tablesync.functions.text import like_any, string_columns
+from tablesync.functions.text import any_of, like_any, string_columns
 from tablesync.spec import check_columns
 
 NO_ANCHOR = -1
@@ -101,31 +101,36 @@ def _rewritten(text: Column) -> Column:
 
 
 def rewrite_links(
-    df: DataFrame, keys: list[str], cols: list[str], page_map: DataFrame, para_map: DataFrame
+    df: DataFrame, keys: list[str], cols: list[str], page_map: DataFrame, para_map: DataFrame,
+    map_cols: list[str] = (), only_changed: bool = False,
 ) -> DataFrame:
-    """Rewrite page and paragraph ids inside the listed text columns. Unmapped references stay.
+    """Rewrite page and paragraph ids inside the listed text columns and field maps.
 
-    ``keys`` identify a row; each map has one ``target_id`` per ``source_id``.
+    Unmapped references stay. ``keys`` identify a row; each map has one ``target_id`` per
+    ``source_id``. ``only_changed`` returns just the rows that a reference changed in.
     """
-    check_columns(df, cols, "link columns")
-    texts = F.array(*[F.col(f"`{c}`") for c in cols])
+    check_columns(df, [*cols, *map_cols], "link columns")
+    none = F.array().cast("array<string>")
+    held = [F.coalesce(F.map_values(m), none) for m in map_cols]
+    texts = F.concat(F.array(*[F.col(f"`{c}`") for c in cols]) if cols else none, *held)
     plain, linked = _with_row_maps(df, keys, texts, page_map, para_map)
-    out = [_rewritten(F.col(f"`{c}`")).alias(c) if c in cols else F.col(f"`{c}`") for c in df.columns]
-    return plain.select(*df.columns).unionByName(linked.select(*out))
+    new = {c: _rewritten(F.col(f"`{c}`")) for c in cols}
+    new |= {m: F.transform_values(m, lambda _, v: _rewritten(v)) for m in map_cols}
+    if not only_changed:
+        out = [new[c].alias(c) if c in new else F.col(f"`{c}`") for c in df.columns]
+        return plain.unionByName(linked.select(*out))
+    linked = linked.where("_page_map is not null").withColumns({f"_new_{c}": v for c, v in new.items()})
+    changed = [~F.col(f"`_new_{c}`").eqNullSafe(F.col(f"`{c}`")) for c in cols]
+    changed += [~F.map_values(f"_new_{m}").eqNullSafe(F.map_values(m)) for m in map_cols]
+    out = [F.col(f"`_new_{c}`").alias(c) if c in new else F.col(f"`{c}`") for c in df.columns]
+    return linked.where(any_of(changed)).select(*out)
 
 
 def rewrite_links_in_fields(
     df: DataFrame, keys: list[str], map_col: str, page_map: DataFrame, para_map: DataFrame, only_changed: bool = True
 ) -> DataFrame:
     """The same over every value of a field map; by default only rows that changed are returned."""
-    plain, linked = _with_row_maps(df, keys, F.map_values(map_col), page_map, para_map)
-    new = F.transform_values(map_col, lambda _, v: _rewritten(v))
-    linked = linked.withColumn("_new", new)
-    changed = ~F.map_values("_new").eqNullSafe(F.map_values(map_col))
-    out = [F.col("_new").alias(c) if c == map_col else F.col(f"`{c}`") for c in df.columns]
-    if only_changed:
-        return linked.where(changed).select(*out)
-    return plain.select(*df.columns).unionByName(linked.select(*out))
+    return rewrite_links(df, keys, [], page_map, para_map, [map_col], only_changed)
 
 
 def _known_ids(df: DataFrame, col: str, flag: str) -> DataFrame:

@@ -17,6 +17,7 @@ from tablesync.operators.placement import cut, ordinal
 from tablesync.spec import FAILED, SKIPPED, PathRule
 
 SEP, END = "\u0001", "\u0002"
+SHALLOW_ROUNDS = 5  # enough for trees 32 deep; only deeper ones, and cycles, need the number of nodes
 
 
 def fold_up(
@@ -37,11 +38,14 @@ def fold_up(
             *[value.alias(n) for n, (value, _) in carry.items()],
         )
     )
-    rounds = math.ceil(math.log2(max(state.count(), 1))) + 1
-    for _ in range(rounds):
+    done, rounds = 0, None
+    while rounds is None or done < rounds:
         going = state.where("_up is not null")
         if going.isEmpty():
             return state.drop("_up")
+        if done == SHALLOW_ROUNDS:
+            rounds = max(done, math.ceil(math.log2(state.count())) + 1)
+        done += 1
         above = state.select([F.col(c).alias(f"a_{c}") for c in state.columns])
         joined = going.join(above, F.col("_up") == F.col("a_node_id"), "left")
         found = F.col("a_node_id").isNotNull()

@@ -24,7 +24,7 @@ from tablesync.operators.identity import allocate_ids
 from tablesync.operators.merge import merge_rows, update_subset
 from tablesync.operators.placement import cut
 from tablesync.operators.quality import asset_refs
-from tablesync.operators.refs import link_sweep, rewrite_links, rewrite_links_in_fields, split_acknowledged
+from tablesync.operators.refs import link_sweep, rewrite_links, split_acknowledged
 from tablesync.operators.selection import compact_fields, exclude_fields_by_type
 from tablesync.operators.tree import filter_tree, renumber
 from tablesync.operators.xmlcols import canonical_xml, drop_xml_elements_by_type
@@ -240,11 +240,7 @@ def _aligned(df: DataFrame, target: DataFrame, page_map: DataFrame) -> DataFrame
 
 def _relinked(df: DataFrame, key: str, link_cols, page_map: DataFrame, para_map: DataFrame) -> DataFrame:
     cols = [c for c in link_cols if c in df.columns]
-    if cols:
-        df = rewrite_links(df, [key], cols, page_map, para_map)
-    for col in _maps(df):
-        df = rewrite_links_in_fields(df, [key], col, page_map, para_map, only_changed=False)
-    return df
+    return rewrite_links(df, [key], cols, page_map, para_map, _maps(df)) if cols or _maps(df) else df
 
 
 def _applied_permissions(target: Content, snapshot: Content, page_map: DataFrame, strategy: str, groups):

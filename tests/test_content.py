@@ -1,6 +1,7 @@
 import pytest
 from conftest import values
 
+from tablesync.operators.placement import cut
 from tablesync.operators.quality import run_summary
 from tablesync.plans import content as c
 from tablesync.spec import DESTINATION_WINS, PathRule
@@ -18,7 +19,7 @@ PERMS = "page_id int, owner_id string, level_value int"
 GROUPS = [(7, "Dealers")]
 
 
-@pytest.fixture
+@pytest.fixture(scope="module")
 def source(rows):
     return c.Content(
         rows(
@@ -42,7 +43,7 @@ def source(rows):
     )
 
 
-@pytest.fixture
+@pytest.fixture(scope="module")
 def groups(rows):
     return rows(GROUPS, "group_id int, name string")
 
@@ -53,9 +54,14 @@ SPEC = c.ContentSpec(
 )
 
 
-@pytest.fixture
+def written(content):
+    """The tables as a reader of the snapshot finds them."""
+    return c.Content(*[cut(t) for t in (content.pages, content.rows, content.paragraphs, content.permissions)])
+
+
+@pytest.fixture(scope="module")
 def snapshot(source, groups):
-    return c.snapshot_content(source, SPEC, groups)
+    return written(c.snapshot_content(source, SPEC, groups))
 
 
 def test_snapshot(snapshot):
@@ -77,7 +83,7 @@ def test_sweep_and_assets(snapshot, source):
     ]
 
 
-@pytest.fixture
+@pytest.fixture(scope="module")
 def target(rows):
     return c.Content(
         rows([(501, "G1", None, 1, "Mine", 0, "Page", "own.cshtml", "", {"Title": "Own", "Stale": "s", "Secret": "kept"})], PAGES),
@@ -116,11 +122,12 @@ def test_apply_destination_wins_reaches_pages_only(snapshot, target, groups):
 
 
 def test_second_apply_changes_nothing(snapshot, target, groups):
-    first = c.apply_content(target, snapshot, groups=groups).content
+    first = written(c.apply_content(target, snapshot, groups=groups).content)
     again = c.Content(*[getattr(first, n).drop("outcome") for n in ("pages", "rows", "paragraphs")], first.permissions)
     twice = c.apply_content(again, snapshot, groups=groups)
-    skipped = {r["outcome"] for r in c.content_outcomes(twice).collect()}
-    assert values(twice.content.permissions) == values(first.permissions)
-    assert skipped <= {"skipped", "updated"}
+    second = written(twice.content)
+    assert values(second.permissions) == values(first.permissions)
     for n, key in (("pages", "page_id"), ("rows", "row_id"), ("paragraphs", "para_id")):
-        assert values(getattr(twice.content, n), key, "guid") == values(getattr(first, n), key, "guid")
+        assert values(getattr(second, n), key, "guid") == values(getattr(first, n), key, "guid")
+        # Only the page with a field of its own, and the paragraph with XML of its own, differ from the snapshot.
+        assert getattr(second, n).where("outcome not in ('skipped', 'kept')").count() <= 1
