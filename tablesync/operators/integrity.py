@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.functions.text import is_empty
-from tablesync.operators.placement import cut
+from tablesync.operators.placement import cut, planned_bytes
 
 
 def _parent_keys(parent: DataFrame, key: str) -> DataFrame:
@@ -56,12 +56,13 @@ def dependency_levels(nodes: DataFrame, edges: DataFrame, on_cycle: str = "raise
     links, done, level = cut(links), [], 0
     while not remaining.isEmpty():
         blocked = links.select(F.col("_c").alias("_n")).distinct()
-        ready = cut(remaining.join(blocked, "_n", "left_anti").withColumn("level", F.lit(level)))
+        size = planned_bytes(remaining)
+        ready = cut(remaining.join(blocked, "_n", "left_anti").withColumn("level", F.lit(level)), about=size)
         if ready.isEmpty():
             break
         done.append(ready)
-        remaining = cut(remaining.join(ready, "_n", "left_anti"))
-        links = cut(links.join(ready.select(F.col("_n").alias("_p")), "_p", "left_anti"))
+        remaining = cut(remaining.join(ready, "_n", "left_anti"), about=size)
+        links = cut(links.join(ready.select(F.col("_n").alias("_p")), "_p", "left_anti"), about=planned_bytes(links))
         level += 1
     if not remaining.isEmpty():
         if on_cycle == "raise":

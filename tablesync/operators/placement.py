@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
+FILE_BYTES = 4 * 1024 * 1024
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -27,15 +28,18 @@ def work_dir(spark: SparkSession) -> str:
     return f"{shared}/{sc.applicationId}"
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, about: int | None = None) -> DataFrame:
     """Write the rows as a table in the shared folder and read them back.
 
     Ends the lineage on storage that outlives any executor, fixes every value that depends on row
-    placement, and gives the following joins real sizes to plan with.
+    placement, and gives the following joins real sizes to plan with. ``about`` is the expected size
+    where the caller knows better than the estimate of the plan.
     """
-    path = f"{work_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, f"{work_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    files = (planned_bytes(df) if about is None else about) // FILE_BYTES + 1
+    # A small frame, such as the last rounds of a loop, is not worth a file per task.
+    (df.coalesce(files) if files < spark.sparkContext.defaultParallelism else df).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def planned_bytes(df: DataFrame) -> int:

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.operators.placement import cut, ordinal
+from tablesync.operators.placement import cut, ordinal, planned_bytes
 from tablesync.spec import FAILED, SKIPPED, PathRule
 
 SEP, END = "\u0001", "\u0002"
@@ -55,7 +55,7 @@ def fold_up(
             (found & F.coalesce("a_reached_root", F.lit(False))).alias("reached_root"),
             *[F.when(found, carry[n][1](F.col(n), F.col(f"a_{n}"))).otherwise(F.col(n)).alias(n) for n in names],
         )
-        state = cut(state.where("_up is null").unionByName(step))
+        state = cut(state.where("_up is null").unionByName(step), about=2 * planned_bytes(state))
     # Whatever still points upwards after log2(n) doublings goes round in a circle.
     return state.withColumn("reached_root", F.col("reached_root") & F.col("_up").isNull()).drop("_up")
 

@@ -20,7 +20,7 @@ def spark():
 @pytest.fixture(scope="session")
 def rows(spark):
     """Build a frame from tuples and a DDL schema."""
-    return lambda data, schema: spark.createDataFrame(data, schema)
+    return lambda data, schema: spark.createDataFrame(data, schema).coalesce(1)
 
 
 def values(df, *cols):
