@@ -69,8 +69,9 @@ def ordinal(df: DataFrame, group: list[str], order: list, out: str, hot_rows: in
     """
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     window = Window.partitionBy(*group).orderBy(*order)
-    hot = df.groupBy(*group).count().where(F.col("count") > hot_rows).drop("count")
-    if hot.isEmpty():
+    hot = df.groupBy(*group).count().where(F.col("count") > hot_rows)
+    hot_total = hot.agg(F.sum("count")).first()[0]  # one number
+    if not hot_total:
         return df.withColumn(out, F.row_number().over(window).cast("long"))
 
     # A NULL group is a group too, so groups are compared through their text.
@@ -79,7 +80,7 @@ def ordinal(df: DataFrame, group: list[str], order: list, out: str, hot_rows: in
     cold = keyed.join(hot, "_g", "left_anti").drop("_g")
     cold = cold.withColumn(out, F.row_number().over(window).cast("long"))
 
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), hot_total // hot_rows + 1)
     placed = cut(
         keyed.join(hot, "_g", "left_semi")
         .repartitionByRange(parts, F.col("_g"), *order)
