@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -15,6 +16,10 @@ from tablesync.llm.exact import exact_duplicates
 from tablesync.llm.licences import TEMPLATES, scan_licences
 from tablesync.llm.mixing import mix
 from tablesync.llm.near import similar_classes
+from tablesync.llm.quality import fit, score
+from tablesync.llm.shards import assign_shards
+from tablesync.llm.shared import saved, shared_dir
+from tablesync.llm.tokens import BYTE_PAIRS, WORDS, Rollup, count_tokens, deletes, inserts, revisions
 from tablesync.llm.urls import judge_urls
 
 
@@ -205,3 +210,38 @@ def _grams_sql(text: str) -> str:
 )
 def licence_scan(spark, folder):
     return scan_licences(table(spark, folder, "documents"))
+
+
+@case("op3_sharding")
+def sharding(spark, folder):
+    rows = assign_shards(table(spark, folder, "documents"))
+    return rows.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+@case("op4_quality_classifier")
+def quality_classifier(spark, folder):
+    docs = table(spark, folder, "documents")
+    return score(docs, fit(docs, table(spark, folder, "labels")))
+
+
+def token_batches(docs: DataFrame, labels: DataFrame, rollup: Rollup, tokenizers=(WORDS, BYTE_PAIRS)) -> None:
+    """Three batches: all documents come in; those of low quality are revised to their words without symbols;
+    toxic ones are deleted as they then are. The second batch is sent again, as after a lost answer."""
+    counted = saved(count_tokens(docs, tokenizers), "counted")
+    rollup.commit("1-load", inserts(counted))
+    by_id = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    low, toxic = by_id.where("quality = 0").select("doc_id"), by_id.where("toxic = 1").select("doc_id")
+    clean = F.regexp_replace("text", r"[^\p{L}\p{N}\s]+", "")
+    revised = saved(count_tokens(docs.join(low, "doc_id", "left_semi").withColumn("text", clean), tokenizers), "revised")
+    old = counted.join(low, "doc_id", "left_semi")
+    for _ in range(2):
+        rollup.commit("2-revise", revisions(old, revised))
+    current = counted.join(low, "doc_id", "left_anti").unionByName(revised)
+    rollup.commit("3-delete", deletes(current.join(toxic, "doc_id", "left_semi")))
+
+
+@case("op7_token_counts")
+def token_counts(spark, folder):
+    rollup = Rollup(spark, f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}")
+    token_batches(table(spark, folder, "documents"), table(spark, folder, "labels"), rollup)
+    return rollup.totals()
