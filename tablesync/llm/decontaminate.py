@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.llm.words import Words, run_hashes, word_blocks
@@ -128,15 +128,37 @@ def _marker(shared, first: bool, last: bool):
                 part = batch.slice(words.lo, words.hi - words.lo)
                 judged = [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string()))]
                 if last:
-                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), *judged], names=["doc_id", "n_words", "n_hit", "items"])
+                    yield pa.RecordBatch.from_arrays([part.column("row"), *judged], names=["row", "n_words", "n_hit", "items"])
                 else:
                     yield pa.RecordBatch.from_arrays(
-                        [part.column("doc_id"), part.column("text"), judged[2], pa.array(hits, pa.binary())], names=["doc_id", "text", "items", "hit"]
+                        [part.column("row"), part.column("text"), judged[2], pa.array(hits, pa.binary())], names=["row", "text", "items", "hit"]
                     )
 
     return mark
 
 
+def _marked(
+    docs: DataFrame, row: list[Column], benchmark: DataFrame, text_col: str, item_col: str, item_text_col: str, size: int, block_bytes: int
+) -> DataFrame:
+    """(row, n_words, n_hit, items): the given columns as one struct, so that no name can clash."""
+    sc = docs.sparkSession.sparkContext
+    slim = docs.select(F.struct(*row).alias("row"), F.col(text_col).alias("text"))
+    row_type = slim.schema["row"].dataType.simpleString()
+    out, first, blocks = slim, True, _item_blocks(benchmark, item_col, item_text_col, block_bytes)
+    items: list[tuple] | None = next(blocks, [])
+    while items is not None:
+        hashes = [w.hashes[w.offsets[k] : w.offsets[k + 1]] for _, w, k in _item_words(items)]
+        vocabulary = sc.broadcast(np.unique(np.concatenate([np.zeros(0, _U), *hashes])))
+        counted = slim.select("text").mapInArrow(_counter(vocabulary), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+        counts = {r.word & (1 << 64) - 1: r.n for r in counted.toLocalIterator()} if items else {}  # one row per word of the block
+        shared = sc.broadcast(build_windows(items, counts, size))
+        items = next(blocks, None)
+        kept = "text string, items array<string>, hit binary" if items is not None else "n_words long, n_hit long, items array<string>"
+        out = out.mapInArrow(_marker(shared, first, items is None), f"row {row_type}, {kept}")
+        first = False
+    return out
+
+
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -156,33 +178,27 @@ def contamination(
     An exact match of a window must contain its rarest word, so that one word, by its frequency in all documents, is the
     window's prefix. Document words that are such a prefix give candidates; the place of the word in the window and the
     lengths of both bound where the window can lie; what is left is compared word by word. A text is scanned in place:
-    nothing but frequencies is shuffled, documents never. Windows go to every task, so the benchmark is worked through in blocks
-    of at most ``block_bytes`` of text (a single larger item is a block of its own), one pass each, whose hits add up.
+    nothing but frequencies is shuffled. Windows go to every task, so the benchmark is worked through in blocks of at most
+    ``block_bytes`` of text (a single larger item is a block of its own), one pass each, whose hits add up.
 
     Null and empty documents have no words and no hits; items without words match nothing; items with the same id count
     once, null ids as one id. Repeated documents are judged row by row. Without items nothing is contaminated.
     """
-    sc = docs.sparkSession.sparkContext
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    id_type = slim.schema["doc_id"].dataType.simpleString()
-    out, first, blocks = slim, True, _item_blocks(benchmark, item_col, item_text_col, block_bytes)
-    items: list[tuple] | None = next(blocks, [])
-    while items is not None:
-        hashes = [w.hashes[w.offsets[k] : w.offsets[k + 1]] for _, w, k in _item_words(items)]
-        vocabulary = sc.broadcast(np.unique(np.concatenate([np.zeros(0, _U), *hashes])))
-        counted = slim.select("text").mapInArrow(_counter(vocabulary), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-        counts = {r.word & (1 << 64) - 1: r.n for r in counted.toLocalIterator()} if items else {}  # one row per word of the block
-        shared = sc.broadcast(build_windows(items, counts, size))
-        items = next(blocks, None)
-        kept = "text string, items array<string>, hit binary" if items is not None else "n_words long, n_hit long, items array<string>"
-        out = out.mapInArrow(_marker(shared, first, items is None), f"doc_id {id_type}, {kept}")
-        first = False
+    out = _marked(docs, [F.col(id_col).alias("doc_id")], benchmark, text_col, item_col, item_text_col, size, block_bytes)
     return out.select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items",
+        "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items",
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
 
 
+def keep_clean(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = 10, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The documents, with all their columns, that ``contamination`` finds no hit in."""
+    row = [F.col(f"`{c}`") for c in docs.columns]
+    return _marked(docs, row, benchmark, text_col, item_col, item_text_col, size, block_bytes).where("n_hit = 0").select("row.*")
+
+
 def _item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple]]:
     """The items in blocks, streamed: the driver holds one block at a time."""
     rows = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")), F.col(text_col))

@@ -46,35 +46,10 @@ def source_targets(sizes: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), most: i
     return rows.select("source", "source_size", "weight", target.alias("target"))
 
 
-def mix(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    cycle: tuple[int, ...] = (1, 2, 3),
-    most: int = 3,
-) -> DataFrame:
-    """One row per document: doc_id, size, source, source_size, target, copies, taken.
-
-    A source's expected copies are its target over its size. The whole part is certain: every document is taken so many
-    times. The rest of the target is a Pareto order sample: each source has its own odds of inclusion, its documents are
-    ranked by their random odds over those, and taken in that order while they fit, so the sample's size is fixed in
-    words. Last, the one unsampled document whose size comes nearest to the words still open is added, if that brings
-    the source closer to its target. Random numbers come from the id's digest, so reruns agree.
-
-    No source is gathered: a histogram of the random numbers, whose ``BINS`` bins hold about equally many documents,
-    finds the bin in which the target is reached, a second one splits that bin again, and only the rows of the last bin,
-    one in ``BINS`` squared, are ordered by a window.
-
-    A null or empty text has size 0. Null sources are a source of their own, the last one. Rows with the same id and
-    source are taken or left together. No documents, no rows; if all texts are empty, all targets are 0.
-    """
-    slim = saved(
-        docs.select(
-            F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
-        ).withColumn("u", uniform(F.col("doc_id"))),
-        "sizes",
-    )
+def _decided(docs: DataFrame, id_col: str, text_col: str, source_col: str, cycle: tuple[int, ...], most: int, row: list[Column] | None):
+    """(doc_id, size, source, source_size, target, copies), and the columns of ``row`` as a struct if they are given."""
+    drawn = [F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), uniform(F.col(id_col)).alias("u")]
+    slim = saved(docs.select(*drawn, word_count(F.col(text_col)).alias("size")), "sizes")
     plan = source_targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), cycle, most)
     held = F.col("source_size") > 0
     plan = plan.withColumn("whole", F.when(held, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
@@ -103,12 +78,52 @@ def mix(
     extra = left.where(off < F.col("gap")).groupBy("source").agg(F.min(F.struct(off.alias("off"), "place")).alias("extra"))
     cut = saved(_meet(cut, extra.select("source", F.col("extra.place").alias("added")), "left"), "cuts")
 
-    rows = _meet(_meet(slim, plan, "left"), cut, "left").withColumn("place", F.struct(rank.alias("rank"), "u", "doc_id"))
+    decided = docs.select(*drawn, F.struct(*row).alias("row")) if row else slim
+    rows = _meet(_meet(decided, plan, "left"), cut, "left").withColumn("place", F.struct(rank.alias("rank"), "u", "doc_id"))
     picked = (F.col("share") > 0) & (sampled | F.coalesce(F.col("place") == F.col("added"), F.lit(False)))
-    copies = F.col("whole") + F.coalesce(picked, F.lit(False)).cast("long")
-    return rows.select(
-        "doc_id", "size", "source", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
-    )
+    return rows.withColumn("copies", F.col("whole") + F.coalesce(picked, F.lit(False)).cast("long"))
+
+
+def mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    cycle: tuple[int, ...] = (1, 2, 3),
+    most: int = 3,
+) -> DataFrame:
+    """One row per document: doc_id, size, source, source_size, target, copies, taken.
+
+    A source's expected copies are its target over its size. The whole part is certain: every document is taken so many
+    times. The rest of the target is a Pareto order sample: each source has its own odds of inclusion, its documents are
+    ranked by their random odds over those, and taken in that order while they fit, so the sample's size is fixed in
+    words. Last, the one unsampled document whose size comes nearest to the words still open is added, if that brings
+    the source closer to its target. Random numbers come from the id's digest, so reruns agree.
+
+    No source is gathered: a histogram of the random numbers, whose ``BINS`` bins hold about equally many documents,
+    finds the bin in which the target is reached, a second one splits that bin again, and only the rows of the last bin,
+    one in ``BINS`` squared, are ordered by a window.
+
+    A null or empty text has size 0. Null sources are a source of their own, the last one. Rows with the same id and
+    source are taken or left together. No documents, no rows; if all texts are empty, all targets are 0.
+    """
+    rows = _decided(docs, id_col, text_col, source_col, cycle, most, None)
+    return rows.select("doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def mixed(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    cycle: tuple[int, ...] = (1, 2, 3),
+    most: int = 3,
+) -> DataFrame:
+    """The documents, with all their columns, as often as ``mix`` takes them. The decision follows from a document's id
+    and source and a few rows per source, so the texts are not shuffled."""
+    rows = _decided(docs, id_col, text_col, source_col, cycle, most, [F.col(f"`{c}`") for c in docs.columns])
+    repeated = rows.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    return repeated.select("row.*")
 
 
 def _meet(rows: DataFrame, per_source: DataFrame, how: str) -> DataFrame:

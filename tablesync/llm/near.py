@@ -257,3 +257,29 @@ def similar_classes(
         F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("class_id"), F.lit(True).alias("stays"),
     )
     return with_words.select(*out).unionByName(alone.select(*out))
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow: add the digest of the words; null for a text without words."""
+    for batch in batches:
+        keys = []
+        for words in word_blocks(batch.column(1)):
+            for k in range(words.hi - words.lo):
+                body = words.normalised(k)
+                keys.append(hashlib.blake2b(body, digest_size=16).digest() if body else None)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary())], names=["row", "key"])
+
+
+def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents, with all their columns, of which ``similar_classes`` says that they stay: of each class the row with
+    the smallest id, one of them if that row is repeated. Documents without words all stay."""
+    judged = similar_classes(docs, id_col, text_col, **options)
+    staying = judged.where(F.col("stays") & F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("doc_id", "key").distinct()
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
+    rows = whole.mapInArrow(_keyed, f"row {whole.schema['row'].dataType.simpleString()}, key binary")
+    rows = rows.withColumn("id", F.col("row")[id_col].cast("long"))
+    told = rows.where("key is not null").alias("r").join(
+        staying.alias("s"), (F.col("r.key") == F.col("s.key")) & F.col("r.id").eqNullSafe(F.col("s.doc_id"))
+    )
+    once = told.select("r.row", "r.key", "r.id").dropDuplicates(["key", "id"])
+    return once.select("row.*").unionByName(rows.where("key is null").select("row.*"))

@@ -194,23 +194,31 @@ def fit(
     return train(slots, rows.column("label").to_numpy().astype(bool))
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, keep: list[str] | None = None) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted, and the columns named in ``keep``.
-
-    ``score`` is the probability of label 1, from the whole text and nothing else; a null counts as empty, and an empty
-    text, which has no n-grams, gets the model's score without evidence. Repeated documents are scored row by row.
-    """
+def _judged(docs: DataFrame, model: Model, row: list[Column], text_col: str) -> DataFrame:
+    """(row, score): the given columns as one struct, so that no name can clash."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    slim = docs.select(F.struct(F.col(id_col).alias("doc_id"), *(keep or [])).alias("row"), F.col(text_col).alias("text"))
+    slim = docs.select(F.struct(*row).alias("row"), F.col(text_col).alias("text"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = [shared.value.score(s) for s in _slots_of(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["row", "score"])
 
-    row = slim.schema["row"].dataType.simpleString()
-    judged = slim.mapInArrow(judge, f"row {row}, score double")
+    return slim.mapInArrow(judge, f"row {slim.schema['row'].dataType.simpleString()}, score double")
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """One row per document: doc_id, held_out, score, predicted.
+
+    ``score`` is the probability of label 1, from the whole text and nothing else; a null counts as empty, and an empty
+    text, which has no n-grams, gets the model's score without evidence. Repeated documents are scored row by row.
+    """
+    judged = _judged(docs, model, [F.col(id_col).alias("doc_id")], text_col)
     return judged.select(
-        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"),
-        *[F.col("row")[c].alias(c) for c in keep or []],
+        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
+
+
+def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The documents, with all their columns, that ``score`` predicts to be good."""
+    return _judged(docs, model, [F.col(f"`{c}`") for c in docs.columns], text_col).where(F.col("score") >= threshold).select("row.*")

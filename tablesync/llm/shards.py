@@ -10,7 +10,8 @@ from tablesync.llm.mixing import word_count
 from tablesync.llm.shared import saved
 
 PER_CLASS = 256  # bundles of small groups per size class
-LARGE = 64  # a group over this part of a shard is packed by itself
+LARGE = 256  # a group over this part of a shard is packed by itself
+WEIGHT = np.array([8.0, 1.0, 1.0])  # of bytes, tokens and rows
 PIECES = 8  # pieces per shard's worth of a group too large for one shard
 SLOT_ROWS = 50_000
 
@@ -19,21 +20,18 @@ def pack(vectors: np.ndarray, shards: int) -> np.ndarray:
     """A shard for each row of ``vectors`` (bytes, tokens, rows).
 
     Every shard's capacity is an equal part of the totals. Rows are placed from the largest to the smallest, each where
-    the dot product of its vector with the shard's residual capacity, both in parts of the capacity, is highest.
+    the dot product of its vector with the shard's residual capacity, both in parts of the capacity, is highest. Bytes
+    are the law, so they weigh most in the product.
     """
     capacity = np.maximum(vectors.sum(axis=0) / shards, 1e-9)
     parts = vectors / capacity
     residual, chosen = np.ones((shards, vectors.shape[1])), np.zeros(len(vectors), np.int64)
     for i in np.lexsort((np.arange(len(parts)), -parts.max(axis=1))):
-        # bytes are the law: they count double
-        chosen[i] = best = int(np.argmax(residual @ (parts[i] * _WEIGHT)))
+        chosen[i] = best = int(np.argmax(residual @ (parts[i] * WEIGHT)))
         residual[best] -= parts[i]
     return chosen
 
 
-_WEIGHT = np.array([1.0, 1.0, 1.0])
-
-
 def assign_shards(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, tokens, law, shard, slot, grown_shard, and the columns in ``keep``.
 
