@@ -58,7 +58,7 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, source_col: str, cycle
     plan = saved(plan.withColumn("share", F.when(held, F.col("need") / F.col("source_size")).otherwise(0.0)), "plan")
 
     open_ = plan.where("share > 0").select("source", "need", "share")
-    rank = (F.col("u") / (1 - F.col("u"))) / (F.col("share") / (1 - F.col("share")))
+    rank = F.try_divide(F.col("u") / (1 - F.col("u")), F.col("share") / (1 - F.col("share")))
     ranked = _meet(slim, open_, "inner").withColumn("place", F.struct(rank.alias("rank"), "u", "doc_id"))
     coarse, fine = F.floor(F.col("u") * BINS), F.floor(F.col("u") * (BINS * BINS))
     one = saved(_reached(ranked.withColumn("spent", F.lit(0).cast("long")), coarse), "bins")

@@ -54,16 +54,20 @@ def features(text: np.ndarray) -> np.ndarray:
     """The slots of a text's n-grams: bytes by one, two and three, shapes of words by one, two and three."""
     seen = np.zeros(DIMENSIONS, bool)
     carry = np.zeros(0, np.int64)
-    for k in range(0, len(text), BLOCK):  # long texts in blocks that overlap by what an n-gram needs
-        b = text[max(k - 2, 0) : k + BLOCK].astype(np.int64)
+    k = 0
+    while k < len(text):  # long texts in blocks that end between words and overlap by what an n-gram needs
+        e = min(k + BLOCK, len(text))
+        if e < len(text) and len(blanks := np.flatnonzero(_BLANK[text[k:e]])):
+            e = k + int(blanks[-1]) + 1
+        b = text[max(k - 2, 0) : e].astype(np.int64)
         seen[_slot(b, 1)] = True
         seen[_slot(b[:-1] << 8 | b[1:], 2)] = True
         seen[_slot(b[:-2] << 16 | b[1:-1] << 8 | b[2:], 3)] = True
-        s = np.concatenate([carry, _shapes(text[k : k + BLOCK])])
+        s = np.concatenate([carry, _shapes(text[k:e])])
         seen[_slot(s, 4)] = True
         seen[_slot(s[:-1] << 20 ^ s[1:], 5)] = True
         seen[_slot(s[:-2] << 40 ^ s[1:-1] << 20 ^ s[2:], 6)] = True
-        carry = s[-2:]
+        carry, k = s[-2:], e
     return np.flatnonzero(seen)
 
 
