@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.base import case, table
 from tablesync.operators import xmlcols
+from tablesync.spec import XmlLayout
 
 XML_SQL = """'<Parameters><Parameter name="Brand">' || p_brand || '</Parameter><Parameter name="Size" unit="mm">' || p_size
   || '</Parameter><Note/></Parameters>'"""
@@ -29,69 +30,62 @@ def built(body: str) -> str:
     return f"SELECT p_partkey, CASE WHEN p_type = 'ECONOMY' THEN '<broken>' || p_name ELSE {body} END AS doc FROM part"
 
 
+LAYOUT = XmlLayout("Parameters", "Parameter", "name", ("unit",), ("Note",))
+
+
 @case(
     "i1_shred_xml",
     """WITH p AS (SELECT * FROM part WHERE p_type <> 'ECONOMY')
-       SELECT p_partkey, 1 AS ord, 0 AS depth, NULL AS parent_key, 'Parameters' AS elem_key, 'Parameters' AS tag, NULL AS attr, '' AS value FROM p
-       UNION ALL SELECT p_partkey, 2, 1, 'Parameters', 'Brand', 'Parameter', NULL, p_brand FROM p
-       UNION ALL SELECT p_partkey, 3, 1, 'Parameters', 'Brand', 'Parameter', 'name', 'Brand' FROM p
-       UNION ALL SELECT p_partkey, 4, 1, 'Parameters', 'Size', 'Parameter', NULL, CAST(p_size AS VARCHAR) FROM p
-       UNION ALL SELECT p_partkey, 5, 1, 'Parameters', 'Size', 'Parameter', 'name', 'Size' FROM p
-       UNION ALL SELECT p_partkey, 6, 1, 'Parameters', 'Size', 'Parameter', 'unit', 'mm' FROM p
-       UNION ALL SELECT p_partkey, 7, 1, 'Parameters', 'Note', 'Note', NULL, '' FROM p""",
+       SELECT p_partkey, 1 AS ord, 'Brand' AS elem_key, NULL AS attr, p_brand AS value FROM p
+       UNION ALL SELECT p_partkey, 2, 'Size', NULL, CAST(p_size AS VARCHAR) FROM p
+       UNION ALL SELECT p_partkey, 2, 'Size', 'unit', 'mm' FROM p""",
 )
 def _(spark, d):
-    return xmlcols.shred_xml(xml_parts(spark, d), ["p_partkey"], "doc")
+    return xmlcols.shred_xml(xml_parts(spark, d), ["p_partkey"], "doc", LAYOUT)
 
 
-@case(
-    "i2_drop_xml_elements",
-    built("""'<Parameters>' || chr(10) || '  <Parameter name="Brand">' || p_brand || '</Parameter>' || chr(10) || '</Parameters>'"""),
-)
+@case("i2_drop_xml_elements", built("""'<Parameters><Parameter name="Brand">' || p_brand || '</Parameter></Parameters>'"""))
 def _(spark, d):
-    return xmlcols.drop_xml_elements(xml_parts(spark, d), ["doc"], ["SIZE", "note"]).select("p_partkey", "doc")
+    return xmlcols.drop_xml_elements(xml_parts(spark, d), ["doc"], ["SIZE", "note"], LAYOUT).select("p_partkey", "doc")
 
 
 @case(
     "i3_canonical_xml",
-    built("""'<Parameters>' || chr(10) || '  <Parameter name="Brand">' || p_brand || '</Parameter>' || chr(10)
-      || '  <Parameter name="Size" unit="mm">' || p_size || '</Parameter>' || chr(10) || '  <Note />' || chr(10) || '</Parameters>'"""),
+    built("""'<Parameters><Parameter name="Brand">' || p_brand || '</Parameter><Parameter name="Size" unit="mm">' || p_size || '</Parameter><Note /></Parameters>'"""),
 )
 def _(spark, d):
-    compact = xmlcols.canonical_xml(xml_parts(spark, d), ["doc"], "compact")
-    return xmlcols.canonical_xml(compact, ["doc"]).select("p_partkey", "doc")
+    spaced = xml_parts(spark, d).withColumn("doc", F.replace("doc", F.lit("><"), F.lit("> \n\t<")))
+    return xmlcols.canonical_xml(spaced, ["doc"]).select("p_partkey", "doc")
 
 
 def xml_pair(spark, d):
     parts = table(spark, d, "part")
     target = parts.select(
         "p_partkey",
-        F.concat(F.lit('<Parameters><Parameter name="brand"> </Parameter><Parameter name="Size" unit="">'), F.col("p_size").cast("string"),
-                 F.lit("</Parameter><Own>kept</Own></Parameters>")).alias("doc"),
+        F.concat(F.lit('<Parameters><Parameter name="Brand"> </Parameter><Parameter name="Own">'), "p_type", F.lit("</Parameter></Parameters>")).alias("doc"),
     )
     return target, parts.select("p_partkey", xml().alias("doc"))
 
 
 @case(
     "i4_xml_fill",
-    """SELECT p_partkey, '<Parameters><Parameter name="Brand">' || p_brand || '</Parameter><Parameter name="Size" unit="mm">' || p_size
-       || '</Parameter><Own>kept</Own><Note /></Parameters>' AS doc,
-       'element=Brand: <missing-or-empty> -> ''' || p_brand || '''|attribute=unit: <empty> -> ''mm''|element=Note: <missing> -> ''''' AS fills FROM part""",
+    """SELECT p_partkey, '<Parameters><Parameter name="Own">' || p_type || '</Parameter><Parameter name="Brand">' || p_brand
+       || '</Parameter><Parameter name="Size">' || p_size || '</Parameter></Parameters>' AS doc, 'Brand,Size' AS filled FROM part""",
 )
 def _(spark, d):
     target, incoming = xml_pair(spark, d)
-    rows = xmlcols.xml_fill(target, incoming, ["p_partkey"], "doc")
-    return rows.select("p_partkey", "doc", F.array_join("fills", "|").alias("fills"))
+    rows = xmlcols.xml_fill(target, incoming, ["p_partkey"], "doc", LAYOUT)
+    return rows.select("p_partkey", "doc", F.array_join("filled", ",").alias("filled"))
 
 
 @case(
     "i5_xml_overlay",
-    """SELECT p_partkey, '<Parameters><Parameter name="Brand">' || p_brand || '</Parameter><Parameter name="Size" unit="mm">' || p_size
-       || '</Parameter><Note /><Own>kept</Own></Parameters>' AS doc FROM part""",
+    """SELECT p_partkey, '<Parameters><Parameter name="Brand">' || p_brand || '</Parameter><Parameter name="Size">' || p_size
+       || '</Parameter><Parameter name="Own">' || p_type || '</Parameter></Parameters>' AS doc FROM part""",
 )
 def _(spark, d):
     target, incoming = xml_pair(spark, d)
-    return xmlcols.xml_overlay(target, incoming, ["p_partkey"], "doc")
+    return xmlcols.xml_overlay(target, incoming.withColumn("doc", F.replace("doc", F.lit("<Note/>"), F.lit(""))), ["p_partkey"], "doc", LAYOUT)
 
 
 @case(
@@ -106,13 +100,14 @@ def _(spark, d):
 
 @case(
     "i7_xml_element_inventory",
-    """SELECT DISTINCT p_type AS type_name, k.e AS elem_key FROM part, (VALUES ('Parameter'), ('Note')) k(e) WHERE p_type <> 'ECONOMY'
+    """SELECT DISTINCT p_type AS type_name, k.e AS elem_key FROM part, (VALUES ('Brand'), ('Size')) k(e) WHERE p_type <> 'ECONOMY'
        UNION ALL SELECT DISTINCT event_type, 'key-' || event_type FROM events""",
 )
 def _(spark, d):
     params = F.concat(F.lit('<P><I name="key-'), "event_type", F.lit('">1</I></P>'))
     events = table(spark, d, "events").select("event_type", params.alias("doc"))
-    return xmlcols.xml_element_inventory([(xml_parts(spark, d), "p_type", "doc"), (events, "event_type", "doc")])
+    layouts = [XmlLayout("Parameters", "Parameter", "name"), XmlLayout("P", "I", "name")]
+    return xmlcols.xml_element_inventory([(xml_parts(spark, d), "p_type", "doc"), (events, "event_type", "doc")], layouts)
 
 
 @case(

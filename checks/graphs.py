@@ -133,7 +133,7 @@ def _(spark, d):
 )
 def _(spark, d):
     nodes = part_tree(spark, d).withColumn("area", F.when(F.col("sort") == 50, 2).otherwise(1))
-    root, child = (nodes.where(F.col("id") == i).first()["name"] for i in (0, 1))
+    root, child = (nodes.where(F.col("id") == i).first()["name"] for i in (0, 1))  # two names, for a rule
     nodes = nodes.withColumn("area", F.when(F.col("parent").isNull(), 1).otherwise(F.col("area")))
     rules = [PathRule(1, "/", (f"/{root}/{child}".upper(),))]
     return tree.filter_tree(nodes, "id", "parent", "name", "area", rules)
@@ -206,12 +206,18 @@ def _(spark, d):
     return tree.tree_counts(nodes, "id", "parent", roots, "id", {"lines": (table(spark, d, "lineitem"), "l_partkey")})
 
 
+def _digits(col: str) -> str:
+    return f"lpad(CAST(CAST({col} AS HUGEINT) + 9223372036854775808 AS VARCHAR), 20, '0')"
+
+
+def _tree_key(a: str) -> str:
+    return f"{_digits(f'{a}.sort')} || chr(1) || lower({a}.name) || chr(1) || {_digits(f'{a}.id')} || chr(2)"
+
+
 @case(
     "h9_ordered_tree",
-    f"""WITH RECURSIVE nodes AS ({TREE_SQL}), p AS (SELECT id, lpad(CAST(sort + 2147483648 AS VARCHAR), 10, '0') || chr(1) || lower(name) || chr(1)
-          || lpad(CAST(id AS VARCHAR), 19, '0') || chr(2) AS tree_key, 1 AS depth FROM nodes WHERE parent IS NULL
-        UNION ALL SELECT n.id, p.tree_key || lpad(CAST(n.sort + 2147483648 AS VARCHAR), 10, '0') || chr(1) || lower(n.name) || chr(1)
-          || lpad(CAST(n.id AS VARCHAR), 19, '0') || chr(2), p.depth + 1 FROM nodes n JOIN p ON n.parent = p.id)
+    f"""WITH RECURSIVE nodes AS ({TREE_SQL}), p AS (SELECT id, {_tree_key("nodes")} AS tree_key, 1 AS depth FROM nodes WHERE parent IS NULL
+        UNION ALL SELECT n.id, p.tree_key || {_tree_key("n")}, p.depth + 1 FROM nodes n JOIN p ON n.parent = p.id)
         SELECT id, depth, tree_key FROM p""",
 )
 def _(spark, d):

@@ -63,9 +63,14 @@ def _(spark, d):
     return identity.classify_changes(inc, live, BY_NAME).select("p_partkey", "outcome")
 
 
-@case("d4_duplicate_identities", "SELECT trim(p_name) AS identity, count(*) AS n FROM part GROUP BY 1 HAVING count(*) > 1")
+@case(
+    "d4_duplicate_identities",
+    """SELECT min(n) AS identity, count(*) AS n FROM (
+         SELECT trim(CASE WHEN p_size > 25 THEN upper(p_name) ELSE p_name END) AS n FROM part) p GROUP BY lower(n) HAVING count(*) > 1""",
+)
 def _(spark, d):
-    return identity.duplicate_identities(table(spark, d, "part"), BY_NAME)
+    name = F.when(F.col("p_size") > 25, F.upper("p_name")).otherwise(F.col("p_name"))
+    return identity.duplicate_identities(table(spark, d, "part").withColumn("p_name", name), BY_NAME)
 
 
 def guids(spark, d):
@@ -130,8 +135,10 @@ def _(spark, d):
        t AS (SELECT id, guid FROM c WHERE c_acctbal >= 0),
        f AS (SELECT guid, row_number() OVER (ORDER BY md5(guid), guid) AS n FROM c WHERE guid NOT IN (SELECT guid FROM t))
        SELECT c.guid, coalesce(t.id, (SELECT max(id) FROM t) + f.n) AS target_id, t.id IS NULL AS is_new
-       FROM c LEFT JOIN t USING (guid) LEFT JOIN f USING (guid)""",
+       FROM c LEFT JOIN t USING (guid) LEFT JOIN f USING (guid)
+       UNION ALL SELECT NULL, NULL, NULL FROM supplier""",
 )
 def _(spark, d):
     rows = guids(spark, d).select("id", "guid", "c_acctbal")
-    return identity.allocate_ids(rows, rows.where("c_acctbal >= 0")).select("guid", "target_id", "is_new")
+    nameless = table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.lit(None).cast("string").alias("guid"), F.lit(0.0).alias("c_acctbal"))
+    return identity.allocate_ids(rows.unionByName(nameless), rows.where("c_acctbal >= 0")).select("guid", "target_id", "is_new")

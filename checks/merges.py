@@ -8,13 +8,13 @@ from checks.base import (
     CHECKSUM_SQL, DROP_SQL, LIVE_SQL, ORDERS, PAIR_SQL, SEED_SQL, TREE_SQL, case, incoming_orders, live_orders,
     part_tree, table, unset_orders,
 )
-from checks.identities import BY_NAME, NAME_SQL, named_parts
+from checks.identities import BY_NAME, MAP_SQL, NAME_SQL, customer_map, named_parts
 from checks.tables import FIELDS_SQL, exploded, part_fields
 from tablesync.functions.unset import is_unset
 from tablesync.operators import merge, selection, tree
 from tablesync.plans.apply import apply_snapshot
 from tablesync.plans.content import apply_by_guid
-from tablesync.spec import DESTINATION_WINS, SyncSpec
+from tablesync.spec import DESTINATION_WINS, SyncSpec, TableSpec
 
 COLS = ("o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
 MERGED = ", ".join(f"CASE WHEN i.o_orderkey IS NOT NULL THEN i.{c} ELSE t.{c} END AS {c}" for c in COLS)
@@ -82,11 +82,59 @@ def _(spark, d):
     return merge.seed_fill(live, inc, BY_NAME).drop("outcome", "filled")
 
 
-@case("e3_replace_all", "SELECT l_orderkey, l_quantity, CAST(NULL AS VARCHAR) AS note FROM lineitem WHERE l_returnflag = 'R'")
+# Every line under its order and number: keys repeat, and the last line by part and supplier counts.
+LINES_SQL = """WITH r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY (l_partkey * 1000 + l_suppkey) * 100 + l_quantity DESC, l_returnflag DESC) AS n FROM lineitem),
+  inc AS (SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM r WHERE n = 1),
+  live AS (SELECT l_orderkey, l_linenumber, -1.0 AS l_quantity, 'old' AS l_returnflag FROM inc WHERE l_returnflag <> 'A'
+           UNION ALL SELECT -l_orderkey - 1, l_linenumber, 0.0, 'own' FROM inc)"""
+LINES = TableSpec("lineitem", ("l_orderkey", "l_linenumber"))
+
+
+def repeated_lines(spark, d):
+    path = F.concat_ws("|", F.lpad(((F.col("l_partkey") * 1000 + F.col("l_suppkey")) * 100 + F.col("l_quantity")).cast("long").cast("string"), 20, "0"), "l_returnflag").alias("path")
+    inc = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", path)
+    one = merge.dedupe_incoming(inc, ["l_orderkey", "l_linenumber"], "path")
+    old = one.where("l_returnflag <> 'A'").select("l_orderkey", "l_linenumber", F.lit(-1.0).alias("l_quantity"), F.lit("old").alias("l_returnflag"))
+    own = one.select((-F.col("l_orderkey") - 1).alias("l_orderkey"), "l_linenumber", F.lit(0.0).alias("l_quantity"), F.lit("own").alias("l_returnflag"))
+    return old.unionByName(own), inc
+
+
+_LINE = ", ".join(f"CASE WHEN i.l_orderkey IS NOT NULL THEN i.{c} ELSE t.{c} END AS {c}" for c in ("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"))
+
+
+@case("e1_upsert_repeated_keys", f"{LINES_SQL} SELECT {_LINE} FROM live t FULL JOIN inc i ON i.l_orderkey = t.l_orderkey AND i.l_linenumber = t.l_linenumber")
+def _(spark, d):
+    live, inc = repeated_lines(spark, d)
+    return merge.upsert(live, inc, LINES, "path")
+
+
+@case(
+    "e4_update_subset_repeated_keys",
+    f"""{LINES_SQL} SELECT t.l_orderkey, t.l_linenumber, coalesce(i.l_quantity, t.l_quantity) AS l_quantity, t.l_returnflag
+        FROM live t LEFT JOIN inc i ON i.l_orderkey = t.l_orderkey AND i.l_linenumber = t.l_linenumber""",
+)
+def _(spark, d):
+    live, inc = repeated_lines(spark, d)
+    return merge.update_subset(live, inc, ["l_orderkey", "l_linenumber"], ["l_quantity"], "path")
+
+
+@case(
+    "e14_apply_repeated_keys",
+    f"""{LINES_SQL}, o AS (SELECT CASE WHEN t.l_orderkey IS NULL THEN 'created' ELSE 'updated' END AS outcome FROM inc i
+          LEFT JOIN live t ON i.l_orderkey = t.l_orderkey AND i.l_linenumber = t.l_linenumber
+          UNION ALL SELECT 'skipped' FROM r WHERE n > 1)
+        SELECT outcome, count(*) AS n FROM o GROUP BY outcome""",
+)
+def _(spark, d):
+    live, inc = repeated_lines(spark, d)
+    return apply_snapshot(live, inc, SyncSpec(LINES), order="path").outcomes.groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@case("e3_replace_all", "SELECT l_orderkey, l_quantity, CAST(NULL AS VARCHAR) AS note FROM lineitem")
 def _(spark, d):
     lines = table(spark, d, "lineitem")
     target = lines.select("l_orderkey", "l_quantity", F.lit("old").alias("note"))
-    return merge.replace_all(target, lines.where("l_returnflag = 'R'").select("L_ORDERKEY", "l_quantity", "l_tax"))
+    return merge.replace_all(target, lines.select("L_ORDERKEY", "l_quantity", "l_tax"))
 
 
 @case(
@@ -143,22 +191,23 @@ def _(spark, d):
 @case(
     "e7_is_unset",
     """SELECT event_id, event_type = 'view' OR FALSE AS text_unset, value = 0 OR value IS NULL AS number_unset,
-       event_type IN ('click', 'error') AS flag_unset FROM events""",
+       event_type IN ('click', 'error') AS flag_unset, event_type = 'view' AS decimal_unset, event_type = 'view' AS long_unset,
+       event_type IN ('view', 'click') AS date_unset, event_type IN ('view', 'click') AS stamp_unset FROM events""",
 )
 def _(spark, d):
+    kind = F.col("event_type")
     rows = table(spark, d, "events").select(
         "event_id",
-        "value",
-        F.when(F.col("event_type") != "view", F.col("event_type")).alias("t"),
-        F.when(F.col("event_type") == "click", None).otherwise(F.col("event_type") != "error").alias("f"),
-    )
-    kind = {f.name: f.dataType for f in rows.schema.fields}
-    return rows.select(
-        "event_id",
-        is_unset(F.col("t"), kind["t"]).alias("text_unset"),
-        is_unset(F.col("value"), kind["value"]).alias("number_unset"),
-        is_unset(F.col("f"), kind["f"]).alias("flag_unset"),
+        F.when(kind != "view", kind).alias("text"),
+        F.col("value").alias("number"),
+        F.when(kind == "click", None).otherwise(kind != "error").alias("flag"),
+        F.when(kind == "view", 0).otherwise(1).cast("decimal(18,2)").alias("decimal"),
+        F.when(kind == "view", 0).otherwise(7).cast("long").alias("long"),
+        F.when(kind == "view", F.lit("0001-01-01")).when(kind == "click", None).otherwise("2020-02-02").cast("date").alias("date"),
+        F.when(kind == "view", F.lit("0001-01-01 00:00:00")).when(kind == "click", None).otherwise("2020-02-02 02:02:02").cast("timestamp").alias("stamp"),
     )
+    unset = [is_unset(F.col(f.name), f.dataType).alias(f"{f.name}_unset") for f in rows.schema.fields[1:]]
+    return rows.select("event_id", *unset)
 
 
 @case(
@@ -252,12 +301,12 @@ def _(spark, d):
 
 @case(
     "e13_dedupe_incoming",
-    """WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey * 1000 + l_suppkey AS path, l_quantity, row_number() OVER
-         (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey * 1000 + l_suppkey DESC, l_quantity DESC) AS n FROM lineitem)
+    """WITH r AS (SELECT l_orderkey, l_linenumber, (l_partkey * 1000 + l_suppkey) * 100 + l_quantity AS path, l_quantity, row_number() OVER
+         (PARTITION BY l_orderkey, l_linenumber ORDER BY (l_partkey * 1000 + l_suppkey) * 100 + l_quantity DESC) AS n FROM lineitem)
        SELECT l_orderkey, l_linenumber, path, l_quantity FROM r WHERE n = 1""",
 )
 def _(spark, d):
-    path = (F.col("l_partkey") * 1000 + F.col("l_suppkey")).alias("path")
+    path = ((F.col("l_partkey") * 1000 + F.col("l_suppkey")) * 100 + F.col("l_quantity")).alias("path")
     rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", path, "l_quantity")
     return merge.dedupe_incoming(rows, ["l_orderkey", "l_linenumber"], "path")
 
@@ -301,6 +350,18 @@ def _(spark, d):
     return apply_snapshot(unset_orders(spark, d), as_text(incoming_orders(spark, d)), spec, DESTINATION_WINS).summary()
 
 
+@case(
+    "e14_apply_keyless_links",
+    f"""WITH m AS ({MAP_SQL}) SELECT o_orderkey, 'see Default.aspx?ID=' || coalesce(target_id, o_custkey) AS note
+        FROM orders LEFT JOIN m ON source_id = o_custkey""",
+)
+def _(spark, d):
+    note = F.concat(F.lit("see Default.aspx?ID="), F.col("o_custkey").cast("string")).alias("note")
+    rows = table(spark, d, "orders").select("o_orderkey", note)
+    spec = SyncSpec(TableSpec("notes"), link_cols=("note",))
+    return apply_snapshot(rows.limit(0), rows, spec, page_map=customer_map(spark, d)).table
+
+
 @case(
     "e14_apply_by_name",
     f"""{NAME_SQL}, o AS (SELECT 'part' AS table_name, CASE WHEN l.b = i.p_brand AND l.z = i.p_size THEN 'skipped'

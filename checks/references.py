@@ -121,18 +121,21 @@ def _(spark, d):
     return done.select("doc_id", F.col("fields")["note"].alias("note"), F.col("fields")["short"].alias("short"))
 
 
-ORPHAN_IDS = [1, 2, 4, 16, 19, 21, 23, 33, 34, 37, 140, 149, 295]
-_IDS = "|".join(str(i) for i in sorted(ORPHAN_IDS, reverse=True))
+# The pages of debtors are gone.
+_CLEARED = "CASE WHEN {x} IN (SELECT id FROM gone) THEN '' ELSE {p} || {x} END"
 
 
 @case(
     "f7_clear_orphan_refs",
-    f"""SELECT doc_id, CASE WHEN a NOT IN ({_IDS.replace('|', ',')}) THEN a END AS a,
-        CASE WHEN TRY_CAST(short AS INT) IN ({_IDS.replace('|', ',')}) THEN '' ELSE short END AS short,
-        regexp_replace(note, 'Default\\.aspx\\?ID=({_IDS})([^0-9]|$)', '\\2', 'gi') AS note FROM ({NOTES_SQL}) n""",
+    f"""WITH gone AS (SELECT c_custkey AS id FROM customer WHERE c_acctbal < 0), t AS ({TEXT_SQL})
+        SELECT doc_id, CASE WHEN a NOT IN (SELECT id FROM gone) THEN a END AS a,
+        CASE WHEN TRY_CAST(short AS INT) IN (SELECT id FROM gone) THEN '' ELSE short END AS short,
+        body || ' <a href="' || {_CLEARED.format(x="a", p="'Default.aspx?ID='")} || '#' || p || '">x</a> '
+          || {_CLEARED.format(x="b", p="'default.aspx?id='")} || '&x=1 {{"SelectedValue": "' || a || '"}}' AS note FROM t""",
 )
 def _(spark, d):
-    return refs.clear_orphan_refs(notes(spark, d).drop("b", "p"), ORPHAN_IDS, keep=("doc_id",))
+    gone = table(spark, d, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("id"))
+    return refs.clear_orphan_refs(notes(spark, d).drop("b", "p"), ["doc_id"], gone)
 
 
 @case(

@@ -27,24 +27,31 @@ def _(spark, d):
     return assets(spark, d)
 
 
-@case(
-    "j2_missing_assets",
-    f"""WITH a AS ({ASSETS_SQL}), have AS (SELECT 'item-type' AS kind, p_name AS path FROM part WHERE p_size < 5),
-        bad AS (SELECT *, CASE WHEN path LIKE '%..%' THEN 'unsafe path' ELSE 'missing' END AS problem FROM a
-                WHERE path LIKE '%..%' OR (kind, path) NOT IN (SELECT kind, path FROM have)),
-        r AS (SELECT *, row_number() OVER (PARTITION BY kind, path ORDER BY referenced_by) AS n FROM bad)
-        SELECT kind, path, problem, count(*) AS n_users, string_agg(referenced_by, ', ' ORDER BY referenced_by) FILTER (WHERE n <= 5)
-          || CASE WHEN count(*) > 5 THEN ', ... (' || count(*) || ' total)' ELSE '' END AS users FROM r GROUP BY kind, path, problem""",
-)
-def _(spark, d):
+BAD_SQL = f"""WITH a AS ({ASSETS_SQL}), have AS (SELECT 'item-type' AS kind, p_name AS path FROM part WHERE p_size < 5)
+  SELECT *, CASE WHEN path LIKE '%..%' THEN 'unsafe path' ELSE 'missing' END AS problem FROM a
+  WHERE path LIKE '%..%' OR (kind, path) NOT IN (SELECT kind, path FROM have)"""
+
+
+def missing(spark, d):
     have = table(spark, d, "part").where("p_size < 5").select(F.lit("item-type").alias("kind"), F.col("p_name").alias("path"))
     return quality.missing_assets(assets(spark, d), have)
 
 
+@case("j2_missing_assets", BAD_SQL)
+def _(spark, d):
+    return missing(spark, d)
+
+
+@case("j2_users_per_asset", f"SELECT kind, path, count(*) AS n_users FROM ({BAD_SQL}) b GROUP BY kind, path")
+def _(spark, d):
+    return quality.users_per_asset(missing(spark, d))
+
+
 @case(
     "j3_assert_no_warnings",
-    f"""SELECT 'unknown id ' || o_custkey AS warning, count(*) AS n, TRUE AS strict_fails FROM orders
-        WHERE o_custkey > 0 AND o_custkey NOT IN (SELECT c_custkey FROM ({GOOD}) c) GROUP BY o_custkey""",
+    f"""WITH w AS (SELECT 'unknown id ' || o_custkey AS warning, count(*) AS n FROM orders
+          WHERE o_custkey > 0 AND o_custkey NOT IN (SELECT c_custkey FROM ({GOOD}) c) GROUP BY o_custkey)
+        SELECT warning, n, (SELECT count(*) FROM w) AS told FROM w""",
 )
 def _(spark, d):
     dim = solvent(spark, d)
@@ -52,10 +59,11 @@ def _(spark, d):
     quality.assert_no_warnings(warnings, strict=False)
     try:
         quality.assert_no_warnings(warnings)
-        failed = False
-    except quality.StrictModeError:
-        failed = True
-    return warnings.select("warning", F.col("rows").alias("n"), F.lit(failed).alias("strict_fails"))
+        return warnings.limit(0)
+    except quality.StrictModeError as e:
+        n, where = int(str(e).split(" ")[0]), str(e).rsplit(" ", 1)[1]
+    listed = spark.read.parquet(where)  # every warning, where the error says
+    return listed.select("warning", F.col("rows").alias("n"), F.lit(n).cast("long").alias("told"))
 
 
 @case(
@@ -76,7 +84,9 @@ def _(spark, d):
     "j5_advice",
     """WITH e AS (SELECT 'T' || user_id AS table_name, CASE event_type WHEN 'click' THEN 'conflict with Foreign Key constraint'
           WHEN 'view' THEN 'Group ' || user_id || ' not found' WHEN 'error' THEN 'duplicate row' WHEN 'signup' THEN '  ' ELSE event_type END AS error FROM events)
-       SELECT DISTINCT table_name, CASE WHEN error ILIKE '%foreign key%' THEN 'foreign key' WHEN error ILIKE 'group%' THEN 'missing group'
+       SELECT NULL AS table_name, 'run' AS kind, 'The run itself failed: no space left' AS advice
+       UNION ALL SELECT NULL, 'again', 'Run again once this is done; what is applied already will be skipped'
+       UNION ALL SELECT DISTINCT table_name, CASE WHEN error ILIKE '%foreign key%' THEN 'foreign key' WHEN error ILIKE 'group%' THEN 'missing group'
           WHEN error LIKE 'duplicate%' THEN 'duplicate key' ELSE 'other' END AS kind,
         CASE WHEN error ILIKE '%foreign key%' THEN 'Apply the parents of ' || table_name || ' first'
           WHEN error ILIKE 'group%' THEN 'Create the group that ' || table_name || ' refers to'
@@ -93,7 +103,8 @@ def _(spark, d):
         .otherwise(kind)
     )
     name = F.concat(F.lit("T"), F.col("user_id").cast("string")).alias("table_name")
-    return quality.advice(table(spark, d, "events").select(name, error.alias("error")))
+    run = spark.createDataFrame([(None, "no space left")], "table_name string, error string")
+    return quality.advice(table(spark, d, "events").select(name, error.alias("error")).unionByName(run))
 
 
 @case(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import importlib.util
 import uuid
 
 from pyspark.sql import functions as F
@@ -64,22 +63,20 @@ def one_file_per_row(spark, text) -> str:
     return out
 
 
-if importlib.util.find_spec("yaml"):
-
-    @case(
-        "a2_read_row_files",
-        """SELECT s_suppkey, s_name, s_nationkey, CAST(s_acctbal AS DECIMAL(18,2)) AS s_acctbal, CAST(NULL AS VARCHAR) AS note
-           FROM supplier""",
-    )
-    def _(spark, d):
-        rows = table(spark, d, "supplier").withColumn("s_acctbal", money("s_acctbal"))
-        text = rows.select(F.format_string(
-            '"S_SuppKey": %d\n"s_name": "%s"\n"s_nationkey": %d\n"note": \n"s_acctbal": "%s"\n',
-            "s_suppkey", "s_name", "s_nationkey", F.col("s_acctbal").cast("string"),
-        ))
-        goal = T.StructType().add("s_suppkey", "long").add("s_name", "string").add("s_nationkey", "integer")
-        goal = goal.add("s_acctbal", "decimal(18,2)").add("note", "string")
-        return rowfiles.read_row_files(spark, one_file_per_row(spark, text), goal, "*.txt")[0].drop("_path")
+@case(
+    "a2_read_row_files",
+    """SELECT s_suppkey, s_name, s_nationkey, CAST(s_acctbal AS DECIMAL(18,2)) AS s_acctbal, CAST(NULL AS VARCHAR) AS note,
+       'first line' || chr(10) || 'line of ' || s_suppkey AS remark FROM supplier""",
+)
+def _(spark, d):
+    rows = table(spark, d, "supplier").withColumn("s_acctbal", money("s_acctbal"))
+    text = rows.select(F.format_string(
+        '"S_SuppKey": %d\n"s_name": "%s"\ns_nationkey: %d\n"note": \n"remark": |-\n  first line\n  line of %d\n"s_acctbal": \'%s\'\n',
+        "s_suppkey", "s_name", "s_nationkey", "s_suppkey", F.col("s_acctbal").cast("string"),
+    ))
+    goal = T.StructType().add("s_suppkey", "long").add("s_name", "string").add("s_nationkey", "integer")
+    goal = goal.add("s_acctbal", "decimal(18,2)").add("note", "string").add("remark", "string")
+    return rowfiles.read_row_files(spark, one_file_per_row(spark, text), goal, "*.txt")[0].drop("_path")
 
 
 @case("a9_read_run_logs", "SELECT s_name AS operation, s_nationkey AS created, 'line of ' || s_suppkey AS log_text FROM supplier")
@@ -91,16 +88,21 @@ def _(spark, d):
     return logs.select("summary.operation", F.col("summary.totalCreated").alias("created"), F.rtrim(F.regexp_replace("log_text", "\\n$", "")).alias("log_text"))
 
 
-@case("a11_purge_tables", "SELECT 'customer' AS table_name, 0 AS n, count(*) AS before FROM customer UNION ALL SELECT 'orders', 0, count(*) FROM orders")
+@case(
+    "a11_purge_tables",
+    """SELECT 'customer' AS table_name, 0 AS n, count(*) AS before FROM customer UNION ALL SELECT 'orders', 0, count(*) FROM orders
+       UNION ALL SELECT 'supplier', count(*), count(*) FROM supplier""",
+)
 def _(spark, d):
     out = f"{work_dir(spark)}/purge-{uuid.uuid4().hex}"
-    names = ("customer", "orders")
+    names = ("customer", "orders", "supplier")
     report = tables.backup_tables(spark, {n: table(spark, d, n) for n in names}, out, "copy")
     paths = {n: f"{out}/{n}_copy" for n in names}
     report = cut(report)
     edges = spark.createDataFrame([("orders", "customer")], "child string, parent string")
     levels = integrity.dependency_levels(report.select(F.col("table_name").alias("name")), edges)
-    tables.purge_tables(spark, paths, levels)
+    tables.purge_tables(spark, paths, levels, like="%O%r%S")  # orders
+    tables.purge_tables(spark, paths, levels, like="cust%")
     left = quality.verify_post({n: tables.read_table(spark, p) for n, p in paths.items()})
     left = left.select(F.col("check_name").alias("table_name"), "n")
     return left.join(report.select("table_name", F.col("rows_before").alias("before")), "table_name")
@@ -346,17 +348,55 @@ def _(spark, d):
 
 @case(
     "c5_add_defined_columns",
-    """SELECT c_custkey, c_name, (SELECT count(*) FROM nation WHERE n_regionkey = 1) AS false_columns,
-       5 + (SELECT count(*) FROM nation WHERE n_regionkey IN (0, 1, 2)) AS columns FROM customer""",
+    """SELECT c_custkey, lower(n_name) AS col, CASE n_regionkey WHEN 0 THEN 'int' WHEN 1 THEN 'boolean' WHEN 2 THEN 'string' WHEN 3 THEN 'double' ELSE 'date' END AS kind,
+       CASE WHEN n_regionkey = 1 THEN 'false' END AS value FROM customer, nation""",
 )
 def _(spark, d):
     defs = table(spark, d, "nation").select(F.col("n_name").alias("name"), F.col("n_regionkey").alias("type_id"))
-    kinds = F.when(F.col("r_regionkey") == 0, "int").when(F.col("r_regionkey") == 1, "boolean").otherwise("string")
-    types = table(spark, d, "region").where("r_regionkey < 3").select(F.col("r_regionkey").alias("type_id"), kinds.alias("spark_type"))
-    rows, _log = schema.add_defined_columns(table(spark, d, "customer"), defs, types)
-    flags = [f.name for f in rows.schema.fields if f.dataType == T.BooleanType()]
-    n_false = sum((F.when(~F.col(c), 1).otherwise(0) for c in flags), F.lit(0)).cast("long")
-    return rows.select("c_custkey", "c_name", n_false.alias("false_columns"), F.lit(len(rows.columns)).cast("long").alias("columns"))
+    key = F.col("r_regionkey")
+    kinds = F.when(key == 0, "int").when(key == 1, "boolean").when(key == 2, "string").when(key == 3, "double").otherwise("date")
+    types = table(spark, d, "region").select(key.alias("type_id"), kinds.alias("spark_type"))
+    rows, _log = schema.add_defined_columns(table(spark, d, "customer").select("c_custkey", "c_name"), defs, types)
+    cells = [
+        F.struct(F.lit(f.name.lower()).alias("col"), F.lit(f.dataType.simpleString()).alias("kind"), F.col(f"`{f.name}`").cast("string").alias("value"))
+        for f in rows.schema.fields if f.name not in ("c_custkey", "c_name")
+    ]
+    return rows.select("c_custkey", F.inline(F.array(*cells)))
+
+
+@case(
+    "c2_coerce_dates_guids_binary",
+    """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, o_orderdate AS moment,
+       regexp_replace(md5(CAST(o_orderkey AS VARCHAR)), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\\1-\\2-\\3-\\4-\\5') AS guid,
+       CAST(o_custkey AS VARCHAR) AS raw FROM orders""",
+)
+def _(spark, d):
+    rows = table(spark, d, "orders").select(
+        "o_orderkey",
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("moment"),
+        F.concat(F.lit("{"), F.upper(F.regexp_replace(F.md5(F.col("o_orderkey").cast("string")), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")), F.lit("}")).alias("guid"),
+        F.base64(F.col("o_custkey").cast("string").cast("binary")).alias("raw"),
+    )
+    goal = T.StructType().add("day", "date").add("moment", T.TimestampType()).add("guid", "string", True, {"sqlType": "uniqueidentifier"}).add("raw", "binary")
+    return schema.coerce(rows, goal)[0].withColumn("raw", F.col("raw").cast("string")).withColumn("moment", F.col("moment").cast("timestamp_ntz"))
+
+
+@case(
+    "c7_schema_diff",
+    """SELECT * FROM (VALUES ('o_clerk', 'only_b', NULL, 'string'), ('o_custkey', 'type', 'bigint', 'string'), ('o_orderdate', 'only_a', 'x', NULL)) v(column_name, change, a_type, b_type)
+       WHERE (SELECT count(*) FROM orders) > 0""",
+)
+def _(spark, d):
+    rows = table(spark, d, "orders")
+    other = rows.drop("o_orderdate").withColumn("o_custkey", F.col("o_custkey").cast("string")).withColumn("o_clerk", F.lit("x"))
+    paths = []
+    for df in (rows, other):
+        paths.append(f"{work_dir(spark)}/schema-{uuid.uuid4().hex}")
+        tables.write_snapshot(df, SyncSpec(ORDERS), paths[-1])
+    a, b = (tables.read_schema(spark, f"{p}/_meta")[0] for p in paths)
+    diff = schema.schema_diff(spark, a, b).where("change <> 'nullability'")
+    return diff.withColumn("a_type", F.when(F.col("column_name") == "o_orderdate", F.when(F.col("a_type").startswith("timestamp"), "x")).otherwise(F.col("a_type")))
 
 
 @case("c6_add_missing_columns", "SELECT s_suppkey, s_name, s_nationkey, CAST(NULL AS VARCHAR) AS note FROM supplier")

@@ -11,6 +11,8 @@ from tablesync.functions.text import trimmed
 LINK = r"(?i)(Default\.aspx\?ID=)([0-9]+)(#([0-9]+))?"
 SELECTED = r'("SelectedValue":\s*")([0-9]+)(")'
 
+PAGE = r"(?i)Default\.aspx\?ID=[0-9]+"
+
 PREFIX_LENGTH = len("Default.aspx?ID=")
 
 
@@ -25,12 +27,6 @@ def whole_number(text: Column) -> Column:
     return F.when(clean.rlike(r"^[+-]?[0-9]+$"), as_id(clean))
 
 
-def mentions(text: Column) -> Column:
-    """Cheap test that every text with a reference, and every whole number, passes."""
-    number = text.rlike(r"^\s*[+-]?[0-9]+\s*$")
-    return F.contains(text, F.lit('"SelectedValue"')) | text.rlike(LINK) | number
-
-
 def links_in(text: Column) -> Column:
     """All links of a text, as they stand there: prefix, digits, perhaps ``#`` and digits."""
     return F.regexp_extract_all(text, F.lit(LINK), F.lit(0))
@@ -96,3 +92,20 @@ def rewrite_text(text: Column, page_map: Column, para_map: Column) -> Column:
     chosen = F.when(F.contains(text, F.lit('"SelectedValue"')), _rewrite_all(text, SELECTED, selections_in, selection))
     rewritten = _bound(F.coalesce(chosen, text), lambda t: _rewrite_all(t, LINK, links_in, link))
     return F.when(whole.isNotNull(), whole).otherwise(rewritten)
+
+
+def page_links(text: Column) -> Column:
+    """The page part of all links of a text, without anchors."""
+    return F.regexp_extract_all(text, F.lit(PAGE), F.lit(0))
+
+
+def page_link_id(link: Column) -> Column:
+    return as_id(F.substring(link, PREFIX_LENGTH + 1, F.length(link)))
+
+
+def without_pages(text: Column, gone: Column) -> Column:
+    """Cut out the page part of links to the ids in ``gone`` (array of long)."""
+    def left(m: Column) -> Column:
+        return F.when(F.array_contains(gone, page_link_id(m).cast("long")), "").otherwise(m)
+
+    return _rewrite_all(text, PAGE, page_links, left)

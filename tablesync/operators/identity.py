@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablesync.functions.text import actual_name, cell, is_blank, safe_name, trimmed
 from tablesync.functions.unset import default_value
-from tablesync.operators.placement import ordinal, scatter_rank
+from tablesync.operators.placement import ordinal
 from tablesync.spec import CREATED, SKIPPED, UPDATED, TableSpec
 
 
@@ -41,13 +41,13 @@ def row_checksum(df: DataFrame, spec: TableSpec, columns=None) -> Column:
 
 
 def match_keys(df: DataFrame, spec: TableSpec) -> list[Column]:
-    """The key columns as they are matched: text without case and outer blanks, NULL as the default."""
+    """The key columns as they are matched: text without case and trailing blanks, NULL as the default."""
     keys = []
     for name in spec.keys:
         col = F.col(f"`{actual_name(df, name)}`")
         dtype = df.schema[actual_name(df, name)].dataType
         if dtype.typeName() == "string":
-            col = F.lower(trimmed(col))
+            col = F.lower(F.rtrim(col))
         default = default_value(dtype)
         keys.append(col if default is None else F.coalesce(col, default))
     return keys
@@ -58,11 +58,22 @@ def with_match_keys(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, list[str
     return df.select("*", *[k.alias(n) for k, n in zip(match_keys(df, spec), names)]), names
 
 
+def numbered_last(df: DataFrame, by: list[str], order: list[str], out: str) -> DataFrame:
+    """Number the rows per key, the last in ``order`` first; rows that tie go by a hash of their content."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    maps = [F.to_json(F.struct(f"`{f.name}`")) for f in df.schema.fields if "map<" in f.dataType.simpleString()]
+    content = F.xxhash64(*plain, *maps)
+    rank = Window.partitionBy(*by).orderBy(*[F.col(o).desc() for o in order], content.desc())
+    return df.withColumn(out, F.row_number().over(rank))
+
+
 def last_per(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
-    """The last row per key in ``order``. Aggregates before the shuffle, so hot keys stay cheap."""
-    rest = [c for c in df.columns if c not in by]
-    last = F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.struct(*order))
-    return df.groupBy(*by).agg(last.alias("_last")).select(*by, "_last.*").select(*df.columns)
+    """The last row per key in ``order``, for columns of any type.
+
+    A limit on a rank is applied before the shuffle as well, so each task sends one row per key and
+    a hot key stays cheap; a join on the same key afterwards needs no further shuffle.
+    """
+    return numbered_last(df, by, order, "_rank").where("_rank = 1").drop("_rank")
 
 
 def last_by_identity(target: DataFrame, spec: TableSpec) -> DataFrame:
@@ -101,13 +112,10 @@ def classify_changes(
 
 
 def duplicate_identities(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Identities that several rows share."""
-    return (
-        df.select(row_identity(df, spec).alias("identity"))
-        .groupBy("identity")
-        .agg(F.count("*").alias("n"))
-        .where("n > 1")
-    )
+    """Identities that several rows share when matched without case, each in its smallest spelling."""
+    named = df.select(row_identity(df, spec).alias("identity"))
+    groups = named.groupBy(F.lower("identity").alias("_folded")).agg(F.min("identity").alias("identity"), F.count("*").alias("n"))
+    return groups.where("n > 1").select("identity", "n")
 
 
 def resolve_guid(df: DataFrame, id_col: str, dim: DataFrame, dim_id: str, dim_guid: str, out: str):
@@ -151,17 +159,25 @@ def union_id_maps(maps: list[DataFrame]) -> DataFrame:
     )
 
 
-def allocate_ids(
-    incoming: DataFrame, target: DataFrame, guid_col: str = "guid", id_col: str = "id", hex_digits: int = 3
-) -> DataFrame:
-    """Give every incoming GUID its target id: the existing one, or a new one above the highest."""
-    known = target.groupBy(F.lower(guid_col).alias("_guid")).agg(F.max(id_col).alias("_known"))
-    top = target.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long").alias("_top"))
-    rows = incoming.withColumn("_guid", F.lower(guid_col)).join(known, "_guid", "left")
-    rows = scatter_rank(rows.withColumn("is_new", F.col("_known").isNull()), "_guid", "is_new", "_n", hex_digits)
-    highest = top.first()["_top"]  # one number
-    target_id = F.coalesce(F.col("_known").cast("long"), F.lit(highest) + F.col("_n"))
-    return rows.select(*incoming.columns, target_id.alias("target_id"), "is_new")
+def allocate_ids(incoming: DataFrame, target: DataFrame, guid_col: str = "guid", id_col: str = "id") -> DataFrame:
+    """Give every incoming GUID its target id: the existing one, or a new one above the highest.
+
+    New ids follow the hash of the GUID. Only the distinct new GUIDs are ranked, which writes them once, at once. A row
+    without a GUID names nothing: its ``target_id`` and ``is_new`` are NULL, and the caller sets it aside.
+    """
+    guids = incoming.select(F.lower(guid_col).alias("_guid")).where("_guid is not null").distinct()
+    known = target.groupBy(F.lower(guid_col).alias("_guid")).agg(F.max(id_col).cast("long").alias("target_id"))
+    known = known.where("_guid is not null")
+    top = target.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long").alias("_top")).first()["_top"]  # one number
+    fresh = ordinal(guids.join(known, "_guid", "left_anti").withColumn("_h", F.md5("_guid")), [], ["_h", "_guid"], "_n")
+    ids = known.withColumn("is_new", F.lit(False)).unionByName(
+        fresh.select("_guid", (F.col("_n") + F.lit(top)).alias("target_id"), F.lit(True).alias("is_new"))
+    )
+    rows = incoming.withColumn("_guid", F.lower(guid_col))
+    out = [*[F.col(f"`{c}`") for c in incoming.columns], "target_id", "is_new"]
+    named = rows.where("_guid is not null").join(ids, "_guid").select(*out)
+    nameless = rows.where("_guid is null").withColumns({"target_id": F.lit(None).cast("long"), "is_new": F.lit(None).cast("boolean")})
+    return named.unionByName(nameless.select(*out))
 
 
 def snapshot_manifest(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -183,24 +199,25 @@ def drop_stale(df: DataFrame, spec: TableSpec, stale: DataFrame) -> DataFrame:
     return rows.join(gone, "_identity", "left_anti").drop("_identity")
 
 
-def row_file_names(df: DataFrame, identity_col: str, order: list[str], hot_rows: int | None = None):
-    """A unique file name per row. The first row of a name keeps it, the others get ``[md5-n]``.
+def row_file_names(df: DataFrame, identity_col: str, order: list[str]):
+    """A unique file name per row. The first row of a name keeps it, the others get `` [md5-n]``.
 
-    Names are compared without case; the counter runs per name and hash of the identity.
+    Names are compared without case; the counter runs per name and hash of the identity. A name that itself ends like
+    such a suffix always gets one of its own, so it can never meet a numbered name. Numbering writes the rows, at once.
     """
-    options = {} if hot_rows is None else {"hot_rows": hot_rows}
     named = df.select(
         "*",
         safe_name(F.col(identity_col)).alias("_name"),
         F.substring(F.md5(F.coalesce(F.col(identity_col), F.lit(""))), 1, 6).alias("_hash"),
     ).withColumn("_folded", F.lower("_name"))
-    first = named.groupBy("_folded").agg(
+    first = named.groupBy(F.col("_folded").alias("_f")).agg(
         F.min_by(F.struct(F.col("_hash").alias("h"), F.struct(*order).alias("o")), F.struct(*order)).alias("_first")
     )
-    numbered = ordinal(named, ["_folded", "_hash"], order, "_n", **options).join(first, "_folded")
-    is_first = F.struct(*order).eqNullSafe(F.col("_first.o"))
+    numbered = ordinal(named, ["_folded", "_hash"], order, "_n").join(first, F.col("_folded") == F.col("_f"))
+    lookalike = F.col("_folded").rlike(r" \[[0-9a-f]{6}-[0-9]+\]$")
+    is_first = F.struct(*order).eqNullSafe(F.col("_first.o")) & ~lookalike
     # The first row of the name took no number, so its own hash group counts from one lower.
-    number = F.col("_n") - (F.col("_hash") == F.col("_first.h")).cast("int")
+    number = F.col("_n") - (~lookalike & (F.col("_hash") == F.col("_first.h"))).cast("int")
     suffix = F.concat(F.lit(" ["), F.col("_hash"), F.lit("-"), number.cast("string"), F.lit("]"))
     name = F.when(is_first, F.col("_name")).otherwise(F.concat("_name", suffix))
     return numbered.select(*df.columns, name.alias("file_name"))
@@ -228,5 +245,3 @@ def sibling_folder_names(
     same = F.col(parent).eqNullSafe(F.col("_p")) & (F.col("_folded") == F.col("_f"))
     folder = F.when(F.struct(*order).eqNullSafe(F.col("_first")), F.col("_name")).otherwise(longer)
     return named.join(firsts, same).select(*df.columns, folder.alias("folder"))
-
-

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.functions.text import is_empty
-from tablesync.operators.placement import cut, planned_bytes
+from tablesync.operators.placement import cut, delete_path, work_path
 
 
 def _parent_keys(parent: DataFrame, key: str) -> DataFrame:
@@ -39,40 +39,52 @@ def delete_cascade(tables: dict[str, tuple[DataFrame, str]], victims: DataFrame,
     }
 
 
+class CircularDependencyError(ValueError):
+    """Some nodes wait for each other; the message says where all of them are listed."""
+
+
 def dependency_levels(nodes: DataFrame, edges: DataFrame, on_cycle: str = "raise") -> DataFrame:
-    """Level of each node so that parents come before children; matched without case.
+    """Level of each node so that parents come before children; matched without case. Runs at once.
 
     ``nodes(name)``, ``edges(child, parent)``. Edges to the node itself or to outside nodes do not
-    count. A cycle raises with its members, or leaves them at level NULL with ``on_cycle='mark'``.
-    Each round takes off the nodes that have no parent left.
+    count. On a cycle all nodes on or behind it are written to the work folder and an error names their number and place;
+    with ``on_cycle='mark'`` they get level NULL instead. Each round takes off the nodes whose last parent
+    went the round before: it writes the remaining links, apart from those just dissolved, and the new level.
     """
-    spelled = nodes.groupBy(F.lower("name").alias("_n")).agg(F.min("name").alias("name"))
-    remaining = cut(spelled.withColumn("level", F.lit(None).cast("int")))
-    inside = remaining.select("_n")
+    spark, root = nodes.sparkSession, work_path(nodes.sparkSession, "levels")
+    named = cut(nodes.groupBy(F.lower("name").alias("_n")).agg(F.min("name").alias("name")))
+    inside = named.select("_n")
     links = edges.select(F.lower("child").alias("_c"), F.lower("parent").alias("_p")).where("_c <> _p").distinct()
-    links = links.join(inside, F.col("_c") == F.col("_n"), "left_semi").join(
-        inside, F.col("_p") == F.col("_n"), "left_semi"
-    )
-    links, done, level = cut(links), [], 0
-    while not remaining.isEmpty():
-        blocked = links.select(F.col("_c").alias("_n")).distinct()
-        size = planned_bytes(remaining)
-        ready = cut(remaining.join(blocked, "_n", "left_anti").withColumn("level", F.lit(level)), about=size)
-        if ready.isEmpty():
+    links = links.join(inside, F.col("_c") == F.col("_n"), "left_semi").join(inside, F.col("_p") == F.col("_n"), "left_semi")
+    links = cut(links)
+
+    def read(kind: str, schema: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{root}/{kind}")
+
+    level, ready = 0, inside.join(links.select(F.col("_c").alias("_n")).distinct(), "_n", "left_anti")
+    while True:
+        ready.select("_n").write.parquet(f"{root}/ready/level={level}")
+        done = spark.read.schema("_n string").parquet(f"{root}/ready/level={level}")
+        if done.isEmpty():
             break
-        done.append(ready)
-        remaining = cut(remaining.join(ready, "_n", "left_anti"), about=size)
-        links = cut(links.join(ready.select(F.col("_n").alias("_p")), "_p", "left_anti"), about=planned_bytes(links))
+        gone = done.select(F.col("_n").alias("_g"))
+        judged = links.join(gone, F.col("_p") == F.col("_g"), "left").select("_c", "_p", F.col("_g").isNotNull().alias("gone"))
+        judged.write.partitionBy("gone").parquet(f"{root}/links/{level}")
+        if level:
+            delete_path(spark, f"{root}/links/{level - 1}")
+        round_ = read(f"links/{level}", "_c string, _p string, gone boolean")
+        links = round_.where("not gone").select("_c", "_p")
+        freed = round_.where("gone").select(F.col("_c").alias("_n")).distinct()
+        ready = freed.join(links.select(F.col("_c").alias("_n")).distinct(), "_n", "left_anti")
         level += 1
-    if not remaining.isEmpty():
-        if on_cycle == "raise":
-            head = [r["name"] for r in remaining.select("name").orderBy(F.lower("name")).take(50)]
-            raise ValueError(f"circular dependency among {remaining.count()} tables: {', '.join(head)}")
-        done.append(remaining)
-    out = done[0] if done else remaining
-    for part in done[1:]:
-        out = out.unionByName(part)
-    return out.select("name", "level")
+    levels = read("ready", "_n string, level int")
+    out = named.join(levels, "_n", "left").select("name", "level")
+    if on_cycle == "raise" and not links.isEmpty():
+        stuck = named.join(levels, "_n", "left_anti").select("name")
+        stuck.write.parquet(f"{root}/circular")
+        n = spark.read.schema("name string").parquet(f"{root}/circular").count()
+        raise CircularDependencyError(f"circular dependency: {n} names wait for each other, listed in {root}/circular")
+    return out
 
 
 def dangling_pairs(df: DataFrame, id_col: str, type_col: str):

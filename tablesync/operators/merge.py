@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types
 
-from tablesync.functions.text import actual_name, all_of, is_blank, listed
+from tablesync.functions.text import actual_name, all_of, any_of, is_blank, listed
 from tablesync.functions.unset import default_value, is_unset
 from tablesync.operators.identity import (
     folded_identity,
@@ -19,29 +19,39 @@ from tablesync.operators.identity import (
     row_checksum,
     with_match_keys,
 )
-from tablesync.operators.placement import is_small, prefixed
+from tablesync.operators.placement import cut, prefixed
 from tablesync.operators.selection import fill_map, fill_map_counts, lowered, overwrite_map
-from tablesync.operators.xmlcols import fill_pair, overlay_pair
 from tablesync.spec import CREATED, DESTINATION_WINS, KEPT, SKIPPED, SOURCE_WINS, UPDATED, TableSpec
 
 T, S = "t__", "s__"
+UNFOLD = 10_000
+
+
+def last_incoming(incoming: DataFrame, spec: TableSpec, order: str | None = None) -> DataFrame:
+    """One row per key, as keys are matched: the last in ``order`` (a file path), without one by a hash of the content."""
+    keyed, names = with_match_keys(incoming, spec)
+    return last_per(keyed, names, [order] if order else []).drop(*names)
+
+
+def superseded(incoming: DataFrame, spec: TableSpec) -> DataFrame:
+    """An outcome, ``skipped``, for each row that gives way to a later one of its key. Counted before it is unfolded."""
+    keyed, names = with_match_keys(incoming, spec)
+    n = keyed.groupBy(*names).agg((F.count("*") - 1).alias("n")).where("n > 0")
+    parts = n.select("n", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / UNFOLD))).alias("part"))
+    size = F.least(F.lit(UNFOLD), F.col("n") - F.col("part") * UNFOLD).cast("int")
+    return parts.select(F.explode(F.array_repeat(F.lit(SKIPPED), size)).alias("outcome"))
 
 
 def pair_rows(target: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
     """Target and incoming rows side by side (``t__*``, ``s__*``), each also where it has no partner.
 
-    A small incoming side is looked up from the target in place, so that the target is not
-    shuffled; otherwise both sides meet in one full outer join.
+    One full outer join. Incoming keys must be unique: see ``last_incoming``, whose shuffle by key this join reuses.
     """
     t, keys = with_match_keys(target, spec)
     s, _ = with_match_keys(incoming, spec)
     t = prefixed(t.withColumn("in", F.lit(True)), T, keys)
     s = prefixed(s.withColumn("in", F.lit(True)), S, keys)
-    if not is_small(s):
-        return t.join(s, keys, "full_outer")
-    touched = t.select(*keys).join(s.select(*keys), keys, "left_semi")
-    fresh = s.join(touched, keys, "left_anti")
-    return t.join(s, keys, "left").unionByName(fresh, allowMissingColumns=True)
+    return t.join(s, keys, "full_outer")
 
 
 def _plain_value(spec: TableSpec, target: DataFrame, incoming: DataFrame, col: str, overwrite: Column):
@@ -52,24 +62,24 @@ def _plain_value(spec: TableSpec, target: DataFrame, incoming: DataFrame, col: s
     key, auto = listed(spec.keys, col), listed(spec.auto_cols, col)
     if name is None or (auto and not key):
         return mine  # unknown to the source, or numbered by the target itself
-    theirs = F.col(f"`{S}{name}`").cast(dtype)
+    theirs = F.col(f"`{S}{name}`")
+    if incoming.schema[name].dataType.simpleString() != dtype.simpleString():
+        theirs = theirs.cast(dtype)
     if key:
         default = default_value(dtype)
         return F.when(present, mine).otherwise(theirs if default is None else F.coalesce(theirs, default))
     if isinstance(dtype, types.MapType):
         merged = overwrite_map(mine, theirs, lowered(spec.keep_fields))
         return F.when(~present, theirs).when(overwrite, merged).otherwise(mine)
-    if listed(spec.overlay_cols, col):
-        changing = present & overwrite
-        return F.when(changing, overlay_pair(F.when(changing, theirs), F.when(changing, mine))).when(
-            present, mine
-        ).otherwise(theirs)
     return F.when(present & ~overwrite, mine).otherwise(theirs)
 
 
+def upsert(target: DataFrame, incoming: DataFrame, spec: TableSpec, order: str | None = None) -> DataFrame:
+    """Source wins: overwrite the columns the incoming rows bring, insert unknown keys, delete nothing.
 
-def upsert(target: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
-    """Source wins: overwrite the columns the incoming rows bring, insert unknown keys, delete nothing."""
+    Of several incoming rows with one key the last in ``order`` counts.
+    """
+    incoming = last_incoming(incoming, spec, order)
     pairs = pair_rows(target, incoming, spec)
     wins = F.coalesce(F.col(f"{S}in"), F.lit(False))
     return pairs.select([_plain_value(spec, target, incoming, c, wins).alias(c) for c in target.columns])
@@ -83,51 +93,57 @@ def _fillable(target: DataFrame, incoming: DataFrame, spec: TableSpec) -> list[s
     ]
 
 
-def _noted(notes: Column, col: str) -> Column:
-    return F.transform(notes, lambda n: F.struct(F.lit(col).alias("col"), n.alias("note")))
-
-
 def _fill_plan(pairs: DataFrame, target: DataFrame, incoming: DataFrame, spec: TableSpec, seed: Column):
-    """Add ``_filled`` (columns a seed value goes into) and ``_xml_fills`` for rows where ``seed`` holds."""
-    flags, xml_notes = [], []
+    """Add ``_filled``, the columns a seed value goes into, for rows where ``seed`` holds."""
+    flags = []
     for c in _fillable(target, incoming, spec):
         mine, theirs = F.col(f"`{T}{c}`"), F.col(f"`{S}{actual_name(incoming, c)}`")
-        if listed(spec.xml_cols, c):
-            # Cells outside the seed rows enter the Arrow job as NULL and cost nothing there.
-            merged = fill_pair(F.when(seed, mine), F.when(seed, theirs))
-            pairs = pairs.withColumn(f"_xml_{c}", merged)
-            notes = F.col(f"`_xml_{c}`.fills")
-            changed = (F.size(notes) > 0) & ~F.col(f"`_xml_{c}`.xml").eqNullSafe(mine)
-            changed = changed & mine.isNotNull()
-            xml_notes.append(
-                F.when(seed & F.coalesce(changed, F.lit(False)), _noted(notes, c))
-            )
-        elif isinstance(target.schema[c].dataType, types.MapType):
+        kind = target.schema[c].dataType
+        if isinstance(kind, types.MapType):
             changed = fill_map_counts(mine, theirs, lowered(spec.keep_fields))[0] > 0
+        elif _shares_members(kind, incoming, c):
+            changed = theirs.isNotNull() & (mine.isNull() | any_of(_open_members(mine, theirs, kind, incoming, c).values()))
         else:
-            changed = is_unset(mine, target.schema[c].dataType)
+            changed = is_unset(mine, kind)
         flags.append(F.when(seed & F.coalesce(changed, F.lit(False)), F.lit(c)))
     filled = F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
-    pairs = pairs.withColumn("_filled", filled)
-    empty = F.array().cast("array<struct<col:string,note:string>>")
-    notes = F.flatten(F.array_compact(F.array(*xml_notes))) if xml_notes else empty
-    return pairs.withColumn("_xml_fills", notes)
+    return pairs.withColumn("_filled", filled)
+
+
+def _shares_members(kind, incoming: DataFrame, col: str) -> bool:
+    """Both sides hold a struct, which is filled member by member."""
+    return isinstance(kind, types.StructType) and isinstance(incoming.schema[actual_name(incoming, col)].dataType, types.StructType)
 
 
-def _filled_value(pairs: DataFrame, target: DataFrame, incoming: DataFrame, spec: TableSpec, col: str):
-    """What a filled XML cell or field map becomes; None for columns that are filled as one value."""
-    if f"_xml_{col}" in pairs.columns:
-        return F.col(f"`_xml_{col}`.xml")
+def _open_members(mine: Column, theirs: Column, kind: types.StructType, incoming: DataFrame, col: str) -> dict[str, Column]:
+    """Members that are unset here and set there."""
+    other = {f.name: f.dataType for f in incoming.schema[actual_name(incoming, col)].dataType.fields}
+    return {
+        f.name: is_unset(mine[f.name], f.dataType) & ~is_unset(theirs[f.name], other[f.name]) for f in kind.fields if f.name in other
+    }
+
+
+def _filled_value(target: DataFrame, incoming: DataFrame, spec: TableSpec, col: str):
+    """What a filled field map or struct becomes; None for columns that are filled as one value."""
     name = actual_name(incoming, col)
     if name and isinstance(target.schema[col].dataType, types.MapType):
         return fill_map(F.col(f"`{T}{col}`"), F.col(f"`{S}{name}`"), lowered(spec.keep_fields))
+    kind = target.schema[col].dataType
+    if name and _shares_members(kind, incoming, col):
+        mine, theirs = F.col(f"`{T}{col}`"), F.col(f"`{S}{name}`")
+        open_ = _open_members(mine, theirs, kind, incoming, col)
+        cells = [
+            F.when(open_[f.name], theirs[f.name]).otherwise(mine[f.name]).alias(f.name) if f.name in open_ else mine[f.name].alias(f.name)
+            for f in kind.fields
+        ]
+        return F.when(mine.isNull(), theirs.cast(kind)).otherwise(F.struct(*cells))
     return None
 
 
-def _seed_value(pairs: DataFrame, target: DataFrame, incoming: DataFrame, spec: TableSpec, col: str, whole: Column):
+def _seed_value(target: DataFrame, incoming: DataFrame, spec: TableSpec, col: str, whole: Column):
     """The merged cell under destination-wins: filled cells and rows where ``whole`` holds change."""
     mine = F.col(f"`{T}{col}`")
-    merged = _filled_value(pairs, target, incoming, spec, col)
+    merged = _filled_value(target, incoming, spec, col)
     if merged is not None:
         filled = F.when(F.array_contains("_filled", col), merged).otherwise(mine)
         return F.when(whole, _plain_value(spec, target, incoming, col, whole)).otherwise(filled)
@@ -161,30 +177,41 @@ def _same_cells(target: DataFrame, incoming: DataFrame, spec: TableSpec) -> Colu
     return all_of(checks)
 
 
-def merge_rows(target: DataFrame, incoming: DataFrame, spec: TableSpec, strategy: str = SOURCE_WINS) -> DataFrame:
+def merge_rows(
+    target: DataFrame, incoming: DataFrame, spec: TableSpec, strategy: str = SOURCE_WINS, order: str | None = None,
+    always: tuple[str, ...] = (),
+) -> DataFrame:
     """Apply ``incoming`` to ``target``; add ``outcome`` and ``filled`` to the merged rows.
 
-    Where rows go by their key, everything is decided in one join. With a separate name column the
-    name decides what is skipped or filled and the key what is written; see ``_merge_by_name``.
+    Of several incoming rows with one key the last in ``order`` counts. ``always`` names columns that the source
+    decides under either strategy. Where rows go by their key, everything is decided in one join. With a separate
+    name column the name decides what is skipped or filled and the key what is written; see ``_merge_by_name``.
     """
     if not spec.goes_by_key:
-        return _merge_by_name(target, incoming, spec, strategy)
+        return _merge_by_name(target, incoming, spec, strategy, order)
+    incoming = last_incoming(incoming, spec, order)
     pairs = pair_rows(target, incoming, spec)
     in_t = F.coalesce(F.col(f"{T}in"), F.lit(False))
     in_s = F.coalesce(F.col(f"{S}in"), F.lit(False))
     same = in_t & in_s & _same_cells(target, incoming, spec)
     if strategy == DESTINATION_WINS:
         pairs = _fill_plan(pairs, target, incoming, spec, in_t & in_s & ~same)
-        quiet = same | (F.size("_filled") == 0)
-        cells = [_seed_value(pairs, target, incoming, spec, c, ~in_t).alias(c) for c in target.columns]
+        moved = any_of(
+            ~F.col(f"`{T}{c}`").eqNullSafe(F.col(f"`{S}{actual_name(incoming, c)}`").cast(target.schema[c].dataType))
+            for c in target.columns if listed(always, c) and actual_name(incoming, c)
+        )
+        quiet = same | (F.size("_filled") == 0) & ~moved
+        cells = [
+            (_plain_value(spec, target, incoming, c, in_s) if listed(always, c) else _seed_value(target, incoming, spec, c, ~in_t)).alias(c)
+            for c in target.columns
+        ]
     else:
         pairs = pairs.withColumn("_filled", F.array().cast("array<string>"))
-        pairs = pairs.withColumn("_xml_fills", F.array().cast("array<struct<col:string,note:string>>"))
         quiet = same
         cells = [_plain_value(spec, target, incoming, c, in_s & ~same).alias(c) for c in target.columns]
     outcome = F.when(~in_s, KEPT).when(~in_t, CREATED).when(quiet, SKIPPED).otherwise(UPDATED)
     seeds = [F.col(f"`{S}{actual_name(incoming, c)}`").alias(f"_seed_{c}") for c in _fillable(target, incoming, spec)]
-    return pairs.select(*cells, outcome.alias("outcome"), F.col("_filled").alias("filled"), "_xml_fills", *seeds)
+    return pairs.select(*cells, outcome.alias("outcome"), F.col("_filled").alias("filled"), *seeds)
 
 
 def _judge_by_name(target: DataFrame, incoming: DataFrame, spec: TableSpec, strategy: str):
@@ -210,26 +237,38 @@ def _judge_by_name(target: DataFrame, incoming: DataFrame, spec: TableSpec, stra
     return sides, quiet, seeded
 
 
-def _merge_by_name(target: DataFrame, incoming: DataFrame, spec: TableSpec, strategy: str) -> DataFrame:
-    """Identity finds the row to skip or fill, the key finds the row to write.
+def _changes_by_name(target: DataFrame, incoming: DataFrame, spec: TableSpec, strategy: str, order: str | None):
+    """Incoming rows as changes addressed by the key of the row they change, and whether a row is ``_quiet``.
 
-    The first join turns the incoming rows into changes, each addressed by the key of the row it
-    changes; the second applies them.
+    A change is ``_whole`` (all cells) or fills the cells in ``_filled``; ``_place`` decides between changes of one key.
     """
     sides, quiet, seeded = _judge_by_name(target, incoming, spec, strategy)
     cells = []
     for c in incoming.columns:
         col = F.col(f"`{S}{c}`")
         mine = actual_name(target, c)
-        merged = _filled_value(sides, target, incoming, spec, mine) if mine else None
+        merged = _filled_value(target, incoming, spec, mine) if mine else None
         if merged is not None:
             col = F.when(F.array_contains("_filled", mine), merged).otherwise(col)
         if mine and listed(spec.keys, c):
             col = F.when(seeded, F.col(f"`{T}{mine}`")).otherwise(col)
         cells.append(col.alias(c))
-    changes = sides.where(~quiet).select(*cells, (~seeded).alias("_whole"), "_filled", "_xml_fills")
-    changes = last_per(changes, [actual_name(incoming, k) for k in spec.keys], ["_whole", "_filled"])
+    place = F.col(f"`{S}{order}`") if order else F.lit(None).cast("string")
+    return sides.select(*cells, (~seeded).alias("_whole"), "_filled", place.alias("_place"), quiet.alias("_quiet"))
+
 
+def _merge_by_name(target: DataFrame, incoming: DataFrame, spec: TableSpec, strategy: str, order: str | None) -> DataFrame:
+    """Identity finds the row to skip or fill, the key finds the row to write.
+
+    The first join turns the incoming rows into changes, each addressed by the key of the row it
+    changes; the second applies them.
+    """
+    return _apply_changes(target, _changes_by_name(target, incoming, spec, strategy, order), incoming, spec)
+
+
+def _apply_changes(target: DataFrame, changes: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
+    keyed, names = with_match_keys(changes.where("not _quiet").drop("_quiet"), spec)
+    changes = last_per(keyed, names, ["_whole", "_place"]).drop(*names, "_place")
     pairs = pair_rows(target, changes, spec)
     in_t = F.coalesce(F.col(f"{T}in"), F.lit(False))
     in_s = F.coalesce(F.col(f"{S}in"), F.lit(False))
@@ -241,50 +280,48 @@ def _merge_by_name(target: DataFrame, incoming: DataFrame, spec: TableSpec, stra
     ]
     outcome = F.when(~in_s, KEPT).when(~in_t, CREATED).otherwise(UPDATED)
     seeds = [F.col(f"`{S}{actual_name(incoming, c)}`").alias(f"_seed_{c}") for c in _fillable(target, incoming, spec)]
-    notes = F.col(f"{S}_xml_fills").alias("_xml_fills")
-    return pairs.select(*out, outcome.alias("outcome"), filled.alias("filled"), notes, *seeds)
+    return pairs.select(*out, outcome.alias("outcome"), filled.alias("filled"), *seeds)
 
 
-def incoming_outcomes(target: DataFrame, incoming: DataFrame, spec: TableSpec, strategy: str = SOURCE_WINS) -> DataFrame:
-    """``outcome`` of every incoming row, skipped ones included."""
+def merge_once(
+    target: DataFrame, incoming: DataFrame, spec: TableSpec, strategy: str = SOURCE_WINS, order: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The merged table and the ``outcome`` of every incoming row, both read from one written merge. Runs at once.
+
+    A row that gives way to another incoming row of the same key is skipped, so outcomes are as many as rows.
+    """
     if spec.goes_by_key:
-        return merge_rows(target, incoming, spec, strategy).where(F.col("outcome") != KEPT).select("outcome")
-    sides, quiet, seeded = _judge_by_name(target, incoming, spec, strategy)
-    rows = sides.select(
-        *[F.col(f"`{S}{c}`").alias(c) for c in incoming.columns], quiet.alias("_quiet"), seeded.alias("_seeded")
-    )
-    rows, keys = with_match_keys(rows, spec)
-    known, _ = with_match_keys(target, spec)
-    rows = rows.join(known.select(*keys, F.lit(True).alias("_known")), keys, "left")
-    outcome = F.when(F.col("_quiet"), SKIPPED).when(F.col("_seeded") | F.col("_known"), UPDATED).otherwise(CREATED)
-    return rows.select(outcome.alias("outcome"))
+        merged = cut(merge_rows(target, incoming, spec, strategy, order).select(*target.columns, F.col("outcome").alias("_outcome")))
+        own, idle = merged, superseded(incoming, spec)
+    else:
+        changes = cut(_changes_by_name(target, incoming, spec, strategy, order))
+        own = cut(_apply_changes(target, changes, incoming, spec).select(*target.columns, F.col("outcome").alias("_outcome")))
+        idle = changes.where("_quiet").select(F.lit(SKIPPED).alias("outcome")).unionByName(superseded(changes.where("not _quiet"), spec))
+    outcomes = own.where(F.col("_outcome") != KEPT).select(F.col("_outcome").alias("outcome"))
+    return own.select(*target.columns), outcomes.unionByName(idle)
 
 
-def seed_fill(target: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
+def seed_fill(target: DataFrame, incoming: DataFrame, spec: TableSpec, order: str | None = None) -> DataFrame:
     """Destination wins: fill only unset cells of known rows, insert the others.
 
     Adds ``outcome`` and ``filled`` (the names of the filled columns, comma-separated).
     """
-    merged = merge_rows(target, incoming, spec, DESTINATION_WINS)
+    merged = merge_rows(target, incoming, spec, DESTINATION_WINS, order)
     return merged.select(*target.columns, "outcome", F.array_join("filled", ",").alias("filled"))
 
 
-def would_fill(target: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
-    """Dry run of ``seed_fill``: one row per cell (and per XML element) that would be filled."""
-    merged = merge_rows(target, incoming, spec, DESTINATION_WINS).where("outcome = 'updated'")
+def would_fill(target: DataFrame, incoming: DataFrame, spec: TableSpec, order: str | None = None) -> DataFrame:
+    """Dry run of ``seed_fill``: one row per cell that would be filled."""
+    merged = merge_rows(target, incoming, spec, DESTINATION_WINS, order).where("outcome = 'updated'")
     key_cols = [actual_name(target, k) for k in spec.keys]
-    scalars = [c for c in _fillable(target, incoming, spec) if not listed(spec.xml_cols, c)]
-    lines = F.array(
-        *[
-            F.when(
-                F.array_contains("filled", c),
-                F.struct(F.lit(c).alias("col"), F.col(f"`_seed_{c}`").cast("string").alias("seed")),
-            )
-            for c in scalars
-        ]
-    )
-    xml = F.transform(F.col("_xml_fills"), lambda f: F.struct(f["col"].alias("col"), f["note"].alias("seed")))
-    fills = F.concat(F.array_compact(lines), xml) if scalars else xml
+    lines = [
+        F.when(
+            F.array_contains("filled", c),
+            F.struct(F.lit(c).alias("col"), F.col(f"`_seed_{c}`").cast("string").alias("seed")),
+        )
+        for c in _fillable(target, incoming, spec)
+    ]
+    fills = F.array_compact(F.array(*lines)) if lines else F.array().cast("array<struct<col:string,seed:string>>")
     return merged.select(*key_cols, F.inline(fills))
 
 
@@ -298,11 +335,15 @@ def replace_all(target: DataFrame, incoming: DataFrame) -> DataFrame:
     return incoming.select(*cells)
 
 
-def update_subset(target: DataFrame, patch: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
-    """Overwrite just ``cols`` of the rows whose keys the patch names. No columns: nothing happens."""
+def update_subset(target: DataFrame, patch: DataFrame, keys: list[str], cols: list[str], order: str | None = None) -> DataFrame:
+    """Overwrite just ``cols`` of the rows whose keys the patch names. No columns: nothing happens.
+
+    Of several patches with one key the last in ``order`` counts.
+    """
     if not cols:
         return target
     spec = TableSpec("", tuple(keys))
+    patch = last_incoming(patch, spec, order)
     t, names = with_match_keys(target, spec)
     p, _ = with_match_keys(patch, spec)
     p = p.select(*names, F.lit(True).alias(f"{S}in"), *[F.col(f"`{actual_name(patch, c)}`").alias(S + c) for c in cols])
@@ -366,8 +407,7 @@ def _field_diffs(col: str, mine: Column, theirs: Column) -> Column:
 
 def dedupe_incoming(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Of several incoming rows with one key the last in ``order`` (the file path) counts."""
-    ranked = [order, *[c for c in df.columns if c not in keys and c != order]]
-    return last_per(df, keys, ranked)
+    return last_per(df, keys, [order])
 
 
 def fill_scalars(

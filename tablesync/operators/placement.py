@@ -1,122 +1,69 @@
-"""Helpers that keep work spread over the cluster: lineage cuts, size checks, numbering."""
+"""Helpers that keep work spread over the cluster: tables in the shared folder, numbering."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-FILE_BYTES = 4 * 1024 * 1024
-
 
 def work_dir(spark: SparkSession) -> str:
-    """This application's folder in the cluster's shared folder (``spark.checkpoint.dir``).
+    """This application's folder in the cluster's shared folder, ``spark.checkpoint.dir``.
 
-    Where that is unset, a folder set on the context counts, and only on a local master a temporary
-    one is made: executors of a cluster could not reach it.
+    Where that is unset, a folder set on the context counts, else one in the warehouse, which all executors reach too.
     """
     sc = spark.sparkContext
-    shared = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not shared:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor reaches")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tablesync-"))
-        shared = sc.getCheckpointDir()
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    shared = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir() or f"{warehouse}/_work"
     return f"{shared}/{sc.applicationId}"
 
 
-def cut(df: DataFrame, about: int | None = None) -> DataFrame:
-    """Write the rows as a table in the shared folder and read them back.
-
-    Ends the lineage on storage that outlives any executor, fixes every value that depends on row
-    placement, and gives the following joins real sizes to plan with. ``about`` is the expected size
-    where the caller knows better than the estimate of the plan.
-    """
-    spark, path = df.sparkSession, f"{work_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
-    files = (planned_bytes(df) if about is None else about) // FILE_BYTES + 1
-    # A small frame, such as the last rounds of a loop, is not worth a file per task.
-    (df.coalesce(files) if files < spark.sparkContext.defaultParallelism else df).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def work_path(spark: SparkSession, what: str) -> str:
+    """A new place below the work folder."""
+    return f"{work_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of a plan, the figure its automatic broadcast goes by."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def cut(df: DataFrame) -> DataFrame:
+    """Write the rows as a table in the shared folder and read them back. Runs at once.
 
-
-def broadcast_limit(spark: SparkSession) -> int:
-    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    Ends the lineage on storage that outlives any executor, fixes every value that depends on row
+    placement, and gives the following joins real sizes to plan with.
+    """
+    path = work_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def is_small(df: DataFrame) -> bool:
-    """True when Spark would broadcast the frame by its own estimate. Only ever steers the plan."""
-    return planned_bytes(df) <= broadcast_limit(df.sparkSession)
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def prefixed(df: DataFrame, prefix: str, keep=()) -> DataFrame:
     return df.select([F.col(f"`{c}`").alias(c if c in keep else prefix + c) for c in df.columns])
 
 
-def ordinal(df: DataFrame, group: list[str], order: list, out: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Number the rows of each group 1..n by ``order`` (which must decide every tie).
+def ordinal(df: DataFrame, group: list[str], order: list, out: str) -> DataFrame:
+    """Number the rows of each group 1..n by ``order`` (which must decide every tie). Writes the rows once, at once.
 
-    Groups of up to ``hot_rows`` rows are numbered by a window. Larger ones, found by a
-    pre-aggregated count, are range-partitioned by group and order, numbered inside each range and
-    shifted by the sizes of the ranges before, so one group may span any number of tasks.
+    Rows are range-partitioned by group and order, numbered inside each range and shifted by the sizes of the group's
+    ranges before, so a group of any size spreads over tasks. A NULL group is a group too; no group
+    columns mean one group of all rows.
     """
     order = [F.col(o) if isinstance(o, str) else o for o in order]
-    window = Window.partitionBy(*group).orderBy(*order)
-    hot = df.groupBy(*group).count().where(F.col("count") > hot_rows)
-    hot_total = hot.agg(F.sum("count")).first()[0]  # one number
-    if not hot_total:
-        return df.withColumn(out, F.row_number().over(window).cast("long"))
-
-    # A NULL group is a group too, so groups are compared through their text.
-    keyed = df.withColumn("_g", F.to_json(F.struct(*group)))
-    hot = hot.select(F.to_json(F.struct(*group)).alias("_g"))
-    cold = keyed.join(hot, "_g", "left_anti").drop("_g")
-    cold = cold.withColumn(out, F.row_number().over(window).cast("long"))
-
-    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), hot_total // hot_rows + 1)
-    placed = cut(
-        keyed.join(hot, "_g", "left_semi")
-        .repartitionByRange(parts, F.col("_g"), *order)
-        .withColumn("_part", F.spark_partition_id())
-    )
-    earlier = Window.partitionBy("_g").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shift = (
-        placed.groupBy("_g", "_part").count()
-        .withColumn("_shift", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
-        .drop("count")
-    )
-    inside = Window.partitionBy("_g", "_part").orderBy(*order)
-    numbered = (
-        placed.withColumn("_n", F.row_number().over(inside))
-        .join(shift, ["_g", "_part"])
-        .withColumn(out, (F.col("_n") + F.col("_shift")).cast("long"))
-    )
-    return cold.unionByName(numbered.select(*df.columns, out))
-
-
-def scatter_rank(df: DataFrame, key: str, flag: str, out: str, hex_digits: int = 3) -> DataFrame:
-    """Number the distinct keys of the flagged rows 1..n in the order of ``md5(key)``; others get NULL.
-
-    There is no sort in one place: the leading digits of the hash cut the rows into
-    ``16**hex_digits`` even ranges that keep the order, each range is ranked by itself and shifted by
-    the counts of the ranges before it. Raise ``hex_digits`` with the data: 4 gives 65,536 ranges.
-    """
-    hashed = df.withColumn("_h", F.md5(F.col(key).cast("string"))).withColumn("_range", F.substring("_h", 1, hex_digits))
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    shift = (
-        hashed.where(flag)
-        .groupBy("_range")
-        .agg(F.countDistinct(key).alias("_keys"))  # at most 16**hex_digits rows reach the window
-        .select("_range", F.coalesce(F.sum("_keys").over(earlier), F.lit(0)).alias("_shift"))
+    keys = [F.col(g) for g in group]
+    placed = cut(df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()))
+    sizes = placed.groupBy(*group, "_part").agg(F.count("*").alias("_size"))  # a row per group and range
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = sizes.select(
+        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
+        F.col("_part").alias("_at"), F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_shift"),
     )
-    flagged_first = Window.partitionBy("_range").orderBy(F.desc(flag), "_h", key)
-    ranked = hashed.withColumn("_rank", F.dense_rank().over(flagged_first)).join(shift, "_range", "left")
-    number = F.when(F.col(flag), F.col("_rank") + F.col("_shift"))
-    return ranked.withColumn(out, number).drop("_h", "_range", "_rank", "_shift")
+    same = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)]
+    inside = Window.partitionBy(*group, "_part").orderBy(*order)
+    numbered = placed.withColumn("_n", F.row_number().over(inside))
+    joined = numbered.join(shift, reduce(lambda a, b: a & b, same, F.col("_part") == F.col("_at")))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_n") + F.col("_shift")).cast("long").alias(out))

@@ -4,20 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.functions.text import is_blank, string_columns
 from tablesync.operators.identity import row_checksum, with_match_keys
+from tablesync.operators.placement import work_path
 from tablesync.spec import CREATED, FAILED, SKIPPED, UPDATED, TableSpec
 
 # Characters an asset path may have, and names that look like credentials.
 SAFE_PATH = r"^[a-zA-Z0-9_./\- ]+$"
 CREDENTIAL = r"(?i)password|secret|token|apikey|privatekey"
 
-MAX_WARNINGS = 10_000
-SHOWN_USERS = 5
-
 
 def asset_refs(parts: list[tuple[DataFrame, str, str, str]]) -> DataFrame:
     """Distinct (kind, path, referenced_by) over several tables, in order of kind and path.
@@ -40,18 +38,9 @@ def asset_refs(parts: list[tuple[DataFrame, str, str, str]]) -> DataFrame:
     return distinct.orderBy(F.lower("kind"), F.lower("path"), "path", "referenced_by")
 
 
-def asset_users(refs: DataFrame) -> DataFrame:
-    """Per asset the number of users and the first five by name, as text."""
-    by_name = Window.partitionBy("kind", "path").orderBy("referenced_by")
-    # A rank limit is applied before the shuffle: five rows per asset and task travel.
-    first = refs.withColumn("_n", F.row_number().over(by_name)).where(F.col("_n") <= SHOWN_USERS)
-    shown = first.groupBy("kind", "path").agg(F.array_sort(F.collect_list("referenced_by")).alias("_users"))
-    counts = refs.groupBy("kind", "path").agg(F.count("*").alias("n_users"))
-    text = F.array_join("_users", ", ")
-    more = F.concat(text, F.lit(", ... ("), F.col("n_users").cast("string"), F.lit(" total)"))
-    return counts.join(shown, ["kind", "path"]).select(
-        "kind", "path", "n_users", F.when(F.col("n_users") > SHOWN_USERS, more).otherwise(text).alias("users")
-    )
+def users_per_asset(refs: DataFrame) -> DataFrame:
+    """How many users each asset has."""
+    return refs.groupBy("kind", "path").agg(F.count("*").alias("n_users"))
 
 
 def is_safe_path(path):
@@ -60,24 +49,29 @@ def is_safe_path(path):
 
 
 def missing_assets(refs: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Assets with an unsafe path, and assets that the inventory (kind, path) does not hold."""
+    """Uses of assets with an unsafe path, and of assets that the inventory (kind, path) does not hold: one row each."""
     safe = F.coalesce(is_safe_path(F.col("path")), F.lit(False))
     have = inventory.select("kind", "path").distinct().withColumn("_have", F.lit(True))
     bad = refs.join(have, ["kind", "path"], "left").where(~safe | F.col("_have").isNull()).drop("_have")
-    return asset_users(bad).withColumn("problem", F.when(safe, "missing").otherwise("unsafe path"))
+    return bad.withColumn("problem", F.when(safe, "missing").otherwise("unsafe path"))
 
 
 class StrictModeError(RuntimeError):
     """Warnings were collected during a strict run."""
 
 
-def assert_no_warnings(warnings: DataFrame, strict: bool = True, cap: int = MAX_WARNINGS) -> int:
-    """Fail once at the end of a strict run, listing the warnings (at most ``cap`` of them)."""
+def assert_no_warnings(warnings: DataFrame, strict: bool = True) -> int:
+    """Fail once at the end of a strict run if there is any warning.
+
+    All warnings are written as a table in the work folder; the error names their number and that place.
+    """
     if not strict:
         return 0
-    listed = [r[0] for r in warnings.select("warning").limit(cap).collect()]
-    if listed:
-        raise StrictModeError(f"{len(listed)} warning(s) in strict mode:\n" + "\n".join(listed))
+    path = work_path(warnings.sparkSession, "warnings")
+    warnings.write.parquet(path)
+    n = warnings.sparkSession.read.schema(warnings.schema).parquet(path).count()
+    if n:
+        raise StrictModeError(f"{n} warning(s) in strict mode, listed in {path}")
     return 0
 
 
@@ -90,24 +84,35 @@ def run_summary(outcomes: DataFrame) -> DataFrame:
 
 
 def advice(errors: DataFrame) -> DataFrame:
-    """What to do about (table_name, error) rows: distinct advice per table."""
+    """What to do about (table_name, error) rows: distinct advice per table.
+
+    An error without a table is the run's own. Where any table has advice, one more line says to run again.
+    """
     low = F.lower("error")
     table = F.col("table_name")
     has = lambda text: F.contains(low, F.lit(text))
     kind = (
-        F.when(has("foreign key"), "foreign key")
+        F.when(table.isNull(), "run")
+        .when(has("foreign key"), "foreign key")
         .when(has("group") & has("not found"), "missing group")
         .when(has("duplicate"), "duplicate key")
         .otherwise("other")
     )
     text = (
-        F.when(F.col("kind") == "foreign key", F.concat(F.lit("Apply the parents of "), table, F.lit(" first")))
+        F.when(F.col("kind") == "run", F.concat(F.lit("The run itself failed: "), F.col("error")))
+        .when(F.col("kind") == "foreign key", F.concat(F.lit("Apply the parents of "), table, F.lit(" first")))
         .when(F.col("kind") == "missing group", F.concat(F.lit("Create the group that "), table, F.lit(" refers to")))
         .when(F.col("kind") == "duplicate key", F.concat(F.lit("Make the name column of "), table, F.lit(" unique")))
         .otherwise(F.concat(F.lit("Error in "), table, F.lit(": "), F.col("error")))
     )
     rows = errors.where(~is_blank(F.col("error"))).withColumn("kind", kind)
-    return rows.select("table_name", "kind", text.alias("advice")).distinct()
+    found = rows.select("table_name", "kind", text.alias("advice")).distinct()
+    some = found.agg(F.count("*").alias("n")).where("n > 0")
+    again = some.select(
+        F.lit(None).cast("string").alias("table_name"), F.lit("again").alias("kind"),
+        F.lit("Run again once this is done; what is applied already will be skipped").alias("advice"),
+    )
+    return found.unionByName(again)
 
 
 def secret_scan(df: DataFrame, keys: list[str], pattern: str = CREDENTIAL) -> DataFrame:

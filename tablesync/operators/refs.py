@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tablesync.functions import links
 from tablesync.functions.text import any_of, like_any, string_columns
+from tablesync.operators.placement import cut
 from tablesync.spec import check_columns
 
 NO_ANCHOR = -1
@@ -64,17 +65,13 @@ def _needed_ids(texts: Column) -> Column:
     return F.filter(found, lambda e: e["_id"].isNotNull())
 
 
-def _with_row_maps(df: DataFrame, keys: list[str], texts: Column, page_map: DataFrame, para_map: DataFrame):
-    """Split rows by whether they mention an id, and give those that do the part of the maps they need.
+def _row_maps(df: DataFrame, keys: list[str], texts: Column, page_map: DataFrame, para_map: DataFrame | None) -> DataFrame:
+    """The part of the id maps that each row needs, for rows that mention a mapped page.
 
-    Only distinct (row, id) pairs travel to the id maps; texts move once, to meet the result by row
-    key, and only those that mention anything. How often a page is mentioned shows in nothing but
-    the number of its small pairs, which an adaptive join may split at will.
+    Only distinct (row, id) pairs are written and travel to the id maps. How often a page is mentioned shows
+    in nothing but the number of its small pairs, which an adaptive join may split at will.
     """
-    texts = F.array_compact(texts)
-    mentions = F.coalesce(F.exists(texts, links.mentions), F.lit(False))
-    plain, linked = df.where(~mentions), df.where(mentions)
-    pairs = linked.select(*keys, F.inline(_needed_ids(texts)))
+    pairs = cut(df.select(*keys, F.inline(_needed_ids(F.array_compact(texts)))))
 
     def known(kind: str, id_map: DataFrame) -> DataFrame:
         source, target = F.col("source_id").cast("int").alias("_id"), F.col("target_id").cast("int").alias("_target")
@@ -84,14 +81,15 @@ def _with_row_maps(df: DataFrame, keys: list[str], texts: Column, page_map: Data
         entry = F.when(F.col("_kind") == kind, F.struct("_id", "_target"))
         return F.map_from_entries(F.collect_list(entry))  # bounded by the ids one row mentions
 
-    id_maps = known("page", page_map).unionByName(known("para", para_map))
-    maps = (
+    id_maps = known("page", page_map)
+    if para_map is not None:
+        id_maps = id_maps.unionByName(known("para", para_map))
+    return (
         pairs.join(id_maps, ["_kind", "_id"])
         .groupBy(*keys)
         .agg(part("page").alias("_page_map"), part("para").alias("_para_map"))
         .where(F.size("_page_map") > 0)  # without a mapped page nothing of the row changes
     )
-    return plain, linked.join(maps, keys, "left")
 
 
 def _rewritten(text: Column) -> Column:
@@ -101,25 +99,26 @@ def _rewritten(text: Column) -> Column:
 
 
 def rewrite_links(
-    df: DataFrame, keys: list[str], cols: list[str], page_map: DataFrame, para_map: DataFrame,
+    df: DataFrame, keys: list[str], cols: list[str], page_map: DataFrame, para_map: DataFrame | None = None,
     map_cols: list[str] = (), only_changed: bool = False,
 ) -> DataFrame:
     """Rewrite page and paragraph ids inside the listed text columns and field maps.
 
-    Unmapped references stay. ``keys`` identify a row; each map has one ``target_id`` per
-    ``source_id``. ``only_changed`` returns just the rows that a reference changed in.
+    Unmapped references stay. ``keys`` identify a row; each map has one ``target_id`` per ``source_id``, and no
+    ``para_map`` is an empty one. ``only_changed`` returns just the rows that a reference changed in. The mentioned ids
+    are extracted and written at once; the texts are then scanned once, beside the map of their row.
     """
     check_columns(df, [*cols, *map_cols], "link columns")
     none = F.array().cast("array<string>")
     held = [F.coalesce(F.map_values(m), none) for m in map_cols]
     texts = F.concat(F.array(*[F.col(f"`{c}`") for c in cols]) if cols else none, *held)
-    plain, linked = _with_row_maps(df, keys, texts, page_map, para_map)
+    maps = _row_maps(df, keys, texts, page_map, para_map)
     new = {c: _rewritten(F.col(f"`{c}`")) for c in cols}
     new |= {m: F.transform_values(m, lambda _, v: _rewritten(v)) for m in map_cols}
     if not only_changed:
         out = [new[c].alias(c) if c in new else F.col(f"`{c}`") for c in df.columns]
-        return plain.unionByName(linked.select(*out))
-    linked = linked.where("_page_map is not null").withColumns({f"_new_{c}": v for c, v in new.items()})
+        return df.join(maps, keys, "left").select(*out)
+    linked = df.join(maps, keys).withColumns({f"_new_{c}": v for c, v in new.items()})
     changed = [~F.col(f"`_new_{c}`").eqNullSafe(F.col(f"`{c}`")) for c in cols]
     changed += [~F.map_values(f"_new_{m}").eqNullSafe(F.map_values(m)) for m in map_cols]
     out = [F.col(f"`_new_{c}`").alias(c) if c in new else F.col(f"`{c}`") for c in df.columns]
@@ -127,7 +126,7 @@ def rewrite_links(
 
 
 def rewrite_links_in_fields(
-    df: DataFrame, keys: list[str], map_col: str, page_map: DataFrame, para_map: DataFrame, only_changed: bool = True
+    df: DataFrame, keys: list[str], map_col: str, page_map: DataFrame, para_map: DataFrame | None = None, only_changed: bool = True
 ) -> DataFrame:
     """The same over every value of a field map; by default only rows that changed are returned."""
     return rewrite_links(df, keys, [], page_map, para_map, [map_col], only_changed)
@@ -165,12 +164,12 @@ def link_sweep(
     """References whose page, or anchor paragraph, is not in the snapshot. Returns (unresolved, resolved).
 
     ``unresolved`` has one row per reference and the id that is missing; ``resolved`` is one count.
-    The references are counted per distinct target before they meet the ids, so a page linked from
-    everywhere is one row there; only the targets found missing are looked up again.
+    The references are extracted once and written, at once. They are counted per distinct target before they meet the
+    ids, so a page linked from everywhere is one row there; only the targets found missing are looked up again.
     """
     refs = extract_links(df, keys, cols).where("target_id is not null")
     token = ["kind", "target_id", "anchor_id"]
-    refs = refs.withColumn("anchor_id", F.coalesce("anchor_id", F.lit(NO_ANCHOR)))
+    refs = cut(refs.withColumn("anchor_id", F.coalesce("anchor_id", F.lit(NO_ANCHOR))))
     counts = refs.groupBy(*token).agg(F.count("*").alias("n"))
     judged = _judged(counts, _known_ids(pages, page_id, "page_known"), _known_ids(paras, para_id, "para_known"))
     link = F.col("kind") == "link"
@@ -232,29 +231,40 @@ def link_stats(df: DataFrame, cols: list[str], page_map: DataFrame, para_map: Da
     )
 
 
-def clear_orphan_refs(df: DataFrame, ids: list[int], keep: tuple[str, ...] = ()) -> DataFrame:
-    """Remove every mention of the given page ids, in all columns not listed in ``keep``.
+def clear_orphan_refs(df: DataFrame, keys: list[str], ids: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Remove every mention of the page ids in ``ids`` (id), in all columns that are neither ``keys`` nor in ``keep``.
 
-    Links to them are cut out of texts, texts that are just such an id become '', integers NULL.
+    Links to them are cut out of texts, texts that are just such an id become '', integers NULL. ``keys``
+    identify a row. Each row's mentions are extracted and written at once; only those (row, id) pairs meet the ids.
     """
-    numbers = sorted({int(i) for i in ids})
-    if not numbers:
+    kept = {k.lower() for k in (*keep, *keys)}
+    kinds = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    fields = [f for f in df.schema.fields if f.name.lower() not in kept]
+    texts = [f.name for f in fields if isinstance(f.dataType, T.StringType)]
+    numbers = [f.name for f in fields if isinstance(f.dataType, kinds) and f.nullable]
+    if not texts and not numbers:
         return df
-    # The longest id first, and no digit after it: id 1 must not touch id 12.
-    choice = "|".join(str(n) for n in sorted(numbers, reverse=True))
-    pattern = rf"(?i)Default\.aspx\?ID=({choice})(?![0-9])"
-    kept = {k.lower() for k in keep}
+    held = [F.col(f"`{c}`").cast("long") for c in numbers]
+    for c in texts:
+        col = F.col(f"`{c}`")
+        held.append(links.whole_number(col).cast("long"))
+    found = F.array(*held)
+    for c in texts:
+        pages = F.transform(links.page_links(F.col(f"`{c}`")), lambda m: links.page_link_id(m).cast("long"))
+        found = F.concat(found, F.coalesce(pages, F.array().cast("array<bigint>")))
+    pairs = cut(df.select(*keys, F.explode(F.array_distinct(F.array_compact(found))).alias("_id")))
+    gone = ids.select(F.col("id").cast("long").alias("_id")).distinct()
+    marked = pairs.join(gone, "_id", "left_semi").groupBy(*keys).agg(F.collect_set("_id").alias("_gone"))  # ids of one row
+    rows = df.join(marked, keys, "left")
+    hit = lambda number: F.coalesce(F.array_contains("_gone", number.cast("long")), F.lit(False))
     out = {}
-    for f in df.schema.fields:
-        col = F.col(f"`{f.name}`")
-        if f.name.lower() in kept:
-            continue
-        if isinstance(f.dataType, T.StringType):
-            whole = F.coalesce(links.whole_number(col).isin(numbers), F.lit(False))
-            out[f.name] = F.when(whole, "").otherwise(F.regexp_replace(col, pattern, ""))
-        elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) and f.nullable:
-            out[f.name] = F.when(~col.isin(numbers), col)
-    return df.withColumns(out)
+    for c in texts:
+        col = F.col(f"`{c}`")
+        cleared = F.when(hit(links.whole_number(col)), "").otherwise(links.without_pages(col, F.col("_gone")))
+        out[c] = F.when(F.col("_gone").isNull(), col).otherwise(cleared)
+    for c in numbers:
+        out[c] = F.when(~hit(F.col(f"`{c}`")), F.col(f"`{c}`"))
+    return rows.withColumns(out).select(*[f"`{c}`" for c in df.columns])
 
 
 def clear_stale_values(df: DataFrame, fragments: list[str], not_null: tuple[str, ...] = (), keep: tuple[str, ...] = ()):

@@ -12,12 +12,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tablesync.operators.placement import cut, ordinal, planned_bytes
+from tablesync.operators.placement import cut, delete_path, ordinal, work_path
 from tablesync.spec import FAILED, SKIPPED, PathRule
 
 SEP, END = "\u0001", "\u0002"
-SHALLOW_ROUNDS = 5  # enough for trees 32 deep; only deeper ones, and cycles, need the number of nodes
 
 
 def fold_up(
@@ -27,27 +27,31 @@ def fold_up(
 
     ``carry``: name → (value of one node, how a lower and an upper stretch combine; associative).
     Returns ``node_id``, the folded values and ``reached_root``: false below a missing parent and
-    on or below a cycle.
+    on or below a cycle. Runs at once, a table per round in the work folder.
     """
     names = list(carry)
-    state = cut(
-        nodes.select(
-            F.col(id_col).alias("node_id"),
-            F.col(parent_col).alias("_up"),
-            F.lit(True).alias("reached_root"),
-            *[value.alias(n) for n, (value, _) in carry.items()],
-        )
+    spark, root = nodes.sparkSession, work_path(nodes.sparkSession, "fold")
+    state = nodes.select(
+        F.col(id_col).alias("node_id"),
+        F.col(parent_col).alias("_up"),
+        F.lit(True).alias("reached_root"),
+        *[value.alias(n) for n, (value, _) in carry.items()],
     )
-    done, rounds = 0, None
-    while rounds is None or done < rounds:
-        going = state.where("_up is not null")
-        if going.isEmpty():
-            return state.drop("_up")
-        if done == SHALLOW_ROUNDS:
-            rounds = max(done, math.ceil(math.log2(state.count())) + 1)
-        done += 1
-        above = state.select([F.col(c).alias(f"a_{c}") for c in state.columns])
-        joined = going.join(above, F.col("_up") == F.col("a_node_id"), "left")
+    schema = T.StructType([*state.schema.fields, T.StructField("round", T.IntegerType()), T.StructField("open", T.BooleanType())])
+
+    def write(rows: DataFrame, number: int) -> DataFrame:
+        """Append one round; finished nodes are written once, in the round that finishes them."""
+        rows.withColumn("open", F.col("_up").isNotNull()).write.partitionBy("open").parquet(f"{root}/round={number}")
+        if number:
+            delete_path(spark, f"{root}/round={number - 1}/open=true")
+        return spark.read.schema(schema).option("basePath", root).parquet(root)
+
+    done = 0
+    known = write(state, 0)
+    most = math.ceil(math.log2(max(known.count(), 1))) + 1
+    while done < most and not known.where(F.col("open")).isEmpty():
+        above = known.select([F.col(c).alias(f"a_{c}") for c in state.columns])
+        joined = known.where(F.col("open")).join(above, F.col("_up") == F.col("a_node_id"), "left")
         found = F.col("a_node_id").isNotNull()
         step = joined.select(
             "node_id",
@@ -55,9 +59,11 @@ def fold_up(
             (found & F.coalesce("a_reached_root", F.lit(False))).alias("reached_root"),
             *[F.when(found, carry[n][1](F.col(n), F.col(f"a_{n}"))).otherwise(F.col(n)).alias(n) for n in names],
         )
-        state = cut(state.where("_up is null").unionByName(step), about=2 * planned_bytes(state))
+        done += 1
+        known = write(step, done)
     # Whatever still points upwards after log2(n) doublings goes round in a circle.
-    return state.withColumn("reached_root", F.col("reached_root") & F.col("_up").isNull()).drop("_up")
+    reached = (F.col("reached_root") & F.col("_up").isNull()).alias("reached_root")
+    return known.select("node_id", reached, *names)
 
 
 def build_paths(nodes: DataFrame, id_col: str, parent_col: str, name_col: str) -> DataFrame:
@@ -137,14 +143,20 @@ def cascade_skip(nodes: DataFrame, id_col: str, parent_col: str, failed: DataFra
     return outcomes.select(F.col("node_id").alias(id_col), outcome.alias("outcome"))
 
 
+def _digits(number: Column) -> Column:
+    """A whole number of up to 64 bits as text of one length that sorts like the number."""
+    return F.lpad((number.cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string"), 20, "0")
+
+
 def ordered_tree(nodes: DataFrame, id_col: str, parent_col: str, sort_col: str, name_col: str) -> DataFrame:
     """Nodes in reading order: siblings by (sort, name, id). ``tree_key`` sorts the whole tree."""
+    numeric = isinstance(nodes.schema[id_col].dataType, T.IntegralType)
     own = F.concat(
-        F.lpad((F.coalesce(F.col(sort_col), F.lit(0)).cast("long") + 2**31).cast("string"), 10, "0"),
+        _digits(F.coalesce(F.col(sort_col), F.lit(0))),
         F.lit(SEP),
         F.lower(F.coalesce(F.col(name_col).cast("string"), F.lit(""))),
         F.lit(SEP),
-        F.lpad(F.col(id_col).cast("string"), 19, "0"),
+        _digits(F.col(id_col)) if numeric else F.col(id_col).cast("string"),
         F.lit(END),
     )
     folded = fold_up(
@@ -180,25 +192,25 @@ def tree_counts(
     return out
 
 
-def renumber(rows: DataFrame, page: str, sort: str, row_id: str, out: str = "row_no", **options) -> DataFrame:
+def renumber(rows: DataFrame, page: str, sort: str, row_id: str, out: str = "row_no") -> DataFrame:
     """Number the rows of each page 1..n by (sort, id), however many share a sort value."""
-    return ordinal(rows, [page], [sort, row_id], out, **options)
+    return ordinal(rows, [page], [sort, row_id], out)
 
 
 def assemble_rows(
     rows: DataFrame, paras: DataFrame, page: str, row_id: str, row_sort: str,
-    para_row: str, column: str, para_sort: str, para_id: str, **options,
+    para_row: str, column: str, para_sort: str, para_id: str,
 ) -> DataFrame:
     """The layout of pages as one flat, numbered table: page → row → column → paragraph.
 
     A row without paragraphs has one empty column, id 1. The table stays flat so that a page of any
     size spreads over many tasks; ``row_no`` and ``para_no`` carry the order.
     """
-    numbered = renumber(rows.select(page, row_id, row_sort), page, row_sort, row_id, **options)
+    numbered = renumber(rows.select(page, row_id, row_sort), page, row_sort, row_id)
     placed = ordinal(
         paras.select(F.col(para_row).alias("_row"), F.col(column).alias("_col"), F.col(para_sort).alias("_sort"),
                      F.col(para_id).alias("para_id")),
-        ["_row", "_col"], ["_sort", "para_id"], "para_no", **options,
+        ["_row", "_col"], ["_sort", "para_id"], "para_no",
     )
     # The paragraphs are the probing side of the join: a row that holds very many may be split there.
     filled = placed.join(numbered, F.col("_row") == F.col(row_id))

@@ -1,147 +1,175 @@
-"""XML columns as table jobs. Cells travel to Python in Arrow batches; malformed cells pass through."""
+"""XML text columns of a stated layout, in built-in functions only.
+
+A layout is one root with child elements: items, each named by an attribute, and plain leaves. ``from_xml`` reads such a
+text into the layout's schema; what the layout does not state is not read. In merges an XML column is plain text; to merge
+it element by element, turn it into a field map (``xml_fields``), merge the map, and write it back (``fields_xml``).
+"""
 
 from __future__ import annotations
 
-import pandas as pd
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.functions import xmltext
 from tablesync.functions.text import is_blank
-
-FILLED = T.StructType(
-    [T.StructField("xml", T.StringType()), T.StructField("fills", T.ArrayType(T.StringType()))]
-)
-SHRED = "array<struct<ord:int,depth:int,parent_key:string,elem_key:string,tag:string,attr:string,value:string>>"
+from tablesync.functions.unset import is_unset
+from tablesync.operators.merge import last_incoming
+from tablesync.spec import TableSpec, XmlLayout
 
 
-def _cells(function, returns=T.StringType()):
-    """An Arrow job that applies ``function`` to each non-NULL cell."""
+def schema_of(layout: XmlLayout) -> T.StructType:
+    item = [T.StructField(f"_{a}", T.StringType()) for a in (layout.key, *layout.attrs)] + [T.StructField("_VALUE", T.StringType())]
+    leaves = [T.StructField(x, T.StringType()) for x in layout.leaves]
+    return T.StructType([T.StructField(layout.item, T.ArrayType(T.StructType(item))), *leaves])
 
-    @F.pandas_udf(returns)
-    def job(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda x: None if x is None else function(x))
 
-    return job
+def parsed(col: Column, layout: XmlLayout) -> Column:
+    """The text in the layout's schema; NULL members where the text is malformed."""
+    return F.from_xml(col, schema_of(layout), {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false"})
 
 
-def _replace(df: DataFrame, cols, job) -> DataFrame:
-    return df.withColumns({c: job(F.col(f"`{c}`")) for c in cols})
+def _items(col: Column, layout: XmlLayout) -> Column:
+    none = F.array().cast(schema_of(layout)[layout.item].dataType)
+    return F.coalesce(parsed(col, layout)[layout.item], none)
 
 
-def canonical_xml(df: DataFrame, cols, style: str = "pretty") -> DataFrame:
-    """Bring the XML cells to one form: ``pretty`` for snapshots, ``compact`` for tables."""
-    return _replace(df, cols, _cells(xmltext.pretty if style == "pretty" else xmltext.compact))
+def shred_xml(df: DataFrame, keys: list[str], col: str, layout: XmlLayout) -> DataFrame:
+    """One row per value of an XML cell: keys, ord (of the item), elem_key, attr (NULL: the text), value. No shuffle."""
+    names = [None, *layout.attrs]
+    values = F.transform(
+        _items(F.col(col), layout),
+        lambda item, i: F.array(
+            *[
+                F.struct(
+                    (i + 1).alias("ord"), item[f"_{layout.key}"].alias("elem_key"), F.lit(a).cast("string").alias("attr"),
+                    item["_VALUE" if a is None else f"_{a}"].alias("value"),
+                )
+                for a in names
+            ]
+        ),
+    )
+    rows = df.select(*keys, F.inline(F.flatten(values)))
+    return rows.where("attr is null or value is not null")
 
 
-def drop_xml_elements(df: DataFrame, cols, names) -> DataFrame:
-    """Remove elements by tag or ``name`` attribute, without regard to case."""
-    lowered = frozenset(n.lower() for n in names)
-    return _replace(df, cols, _cells(lambda text: xmltext.drop_elements(text, lowered))) if lowered else df
+def canonical_xml(df: DataFrame, cols: list[str]) -> DataFrame:
+    """One spelling of XML texts: no blanks between elements, `` />`` for empty elements written short."""
+    out = {}
+    for c in cols:
+        text = F.regexp_replace(F.trim(F.col(f"`{c}`")), r">\s+<", "><")
+        out[c] = F.regexp_replace(text, r"\s*/>", " />")
+    return df.withColumns(out)
 
 
-def drop_xml_elements_by_type(df: DataFrame, cols, type_col: str, names, by_type: dict) -> DataFrame:
-    """Remove the listed elements and those listed for the row's own type."""
-    flat = frozenset(n.lower() for n in names)
-    typed = {k.lower(): flat | {n.lower() for n in v} for k, v in by_type.items()}
+def _without(text: Column, names: list[str], layout: XmlLayout) -> Column:
+    for n in names:
+        name = re.escape(n)
+        items = rf"(?i)<{layout.item}\b[^>]*\b{layout.key}=[\"']{name}[\"'][^>]*(/>|>[^<]*</{layout.item}>)"
+        leaves = rf"(?i)<{name}(\s[^>]*)?(/>|>[^<]*</{name}>)"
+        text = F.regexp_replace(F.regexp_replace(text, items, ""), leaves, "")
+    return text
 
-    @F.pandas_udf(T.StringType())
-    def job(texts: pd.Series, types: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                None if x is None else xmltext.drop_elements(x, typed.get((t or "").lower(), flat))
-                for x, t in zip(texts, types)
-            ],
-            dtype=object,
-        )
 
-    return df.withColumns({c: job(F.col(f"`{c}`"), F.col(f"`{type_col}`")) for c in cols})
+def drop_xml_elements(df: DataFrame, cols: list[str], names: list[str], layout: XmlLayout) -> DataFrame:
+    """Take the named items and leaves, in any case, out of XML texts; the rest stays as it is written."""
+    return df.withColumns({c: _without(F.col(f"`{c}`"), names, layout) for c in cols})
 
 
-@F.pandas_udf(FILLED)
-def _fill_job(targets: pd.Series, sources: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame(
-        [xmltext.fill(t, s) for t, s in zip(targets, sources)], columns=["xml", "fills"], index=targets.index
+def drop_xml_elements_by_type(
+    df: DataFrame, cols: list[str], type_col: str, names: list[str], by_type: dict[str, list[str]], layout: XmlLayout
+) -> DataFrame:
+    """The same, with further names for rows of a type (compared without case)."""
+    out = drop_xml_elements(df, cols, names, layout)
+    for kind, more in by_type.items():
+        of_kind = F.coalesce(F.lower(F.col(type_col)) == kind.lower(), F.lit(False))
+        out = out.withColumns({c: F.when(of_kind, _without(F.col(f"`{c}`"), more, layout)).otherwise(F.col(f"`{c}`")) for c in cols})
+    return out
+
+
+def xml_fields(col: Column, layout: XmlLayout) -> Column:
+    """Items and leaves of an XML text as a field map, in document order of the items; the last of equal names counts."""
+    items = F.transform(_items(col, layout), lambda i: F.struct(i[f"_{layout.key}"].alias("key"), F.coalesce(i["_VALUE"], F.lit("")).alias("value")))
+    leaves = [F.struct(F.lit(x).alias("key"), parsed(col, layout)[x].alias("value")) for x in layout.leaves]
+    entries = F.concat(items, F.filter(F.array(*leaves), lambda e: e["value"].isNotNull())) if leaves else items
+    named = F.filter(entries, lambda e: e["key"].isNotNull())
+    last = F.filter(named, lambda e, i: ~F.exists(F.slice(named, i + 2, F.size(named)), lambda x: x["key"] == e["key"]))
+    return F.map_from_entries(last)
+
+
+def _escaped(text: Column) -> Column:
+    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        text = F.replace(text, F.lit(plain), F.lit(entity))
+    return text
+
+
+def fields_xml(fields: Column, layout: XmlLayout) -> Column:
+    """A field map as XML text of the layout: items first, then leaves, each in map order; NULL values are left out."""
+    entries = F.filter(F.map_entries(fields), lambda e: e["value"].isNotNull())
+    leaf = lambda e: e["key"].isin(*layout.leaves) if layout.leaves else F.lit(False)
+    items = F.transform(
+        F.filter(entries, lambda e: ~leaf(e)),
+        lambda e: F.concat(F.lit(f'<{layout.item} {layout.key}="'), _escaped(e["key"]), F.lit('">'), _escaped(e["value"]), F.lit(f"</{layout.item}>")),
     )
-
-
-def fill_pair(target: Column, source: Column) -> Column:
-    """``struct<xml, fills>`` of two cells of one row."""
-    return _fill_job(target, source)
-
-
-@F.pandas_udf(T.StringType())
-def _overlay_job(incoming: pd.Series, existing: pd.Series) -> pd.Series:
-    return pd.Series(
-        [None if i is None else xmltext.overlay(i, e) for i, e in zip(incoming, existing)], dtype=object
+    leaves = F.transform(
+        F.filter(entries, leaf), lambda e: F.concat(F.lit("<"), e["key"], F.lit(">"), _escaped(e["value"]), F.lit("</"), e["key"], F.lit(">"))
     )
+    return F.concat(F.lit(f"<{layout.root}>"), F.array_join(F.concat(items, leaves), ""), F.lit(f"</{layout.root}>"))
 
 
-def overlay_pair(incoming: Column, existing: Column) -> Column:
-    return _overlay_job(incoming, existing)
+def _beside(target: DataFrame, incoming: DataFrame, keys: list[str], col: str, layout: XmlLayout) -> DataFrame:
+    one = last_incoming(incoming, TableSpec("", tuple(keys)))
+    seeds = one.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)], xml_fields(F.col(col), layout).alias("_seed"))
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_s{i}") for i, k in enumerate(keys)])
+    return target.withColumn("_own", xml_fields(F.col(col), layout)).join(seeds, same, "left").drop(*[f"_s{i}" for i in range(len(keys))])
 
 
-def xml_fill(
-    target: DataFrame, incoming: DataFrame, keys: list[str], col: str, fill_blank: bool = False
-) -> DataFrame:
-    """Fill the XML of target rows from the incoming row of the same key; add ``fills``.
+def xml_fill(target: DataFrame, incoming: DataFrame, keys: list[str], col: str, layout: XmlLayout) -> DataFrame:
+    """Destination wins inside one XML column: elements that are unset or missing take the incoming value.
 
-    A blank target cell stays blank unless ``fill_blank``.
+    Adds ``filled``, their names in order. Cells that nothing fills, and cells that do not parse, keep their text.
     """
-    source = incoming.select(*keys, F.col(col).alias("_source"))
-    rows = target.join(source, keys, "left").withColumn("_merged", fill_pair(F.col(col), F.col("_source")))
-    fills = F.coalesce(F.col("_merged.fills"), F.array().cast("array<string>"))
-    merged = F.when(F.size(fills) > 0, F.col("_merged.xml")).otherwise(F.col(col))
-    if fill_blank:
-        merged = F.when(is_blank(F.col(col)), F.coalesce(F.col("_source"), F.col(col))).otherwise(merged)
-    return rows.withColumn(col, merged).select(*target.columns, fills.alias("fills"))
-
-
-def xml_overlay(target: DataFrame, incoming: DataFrame, keys: list[str], col: str) -> DataFrame:
-    """Incoming XML wins; root children that only the target has are kept."""
-    source = incoming.select(*keys, F.col(col).alias("_source"), F.lit(True).alias("_hit"))
-    rows = target.join(source, keys, "left")
-    merged = F.when(F.col("_hit"), overlay_pair(F.col("_source"), F.col(col))).otherwise(F.col(col))
-    return rows.withColumn(col, merged).select(*target.columns)
-
-
-def shred_xml(df: DataFrame, keys: list[str], col: str) -> DataFrame:
-    """One row per element and attribute: key, position, element key, attribute, value."""
-
-    @F.pandas_udf(SHRED)
-    def job(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda x: [] if x is None else xmltext.shred(x))
+    rows = _beside(target, incoming, keys, col, layout)
+    own, seed = F.col("_own"), F.col("_seed")
+    names = F.filter(
+        F.coalesce(F.map_keys(seed), F.array().cast("array<string>")),
+        lambda k: is_unset(F.try_element_at(own, k), T.StringType()) & ~is_unset(F.try_element_at(seed, k), T.StringType()),
+    )
+    rows = rows.withColumn("filled", F.when(F.size(own) > 0, names).otherwise(F.array().cast("array<string>")))
+    taken = F.map_filter(seed, lambda k, _: F.array_contains("filled", k))
+    rest = F.map_filter(own, lambda k, _: ~F.array_contains("filled", k))
+    merged = F.when(F.size("filled") > 0, fields_xml(F.map_concat(rest, taken), layout)).otherwise(F.col(col))
+    return rows.withColumn(col, merged).drop("_own", "_seed")
 
-    return df.select(*keys, F.inline(job(F.col(col))))
 
+def xml_overlay(target: DataFrame, incoming: DataFrame, keys: list[str], col: str, layout: XmlLayout) -> DataFrame:
+    """Source wins inside one XML column: the incoming elements, and those that only the target has behind them.
 
-def element_keys(col: Column) -> Column:
-    return _cells(xmltext.element_keys, T.ArrayType(T.StringType()))(col)
+    Without an incoming cell that parses the target keeps its text.
+    """
+    rows = _beside(target, incoming, keys, col, layout)
+    seed = F.col("_seed")
+    own = F.map_filter("_own", lambda k, _: ~F.map_contains_key(seed, k))
+    merged = F.when(F.size(seed) > 0, fields_xml(F.map_concat(seed, own), layout)).otherwise(F.col(col))
+    return rows.withColumn(col, merged).drop("_own", "_seed")
 
 
-def xml_types(sources: list[tuple[DataFrame, str]]) -> DataFrame:
-    """Distinct non-empty type names over several tables; the smallest spelling stands for a name."""
-    union = None
-    for df, col in sources:
-        part = df.select(F.col(col).alias("type_name")).where(F.col(col) != "")
-        union = part if union is None else union.unionByName(part)
-    return union.groupBy(F.lower("type_name").alias("_t")).agg(F.min("type_name").alias("type_name")).drop("_t")
+def xml_types(parts: list[tuple[DataFrame, str]]) -> DataFrame:
+    """Distinct type names over several tables, matched without case: the smallest spelling of each."""
+    names = [df.select(F.col(c).cast("string").alias("t")).where("t <> ''") for df, c in parts]
+    both = reduce(DataFrame.unionByName, names)
+    return both.groupBy(F.lower("t").alias("_t")).agg(F.min("t").alias("type_name")).select("type_name")
 
 
-def xml_element_inventory(sources: list[tuple[DataFrame, str, str]]) -> DataFrame:
-    """Distinct element keys per type over all documents of all sources."""
-    union = None
-    for df, type_col, xml_col in sources:
-        part = df.where((F.col(type_col) != "") & (F.col(xml_col) != "")).select(
-            F.col(type_col).alias("type_name"), F.explode(element_keys(F.col(xml_col))).alias("elem_key")
-        )
-        union = part if union is None else union.unionByName(part)
-    return (
-        union.groupBy(F.lower("type_name").alias("_t"), F.lower("elem_key").alias("_e"))
-        .agg(F.min("type_name").alias("type_name"), F.min("elem_key").alias("elem_key"))
-        .select("type_name", "elem_key")
-    )
+def xml_element_inventory(parts: list[tuple[DataFrame, str, str]], layouts: list[XmlLayout]) -> DataFrame:
+    """Distinct (type_name, elem_key) over all documents of several tables: (rows, type column, XML column) and its layout."""
+    found = []
+    for (df, kind, col), layout in zip(parts, layouts, strict=True):
+        fields = F.map_keys(xml_fields(F.col(col), layout))
+        found.append(df.select(F.col(kind).alias("type_name"), F.explode(fields).alias("elem_key")))
+    return reduce(DataFrame.unionByName, found).where("type_name <> ''").distinct()
 
 
 def sample_per_type(sources: list[tuple[DataFrame, str, str, str]]) -> DataFrame:
@@ -164,13 +192,15 @@ def sample_per_type(sources: list[tuple[DataFrame, str, str, str]]) -> DataFrame
 
 
 def missing_declared_fields(
-    defs: DataFrame, key: str, col: str, declared_attr: str = "fieldForTitle", field_tag: str = "field",
+    defs: DataFrame, key: str, col: str, declared_attr: str = "fieldForTitle", list_tag: str = "fields", field_tag: str = "field",
     field_attr: str = "systemName",
 ) -> DataFrame:
-    """Definitions whose root names a field that the definition does not contain."""
-    parts = shred_xml(defs, [key], col)
-    declared = parts.where((F.col("depth") == 0) & (F.col("attr") == declared_attr) & (F.col("value") != ""))
-    present = parts.where((F.lower("tag") == field_tag.lower()) & (F.col("attr") == field_attr))
-    declared = declared.select(key, F.col("value").alias("field"))
-    present = present.select(F.col(key).alias("_key"), F.col("value").alias("_field"))
-    return declared.join(present, (F.col(key) == F.col("_key")) & (F.col("field") == F.col("_field")), "left_anti")
+    """Definitions whose root names a field (an attribute) that their list of fields does not contain."""
+    field = T.StructType([T.StructField(f"_{field_attr}", T.StringType())])
+    fields = T.StructType([T.StructField(field_tag, T.ArrayType(field))])
+    schema = T.StructType([T.StructField(f"_{declared_attr}", T.StringType()), T.StructField(list_tag, fields)])
+    doc = defs.select(key, F.from_xml(F.col(col), schema, {"mode": "PERMISSIVE"}).alias("_doc"))
+    declared = F.col(f"_doc._{declared_attr}")
+    none = F.array().cast(T.ArrayType(field))
+    held = F.exists(F.coalesce(F.col(f"_doc.{list_tag}.{field_tag}"), none), lambda f: F.coalesce(f[f"_{field_attr}"] == declared, F.lit(False)))
+    return doc.where((declared != "") & ~held).select(key, declared.alias("field"))

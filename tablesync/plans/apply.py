@@ -1,4 +1,4 @@
-"""The whole apply of a table snapshot, as one lazy plan."""
+"""The whole apply of a table snapshot."""
 
 from __future__ import annotations
 
@@ -8,19 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.functions.text import actual_name, any_of, listed
-from tablesync.operators.identity import with_match_keys
-from tablesync.operators.merge import dedupe_incoming, incoming_outcomes, merge_rows, replace_all
+from tablesync.operators.merge import merge_once, replace_all
 from tablesync.operators.placement import cut
 from tablesync.operators.quality import run_summary
 from tablesync.operators.refs import rewrite_links
 from tablesync.operators.schema import align_to_schema, coerce, fill_not_null
-from tablesync.operators.xmlcols import canonical_xml
-from tablesync.spec import CREATED, FAILED, KEPT, SOURCE_WINS, SyncSpec
+from tablesync.spec import CREATED, FAILED, SOURCE_WINS, SyncSpec
 
 
 @dataclass(frozen=True)
 class ApplyResult:
-    """Everything an apply yields; nothing runs until one of the frames is written or counted.
+    """Everything an apply yields. The merge has run, into the work folder; the target is untouched.
 
     ``table``     the merged table
     ``outcomes``  (table_name, outcome), one row per incoming row
@@ -39,7 +37,7 @@ class ApplyResult:
 
 
 def prepare_incoming(incoming: DataFrame, target: DataFrame, spec: SyncSpec, page_map=None, para_map=None, order=None):
-    """Incoming rows fitted to the target: known columns, types, defaults, last file per key, XML, links."""
+    """Incoming rows fitted to the target: known columns, types, defaults, links; ``order`` becomes ``_order``."""
     table = spec.table
     schema = target.schema
     for field in schema.fields:
@@ -52,35 +50,29 @@ def prepare_incoming(incoming: DataFrame, target: DataFrame, spec: SyncSpec, pag
     keys = [c for c in aligned.columns if listed(table.keys, c)]
     rows, rejects = coerce(aligned, schema, keys)
     rows = fill_not_null(rows, schema)
-    if order and keys:
-        # Keys are compared as the merge will compare them, so that no key is left twice.
-        keyed, names = with_match_keys(rows, table)
-        rows = dedupe_incoming(keyed, names, "_order").drop(*names, "_order")
-    xml = [c for c in rows.columns if listed(spec.xml_text_cols, c)]
-    if xml:
-        rows = canonical_xml(rows, xml, "compact")
     linked = [c for c in rows.columns if listed(spec.link_cols, c)]
-    if linked and page_map is not None and keys:
-        rows = rewrite_links(rows, keys, linked, page_map, para_map)
-    return rows.drop("_order"), rejects, warnings
+    if linked and page_map is not None:
+        # Keys may repeat or be missing, so rows go by a number, which is fixed by writing them.
+        rows = cut(rows.withColumn("_row", F.monotonically_increasing_id()))
+        rows = rewrite_links(rows, ["_row"], linked, page_map, para_map).drop("_row")
+    return rows, rejects, warnings
 
 
 def apply_snapshot(
     target: DataFrame, snapshot: DataFrame, spec: SyncSpec, strategy: str = SOURCE_WINS,
     page_map: DataFrame | None = None, para_map: DataFrame | None = None, order: str | None = None,
-    once: bool = False,
 ) -> ApplyResult:
     """Apply a snapshot to a target table.
 
-    Nothing is written to the target, so a dry run is the same call without a write of ``table``.
-    ``order`` names the column (a file path) that decides which of several rows with one key counts;
-    without it the keys of the snapshot must be unique. ``once`` computes the merge right away, into
-    the shared work folder, so that table and outcomes both read the result of one join.
+    Nothing is written to the target, so a dry run is the same call without a write of ``table``. The merge is computed
+    once, at once, into the work folder; table and outcomes read it there. ``order`` names the column (a
+    file path) that decides which of several rows with one key counts; the others are skipped.
     """
     table = spec.table
     rows, rejects, warnings = prepare_incoming(snapshot, target, spec, page_map, para_map, order)
     name = F.lit(table.table).alias("table_name")
     if not table.keys:
+        rows = rows.drop("_order")
         return ApplyResult(
             replace_all(target, rows), rows.select(name, F.lit(CREATED).alias("outcome")),
             rejects, rows.where(F.lit(False)), warnings,
@@ -89,13 +81,6 @@ def apply_snapshot(
     keys = [c for c in rows.columns if listed(table.keys, c)]
     no_key = any_of(F.col(f"`{k}`").isNull() for k in keys)
     failed, rows = rows.where(no_key), rows.where(~no_key)
-    merged = merge_rows(target, rows, table, strategy).select(*target.columns, F.col("outcome").alias("_outcome"))
-    if once:
-        merged = cut(merged)
-    if table.goes_by_key:
-        outcomes = merged.where(F.col("_outcome") != KEPT).select(name, F.col("_outcome").alias("outcome"))
-    else:
-        outcomes = incoming_outcomes(target, rows, table, strategy).select(name, "outcome")
-    merged = merged.select(*target.columns)
-    outcomes = outcomes.unionByName(failed.select(name, F.lit(FAILED).alias("outcome")))
-    return ApplyResult(merged, outcomes, rejects, failed, warnings)
+    merged, outcomes = merge_once(target, rows, table, strategy, "_order" if order else None)
+    outcomes = outcomes.select(name, "outcome").unionByName(failed.select(name, F.lit(FAILED).alias("outcome")))
+    return ApplyResult(merged, outcomes, rejects, failed.drop("_order"), warnings)

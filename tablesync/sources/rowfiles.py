@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,20 +19,22 @@ SUMMARY = (
 )
 
 
-def _decode(text: str) -> dict:
-    """Top-level scalars of one YAML file as text, NULL kept apart from ''."""
-    import yaml  # optional dependency, only row files need it
+# A top-level entry of a row file: its key, and its value with the indented lines that belong to it.
+ENTRY = r'(?m)^"?([^"\n:#]+?)"?[ ]*:[ ]*(.*(?:\n(?:[ \t]+.*|(?=\n)))*)$'
 
-    root = yaml.compose(text.lstrip("\ufeff"), Loader=yaml.SafeLoader)
-    if root is None:
-        return {}
-    cells = {}
-    for key, node in root.value:
-        value = node.value if isinstance(node, yaml.ScalarNode) else None
-        if isinstance(node, yaml.ScalarNode) and node.style is None and value in ("", "~", "null"):
-            value = None
-        cells[key.value] = value
-    return cells
+
+def _value(raw: Column) -> Column:
+    """A scalar as text; NULL for nothing, ``~`` and ``null``. Blocks lose their indentation, quotes their escapes."""
+    block = F.regexp_replace(F.regexp_replace(raw, r"^\|[-+]?[ ]*\n", ""), r"(?m)^  ", "")
+    double = F.regexp_replace(F.regexp_extract(raw, r'(?s)^"(.*)"[ ]*$', 1), r'\\(["\\])', "$1")
+    single = F.replace(F.regexp_extract(raw, r"(?s)^'(.*)'[ ]*$", 1), F.lit("''"), F.lit("'"))
+    plain = F.trim(raw)
+    return (
+        F.when(raw.rlike(r"^\|[-+]?[ ]*(\n|$)"), F.regexp_replace(block, r"\n+$", ""))
+        .when(raw.rlike(r'(?s)^".*"[ ]*$'), double)
+        .when(raw.rlike(r"(?s)^'.*'[ ]*$"), single)
+        .when(~plain.isin("", "~", "null"), plain)
+    )
 
 
 def read_row_files(
@@ -41,8 +42,9 @@ def read_row_files(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of a folder with one file each, typed by ``schema``; adds ``_path``. Returns (rows, rejects).
 
-    ``_meta`` files are skipped, column names match without case, and ``_path`` gives the order that
-    ``dedupe_incoming`` needs.
+    A file is a flat list of ``key: value`` lines: plain, quoted, or a block behind ``|``. Nested values are
+    rejected, as are cells that do not parse. ``_meta`` files are skipped, column names match without case, and ``_path``
+    gives the order that merges need.
     """
     files = (
         spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
@@ -50,14 +52,23 @@ def read_row_files(
         .select(F.col("_metadata.file_path").alias("_path"), "value", F.col("_metadata.file_name").alias("_file"))
         .where(F.lower("_file") != "_meta.yml")
     )
+    body = F.regexp_replace(F.regexp_replace("value", "^﻿", ""), "\r\n", "\n")
+    entries = F.zip_with(
+        F.regexp_extract_all(body, F.lit(ENTRY), F.lit(1)), F.regexp_extract_all(body, F.lit(ENTRY), F.lit(2)),
+        lambda k, v: F.struct(F.lower(F.trim(k)).alias("key"), v.alias("raw")),
+    )
+    cells = files.select("_path", entries.alias("_entries"))
+    names = [f.name.lower() for f in schema.fields]
 
-    @F.pandas_udf("map<string,string>")
-    def job(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda x: {k.lower(): v for k, v in _decode(x).items()})
+    def raw(name: str) -> Column:
+        return F.try_element_at(F.filter("_entries", lambda e: e["key"] == name), F.lit(-1))["raw"]
 
-    cells = files.select("_path", job("value").alias("_cells"))
-    text = cells.select("_path", *[F.try_element_at("_cells", F.lit(f.name.lower())).alias(f.name) for f in schema.fields])
-    return coerce(text, schema, ["_path"])
+    nested = F.filter("_entries", lambda e: e["key"].isin(*names) & e["raw"].rlike(r"^\s*(\n[ \t]*\S|[\[{])"))
+    flat = lambda name: F.when(~raw(name).rlike(r"^\s*(\n[ \t]*\S|[\[{])"), _value(raw(name)))
+    text = cells.select("_path", *[flat(f.name.lower()).alias(f.name) for f in schema.fields])
+    rows, rejects = coerce(text, schema, ["_path"])
+    odd = cells.select("_path", F.inline(nested)).select("_path", F.col("key").alias("col"), F.col("raw").alias("value"))
+    return rows, rejects.unionByName(odd)
 
 
 def read_run_logs(spark: SparkSession, folder: str, pattern: str = "*.log") -> DataFrame:

@@ -27,7 +27,9 @@ def snapshot_rows(df: DataFrame, spec: SyncSpec) -> DataFrame:
     rows = exclude_columns(select_rows(df, spec.where), spec.exclude, spec.table.table, spec.include)
     xml = [c for c in spec.xml_text_cols if c.lower() in {n.lower() for n in rows.columns}]
     if xml:
-        rows = canonical_xml(rows, xml) if not spec.drop_elements else drop_xml_elements(rows, xml, spec.drop_elements)
+        rows = canonical_xml(rows, xml)
+        if spec.drop_elements:
+            rows = drop_xml_elements(rows, xml, list(spec.drop_elements), spec.xml_layout)
     return rows.withColumn("_identity", row_identity(rows, spec.table))
 
 
@@ -74,12 +76,15 @@ def backup_tables(spark: SparkSession, tables: dict[str, DataFrame], out: str, s
     return report
 
 
-def purge_tables(spark: SparkSession, paths: dict[str, str], levels: DataFrame) -> list[str]:
-    """Empty the tables, children before parents, keeping their schemas. Returns the order taken.
+def purge_tables(spark: SparkSession, paths: dict[str, str], levels: DataFrame, like: str = "%") -> list[str]:
+    """Empty the tables whose name matches ``like`` (SQL pattern, without case), children before parents, keeping their
+    schemas. Returns the order taken.
 
-    ``levels(name, level)`` comes from ``dependency_levels``; there are as many rows as tables.
+    ``levels(name, level)`` comes from ``dependency_levels``. The order is the driver's to walk: one row per table
+    in ``paths``, which the caller lists.
     """
-    order = [r["name"] for r in levels.orderBy(F.desc("level"), "name").collect() if r["name"] in paths]
+    named = levels.where(F.col("name").isin(*paths) & F.col("name").ilike(like)) if paths else levels.limit(0)
+    order = [r["name"] for r in named.orderBy(F.desc("level"), "name").collect()]
     for name in order:
         schema = spark.read.parquet(paths[name]).schema
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(paths[name])

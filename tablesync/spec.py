@@ -33,8 +33,6 @@ class TableSpec:
     ``name_col``      column whose value identifies a row instead of the keys
     ``compare_cols``  columns that decide whether a row changed (default: all but ``auto_cols``)
     ``auto_cols``     auto-number columns, local to one environment
-    ``xml_cols``      columns of XML type: filled element by element, not as one value
-    ``overlay_cols``  XML text whose root children the target keeps when the source lacks them
     ``keep_fields``   map fields left out of snapshots, which an overwrite therefore must not clear
     ``not_null``      columns that must not be NULL
     """
@@ -44,8 +42,6 @@ class TableSpec:
     name_col: str | None = None
     compare_cols: tuple[str, ...] = ()
     auto_cols: tuple[str, ...] = ()
-    xml_cols: tuple[str, ...] = ()
-    overlay_cols: tuple[str, ...] = ()
     keep_fields: tuple[str, ...] = ()
     not_null: tuple[str, ...] = ()
 
@@ -55,9 +51,20 @@ class TableSpec:
         return not self.name_col or [k.lower() for k in self.keys] == [self.name_col.lower()]
 
 
+@dataclass(frozen=True)
+class XmlLayout:
+    """What XML texts hold: the root tag, items named by the attribute ``key``, their other attributes, plain leaves."""
+
+    root: str
+    item: str
+    key: str
+    attrs: tuple[str, ...] = ()
+    leaves: tuple[str, ...] = ()
+
+
 @dataclass(frozen=True)
 class SyncSpec:
-    """One selection to snapshot and apply."""
+    """One selection to snapshot and apply. ``drop_elements`` are taken out of ``xml_text_cols``, by ``xml_layout``."""
 
     table: TableSpec
     where: str | None = None
@@ -65,6 +72,7 @@ class SyncSpec:
     include: tuple[str, ...] = ()
     xml_text_cols: tuple[str, ...] = ()
     drop_elements: tuple[str, ...] = ()
+    xml_layout: XmlLayout | None = None
     link_cols: tuple[str, ...] = ()
 
 

@@ -4,7 +4,7 @@ from conftest import values
 from tablesync.operators.placement import cut
 from tablesync.operators.quality import run_summary
 from tablesync.plans import content as c
-from tablesync.spec import DESTINATION_WINS, PathRule
+from tablesync.spec import DESTINATION_WINS, PathRule, XmlLayout
 
 PAGES = (
     "page_id int, guid string, parent_id int, area_id int, menu_text string, sort int, item_type string, layout string, "
@@ -40,6 +40,7 @@ def source(rows):
             PARAS,
         ),
         rows([(1, "7", 4), (1, "Anonymous", 1), (3, "7", 4)], PERMS),
+        rows([(1, "Main", "en"), (9, "Unused", "de")], "area_id int, title string, culture string"),
     )
 
 
@@ -50,13 +51,13 @@ def groups(rows):
 
 SPEC = c.ContentSpec(
     (PathRule(1, "/Home", ("/Home/Draft",)),), exclude_fields=("SECRET",), xml_cols={"module_settings": "module"},
-    elements_by_type={"mod": ["sort"]},
+    elements_by_type={"mod": ["sort"]}, xml_layout=XmlLayout("S", "P", "name"), exclude_area_cols=("Culture",),
 )
 
 
 def written(content):
     """The tables as a reader of the snapshot finds them."""
-    return c.Content(*[cut(t) for t in (content.pages, content.rows, content.paragraphs, content.permissions)])
+    return c.Content(*[cut(t) if t is not None else None for t in (content.pages, content.rows, content.paragraphs, content.permissions, content.areas)])
 
 
 @pytest.fixture(scope="module")
@@ -68,7 +69,7 @@ def test_snapshot(snapshot):
     assert values(snapshot.pages, "page_id", "path") == [(1, "/Home"), (2, "/Home/Shop")]
     assert values(snapshot.rows, "row_id", "sort") == [(10, 1), (11, 2)]
     assert snapshot.pages.where("page_id = 1").first()["fields"] == {"Title": "Hi"}
-    assert snapshot.paragraphs.first()["module_settings"] == "<S>\n  <a>1</a>\n</S>"
+    assert snapshot.paragraphs.first()["module_settings"] == "<S><a>1</a></S>"
     assert values(snapshot.permissions, "page_id", "owner", "level") == [(1, "Anonymous", "none"), (1, "Dealers", "read")]
 
 
@@ -90,6 +91,7 @@ def target(rows):
         rows([], ROWS),
         rows([(900, "p1", 501, None, 1, 0, "Text", "<S><own>1</own></S>", "Mod", {"Text": "old"})], PARAS),
         rows([(501, "Administrator", 1364), (77, "9", 4)], PERMS),
+        rows([(1, "", "fr"), (3, "Third", "")], "area_id int, title string, culture string"),
     )
 
 
@@ -103,12 +105,35 @@ def test_apply_source_wins(snapshot, target, groups):
     assert new["shortcut"] == "Default.aspx?ID=501#900" and new["fields"] == {"Link": "502"}
     para = got.content.paragraphs.first()
     assert para["para_id"] == 900 and para["fields"]["Text"] == 'x <a href="Default.aspx?ID=502">y</a>'
-    assert para["module_settings"] == "<S><a>1</a><own>1</own></S>" and para["page_id"] == 501
+    assert para["module_settings"] == "<S><a>1</a></S>" and para["page_id"] == 501
     grid = {r["guid"]: r["row_id"] for r in got.content.rows.collect()}
     assert para["row_id"] == grid["r2"] and got.content.rows.select("page_id").distinct().first()[0] == 501
     assert values(got.content.permissions) == [(501, "7", 4), (501, "Anonymous", 1), (77, "9", 4)]
     total = run_summary(c.content_outcomes(got)).where("table_name = '(total)'").first()
-    assert (total["created"], total["updated"]) == (3, 2)
+    assert (total["created"], total["updated"]) == (3, 3)
+    assert values(got.content.areas) == [(1, "Main", "fr", "updated"), (3, "Third", "", "kept")]
+    assert got.failed.count() == 0
+
+
+def test_rows_without_a_place_fail(rows, source, target):
+    pages = source.pages.unionByName(rows([(8, "g8", 77, 1, "Lost", 0, "", "", None, {}), (9, "g9", 8, 1, "Below", 0, "", "", None, {}), (7, None, 1, 1, "?", 0, "", "", None, {})], PAGES))
+    grid = source.rows.unionByName(rows([(30, "r30", 404, 0, "x"), (31, "r31", 9, 0, "x"), (32, None, 1, 0, "x"), (33, "r33", None, 0, "x")], ROWS))
+    paras = source.paragraphs.unionByName(rows([(40, "p40", 404, 30, 1, 0, "", None, "", {}), (41, "p41", 8, None, 1, 0, "", None, "", {})], PARAS))
+    got = c.apply_content(target, c.Content(pages, grid, paras))
+    assert values(got.failed) == [
+        ("pages", 7, "failed", "no GUID"), ("pages", 8, "failed", "unknown parent 77"), ("pages", 9, "skipped", None),
+        ("paragraphs", 40, "failed", "unknown page 404"), ("paragraphs", 41, "skipped", None),
+        ("rows", 30, "failed", "unknown page 404"), ("rows", 31, "skipped", None), ("rows", 32, "failed", "no GUID"), ("rows", 33, "failed", "unknown page NULL"),
+    ]
+    assert got.content.rows.where("page_id = 0 or page_id is null").count() == 0 and got.content.rows.count() == 3
+    total = run_summary(c.content_outcomes(got)).where("table_name = '(total)'").first()
+    assert (total["failed"], total["skipped"]) == (6, 3)
+
+
+def test_dry_run_of_pages(snapshot, target):
+    got = values(c.content_diffs(target, snapshot), "guid", "col", "old_value", "new_value")
+    assert ("G1", "menu_text", "Mine", "Home") in got and ("G1", "fields[Title]", "Own", "Hi") in got
+    assert values(c.content_diffs(target, snapshot, DESTINATION_WINS), "guid", "col") == [("G1", "shortcut"), ("G1", "sort")]
 
 
 def test_apply_destination_wins_reaches_pages_only(snapshot, target, groups):
@@ -123,7 +148,7 @@ def test_apply_destination_wins_reaches_pages_only(snapshot, target, groups):
 
 def test_second_apply_changes_nothing(snapshot, target, groups):
     first = written(c.apply_content(target, snapshot, groups=groups).content)
-    again = c.Content(*[getattr(first, n).drop("outcome") for n in ("pages", "rows", "paragraphs")], first.permissions)
+    again = c.Content(*[getattr(first, n).drop("outcome") for n in ("pages", "rows", "paragraphs")], first.permissions, first.areas.drop("outcome"))
     twice = c.apply_content(again, snapshot, groups=groups)
     second = written(twice.content)
     assert values(second.permissions) == values(first.permissions)

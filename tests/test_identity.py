@@ -1,3 +1,4 @@
+import datetime as dt
 import hashlib
 
 import pytest
@@ -90,7 +91,7 @@ def test_union_of_id_maps_first_run_wins(rows):
 def test_allocate_ids_keeps_known_and_is_dense(rows):
     target = rows([(5, "A"), (9, "b")], "id int, guid string")
     incoming = rows([(g,) for g in ("a", "x", "y", "z", "B")], "guid string")
-    got = ident.allocate_ids(incoming, target, hex_digits=1)
+    got = ident.allocate_ids(incoming, target)
     ids = {r["guid"]: r["target_id"] for r in got.collect()}
     assert ids["a"] == 5 and ids["B"] == 9 and sorted(ids[g] for g in "xyz") == [10, 11, 12]
 
@@ -100,6 +101,11 @@ def test_allocate_ids_into_empty_target(rows):
     assert got.first()["target_id"] == 1
 
 
+def test_allocate_ids_sets_rows_without_guid_aside(rows):
+    got = ident.allocate_ids(rows([("x", 1), (None, 2), ("X", 3)], "guid string, k int"), rows([], "id int, guid string"))
+    assert values(got, "k", "target_id", "is_new") == [(1, 1, True), (2, None, None), (3, 1, True)]
+
+
 def test_manifest_and_stale_keys(rows, spark):
     spec = TableSpec("t", ("k",))
     before = ident.snapshot_manifest(rows([("A", 1), ("b", 2)], "k string, v int"), spec)
@@ -126,8 +132,14 @@ def test_file_names(rows):
 
 def test_file_names_of_a_hot_identity(rows):
     df = rows([(k, "" if k % 3 else f"n{k}") for k in range(200)], "k int, i string")
-    assert _names(df, hot_rows=20) == _names(df)
-    assert len(set(_names(df, hot_rows=20).values())) == 200
+    assert len(set(_names(df).values())) == 200
+
+
+def test_file_names_that_look_numbered(rows):
+    h = hashlib.md5(b"a").hexdigest()[:6]
+    df = rows([(1, "a"), (2, "a"), (3, f"a [{h}-1]"), (4, f"A [{h}-1]"), (5, "a [1-2]")], "k int, i string")
+    got = _names(df)
+    assert len({n.lower() for n in got.values()}) == 5 and got[1] == "a" and got[5] == "a [1-2]"
 
 
 def test_folder_names(rows):
@@ -140,8 +152,16 @@ def test_folder_names(rows):
 
 
 def test_duplicate_identities(rows):
-    df = rows([(1, "a "), (2, "a"), (3, "b")], "k int, n string")
-    assert values(ident.duplicate_identities(df, TableSpec("t", ("k",), "n"))) == [("a", 2)]
+    df = rows([(1, "a "), (2, "a"), (3, "b"), (4, "Red"), (5, "RED"), (6, "red")], "k int, n string")
+    assert values(ident.duplicate_identities(df, TableSpec("t", ("k",), "n"))) == [("RED", 3), ("a", 2)]
+
+
+def test_keys_keep_leading_blanks(rows):
+    target = rows([("a", 1), (" a", 2)], "k string, v int")
+    incoming = rows([("A ", 9)], "k string, v int")
+    from tablesync.operators.merge import upsert
+
+    assert values(upsert(target, incoming, TableSpec("t", ("k",)))) == [(" a", 2), ("a", 9)]
 
 
 def test_unknown_spec_column_is_refused(rows):
@@ -152,23 +172,33 @@ def test_unknown_spec_column_is_refused(rows):
         snapshot_rows(rows([(1,)], "k int"), SyncSpec(TableSpec("t", ("k",), compare_cols=("nope",))))
 
 
-def test_scatter_rank_is_dense_over_ranges(rows):
-    from tablesync.operators.placement import scatter_rank
+def test_ordinal_numbers_typed_and_null_groups(rows):
+    from tablesync.operators.placement import ordinal
+
+    data = [(None if i % 2 else i % 5, i % 7, i) for i in range(500)]
+    got = {r.id: r.n for r in ordinal(rows(data, "g int, s int, id int"), ["g"], ["s", "id"], "n").collect()}
+    want, seen = {}, {}
+    for g, _, i in sorted(data, key=lambda r: (r[1], r[2])):
+        seen[g] = want[i] = seen.get(g, 0) + 1
+    assert got == want
+
+
+def test_ordinal_parts_timestamps_a_microsecond_apart(rows):
+    from tablesync.operators.placement import ordinal
 
-    df = rows([(f"key{i % 300}", i % 3 > 0) for i in range(600)], "k string, f boolean")
-    got = scatter_rank(df, "k", "f", "n", hex_digits=2)
-    assert got.where("not f and n is not null").count() == 0 and got.count() == 600
-    flagged = sorted({f"key{i}" for i in range(300) if i % 3}, key=lambda k: hashlib.md5(k.encode()).hexdigest())
-    assert dict(values(got.where("f").distinct(), "k", "n")) == {k: i + 1 for i, k in enumerate(flagged)}
+    at = [dt.datetime(2024, 5, 5, 5, 5, 5, k) for k in (1, 2)]
+    got = ordinal(rows([(at[i % 2], i) for i in range(40)], "g timestamp, id int"), ["g"], ["id"], "n")
+    assert sorted((r.g, r.n) for r in got.collect()) == [(g, n + 1) for g in at for n in range(20)]
 
 
-def test_ordinal_hot_and_cold_groups_agree(rows):
+def test_ordinal_of_all_rows(rows):
     from tablesync.operators.placement import ordinal
 
-    data = [(None if i % 2 else i % 5, i % 7, i) for i in range(500)]
-    df = rows(data, "g int, s int, id int")
-    plain = ordinal(df, ["g"], ["s", "id"], "n")
-    hot = ordinal(df, ["g"], ["s", "id"], "n", hot_rows=60)
-    assert values(plain) == values(hot)
-    top = hot.where(F.col("g").isNull()).agg(F.max("n").alias("m")).first()["m"]
-    assert top == 250
+    got = ordinal(rows([(i * 37 % 101,) for i in range(101)], "id int"), [], ["id"], "n")
+    assert values(got) == sorted(((i, i + 1) for i in range(101)), key=lambda t: [(True, str(v)) for v in t])
+
+
+def test_last_per_takes_columns_of_any_type(rows):
+    df = rows([(1, "a", {"x": "1"}), (1, "b", {"x": "2"}), (2, None, None), (2, None, {"y": None})], "k int, o string, m map<string,string>")
+    got = {r.k: r.m for r in ident.last_per(df, ["k"], ["o"]).collect()}
+    assert got[1] == {"x": "2"} and 2 in got and len(got) == 2

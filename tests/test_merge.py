@@ -103,42 +103,47 @@ def test_seed_fill_counts_an_empty_seed_as_fill(rows):
     assert got.first()["outcome"] == "updated" and got.first()["filled"] == "note"
 
 
-XML = "id string, xml string"
-XML_SPEC = TableSpec("pay", ("id",), "id", xml_cols=("xml",))
-OWN = '<S><Parameter name="Language">en</Parameter></S>'
-SEED = '<S><Parameter name="Language">da</Parameter><Parameter name="Mail">x@y</Parameter></S>'
+def test_would_fill_lists_cells(rows):
+    schema = "id string, xml string, note string"
+    got = values(merge.would_fill(rows([("1", "", "")], schema), rows([("1", "<a/>", "hello")], schema), TableSpec("t", ("id",))))
+    assert got == [("1", "note", "hello"), ("1", "xml", "<a/>")]
 
 
-@pytest.mark.parametrize(
-    "own, seed, result, outcome",
-    [
-        (OWN, SEED, '<S><Parameter name="Language">en</Parameter><Parameter name="Mail">x@y</Parameter></S>', "updated"),
-        (OWN, '<S><Parameter name="Language">da</Parameter></S>', OWN, "skipped"),
-        ("<broken", SEED, "<broken", "skipped"),
-        (OWN, "<broken", OWN, "skipped"),
-        ("", SEED, "", "skipped"),
-        (None, SEED, None, "skipped"),
-    ],
-)
-def test_seed_fill_merges_xml_by_element(rows, own, seed, result, outcome):
-    got = merge.seed_fill(rows([("1", own)], XML), rows([("1", seed)], XML), XML_SPEC).first()
-    assert (got["xml"], got["outcome"]) == (result, outcome)
+def test_seed_fill_fills_struct_members(rows):
+    schema = "id int, seo struct<title:string,descr:string>"
+    target = rows([(1, ("", "own")), (2, None), (3, ("t", "d")), (4, (None, ""))], schema)
+    seed = rows([(1, ("T", "D")), (2, ("T", "D")), (3, ("T", "D")), (4, None)], schema)
+    got = {r.id: (r.seo and tuple(r.seo), r.outcome) for r in merge.seed_fill(target, seed, TableSpec("t", ("id",))).collect()}
+    assert got == {1: (("T", "own"), "updated"), 2: (("T", "D"), "updated"), 3: (("t", "d"), "skipped"), 4: ((None, ""), "skipped")}
 
 
-def test_seed_fill_xml_by_separate_name(rows):
-    schema = "id int, name string, xml string"
-    spec = TableSpec("pay", ("id",), "name", xml_cols=("xml",))
-    target = rows([(1, "p", OWN), (2, "q", OWN)], schema)
-    got = merge.seed_fill(target, rows([(8, "P", SEED)], schema), spec)
-    assert values(got, "id", "outcome") == [(1, "updated"), (2, "kept")]
-    assert "Mail" in got.where("id = 1").first()["xml"]
+REPEATED = [(1, "a", "2.yml"), (1, "b", "3.yml"), (1, "c", "1.yml"), (5, "e", "9.yml"), (5, "d", "8.yml")]
 
 
-def test_would_fill_lists_cells_and_elements(rows):
-    target = rows([("1", OWN, "")], "id string, xml string, note string")
-    seed = rows([("1", SEED, "hello")], "id string, xml string, note string")
-    got = values(merge.would_fill(target, seed, XML_SPEC))
-    assert got == [("1", "note", "hello"), ("1", "xml", "element=Mail: <missing> -> 'x@y'")]
+@pytest.mark.parametrize("shuffled", [0, 1, 2])
+def test_repeated_incoming_keys_do_not_multiply_rows(rows, shuffled):
+    data = list(REPEATED)
+    random.Random(shuffled).shuffle(data)
+    target, inc = rows([(1, "old"), (2, "kept")], "id int, v string"), rows(data, "id int, v string, path string")
+    spec = TableSpec("t", ("id",))
+    assert values(merge.upsert(target, inc, spec, "path")) == [(1, "b"), (2, "kept"), (5, "e")]
+    assert values(merge.update_subset(target, inc, ["id"], ["v"], "path")) == [(1, "b"), (2, "kept")]
+    assert values(merge.seed_fill(rows([(1, "")], "id int, v string"), inc, spec, "path"), "id", "v") == [(1, "b"), (5, "e")]
+    by_name = TableSpec("t", ("id",), "v")
+    assert values(merge.merge_rows(target, inc, by_name, order="path"), "id", "v") == [(1, "b"), (2, "kept"), (5, "e")]
+    for s in (spec, by_name):
+        done = apply_snapshot(target, inc, SyncSpec(s), order="path")
+        total = done.summary().where("table_name = '(total)'").first()
+        assert (total["created"], total["updated"], total["skipped"]) == (1, 1, 3)
+        assert values(done.table) == [(1, "b"), (2, "kept"), (5, "e")]
+    # without an order the content decides, always in the same way
+    assert values(merge.upsert(target, inc, spec)) == values(merge.upsert(target, rows(REPEATED, "id int, v string, path string"), spec))
+
+
+def test_many_rows_of_one_key_are_counted(spark, rows):
+    inc = spark.range(25_001).selectExpr("1 as id", "cast(id as string) as v")
+    done = apply_snapshot(rows([], "id int, v string"), inc, SyncSpec(TableSpec("t", ("id",))))
+    assert done.table.count() == 1 and done.outcomes.count() == 25_001
 
 
 def test_replace_all_keeps_auto_numbers(rows):
@@ -246,7 +251,7 @@ def test_apply_snapshot_end_to_end(rows):
     target = rows([(1, "a", 5, "<A />"), (2, "b", 6, "<A />")], "id int, name string, n int, x string")
     incoming = rows(
         [
-            ("1", "a", "5", "<A>\n</A>", "?", "1.yml"),
+            ("1", "a", "5", "<A />", "?", "1.yml"),
             ("2", "see Default.aspx?ID=3#4", "oops", "<A><B>1</B></A>", "?", "2.yml"),
             ("3", "first", "1", None, "?", "3.yml"),
             ("3", "last", "1,000", None, "?", "4.yml"),
@@ -254,7 +259,7 @@ def test_apply_snapshot_end_to_end(rows):
         ],
         "ID string, name string, n string, x string, drifted string, path string",
     )
-    spec = SyncSpec(TableSpec("t", ("id",)), xml_text_cols=("x",), link_cols=("name",))
+    spec = SyncSpec(TableSpec("t", ("id",)), link_cols=("name",))
     ids = lambda *p: rows(list(p), "source_id int, target_id int")
     got = apply_snapshot(target, incoming, spec, page_map=ids((3, 33)), para_map=ids((4, 44)), order="path")
     assert values(got.table) == [
@@ -264,7 +269,7 @@ def test_apply_snapshot_end_to_end(rows):
         (3, "last", None, None),
     ]
     total = got.summary().where("table_name = '(total)'").first()
-    assert (total["created"], total["updated"], total["skipped"], total["failed"]) == (2, 1, 1, 0)
+    assert (total["created"], total["updated"], total["skipped"], total["failed"]) == (2, 1, 2, 0)
     assert {r["col"] for r in got.rejects.collect()} == {"n"}
     assert [r["column_name"] for r in got.warnings.collect()] == ["drifted"]
 
@@ -281,6 +286,13 @@ def test_apply_keyless_replaces(rows):
     assert values(got.table) == [("a",), ("b",)] and got.summary().first()["created"] == 2
 
 
+def test_apply_keyless_rewrites_links(rows):
+    spec = SyncSpec(TableSpec("t"), link_cols=("v",))
+    ids = rows([(3, 33)], "source_id int, target_id int")
+    got = apply_snapshot(rows([("x",)], "v string"), rows([("Default.aspx?ID=3",), ("Default.aspx?ID=3",), ("3",)], "v string"), spec, page_map=ids)
+    assert values(got.table) == [("33",), ("Default.aspx?ID=33",), ("Default.aspx?ID=33",)]
+
+
 def _random_pair(rows, seed):
     r = random.Random(seed)
     cell = lambda: r.choice([None, "", " ", "x", "y", "Z"])

@@ -26,26 +26,29 @@ def test_safe_paths(rows, path, safe):
     assert df.select(quality.is_safe_path(F.col("p")).alias("s")).first()["s"] is safe
 
 
-def test_missing_assets_show_five_users(rows):
+def test_missing_assets_list_every_user(rows):
     refs = rows([("item-type", "X", f"p{i}") for i in range(7)] + [("item-type", "ok", "p"), ("item-type", "..", "p")], "kind string, path string, referenced_by string")
     got = quality.missing_assets(refs, rows([("item-type", "ok")], "kind string, path string"))
-    assert values(got, "path", "problem", "users") == [("..", "unsafe path", "p"), ("X", "missing", "p0, p1, p2, p3, p4, ... (7 total)")]
+    assert values(got, "path", "problem", "referenced_by") == [("..", "unsafe path", "p"), *[("X", "missing", f"p{i}") for i in range(7)]]
+    assert values(quality.users_per_asset(got), "path", "n_users") == [("..", 1), ("X", 7)]
 
 
-def test_strict_gate(rows):
-    w = rows([("one",), ("two",)], "warning string")
+def test_strict_gate_counts_and_lists_all_warnings(spark, rows):
+    w = spark.range(25_000).select(F.concat(F.lit("warning "), F.col("id").cast("string")).alias("warning"))
     assert quality.assert_no_warnings(w, strict=False) == 0 and quality.assert_no_warnings(w.where("false")) == 0
-    with pytest.raises(quality.StrictModeError, match="(?s)2 warning.*one.*two"):
+    with pytest.raises(quality.StrictModeError, match="^25000 warning") as e:
         quality.assert_no_warnings(w)
+    assert spark.read.parquet(str(e.value).rsplit(" ", 1)[1]).distinct().count() == 25_000
 
 
 def test_advice(rows):
     errors = [
         ("T", "conflict with FOREIGN KEY"), ("T", "foreign key again"), ("T", "Group 'x' not found"), ("T", "Duplicate entry"),
-        ("T", "boom"), ("T", " "), ("T", None),
+        ("T", "boom"), ("T", " "), ("T", None), (None, "no connection"),
     ]
     got = quality.advice(rows(errors, "table_name string, error string"))
-    assert sorted(r["kind"] for r in got.collect()) == ["duplicate key", "foreign key", "missing group", "other"]
+    assert sorted(r["kind"] for r in got.collect()) == ["again", "duplicate key", "foreign key", "missing group", "other", "run"]
+    assert quality.advice(rows([("T", None)], "table_name string, error string")).count() == 0
 
 
 def test_secrets(rows):

@@ -86,21 +86,22 @@ def test_tree_under_one_parent(tight):
 
 def test_last_of_a_hot_key_is_reduced_before_the_shuffle(tight):
     df = merge.dedupe_incoming(hot(tight).select("ref", "id", "pad"), ["ref"], "id")
-    assert "partial_max_by" in final_plan(df)
+    assert "WindowGroupLimit" in final_plan(df)
     assert df.where("ref = 7").first()["id"] == (N - 1) // 3 * 3
 
 
 def test_users_of_a_hot_asset_stay_rows(tight):
     used = hot(tight).select(F.concat(F.lit("a"), F.col("ref").cast("string")).alias("path"), F.col("id").cast("string").alias("u"))
     assets = quality.asset_refs([(used, "item-type", "path", "u")])
-    users = quality.asset_users(assets)
-    assert "WindowGroupLimit" in final_plan(users)
+    users = quality.users_per_asset(assets)
     assert users.where("path = 'a7'").first()["n_users"] == N // 3 and assets.count() == N
+    missing = quality.missing_assets(assets, assets.select("kind", "path").limit(0))
+    assert missing.count() == N
 
 
 def test_numbering_a_hot_group_uses_many_tasks(tight):
     df = hot(tight).select("ref", "id")
-    got = placement.ordinal(df, ["ref"], ["id"], "n", hot_rows=1000)
+    got = placement.ordinal(df, ["ref"], ["id"], "n")
     seven = got.where("ref = 7")
     assert seven.agg(F.count_distinct("n").alias("d"), F.max("n").alias("m")).first() == (N // 3, N // 3)
     assert seven.where("n <> id / 3 + 1").count() == 0 and got.count() == N

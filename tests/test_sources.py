@@ -11,25 +11,28 @@ from tablesync.operators.integrity import dependency_levels
 from tablesync.operators.merge import dedupe_incoming
 from tablesync.plans.apply import apply_snapshot
 from tablesync.sources import rowfiles, tables
-from tablesync.spec import SyncSpec, TableSpec
+from tablesync.spec import SyncSpec, TableSpec, XmlLayout
 
-ROW = '\ufeff"PaymentId": "PAY1"\n"paymentname": "Credit: card"\n"Sorting": 1\n"Active": true\n"Icon": \n"Empty": ""\n"Xml": |-\n  <S>\n    <A>1</A>\n  </S>\n'
+FILE = (
+    '\ufeff"Code": "B-7"\r\nlabel: \'it\'\'s: fine\'\r\n"Rank": 12\r\n"Live": true\r\n"Icon": \r\n"Blank": ""\r\n'
+    '"Text": |-\r\n  one\r\n    two\r\n\r\n  "three": 3\r\n"Quote": "say \\"hi\\" \\\\ bye"\r\n"Gone": ~\r\n"Other": x\r\n'
+)
 
 
 def test_row_files(spark, tmp_path):
-    pytest.importorskip("yaml")
-    folder = tmp_path / "_sql" / "Pay"
+    folder = tmp_path / "rows" / "Badge"
     folder.mkdir(parents=True)
-    (folder / "a.yml").write_text(ROW, encoding="utf8")
-    (folder / "b.yml").write_text('"PaymentId": "PAY2"\n"Sorting": "x"\n')
-    (folder / "_meta.yml").write_text('"tableName": "Pay"\n')
-    goal = T.StructType().add("PaymentId", "string").add("PaymentName", "string").add("Sorting", "integer")
-    goal = goal.add("Active", "boolean").add("Icon", "string").add("Empty", "string").add("Xml", "string")
-    df, rejects = rowfiles.read_row_files(spark, str(folder), goal)
-    a = df.where("PaymentId = 'PAY1'").first()
-    assert tuple(a)[1:] == ("PAY1", "Credit: card", 1, True, None, "", "<S>\n  <A>1</A>\n</S>")
-    assert df.count() == 2 and values(rejects, "col", "value") == [("Sorting", "x")]
-    assert dedupe_incoming(df, ["PaymentId"], "_path").count() == 2
+    (folder / "a.yml").write_text(FILE, encoding="utf8", newline="")
+    (folder / "b.yml").write_text('"Code": "C-8"\n"Rank": many\n"Label":\n  nested: 1\n  more: 2\n"Icon": [1, 2]\n')
+    (folder / "_meta.yml").write_text('"Code": "none"\n')
+    goal = T.StructType()
+    for name, kind in (("Code", "string"), ("Label", "string"), ("Rank", "integer"), ("Live", "boolean"), ("Icon", "string"), ("Blank", "string"), ("Text", "string"), ("Quote", "string"), ("Gone", "string")):
+        goal = goal.add(name, kind)
+    df, rejects = rowfiles.read_row_files(spark, str(folder.parent), goal)
+    a = df.where("Code = 'B-7'").first()
+    assert tuple(a)[1:] == ("B-7", "it's: fine", 12, True, None, "", 'one\n  two\n\n"three": 3', 'say "hi" \\ bye', None)
+    assert df.count() == 2 and sorted(r.col for r in rejects.collect()) == ["Rank", "icon", "label"]
+    assert dedupe_incoming(df, ["Code"], "_path").count() == 2
 
 
 def test_run_logs(spark, tmp_path):
@@ -47,7 +50,7 @@ def test_run_logs(spark, tmp_path):
 @pytest.mark.parametrize("fmt", ["parquet", "json"])
 def test_round_trip_is_identical(spark, rows, tmp_path, fmt):
     df = rows([("a", "<S><A>1</A><Secret>x</Secret></S>", 1, 5), ("b", None, None, 6)], "k string, x string, n int, drop_me int")
-    spec = SyncSpec(TableSpec("T", ("k",)), exclude=("DROP_ME",), xml_text_cols=("x",), drop_elements=("secret",))
+    spec = SyncSpec(TableSpec("T", ("k",)), exclude=("DROP_ME",), xml_text_cols=("x",), drop_elements=("secret",), xml_layout=XmlLayout("S", "P", "name"))
     tables.write_snapshot(df, spec, f"{tmp_path}/one", fmt)
     first = tables.read_snapshot(spark, f"{tmp_path}/one", fmt)
     assert values(first, "k", "n") == [("a", 1), ("b", None)] and "Secret" not in first.where("k = 'a'").first()["x"]

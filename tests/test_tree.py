@@ -79,6 +79,13 @@ def test_ordered_tree(rows):
     assert got == [1, 4, 3, 5, 2]
 
 
+def test_tree_keys_do_not_cut(rows):
+    wide = 2**62
+    df = rows([("root", None, "r", 0), ("x" * 30 + "b", "root", "n", wide), ("x" * 30 + "a", "root", "n", wide), ("c", "root", "n", -wide)], "id string, parent string, name string, sort bigint")
+    got = tree.ordered_tree(df, "id", "parent", "sort", "name").collect()
+    assert [r["id"] for r in got] == ["root", "c", "x" * 30 + "a", "x" * 30 + "b"] and len({r.tree_key for r in got}) == 4
+
+
 def test_counts(nodes, rows):
     paras = rows([(1,), (3,), (5,), (None,)], "page int")
     got = tree.tree_counts(nodes, "id", "parent", rows([(1,)], "id int"), "id", {"paragraphs": (paras, "page")})
@@ -88,7 +95,6 @@ def test_counts(nodes, rows):
 def test_renumber_equal_sorts_and_hot_page(rows):
     df = rows([(1, 0, i) for i in range(90)] + [(2, 3, 7), (2, 1, 8)], "page int, sort int, id int")
     plain = tree.renumber(df, "page", "sort", "id")
-    assert values(plain) == values(tree.renumber(df, "page", "sort", "id", hot_rows=10))
     assert plain.where("page = 1 and id = 4").first()["row_no"] == 5
     assert values(plain.where("page = 2"), "id", "row_no") == [(7, 2), (8, 1)]
 
@@ -117,24 +123,33 @@ def test_assign_columns(rows):
     assert values(got, "p", "col") == [("known", 2), ("none", 4), ("unknown", 4)]
 
 
-def levels(rows, tables, edges, **kw):
-    got = integrity.dependency_levels(rows([(t,) for t in tables], "name string"), rows(edges, "child string, parent string"), **kw)
+def levels(rows, names, edges, **kw):
+    got = integrity.dependency_levels(rows([(n,) for n in names], "name string"), rows(edges, "child string, parent string"), **kw)
     return dict(values(got))
 
 
-def test_levels(rows):
-    assert levels(rows, ["A", "B"], []) == {"A": 0, "B": 0}
-    assert levels(rows, ["A", "B", "C"], [("A", "b"), ("B", "c")]) == {"A": 2, "B": 1, "C": 0}
-    diamond = [("D", "B"), ("D", "C"), ("B", "A"), ("C", "A"), ("A", "A"), ("A", "outside")]
-    assert levels(rows, list("ABCD"), diamond) == {"A": 0, "B": 1, "C": 1, "D": 2}
-    assert levels(rows, [], []) == {}
-
-
-def test_level_cycles(rows):
-    edges = [("A", "B"), ("B", "A"), ("C", "A")]
-    with pytest.raises(ValueError, match="A, B, C"):
-        levels(rows, list("ABCD"), edges)
-    assert levels(rows, list("ABCD"), edges, on_cycle="mark") == {"A": None, "B": None, "C": None, "D": 0}
+def test_levels_are_the_longest_way_up(rows):
+    r = random.Random(5)
+    names = [f"Node{i}" for i in range(60)]
+    pairs = [(i, r.randrange(i)) for i in range(1, 60) for _ in range(r.randrange(3))]
+    want = {}
+    for i in range(60):
+        want[names[i]] = max((want[names[p]] + 1 for c, p in pairs if c == i), default=0)
+    edges = [(names[c].upper(), names[p].lower()) for c, p in pairs]
+    edges += [(names[7], names[7].upper()), (names[3], "no such node"), ("nor this", names[3])]
+    assert levels(rows, names, edges) == want
+    assert levels(rows, [], []) == {} and levels(rows, names[:2], []) == {"Node0": 0, "Node1": 0}
+
+
+def test_a_long_cycle_is_listed_whole(rows, spark):
+    ring = [(f"r{i}", f"r{(i + 1) % 80}") for i in range(80)]
+    names = [f"r{i}" for i in range(80)] + ["free", "behind"]
+    with pytest.raises(integrity.CircularDependencyError, match="81 names") as e:
+        levels(rows, names, [*ring, ("behind", "r5")])
+    listed = spark.read.parquet(str(e.value).rsplit(" ", 1)[1])
+    assert {r.name for r in listed.collect()} == {*names} - {"free"}
+    marked = levels(rows, names, [*ring, ("behind", "r5")], on_cycle="mark")
+    assert marked["free"] == 0 and {marked[n] for n in names if n != "free"} == {None}
 
 
 def test_orphans(rows):
