@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -18,9 +17,10 @@ from tablesync.llm.mixing import mix
 from tablesync.llm.near import similar_classes
 from tablesync.llm.quality import fit, score
 from tablesync.llm.shards import assign_shards
-from tablesync.llm.shared import saved, shared_dir
+from tablesync.llm.shared import saved
 from tablesync.llm.tokens import BYTE_PAIRS, WORDS, Rollup, count_tokens, deletes, inserts, revisions
 from tablesync.llm.urls import judge_urls
+from tablesync.operators.placement import work_path
 
 
 @dataclass(frozen=True)
@@ -242,6 +242,6 @@ def token_batches(docs: DataFrame, labels: DataFrame, rollup: Rollup, tokenizers
 
 @case("op7_token_counts")
 def token_counts(spark, folder):
-    rollup = Rollup(spark, f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}")
+    rollup = Rollup(spark, work_path(spark, "rollup"))
     token_batches(table(spark, folder, "documents"), table(spark, folder, "labels"), rollup)
     return rollup.totals()

@@ -1,31 +1,33 @@
-"""Tables in the shared folder, and column names that cannot clash."""
+"""Tables in the shared folder, and texts inside of row structs."""
 
 from __future__ import annotations
 
-import uuid
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """This application's folder in ``spark.checkpoint.dir``; where that is unset, as in tests, in the warehouse,
-    which every executor reaches as well."""
-    conf = spark.sparkContext.getConf()
-    root = conf.get("spark.checkpoint.dir") or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
-    return f"{root}/{spark.sparkContext.applicationId}"
+from tablesync.operators.placement import delete_path, work_path
 
 
 def saved(df: DataFrame, what: str) -> DataFrame:
     """Write the rows as a table in the shared folder and read them back: the lineage ends on storage that outlives
     executors, and later steps that use the frame twice read it instead of computing it twice."""
-    path = f"{shared_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
+    path = work_path(df.sparkSession, what)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def forget(df: DataFrame) -> None:
     """Delete the table behind a frame of ``saved`` that nothing reads any more."""
-    jvm, conf = df.sparkSession._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        delete_path(df.sparkSession, folder)
+
+
+def whole_rows(docs: DataFrame) -> list[Column]:
+    """All columns, to be held in one struct, where no name can clash."""
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
+def texts_of(batch, text_col: str):
+    """The texts of a batch whose first column is a struct: a column of their own, or a field of the struct."""
+    return batch.column("text") if "text" in batch.schema.names else pc.struct_field(batch.column(0), [text_col])
