@@ -119,3 +119,12 @@ def _(spark, d):
 )
 def _(spark, d):
     return c.apply_content(partly_known(spark, d), incoming(spark, d)).failed
+
+
+@case(
+    "e11_content_diffs",
+    f"""SELECT CASE WHEN sort = 50 THEN 2 ELSE 1 END AS area_id, md5(CAST(id AS VARCHAR)) AS guid, 'menu_text' AS col, 'old' AS old_value, name AS new_value
+        FROM ({TREE_SQL}) x WHERE sort > 15""",
+)
+def _(spark, d):
+    return c.content_diffs(partly_known(spark, d), incoming(spark, d))

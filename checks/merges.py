@@ -12,7 +12,7 @@ from checks.identities import BY_NAME, MAP_SQL, NAME_SQL, customer_map, named_pa
 from checks.tables import FIELDS_SQL, exploded, part_fields
 from tablesync.functions.unset import is_unset
 from tablesync.operators import merge, selection, tree
-from tablesync.plans.apply import apply_snapshot
+from tablesync.plans.apply import apply_all, apply_snapshot
 from tablesync.plans.content import apply_by_guid
 from tablesync.spec import DESTINATION_WINS, SyncSpec, TableSpec
 
@@ -350,6 +350,24 @@ def _(spark, d):
     return apply_snapshot(unset_orders(spark, d), as_text(incoming_orders(spark, d)), spec, DESTINATION_WINS).summary()
 
 
+@case(
+    "e14_apply_all",
+    f"""{PAIR_SQL}, o AS (SELECT 'orders' AS table_name, CASE WHEN t.o_orderkey IS NULL THEN 'created'
+          WHEN t.o_orderpriority = i.o_orderpriority THEN 'skipped' ELSE 'updated' END AS outcome
+          FROM inc i LEFT JOIN live t ON t.o_orderkey = i.o_orderkey
+          UNION ALL SELECT 'customer', CASE WHEN c_acctbal < 0 THEN 'created' ELSE 'skipped' END FROM customer
+          UNION ALL SELECT 'notes', 'created' FROM supplier) {_SUMMARY}""",
+)
+def _(spark, d):
+    customers = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    notes = table(spark, d, "supplier").select("s_suppkey", "s_name")
+    solvent = table(spark, d, "customer").where("c_acctbal >= 0").select("c_custkey", "c_name", "c_mktsegment")
+    targets = {"orders": live_orders(spark, d), "customer": solvent, "notes": notes.limit(0)}
+    snapshots = {"orders": as_text(incoming_orders(spark, d)), "customer": customers, "notes": notes}
+    specs = [SyncSpec(ORDERS), SyncSpec(TableSpec("customer", ("c_custkey",))), SyncSpec(TableSpec("notes")), SyncSpec(TableSpec("absent", ("x",)))]
+    return apply_all(targets, snapshots, specs).summary()
+
+
 @case(
     "e14_apply_keyless_links",
     f"""WITH m AS ({MAP_SQL}) SELECT o_orderkey, 'see Default.aspx?ID=' || coalesce(target_id, o_custkey) AS note

@@ -83,7 +83,7 @@ def align_to_schema(df: DataFrame, target: T.StructType, table: str = "") -> tup
     kept = [F.col(f"`{actual_name(df, f.name)}`").alias(f.name) for f in target.fields if actual_name(df, f.name)]
     have = {f.name.lower() for f in target.fields}
     dropped = [c for c in df.columns if c.lower() not in have]
-    text = "source column [{}].[{}] not present on target schema - skipping"
+    text = "{}.{}: left out, the target has no such column"
     rows = [(table, c, text.format(table, c)) for c in dropped]
     return df.select(*kept), df.sparkSession.createDataFrame(rows, WARNING)
 

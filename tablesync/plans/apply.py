@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,9 +11,10 @@ from pyspark.sql import functions as F
 from tablesync.functions.text import actual_name, any_of, listed
 from tablesync.operators.merge import merge_once, replace_all
 from tablesync.operators.placement import cut
-from tablesync.operators.quality import run_summary
+from tablesync.operators.quality import assert_no_warnings, run_summary
 from tablesync.operators.refs import rewrite_links
 from tablesync.operators.schema import align_to_schema, coerce, fill_not_null
+from tablesync.plans.content import AppliedContent
 from tablesync.spec import CREATED, FAILED, SOURCE_WINS, SyncSpec
 
 
@@ -84,3 +86,51 @@ def apply_snapshot(
     merged, outcomes = merge_once(target, rows, table, strategy, "_order" if order else None)
     outcomes = outcomes.select(name, "outcome").unionByName(failed.select(name, F.lit(FAILED).alias("outcome")))
     return ApplyResult(merged, outcomes, rejects, failed.drop("_order"), warnings)
+
+
+@dataclass(frozen=True)
+class ApplyAllResult:
+    """The result per table, and over all of them: ``summary`` counts outcomes, ``warnings`` lists what was noticed.
+
+    ``warnings`` (table_name, warning) has dropped columns, cells that did not parse, and rows without a key.
+    """
+
+    results: dict[str, ApplyResult]
+    warnings: DataFrame
+
+    def summary(self) -> DataFrame:
+        return run_summary(reduce(DataFrame.unionByName, [r.outcomes for r in self.results.values()]))
+
+
+def apply_all(
+    targets: dict[str, DataFrame], snapshots: dict[str, DataFrame], specs: list[SyncSpec], strategy: str = SOURCE_WINS,
+    content: AppliedContent | None = None, order: str | None = None, strict: bool = False,
+) -> ApplyAllResult:
+    """Apply the snapshots of several tables, in the order of ``specs``.
+
+    Links in the tables go through the id maps of a ``content`` apply. All warnings, those of the content included, pass one
+    gate at the end: a strict run fails if there is any, before the caller writes a table. Tables without a snapshot stay out.
+    """
+    page_map, para_map = (content.page_map, content.para_map) if content else (None, None)
+    results, notes = {}, []
+    for spec in specs:
+        name = spec.table.table
+        if name not in snapshots:
+            continue
+        done = apply_snapshot(targets[name], snapshots[name], spec, strategy, page_map, para_map, order)
+        results[name] = done
+        label = F.lit(name).alias("table_name")
+        notes.append(done.warnings.select(label, "warning"))
+        cell = F.concat(F.lit("no value for "), "col", F.lit(": "), "value")
+        notes.append(done.rejects.select(label, cell.alias("warning")))
+        notes.append(done.failed.select(label, F.lit("a row without a key").alias("warning")))
+    if not results:
+        raise ValueError("no table has a snapshot")
+    if content is not None:
+        lost = F.concat(F.lit("row "), F.col("source_id").cast("string"), F.lit(" "), "outcome", F.lit(": "), F.coalesce("warning", F.lit("above it")))
+        notes.append(content.failed.select("table_name", lost.alias("warning")))
+        if content.warnings is not None:
+            notes.append(content.warnings.select(F.lit("permissions").alias("table_name"), F.concat(F.lit("unknown group "), "group_name").alias("warning")))
+    warnings = cut(reduce(DataFrame.unionByName, notes))
+    assert_no_warnings(warnings, strict)
+    return ApplyAllResult(results, warnings)

@@ -24,6 +24,7 @@ def session(cpus: int = 8):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", "/tmp/checkpoints")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()

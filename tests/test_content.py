@@ -2,9 +2,10 @@ import pytest
 from conftest import values
 
 from tablesync.operators.placement import cut
-from tablesync.operators.quality import run_summary
+from tablesync.operators.quality import StrictModeError, run_summary
 from tablesync.plans import content as c
-from tablesync.spec import DESTINATION_WINS, PathRule, XmlLayout
+from tablesync.plans.apply import apply_all
+from tablesync.spec import DESTINATION_WINS, PathRule, SyncSpec, TableSpec, XmlLayout
 
 PAGES = (
     "page_id int, guid string, parent_id int, area_id int, menu_text string, sort int, item_type string, layout string, "
@@ -156,3 +157,19 @@ def test_second_apply_changes_nothing(snapshot, target, groups):
         assert values(getattr(second, n), key, "guid") == values(getattr(first, n), key, "guid")
         # Only the page with a field of its own, and the paragraph with XML of its own, differ from the snapshot.
         assert getattr(second, n).where("outcome not in ('skipped', 'kept')").count() <= 1
+
+
+def test_tables_follow_the_content_through_one_gate(rows, snapshot, target, groups):
+    content = c.apply_content(target, snapshot, groups=groups)
+    old = rows([(1, "x")], "k int, link string")
+    new = rows([("1", "Default.aspx?ID=1#20", "?"), ("2", "2", "?"), ("z", "", "?")], "k string, link string, drifted string")
+    specs = [SyncSpec(TableSpec("t", ("k",)), link_cols=("link",)), SyncSpec(TableSpec("no snapshot", ("k",)))]
+    got = apply_all({"t": old}, {"t": new}, specs, content=content)
+    assert values(got.results["t"].table) == [(0, ""), (1, "Default.aspx?ID=501#900"), (2, "502")]
+    assert sorted(r.table_name for r in got.warnings.collect()) == ["t", "t"]
+    total = got.summary().where("table_name = 't'").first()
+    assert (total["created"], total["updated"]) == (2, 1)
+    with pytest.raises(StrictModeError, match="^2 warning"):
+        apply_all({"t": old}, {"t": new}, specs, content=content, strict=True)
+    with pytest.raises(ValueError, match="no table"):
+        apply_all({"t": old}, {}, specs)
