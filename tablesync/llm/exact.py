@@ -49,10 +49,12 @@ def exact_duplicates(
     ids = rows.select("doc_id", "digest")
     alone = ids.join(winners.where("texts = 1").drop("texts"), "digest")
 
+    out = ["doc_id", "keep_id", "group_size", "digest"]
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept")
+    shown = ["doc_id", "keep_id", "group_size", kept, "digest"]
+    if winners.where("texts > 1").isEmpty():
+        return alone.select(*shown)
     clashing = rows.join(winners.where("texts > 1").select("digest"), "digest", "left_semi")
     parted = clashing.groupBy("digest", "body").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     apart = clashing.join(parted, ["digest", "body"])
-
-    out = ["doc_id", "keep_id", "group_size", "digest"]
-    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept")
-    return alone.select(*out).unionByName(apart.select(*out)).select("doc_id", "keep_id", "group_size", kept, "digest")
+    return alone.select(*out).unionByName(apart.select(*out)).select(*shown)
