@@ -216,7 +216,8 @@ def similar_classes(
     )
     node = told.select("cid", F.explode("nodes").alias("node"))
     crowded = node.groupBy("node").agg(F.min("cid").alias("first"), F.max("cid").alias("last")).where("first < last")
-    edges = node.join(crowded, "node").where("cid > first").select(F.col("cid").alias("a"), F.col("first").alias("b"))
+    # merged at every size: what would be broadcast here grows with the documents
+    edges = node.join(crowded.hint("merge"), "node").where("cid > first").select(F.col("cid").alias("a"), F.col("first").alias("b"))
     parts = components(edges).select(F.col("node").alias("cid"), F.col("root").alias("comp"))
 
     inside = saved(classes.join(parts, "cid"), "candidates")
@@ -225,7 +226,7 @@ def similar_classes(
     units = (
         inside.join(extent, "comp")
         .withColumn("own", own)
-        .join(slim, F.col("rep_id").eqNullSafe(F.col("doc_id")))
+        .join(slim.hint("merge"), F.col("rep_id").eqNullSafe(F.col("doc_id")))
         .select("comp", "own", "key", F.col("copies").alias("weight"), "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
         .select("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "weight", "text")
     )
