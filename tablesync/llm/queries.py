@@ -232,7 +232,7 @@ def token_batches(docs: DataFrame, labels: DataFrame, rollup: Rollup, tokenizers
     by_id = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     low, toxic = by_id.where("quality = 0").select("doc_id"), by_id.where("toxic = 1").select("doc_id")
     clean = F.regexp_replace("text", r"[^\p{L}\p{N}\s]+", "")
-    revised = saved(count_tokens(docs.join(low, "doc_id", "left_semi").withColumn("text", clean), tokenizers), "revised")
+    revised = saved(count_tokens(docs.join(low.hint("merge"), "doc_id", "left_semi").withColumn("text", clean), tokenizers), "revised")
     old = counted.join(low, "doc_id", "left_semi")
     for _ in range(2):
         rollup.commit("2-revise", revisions(old, revised))
