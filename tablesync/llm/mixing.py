@@ -9,6 +9,7 @@ from tablesync.llm.shared import saved
 
 WORD = r"[^\x20\x09-\x0D]+"
 BINS = 4096
+FILL = 1000
 
 
 def word_count(text: Column) -> Column:
@@ -73,14 +74,26 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, source_col: str, cycle
     cut = saved(cut.select("source", (F.col("need") - F.coalesce("got", "spent")).alias("gap"), "bin", "end"), "cuts")
 
     sampled = (fine < F.col("bin")) | (fine == F.col("bin")) & F.coalesce(F.col("place") <= F.col("end"), F.lit(False))
-    left = _meet(ranked, cut, "inner").where(~sampled).groupBy("source", "gap", "place").agg(F.sum("size").alias("size"))
-    off = F.abs(F.col("gap") - F.col("size"))
-    extra = left.where(off < F.col("gap")).groupBy("source").agg(F.min(F.struct(off.alias("off"), "place")).alias("extra"))
+    # what is open then is closed by unsampled documents: large ones first, as many as fit, then the one that comes nearest
+    turn = F.struct((-F.col("size")).alias("size"), "place")
+    left = _meet(ranked, cut, "inner").where(~sampled & (F.col("size") > 0) & (F.col("size") <= F.col("gap")))
+    left = left.groupBy("source", "gap", turn.alias("turn")).agg(F.sum("size").alias("size"))
+    by_turn = Window.partitionBy("source").orderBy("turn")
+    left = left.withColumn("n", F.row_number().over(by_turn)).where(F.col("n") <= FILL)
+    left = left.withColumn("filled", F.sum("size").over(by_turn.rowsBetween(Window.unboundedPreceding, 0))).where("filled <= gap")
+    fills = left.groupBy("source").agg(F.max("turn").alias("fill_end"), F.max("filled").alias("filled"))
+    cut = saved(_meet(cut, fills, "left").withColumn("open", F.col("gap") - F.coalesce("filled", F.lit(0))), "cuts")
+
+    filler = (F.col("size") > 0) & (F.col("size") <= F.col("gap")) & F.coalesce(turn <= F.col("fill_end"), F.lit(False))
+    off = F.abs(F.col("open") - F.col("size"))
+    rest = _meet(ranked, cut, "inner").where(~sampled & ~filler & (F.col("size") < 2 * F.col("open")))
+    rest = rest.groupBy("source", "open", "place").agg(F.sum("size").alias("size")).where(off < F.col("open"))
+    extra = rest.groupBy("source").agg(F.min(F.struct(off.alias("off"), "place")).alias("extra"))
     cut = saved(_meet(cut, extra.select("source", F.col("extra.place").alias("added")), "left"), "cuts")
 
-    decided = docs.select(*drawn, F.struct(*row).alias("row")) if row else slim
+    decided = docs.select(*drawn, word_count(F.col(text_col)).alias("size"), F.struct(*row).alias("row")) if row else slim
     rows = _meet(_meet(decided, plan, "left"), cut, "left").withColumn("place", F.struct(rank.alias("rank"), "u", "doc_id"))
-    picked = (F.col("share") > 0) & (sampled | F.coalesce(F.col("place") == F.col("added"), F.lit(False)))
+    picked = (F.col("share") > 0) & (sampled | filler | F.coalesce(F.col("place") == F.col("added"), F.lit(False)))
     return rows.withColumn("copies", F.col("whole") + F.coalesce(picked, F.lit(False)).cast("long"))
 
 
@@ -97,8 +110,9 @@ def mix(
     A source's expected copies are its target over its size. The whole part is certain: every document is taken so many
     times. The rest of the target is a Pareto order sample: each source has its own odds of inclusion, its documents are
     ranked by their random odds over those, and taken in that order while they fit, so the sample's size is fixed in
-    words. Last, the one unsampled document whose size comes nearest to the words still open is added, if that brings
-    the source closer to its target. Random numbers come from the id's digest, so reruns agree.
+    words. The words then open, fewer than the next document has, are closed by unsampled documents: the ``FILL`` largest that are
+    small enough, as far as they fit, and the one whose size comes nearest to the rest, if that brings the source closer
+    to its target. Random numbers come from the id's digest, so reruns agree.
 
     No source is gathered: a histogram of the random numbers, whose ``BINS`` bins hold about equally many documents,
     finds the bin in which the target is reached, a second one splits that bin again, and only the rows of the last bin,

@@ -145,12 +145,22 @@ ranked AS (
 run AS (
   SELECT *, share > 0 AND sum(size) OVER (PARTITION BY source ORDER BY rank, u, doc_id ROWS UNBOUNDED PRECEDING) <= need AS sampled FROM ranked),
 open_words AS (SELECT source, any_value(need) - coalesce(sum(size) FILTER (sampled), 0) AS gap FROM run WHERE share > 0 GROUP BY source),
+small AS (
+  SELECT r.source, doc_id, size, gap, row_number() OVER (PARTITION BY r.source ORDER BY size DESC, rank, u, doc_id) AS n,
+    sum(size) OVER (PARTITION BY r.source ORDER BY size DESC, rank, u, doc_id ROWS UNBOUNDED PRECEDING) AS filled
+  FROM run r JOIN open_words o ON r.source IS NOT DISTINCT FROM o.source WHERE share > 0 AND NOT sampled AND size > 0 AND size <= gap),
+fills AS (SELECT source, doc_id, size FROM small WHERE n <= 1000 AND filled <= gap),
+still_open AS (
+  SELECT o.source, o.gap - coalesce(f.words, 0) AS open FROM open_words o
+  LEFT JOIN (SELECT source, sum(size) AS words FROM fills GROUP BY source) f ON f.source IS NOT DISTINCT FROM o.source),
 extra AS (
-  SELECT DISTINCT ON (r.source) r.source, doc_id AS added FROM run r JOIN open_words o ON r.source IS NOT DISTINCT FROM o.source
-  WHERE share > 0 AND NOT sampled AND abs(gap - size) < gap ORDER BY r.source, abs(gap - size), rank, u, doc_id)
+  SELECT DISTINCT ON (r.source) r.source, doc_id AS added FROM run r JOIN still_open o ON r.source IS NOT DISTINCT FROM o.source
+  WHERE share > 0 AND NOT sampled AND abs(open - size) < open AND (r.source, doc_id) NOT IN (SELECT source, doc_id FROM fills)
+  ORDER BY r.source, abs(open - size), rank, u, doc_id)
 SELECT r.doc_id, r.size, CAST(r.source_size AS BIGINT) AS source_size, r.target,
-  CAST((whole + CASE WHEN sampled OR (e.added IS NOT NULL AND e.added = r.doc_id) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
-FROM run r LEFT JOIN extra e ON r.source IS NOT DISTINCT FROM e.source"""
+  CAST((whole + CASE WHEN sampled OR f.doc_id IS NOT NULL OR (e.added IS NOT NULL AND e.added = r.doc_id) THEN 1 ELSE 0 END) * r.size AS BIGINT) AS taken
+FROM run r LEFT JOIN extra e ON r.source IS NOT DISTINCT FROM e.source
+LEFT JOIN fills f ON r.source IS NOT DISTINCT FROM f.source AND r.doc_id = f.doc_id"""
 
 
 @case("op9_source_mixing", _MIX)
