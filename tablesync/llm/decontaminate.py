@@ -7,9 +7,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablesync.llm.shared import texts_of, whole_rows
 from tablesync.llm.words import Words, run_hashes, word_blocks
 
 _U = np.uint64
@@ -107,14 +108,14 @@ def _counter(vocabulary):
     return count
 
 
-def _marker(shared, first: bool, last: bool):
+def _marker(shared, first: bool, last: bool, text_col: str):
     """For mapInArrow: add the hits of one block of items to each document's row; the last block drops the text."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = shared.value
         for batch in batches:
-            before = None if first else (batch.column("hit"), batch.column("items"))
-            for words in word_blocks(batch.column("text")):
+            before, texts = None if first else (batch.column("hit"), batch.column("items")), texts_of(batch, text_col)
+            for words in word_blocks(texts):
                 n_words, n_hit, hits, items = [], [], [], []
                 for k in range(words.hi - words.lo):
                     hit, found = windows.hits(words, k)
@@ -131,30 +132,30 @@ def _marker(shared, first: bool, last: bool):
                     yield pa.RecordBatch.from_arrays([part.column("row"), *judged], names=["row", "n_words", "n_hit", "items"])
                 else:
                     yield pa.RecordBatch.from_arrays(
-                        [part.column("row"), part.column("text"), judged[2], pa.array(hits, pa.binary())], names=["row", "text", "items", "hit"]
+                        [part.column("row"), texts.slice(words.lo, words.hi - words.lo), judged[2], pa.array(hits, pa.binary())], names=["row", "text", "items", "hit"]
                     )
 
     return mark
 
 
 def _marked(
-    docs: DataFrame, row: list[Column], benchmark: DataFrame, text_col: str, item_col: str, item_text_col: str, size: int, block_bytes: int
+    slim: DataFrame, texts: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text_col: str, size: int, block_bytes: int
 ) -> DataFrame:
-    """(row, n_words, n_hit, items): the given columns as one struct, so that no name can clash."""
-    sc = docs.sparkSession.sparkContext
-    slim = docs.select(F.struct(*row).alias("row"), F.col(text_col).alias("text"))
+    """(row, n_words, n_hit, items) of rows with a struct ``row``, which holds the text unless there is a column ``text``;
+    ``texts`` has them as its one column."""
+    sc = slim.sparkSession.sparkContext
     row_type = slim.schema["row"].dataType.simpleString()
     out, first, blocks = slim, True, _item_blocks(benchmark, item_col, item_text_col, block_bytes)
     items: list[tuple] | None = next(blocks, [])
     while items is not None:
         hashes = [w.hashes[w.offsets[k] : w.offsets[k + 1]] for _, w, k in _item_words(items)]
         vocabulary = sc.broadcast(np.unique(np.concatenate([np.zeros(0, _U), *hashes])))
-        counted = slim.select("text").mapInArrow(_counter(vocabulary), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+        counted = texts.mapInArrow(_counter(vocabulary), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
         counts = {r.word & (1 << 64) - 1: r.n for r in counted.toLocalIterator()} if items else {}  # one row per word of the block
         shared = sc.broadcast(build_windows(items, counts, size))
         items = next(blocks, None)
         kept = "text string, items array<string>, hit binary" if items is not None else "n_words long, n_hit long, items array<string>"
-        out = out.mapInArrow(_marker(shared, first, items is None), f"row {row_type}, {kept}")
+        out = out.mapInArrow(_marker(shared, first, items is None, text_col), f"row {row_type}, {kept}")
         first = False
     return out
 
@@ -184,7 +185,8 @@ def contamination(
     Null and empty documents have no words and no hits; items without words match nothing; items with the same id count
     once, null ids as one id. Repeated documents are judged row by row. Without items nothing is contaminated.
     """
-    out = _marked(docs, [F.col(id_col).alias("doc_id")], benchmark, text_col, item_col, item_text_col, size, block_bytes)
+    slim = docs.select(F.struct(F.col(id_col).alias("doc_id")).alias("row"), F.col(text_col).alias("text"))
+    out = _marked(slim, slim.select("text"), benchmark, text_col, item_col, item_text_col, size, block_bytes)
     return out.select(
         "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items",
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
@@ -195,8 +197,9 @@ def keep_clean(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = 10, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """The documents, with all their columns, that ``contamination`` finds no hit in."""
-    row = [F.col(f"`{c}`") for c in docs.columns]
-    return _marked(docs, row, benchmark, text_col, item_col, item_text_col, size, block_bytes).where("n_hit = 0").select("row.*")
+    slim = docs.select(F.struct(*whole_rows(docs)).alias("row"))
+    out = _marked(slim, docs.select(F.col(text_col)), benchmark, text_col, item_col, item_text_col, size, block_bytes)
+    return out.where("n_hit = 0").select("row.*")
 
 
 def _item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple]]:

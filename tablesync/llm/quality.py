@@ -10,11 +10,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablesync.llm.shared import texts_of, whole_rows
 from tablesync.llm.words import BLOCK, mix, text_bytes
 
 _U = np.uint64
 DIMENSIONS = 1 << 17
-MAX_TRAIN_ROWS = 6000
+MAX_TRAIN_ROWS = 3000
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -198,14 +199,13 @@ def fit(
     return train(slots, rows.column("label").to_numpy().astype(bool))
 
 
-def _judged(docs: DataFrame, model: Model, row: list[Column], text_col: str) -> DataFrame:
-    """(row, score): the given columns as one struct, so that no name can clash."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    slim = docs.select(F.struct(*row).alias("row"), F.col(text_col).alias("text"))
+def _judged(slim: DataFrame, model: Model, text_col: str) -> DataFrame:
+    """(row, score) of rows with a struct ``row``, which holds the text unless there is a column ``text``."""
+    shared = slim.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [shared.value.score(s) for s in _slots_of(batch.column(1))]
+            scores = [shared.value.score(s) for s in _slots_of(texts_of(batch, text_col))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["row", "score"])
 
     return slim.mapInArrow(judge, f"row {slim.schema['row'].dataType.simpleString()}, score double")
@@ -217,7 +217,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     ``score`` is the probability of label 1, from the whole text and nothing else; a null counts as empty, and an empty
     text, which has no n-grams, gets the model's score without evidence. Repeated documents are scored row by row.
     """
-    judged = _judged(docs, model, [F.col(id_col).alias("doc_id")], text_col)
+    judged = _judged(docs.select(F.struct(F.col(id_col).alias("doc_id")).alias("row"), F.col(text_col).alias("text")), model, text_col)
     return judged.select(
         "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
@@ -225,4 +225,5 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """The documents, with all their columns, that ``score`` predicts to be good."""
-    return _judged(docs, model, [F.col(f"`{c}`") for c in docs.columns], text_col).where(F.col("score") >= threshold).select("row.*")
+    judged = _judged(docs.select(F.struct(*whole_rows(docs)).alias("row")), model, text_col)
+    return judged.where(F.col("score") >= threshold).select("row.*")

@@ -73,10 +73,10 @@ def assign_shards(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", tex
         return joined.withColumn("bundle", F.xxhash64(F.when(F.col("pieces").isNull(), share).otherwise(own))).drop("pieces")
 
     weights = bundled(slim).groupBy("bundle").agg(F.sum("size").alias("b"), F.sum("tokens").alias("t"), F.count("*").alias("r"))
-    weights = weights.orderBy("bundle").toPandas()
-    place = pack(weights[["b", "t", "r"]].to_numpy(float), shards)
+    weights = weights.orderBy("bundle").toArrow()
+    place = pack(np.stack([weights.column(c).to_numpy().astype(float) for c in "btr"], axis=1), shards)
     spark = docs.sparkSession
-    placed = spark.createDataFrame(list(zip(weights["bundle"].tolist(), place.tolist(), strict=True)), "bundle long, shard int")
+    placed = spark.createDataFrame(list(zip(weights.column("bundle").to_pylist(), place.tolist(), strict=True)), "bundle long, shard int")
 
     dealt = bundled(rows).join(F.broadcast(placed), "bundle").drop("bundle")
     buckets = int(max(64, (total.r or 0) // (shards * SLOT_ROWS)))
