@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.llm.graph import components
-from tablesync.llm.shared import saved
+from tablesync.llm.shared import saved, texts_of, whole_rows
 from tablesync.llm.words import mix, run_hashes, word_blocks
 
 TREES = 32
@@ -42,7 +42,7 @@ def shingles(hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 def _signer(n: int, trees: int, levels: int, depth: list[int]):
-    """For mapInArrow: documents to (doc_id, key, class hash, bytes, trie nodes)."""
+    """For mapInArrow: (doc_id, text, mark) to (doc_id, key, class hash, bytes, trie nodes, mark)."""
     rng = np.random.default_rng(20)
     odd = rng.integers(0, 1 << 31, trees * levels, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
     shift = rng.integers(0, 1 << 32, trees * levels, dtype=np.uint32)
@@ -83,14 +83,15 @@ def _signer(n: int, trees: int, levels: int, depth: list[int]):
                         pa.array(np.frombuffer(b"".join(keys), np.int64)[::2]),
                         pa.array(sizes, pa.int64()),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(nodes.reshape(-1))),
+                        batch.column(2).slice(words.lo, words.hi - words.lo),
                     ],
-                    names=["doc_id", "key", "cid", "bytes", "nodes"],
+                    names=["doc_id", "key", "cid", "bytes", "nodes", "mark"],
                 )
 
     return sign
 
 
-_SIGNED = "doc_id long, key binary, cid long, bytes long, nodes array<long>"
+_SIGNED = "doc_id long, key binary, cid long, bytes long, nodes array<long>, mark long"
 
 
 def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list]]:
@@ -207,13 +208,16 @@ def similar_classes(
     A null id is kept; a class of nothing but null ids has class_id null. Other columns are not looked at.
     """
     depth = depths(threshold, recall, trees, levels)
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    # the mark, a hash of the raw text, finds a class's own text again where ids repeat or are null
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("mark"))
     signed = saved(slim.mapInArrow(_signer(n, trees, levels, depth), _SIGNED), "signatures")
 
     told = signed.where("bytes > 0")
     classes = told.groupBy("key").agg(
-        F.min("doc_id").alias("rep_id"), F.count("*").alias("copies"), F.min("cid").alias("cid"), F.max("bytes").alias("bytes")
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("rep"),
+        F.count("*").alias("copies"), F.min("cid").alias("cid"), F.max("bytes").alias("bytes"),
     )
+    classes = classes.select("key", F.col("rep.doc_id").alias("rep_id"), F.col("rep.mark").alias("rep_mark"), "copies", "cid", "bytes")
     node = told.select("cid", F.explode("nodes").alias("node"))
     crowded = node.groupBy("node").agg(F.min("cid").alias("first"), F.max("cid").alias("last")).where("first < last")
     # merged at every size: what would be broadcast here grows with the documents
@@ -226,7 +230,7 @@ def similar_classes(
     units = (
         inside.join(extent, "comp")
         .withColumn("own", own)
-        .join(slim.hint("merge"), F.col("rep_id").eqNullSafe(F.col("doc_id")))
+        .join(slim.hint("merge"), (F.col("rep_mark") == F.col("mark")) & F.col("rep_id").eqNullSafe(F.col("doc_id")))
         .select("comp", "own", "key", F.col("copies").alias("weight"), "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
         .select("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "weight", "text")
     )
@@ -260,15 +264,19 @@ def similar_classes(
     return with_words.select(*out).unionByName(alone.select(*out))
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keyer(text_col: str):
     """For mapInArrow: add the digest of the words; null for a text without words."""
-    for batch in batches:
-        keys = []
-        for words in word_blocks(batch.column(1)):
-            for k in range(words.hi - words.lo):
-                body = words.normalised(k)
-                keys.append(hashlib.blake2b(body, digest_size=16).digest() if body else None)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary())], names=["row", "key"])
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = []
+            for words in word_blocks(texts_of(batch, text_col)):
+                for k in range(words.hi - words.lo):
+                    body = words.normalised(k)
+                    keys.append(hashlib.blake2b(body, digest_size=16).digest() if body else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary())], names=["row", "key"])
+
+    return keyed
 
 
 def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -276,8 +284,8 @@ def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     the smallest id, one of them if that row is repeated. Documents without words all stay."""
     judged = similar_classes(docs, id_col, text_col, **options)
     staying = judged.where(F.col("stays") & F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("doc_id", "key").distinct()
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
-    rows = whole.mapInArrow(_keyed, f"row {whole.schema['row'].dataType.simpleString()}, key binary")
+    whole = docs.select(F.struct(*whole_rows(docs)).alias("row"))
+    rows = whole.mapInArrow(_keyer(text_col), f"row {whole.schema['row'].dataType.simpleString()}, key binary")
     rows = rows.withColumn("id", F.col("row")[id_col].cast("long"))
     told = rows.where("key is not null").alias("r").join(
         staying.alias("s"), (F.col("r.key") == F.col("s.key")) & F.col("r.id").eqNullSafe(F.col("s.doc_id"))

@@ -107,3 +107,14 @@ def test_prefixes_are_shortened_until_the_recall_is_reached():
     assert max(depths(0.95, 0.9)) == 8
     with pytest.raises(ValueError):
         depths(0.1, 0.99999, trees=2)
+
+
+def test_many_null_ids_do_not_multiply(spark):
+    """A third of the rows without an id: each class still meets its own text only."""
+    from pyspark.sql import functions as F
+
+    words = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(11)), lambda k: F.concat(F.lit("w"), (F.col("id") * 31 + k).cast("string"))), " ")
+    docs = spark.range(900).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), words.alias("text"))
+    near = docs.select("doc_id", F.concat("text", F.lit(" end")).alias("text"))
+    got = similar_classes(docs.unionByName(near))
+    assert got.where("n_links = 1").count() == 1800 and got.where("class_id is null").count() == 600
