@@ -84,8 +84,9 @@ def _(spark, d):
     summary = F.to_json(F.struct(F.col("s_name").alias("operation"), F.col("s_nationkey").alias("totalCreated")))
     lines = F.concat(F.lit("line of "), F.col("s_suppkey").cast("string"))
     text = F.concat(F.lit("=== RUN SUMMARY ===\n"), summary, F.lit("\n=== END SUMMARY ===\n"), lines)
-    logs = rowfiles.read_run_logs(spark, one_file_per_row(spark, table(spark, d, "supplier").select(text)), "*.txt")
-    return logs.select("summary.operation", F.col("summary.totalCreated").alias("created"), F.rtrim(F.regexp_replace("log_text", "\\n$", "")).alias("log_text"))
+    folder = one_file_per_row(spark, table(spark, d, "supplier").select(text))
+    logs = rowfiles.read_run_logs(spark, folder, "*.txt").join(rowfiles.read_log_lines(spark, folder, "*.txt"), "file_name")
+    return logs.select("summary.operation", F.col("summary.totalCreated").alias("created"), F.col("line").alias("log_text"))
 
 
 @case(

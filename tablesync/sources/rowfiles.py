@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.operators.placement import cut, ordinal
 from tablesync.operators.schema import coerce
 
 # The lines around the JSON summary at the head of a run log.
@@ -71,18 +72,35 @@ def read_row_files(
     return rows, rejects.unionByName(odd)
 
 
-def read_run_logs(spark: SparkSession, folder: str, pattern: str = "*.log") -> DataFrame:
-    """One row per log, newest first: the parsed summary (NULL if there is none) and the raw text after it."""
-    files = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True).select(
+def _log_lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """All lines of all logs with their place: the offset of the part of the file that a task read, and a number in it."""
+    lines = spark.read.option("pathGlobFilter", pattern).text(folder).select(
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_modification_time").alias("written_at"),
-        "value",
+        F.struct(F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("n")).alias("place"),
+        F.col("value").alias("line"),
     )
-    block = F.regexp_extract("value", rf"(?s){SUMMARY_START}(.*?){SUMMARY_END}", 1)
-    rest = F.regexp_replace("value", rf"(?s)^.*?{SUMMARY_END}[\r\n]*", "")
-    return files.select(
-        "file_name",
-        "written_at",
-        F.when(block != "", F.from_json(block, SUMMARY)).alias("summary"),
-        rest.alias("log_text"),
-    ).orderBy(F.desc("written_at"), F.desc("file_name"))
+    lines = cut(lines)
+    start, end = F.col("line").rlike(f"^{SUMMARY_START}\\s*$"), F.col("line").rlike(f"^{SUMMARY_END}\\s*$")
+    marks = lines.where(start | end).groupBy("file_name").agg(F.min(F.when(start, F.col("place"))).alias("first"), F.min(F.when(end, F.col("place"))).alias("last"))
+    marks = marks.where("first < last").withColumnRenamed("file_name", "_file")
+    return lines.join(marks, F.col("file_name") == F.col("_file"), "left").drop("_file")
+
+
+def read_run_logs(spark: SparkSession, folder: str, pattern: str = "*.log") -> DataFrame:
+    """One row per log, newest first: file_name, written_at and the parsed summary (NULL if there is none).
+
+    Logs are read as lines; only the lines of the summary at the head of a log are put together. An empty log has no row.
+    """
+    lines = _log_lines(spark, folder, pattern)
+    inside = (F.col("place") > F.col("first")) & (F.col("place") < F.col("last"))
+    block = F.sort_array(F.collect_list(F.when(inside, F.struct("place", "line"))))  # the summary's lines alone
+    logs = lines.groupBy("file_name", "written_at").agg(F.array_join(F.transform(block, lambda x: x["line"]), "\n").alias("block"))
+    summary = F.when(F.col("block") != "", F.from_json("block", SUMMARY)).alias("summary")
+    return logs.select("file_name", "written_at", summary).orderBy(F.desc("written_at"), F.desc("file_name"))
+
+
+def read_log_lines(spark: SparkSession, folder: str, pattern: str = "*.log") -> DataFrame:
+    """The lines behind the summary of each log, or all lines of a log without one: file_name, line_no, line."""
+    lines = _log_lines(spark, folder, pattern).where("last is null or place > last")
+    return ordinal(lines.select("file_name", "place", "line"), ["file_name"], ["place"], "line_no").select("file_name", "line_no", "line")

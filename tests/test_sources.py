@@ -44,7 +44,22 @@ def test_run_logs(spark, tmp_path):
     got = rowfiles.read_run_logs(spark, str(tmp_path)).collect()
     assert [r["file_name"] for r in got] == ["new.log", "old.log"]
     assert got[0]["summary"]["totalCreated"] == 3 and got[0]["summary"]["predicates"][0]["table"] == "T"
-    assert got[0]["log_text"] == "[t] line 1\nline 2\n" and got[1]["summary"] is None and got[1]["log_text"] == "plain text\n"
+    assert got[1]["summary"] is None
+    lines = rowfiles.read_log_lines(spark, str(tmp_path)).collect()
+    assert sorted(tuple(r) for r in lines) == [("new.log", 1, "[t] line 1"), ("new.log", 2, "line 2"), ("old.log", 1, "plain text")]
+
+
+def test_a_long_log_stays_lines_in_order(spark, tmp_path):
+    (tmp_path / "long.log").write_text("=== RUN SUMMARY ===\n{}\n" + "".join(f"line {i}\n" for i in range(30_000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        lines = rowfiles.read_log_lines(spark, str(tmp_path)).collect()
+        assert rowfiles.read_run_logs(spark, str(tmp_path)).first()["summary"] is None  # never closed
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    text = {r.line_no: r.line for r in lines}
+    assert len(lines) == 30_002 and text[3] == "line 0" and all(text[i + 3] == f"line {i}" for i in range(30_000))
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "json"])
