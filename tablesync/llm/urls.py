@@ -68,9 +68,8 @@ def _filled(keys: DataFrame, number: int, size: int, hashes: int) -> Level:
             yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(bits.view(np.int64))], names=["word", "bits"])
 
     rows = keys.select("h1", "h2").mapInArrow(put, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    out = np.zeros(size // 64, np.int64)
-    for row in rows.toLocalIterator():
-        out[row.word] = row.bits
+    out, found = np.zeros(size // 64, np.int64), rows.toArrow()
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
     return Level(out.view(_U), hashes)
 
 
@@ -152,7 +151,7 @@ def judge_urls(
     spark = pages.sparkSession
     rules = rules.where("host is not null and path is not null").select(F.translate("host", UPPER, LOWER).alias("host"), "path", "verdict")
     labels = rules.select(F.max(F.size(F.split("host", r"\."))).alias("n")).first().n or 0
-    lengths = sorted(r.n for r in rules.select(F.length("path").alias("n")).distinct().toLocalIterator())
+    lengths = sorted(r.n for r in rules.select(F.length("path").alias("n")).distinct().collect())  # at most the longest path
     host, path = url_parts(F.col(url_col))
     urls = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
     asked = urls.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), labels, lengths))
