@@ -151,7 +151,8 @@ def _marked(
         hashes = [w.hashes[w.offsets[k] : w.offsets[k + 1]] for _, w, k in _item_words(items)]
         vocabulary = sc.broadcast(np.unique(np.concatenate([np.zeros(0, _U), *hashes])))
         counted = texts.mapInArrow(_counter(vocabulary), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-        counts = {r.word & (1 << 64) - 1: r.n for r in counted.toLocalIterator()} if items else {}  # one row per word of the block
+        found = counted.toArrow() if items else None  # at most one row per word of the block
+        counts = dict(zip(found.column("word").to_numpy().view(_U).tolist(), found.column("n").to_pylist(), strict=True)) if items else {}
         shared = sc.broadcast(build_windows(items, counts, size))
         items = next(blocks, None)
         kept = "text string, items array<string>, hit binary" if items is not None else "n_words long, n_hit long, items array<string>"
