@@ -91,12 +91,21 @@ def drop_xml_elements_by_type(
 
 def xml_fields(col: Column, layout: XmlLayout) -> Column:
     """Items and leaves of an XML text as a field map, in document order of the items; the last of equal names counts."""
-    items = F.transform(_items(col, layout), lambda i: F.struct(i[f"_{layout.key}"].alias("key"), F.coalesce(i["_VALUE"], F.lit("")).alias("value")))
-    leaves = [F.struct(F.lit(x).alias("key"), parsed(col, layout)[x].alias("value")) for x in layout.leaves]
-    entries = F.concat(items, F.filter(F.array(*leaves), lambda e: e["value"].isNotNull())) if leaves else items
-    named = F.filter(entries, lambda e: e["key"].isNotNull())
-    last = F.filter(named, lambda e, i: ~F.exists(F.slice(named, i + 2, F.size(named)), lambda x: x["key"] == e["key"]))
-    return F.map_from_entries(last)
+    none = F.array().cast(schema_of(layout)[layout.item].dataType)
+
+    def fields(doc: Column) -> Column:
+        items = F.transform(
+            F.coalesce(doc[layout.item], none), lambda i: F.struct(i[f"_{layout.key}"].alias("key"), F.coalesce(i["_VALUE"], F.lit("")).alias("value"))
+        )
+        leaves = [F.struct(F.lit(x).alias("key"), doc[x].alias("value")) for x in layout.leaves]
+        entries = F.concat(items, F.filter(F.array(*leaves), lambda e: e["value"].isNotNull())) if leaves else items
+        return F.filter(entries, lambda e: e["key"].isNotNull())
+
+    def last(named: Column) -> Column:
+        return F.map_from_entries(F.filter(named, lambda e, i: ~F.exists(F.slice(named, i + 2, F.size(named)), lambda x: x["key"] == e["key"])))
+
+    # the text is parsed once, and its entries are listed once
+    return F.transform(F.transform(F.array(parsed(col, layout)), fields), last)[0]
 
 
 def _escaped(text: Column) -> Column:
