@@ -9,7 +9,6 @@ from tablesync.llm.shared import saved
 
 WORD = r"[^\x20\x09-\x0D]+"
 BINS = 4096
-FILL = 1000
 
 
 def word_count(text: Column) -> Column:
@@ -74,17 +73,28 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, source_col: str, cycle
     cut = saved(cut.select("source", (F.col("need") - F.coalesce("got", "spent")).alias("gap"), "bin", "end"), "cuts")
 
     sampled = (fine < F.col("bin")) | (fine == F.col("bin")) & F.coalesce(F.col("place") <= F.col("end"), F.lit(False))
-    # what is open then is closed by unsampled documents: large ones first, as many as fit, then the one that comes nearest
-    turn = F.struct((-F.col("size")).alias("size"), "place")
-    left = _meet(ranked, cut, "inner").where(~sampled & (F.col("size") > 0) & (F.col("size") <= F.col("gap")))
-    left = left.groupBy("source", "gap", turn.alias("turn")).agg(F.sum("size").alias("size"))
-    by_turn = Window.partitionBy("source").orderBy("turn")
-    left = left.withColumn("n", F.row_number().over(by_turn)).where(F.col("n") <= FILL)
-    left = left.withColumn("filled", F.sum("size").over(by_turn.rowsBetween(Window.unboundedPreceding, 0))).where("filled <= gap")
-    fills = left.groupBy("source").agg(F.max("turn").alias("fill_end"), F.max("filled").alias("filled"))
-    cut = saved(_meet(cut, fills, "left").withColumn("open", F.col("gap") - F.coalesce("filled", F.lit(0))), "cuts")
-
-    filler = (F.col("size") > 0) & (F.col("size") <= F.col("gap")) & F.coalesce(turn <= F.col("fill_end"), F.lit(False))
+    # what is open then is closed by unsampled documents: large ones first, as many as fit, then the one that comes nearest.
+    # A histogram of sizes finds the size at which no more fit; documents of that size follow their places, found as above
+    left = _meet(ranked.drop("need"), cut, "inner").where(~sampled & (F.col("size") > 0) & (F.col("size") <= F.col("gap")))
+    left = left.drop("bin", "end").withColumnRenamed("gap", "need").withColumn("spent", F.lit(0).cast("long"))
+    sizes = saved(left.groupBy("source", "need", "spent", (-F.col("size")).alias("step")).agg(F.sum("size").alias("size")), "bins")
+    full = saved(_reached(sizes, F.col("step")), "bins")
+    edge = _meet(left.drop("spent"), full, "inner").where(-F.col("size") == F.col("bin")).drop("bin")
+    one = saved(_reached(edge, coarse), "bins")
+    two = saved(_reached(_meet(edge.drop("spent"), one, "inner").where(coarse == F.col("bin")).drop("bin"), fine), "bins")
+    last = _meet(edge.drop("spent"), two, "inner").where(fine == F.col("bin"))
+    last = last.groupBy("source", "need", "spent", "place").agg(F.sum("size").alias("size"))
+    last = last.withColumn("got", F.col("spent") + F.sum("size").over(earlier)).where("got <= need")
+    ends = last.groupBy("source").agg(F.max("place").alias("fill_end"), F.max("got").alias("got"))
+    fills = _meet(sizes.groupBy("source").agg(F.sum("size").alias("all")), full.select("source", F.col("bin").alias("step")), "left")
+    fills = _meet(_meet(fills, two.select("source", F.col("bin").alias("fill_bin"), "spent"), "left"), ends, "left")
+    fills = fills.withColumn("filled", F.when(F.col("step").isNull(), F.col("all")).otherwise(F.coalesce("got", "spent")))
+    cut = _meet(cut, fills.select("source", (-F.col("step")).alias("fill_size"), "fill_bin", "fill_end", "filled"), "left")
+    cut = saved(cut.withColumn("open", F.col("gap") - F.coalesce("filled", F.lit(0))), "cuts")
+
+    first = (fine < F.col("fill_bin")) | (fine == F.col("fill_bin")) & F.coalesce(F.col("place") <= F.col("fill_end"), F.lit(False))
+    fits = F.col("fill_size").isNull() | (F.col("size") > F.col("fill_size")) | (F.col("size") == F.col("fill_size")) & first
+    filler = (F.col("size") > 0) & (F.col("size") <= F.col("gap")) & fits
     off = F.abs(F.col("open") - F.col("size"))
     rest = _meet(ranked, cut, "inner").where(~sampled & ~filler & (F.col("size") < 2 * F.col("open")))
     rest = rest.groupBy("source", "open", "place").agg(F.sum("size").alias("size")).where(off < F.col("open"))
@@ -110,13 +120,14 @@ def mix(
     A source's expected copies are its target over its size. The whole part is certain: every document is taken so many
     times. The rest of the target is a Pareto order sample: each source has its own odds of inclusion, its documents are
     ranked by their random odds over those, and taken in that order while they fit, so the sample's size is fixed in
-    words. The words then open, fewer than the next document has, are closed by unsampled documents: the ``FILL`` largest that are
-    small enough, as far as they fit, and the one whose size comes nearest to the rest, if that brings the source closer
-    to its target. Random numbers come from the id's digest, so reruns agree.
+    words. The words then open, fewer than the next document has, are closed by unsampled documents: those that are small
+    enough, from the largest on, as many as fit, and the one whose size comes nearest to the rest, if that brings the
+    source closer to its target. Random numbers come from the id's digest, so reruns agree.
 
     No source is gathered: a histogram of the random numbers, whose ``BINS`` bins hold about equally many documents,
     finds the bin in which the target is reached, a second one splits that bin again, and only the rows of the last bin,
-    one in ``BINS`` squared, are ordered by a window.
+    one in ``BINS`` squared, are ordered by a window. The closing documents are found in the same way, after a histogram of
+    their sizes.
 
     A null or empty text has size 0. Null sources are a source of their own, the last one. Rows with the same id and
     source are taken or left together. No documents, no rows; if all texts are empty, all targets are 0.

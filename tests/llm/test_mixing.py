@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tablesync.llm.mixing import mix, mixed, source_targets
+from tablesync.llm.mixing import mix, mixed, source_targets, uniform
 
 SCHEMA = "doc_id long, text string, source string, size int, target string"
 
@@ -57,6 +57,19 @@ def test_sources_come_near_their_targets_and_reruns_agree(spark, rows):
     assert len({r.copies for r in got if r.source == "hot"}) <= 2
 
 
+@pytest.mark.parametrize("long, gap", [(150_000, 45_000), (75_000, 70_000)])
+def test_short_documents_close_the_gap_of_a_very_long_one(spark, long, gap):
+    """The long text comes late in the sample and does not fit: thousands of short ones take its place."""
+    need, other = 400_000, 1_200_000 - 19_999 * 30 - long
+    ids = spark.range(20_000).select(F.col("id").alias("doc_id"))
+    at = ids.orderBy(uniform(F.col("doc_id"))).collect()[(need - gap) // 30].doc_id
+    text = F.repeat(F.lit("w "), F.when(F.col("doc_id") == at, long).otherwise(30).cast("int"))
+    docs = ids.select("doc_id", text.alias("text"), F.lit("a").alias("source"))
+    docs = docs.unionByName(spark.range(1).select(F.lit(-1).cast("long").alias("doc_id"), F.repeat(F.lit("w "), other).alias("text"), F.lit("b").alias("source")))
+    got = mix(docs).where("source = 'a'").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).first()
+    assert got.target == need and got.taken == pytest.approx(need, abs=30)
+
+
 def test_documents_are_repeated_as_often_as_taken(rows):
     docs = rows(corpus(300), SCHEMA)
     want = Counter({r.doc_id: r.copies for r in mix(docs).collect() if r.copies})
