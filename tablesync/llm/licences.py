@@ -64,6 +64,7 @@ class Templates:
     names: list[str]
     grams: list[np.ndarray]
     every: np.ndarray  # all bigrams, sorted
+    held: np.ndarray  # per template, which of them it holds
 
     @classmethod
     def of(cls, templates) -> Templates:
@@ -75,21 +76,28 @@ class Templates:
                 if len(found):
                     names.append(templates[words.lo + k][0])
                     grams.append(found)
-        return cls(names, grams, np.unique(np.concatenate([np.zeros(0, _U), *grams])))
+        every = np.unique(np.concatenate([np.zeros(0, _U), *grams]))
+        return cls(names, grams, every, np.array([np.isin(every, g) for g in grams]).reshape(len(grams), len(every)))
 
 
-def _units(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """First and last word of the lines, paragraphs and whole text of document k, without empty ones."""
+def _breaks(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words of document k, which is not empty, before which a line and a paragraph end."""
     a, b = int(words.offsets[k]), int(words.offsets[k + 1])
-    if a == b:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     first, last = int(words.starts[a]), int(words.ends[b - 1])
     body = words.data[first:last]
     breaks = np.flatnonzero(body == 10)
     blank = np.concatenate([[0], np.cumsum((body != 32) & (body != 9) & (body != 10))])
     gaps = breaks[1:][blank[breaks[1:]] == blank[breaks[:-1]]] if len(breaks) > 1 else breaks[:0]
     lines = a + np.searchsorted(words.starts[a:b] - first, breaks)
-    paragraphs = a + np.searchsorted(words.starts[a:b] - first, gaps)
+    return lines, a + np.searchsorted(words.starts[a:b] - first, gaps)
+
+
+def _units(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last word of the lines, paragraphs and whole text of document k, without empty ones."""
+    a, b = int(words.offsets[k]), int(words.offsets[k + 1])
+    if a == b:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    lines, paragraphs = _breaks(words, k)
     ends = [np.concatenate([x, [b]]) for x in (lines, paragraphs, np.zeros(0, np.int64))]
     begins = [np.concatenate([[a], x[:-1]]) for x in ends]
     begin, end = np.concatenate(begins), np.concatenate(ends)
@@ -124,12 +132,68 @@ def _matches(words: Words, k: int, hits: np.ndarray, grams: np.ndarray, template
     return found
 
 
+def _next_places(keys: np.ndarray, n_grams: int, span: int, starts: np.ndarray) -> np.ndarray:
+    """Per start and bigram, its first place from there on, or ``span``; ``keys`` are bigram * (span + 1) + place, sorted."""
+    base = np.arange(n_grams) * (span + 1)
+    at = np.searchsorted(keys, base + starts[:, None])
+    key = keys[np.minimum(at, len(keys) - 1)]
+    return np.where((at < len(keys)) & (key < base + span + 1), key - base, span)
+
+
+def _joined(words: Words, k: int, at: np.ndarray, hit: np.ndarray, grams: np.ndarray, templates: Templates, threshold: float, found: dict[str, float]) -> None:
+    """Raise ``found`` to the best Dice coefficients of the runs of neighbouring lines of document k.
+
+    A document that lacks t / (2 - t) of a template's bigrams is ruled out at once. A run is looked at only if its first line
+    has a bigram of the template that does not come again in the run, and its last line one that was not there before: any
+    other run is no better than the one without that line. So a template has few runs for each place of its bigrams.
+    """
+    a, b = int(words.offsets[k]), int(words.offsets[k + 1])
+    places = np.flatnonzero(hit[a : max(b - 1, a)])
+    low = threshold / (2 - threshold)
+    least = np.array([int(np.ceil(low * len(g) - 1e-9)) for g in templates.grams])
+    if not len(places) or len(places) < least.min():
+        return
+    here = at[a + places]
+    enough = templates.held[:, np.unique(here)].sum(axis=1) >= least
+    starts = None
+    for t in np.flatnonzero(enough):
+        name, size, need = templates.names[t], len(templates.grams[t]), max(int(least[t]), 1)
+        if found.get(name) == 1.0:
+            continue
+        if starts is None:
+            starts = np.unique(np.concatenate([[0], _breaks(words, k)[0] - a]))
+            starts = starts[starts < b - a]
+            ends = np.concatenate([starts[1:], [b - a]])
+        mine = templates.held[t][here]
+        own, which = np.unique(here[mine], return_inverse=True)
+        span = b - a
+        keys = np.sort(which * (span + 1) + places[mine])
+        lines = np.unique(np.searchsorted(starts, places[mine], "right") - 1)
+        for c in range(0, len(lines), 4096):
+            part = lines[c : c + 4096]
+            first = _next_places(keys, len(own), span, starts[part])
+            again = _next_places(keys, len(own), span, ends[part])
+            until = np.where(first < ends[part][:, None], again, 0).max(axis=1)
+            first.sort(axis=1)
+            for i in np.flatnonzero((first[:, need - 1] < span) & (first[:, need - 1] < until)):
+                begin, f = int(starts[part[i]]), first[i]
+                useful = f[need - 1 :]
+                useful = useful[(useful < span) & (useful < until[i])]
+                for end in np.unique(ends[np.searchsorted(starts, useful + 1, "right") - 1]):
+                    n = len(np.unique(grams[a + begin : a + int(end) - 1]))
+                    if n * low > size:
+                        break
+                    dice = 2 * int(np.searchsorted(f, end - 1)) / (n + size)
+                    if dice >= threshold:
+                        found[name] = max(found.get(name, 0.0), dice)
+
+
 def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
     """One row per document: doc_id, n_licences, licences (names, sorted, comma-joined), best, dice.
 
-    Texts are normalised to words (A-Z lower-cased; runs of digits, letters and characters beyond ASCII). Every line, every
-    paragraph (parts between blank lines) and the whole text is compared with every (name, text) template: the Dice
-    coefficient of their sets of word bigrams must reach ``threshold``. ``dice`` is the highest one, ``best`` its licence,
+    Texts are normalised to words (A-Z lower-cased; runs of digits, letters and characters beyond ASCII). Every run of
+    neighbouring lines, blank ones included, is compared with every (name, text) template, so every line, every paragraph,
+    paragraphs that follow each other and the whole text: the Dice coefficient of their sets of word bigrams must reach ``threshold``. ``dice`` is the highest one, ``best`` its licence,
     the first by name among equals. A scan with no shuffle; the templates, a short list, go to every task.
 
     Null and empty texts, and units of fewer than two words, match nothing: n_licences 0, licences '', best and dice
@@ -143,10 +207,12 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             for words in word_blocks(batch.column(1)):
                 grams = run_hashes(words.hashes, 2)
                 at = np.minimum(np.searchsorted(known.every, grams), max(len(known.every) - 1, 0))
-                hits = np.concatenate([[0], np.cumsum(known.every[at] == grams)]) if len(known.every) else np.zeros(len(grams) + 1, int)
+                hit = known.every[at] == grams if len(known.every) else np.zeros(len(grams), bool)
+                hits = np.concatenate([[0], np.cumsum(hit)])
                 rows = []
                 for k in range(words.hi - words.lo):
                     found = _matches(words, k, hits, grams, known, threshold)
+                    _joined(words, k, at, hit, grams, known, threshold, found)
                     best = min(found, key=lambda n: (-found[n], n), default=None)
                     rows.append((len(found), ",".join(sorted(found)), best, found.get(best)))
                 n, names, best, dice = zip(*rows, strict=True)
