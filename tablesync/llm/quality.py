@@ -10,12 +10,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.shared import texts_of, whole_rows
+from tablesync.llm.shared import saved, texts_of, whole_rows
 from tablesync.llm.words import BLOCK, mix, text_bytes
 
 _U = np.uint64
 DIMENSIONS = 1 << 17
-MAX_TRAIN_ROWS = 3000
+MAX_TRAIN_ROWS = 6000
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -194,9 +194,15 @@ def fit(
     # at most max_rows ids: their size is bounded, whatever the tables hold
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
     made = texts.select(F.xxhash64("doc_id").alias("at"), "label", "text").mapInArrow(read, "at long, label int, slots array<int>")
-    rows = made.orderBy("at", "slots").limit(max_rows).toArrow()
+    made = saved(made, "slots")
+    # the rows are ordered here, as flat arrays: a sort by Spark would hold all of them as row objects in the driver's heap
+    rows = (made if made.count() <= max_rows else made.orderBy("at", "slots").limit(max_rows)).toArrow()
     slots = [np.asarray(v.values) for v in rows.column("slots")]
-    return train(slots, rows.column("label").to_numpy().astype(bool))
+    at, label = rows.column("at").to_numpy(), rows.column("label").to_numpy().astype(bool)
+    order = np.argsort(at, kind="stable")
+    if len(np.unique(at)) < len(at):
+        order = np.array(sorted(range(len(at)), key=lambda i: (at[i], slots[i].tolist())), np.int64)
+    return train([slots[i] for i in order], label[order])
 
 
 def _judged(slim: DataFrame, model: Model, text_col: str) -> DataFrame:

@@ -90,3 +90,11 @@ def test_descent_reaches_the_optimum_of_the_hinge_loss():
         w, b = weight + rng.normal(0, 0.02, len(weight)) * (weight != 0), model.bias + rng.normal(0, 0.02)
         other = Q.Model(w * ratio, model.square, b)
         assert 0.5 * (w @ w + b * b) + np.maximum(0, 1 - sign * np.array([other.margin(r) for r in rows])).sum() >= primal - 1e-3
+
+
+def test_all_labels_of_the_given_data_are_used(spark, monkeypatch):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    monkeypatch.setattr(Q, "train", lambda rows, good: (len(rows), len(good)))
+    usable = labels.where(~Q.held_out(F.col("doc_id")) & F.col("quality").isin(0, 1)).join(docs, "doc_id").select("doc_id").distinct().count()
+    assert Q.fit(docs, labels) == (usable, usable) and 3000 < usable <= 6000
