@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tablesync.llm.mixing import word_count
 from tablesync.llm.shared import saved
 
-PER_CLASS = 256  # bundles of small groups per size class
+PER_CLASS = 256  # bundles of small groups per size class, at least
 LARGE = 256  # a group over this part of a shard is packed by itself
 WEIGHT = np.array([8.0, 1.0, 1.0])  # of bytes, tokens and rows
 PIECES = 8  # pieces per shard's worth of a group too large for one shard
@@ -42,7 +42,8 @@ def assign_shards(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", tex
 
     Equal texts are one group and stay together, unless a group outweighs a whole shard in bytes, tokens or rows: it
     is cut into pieces of about 1/``PIECES`` of a shard by the hash of the ids. Groups over 1/``LARGE`` of a shard, of which there can be
-    no more than 3 * ``shards`` * ``LARGE``, are packed one by one; all others by bundles, a bounded number per size class.
+    no more than 3 * ``shards`` * ``LARGE``, are packed one by one; all others by bundles: each size class has
+    as many as it holds parts of 1/``LARGE`` of a shard, or ``PER_CLASS`` if that is more.
     The driver packs these few thousand vectors; texts are never shuffled, unless they are kept. A single text larger than a
     shard's part makes that shard larger. No documents, no rows.
     """
@@ -65,11 +66,18 @@ def assign_shards(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", tex
     # bounded: groups over 1/LARGE of a shard in one of three weights
     large = saved(groups.withColumn("part", part).where(F.col("part") > 1 / LARGE).select("group", pieces.alias("pieces")), "large")
 
+    size_class = F.floor(F.log2("size"))
+    classes = groups.withColumn("part", part).where(F.col("part") <= 1 / LARGE).groupBy(size_class.alias("class"))
+    bundles = F.lit(PER_CLASS)
+    for r in classes.agg(*[F.sum(w).cast("double").alias(c) for w, c in zip(weigh, "btr", strict=True)]).collect():
+        most = max(r[c] / held for c, held in zip("btr", capacity, strict=True))
+        bundles = F.when(size_class == r["class"], max(PER_CLASS, int(np.ceil(most * LARGE)))).otherwise(bundles)
+
     def bundled(frame: DataFrame) -> DataFrame:
         """Add the bundle: a large group's piece, else a size class and a hash of the group."""
         joined = frame.join(F.broadcast(large), "group", "left")
         own = F.concat_ws("/", "group", F.pmod(F.xxhash64("doc_id"), F.col("pieces")))
-        share = F.concat_ws("-", F.floor(F.log2("size")), F.pmod(F.xxhash64("group"), F.lit(PER_CLASS)))
+        share = F.concat_ws("-", size_class, F.pmod(F.xxhash64("group"), bundles))
         return joined.withColumn("bundle", F.xxhash64(F.when(F.col("pieces").isNull(), share).otherwise(own))).drop("pieces")
 
     weights = bundled(slim).groupBy("bundle").agg(F.sum("size").alias("b"), F.sum("tokens").alias("t"), F.count("*").alias("r"))

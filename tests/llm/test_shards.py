@@ -66,3 +66,9 @@ def test_packing_balances_all_dimensions():
     place = pack(vectors, 24)
     sums = np.stack([np.bincount(place, vectors[:, d], 24) for d in range(3)], axis=1) / (vectors.sum(axis=0) / 24)
     assert sums[:, 0].max() < 1.005 and sums.max() < 1.1 and sums.min() > 0.9
+
+
+def test_texts_of_one_size_class_fill_shards_alike(spark):
+    docs = spark.range(100_000).select(F.col("id").alias("doc_id"), F.lpad(F.col("id").cast("string"), 40, "a ").alias("text"))
+    n = assign_shards(docs).groupBy("shard").agg(F.sum("size").alias("b")).toPandas()["b"]
+    assert len(n) == 24 and n.max() < 1.01 * n.mean() and n.min() > 0.99 * n.mean()
