@@ -39,8 +39,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with their shard and slot; a document's own column of such a name is replaced."""
     added = ["size", "text_crc32", "law", "shard", "slot"]
-    own = [c for c in docs.columns if c not in (*added, "doc_id", "tokens", "grown_shard")]
-    return assign_shards(docs, keep=own).select("doc_id", *own, *added)
+    own = [c for c in docs.columns if c not in (*added, "doc_id")]
+    return assign_shards(docs, keep=own, own=["doc_id", *added]).select("doc_id", *own, *added)
 
 
 STAGES = [

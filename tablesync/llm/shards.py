@@ -32,8 +32,11 @@ def pack(vectors: np.ndarray, shards: int) -> np.ndarray:
     return chosen
 
 
-def assign_shards(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """One row per document: doc_id, size, text_crc32, tokens, law, shard, slot, grown_shard, and the columns in ``keep``.
+def assign_shards(
+    docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, own: list[str] | None = None
+) -> DataFrame:
+    """One row per document: doc_id, size, text_crc32, tokens, law, shard, slot, grown_shard, and the columns in ``keep``. With
+    ``own``, only those of its own columns, so that ``keep`` may hold the names of the others.
 
     ``size`` is the text's UTF-8 bytes plus 8, ``tokens`` its words between blanks; a null text has no bytes and the CRC of
     none, and is a group of its own kind beside the empty text. ``law`` is bytes: shards hold nearly equal bytes, and as
@@ -96,7 +99,8 @@ def assign_shards(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", tex
     offsets = saved(counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")), "offsets")
     inside = Window.partitionBy("shard", "bucket").orderBy("at", "doc_id", "group")
     numbered = dealt.withColumn("n", F.row_number().over(inside)).join(offsets, ["shard", "bucket"])
-    return numbered.select(
-        "doc_id", "size", "text_crc32", "tokens", F.lit("bytes").alias("law"), "shard", (F.col("offset") + F.col("n") - 1).cast("long").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"), *[F.col(f"kept_{c}").alias(c) for c in keep or []],
-    )
+    made = {
+        "doc_id": F.col("doc_id"), "size": F.col("size"), "text_crc32": F.col("text_crc32"), "tokens": F.col("tokens"), "law": F.lit("bytes"),
+        "shard": F.col("shard"), "slot": (F.col("offset") + F.col("n") - 1).cast("long"), "grown_shard": F.lit(None).cast("int"),
+    }
+    return numbered.select(*[c.alias(n) for n, c in made.items() if own is None or n in own], *[F.col(f"kept_{c}").alias(c) for c in keep or []])

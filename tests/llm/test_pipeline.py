@@ -87,3 +87,10 @@ def test_other_columns_and_no_documents(spark, rows):
                 assert docs.columns == names
         assert len(set(docs.columns)) == len(docs.columns)
         docs.count()
+
+
+def test_sharding_keeps_columns_it_does_not_add(spark, rows):
+    data = [(k, f"some words of document {k}", k * 7, f"g{k}") for k in range(30)]
+    got = P.sharding(spark, rows(data, "doc_id long, text string, tokens int, grown_shard string"), FOLDER)
+    assert got.columns == ["doc_id", "text", "tokens", "grown_shard", "size", "text_crc32", "law", "shard", "slot"]
+    assert sorted(tuple(r)[:4] for r in got.collect()) == data
