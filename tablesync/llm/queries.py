@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.llm.chat import canonical_turns, format_chats, read_back, turn_records
+from tablesync.llm.codes import compress, fit_codebooks
 from tablesync.llm.decontaminate import contamination
+from tablesync.llm.divergence import divergence
 from tablesync.llm.exact import exact_duplicates
 from tablesync.llm.licences import TEMPLATES, scan_licences
 from tablesync.llm.mixing import mix
 from tablesync.llm.near import similar_classes
+from tablesync.llm.packing import pack_sequences
 from tablesync.llm.quality import fit, score
 from tablesync.llm.shards import assign_shards
 from tablesync.llm.shared import saved
@@ -255,3 +258,87 @@ def token_counts(spark, folder):
     rollup = Rollup(spark, work_path(spark, "rollup"))
     token_batches(table(spark, folder, "documents"), table(spark, folder, "labels"), rollup)
     return rollup.totals()
+
+
+def _rounds_sql(rounds: int = 6, parts: int = 8, entries: int = 16) -> str:
+    """The codebooks round by round: ``c0`` holds the first entries, ``a1`` the parts' first nearest entries, and so on."""
+    nearest = f"""SELECT i, p, min(d * {entries} + e) % {entries} AS e, min(d * {entries} + e) // {entries} AS d FROM (
+        SELECT i, p, e, sum((x - c) * (x - c)) AS d FROM x JOIN {{books}} c USING (p, j) GROUP BY i, p, e) GROUP BY i, p"""
+    steps = []
+    for r in range(1, rounds + 1):
+        steps.append(f"a{r} AS MATERIALIZED ({nearest.format(books=f'c{r - 1}')})")
+        steps.append(f"""c{r} AS MATERIALIZED (
+      SELECT p, e, j, coalesce((s - ((s % n) + n) % n) // n, c) AS c FROM c{r - 1} LEFT JOIN (
+        SELECT p, e, j, sum(x) AS s, count(*) AS n FROM a{r} JOIN x USING (i, p) GROUP BY p, e, j) USING (p, e, j))""")
+    steps.append(f"a{rounds + 1} AS MATERIALIZED ({nearest.format(books=f'c{rounds}')})")
+    return ",\n".join(steps)
+
+
+@case(
+    "op11_vector_code_compression",
+    f"""WITH kept AS MATERIALIZED (
+      SELECT vec_id, label, embedding AS v, row_number() OVER (ORDER BY vec_id) - 1 AS i FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+    x AS MATERIALIZED (
+      SELECT i, k * 8 // n AS p, k % (n // 8) AS j, CAST(floor(4096 * CAST(v AS DOUBLE)) AS HUGEINT) AS x
+      FROM (SELECT i, len(v) AS n, unnest(v) AS v, unnest(range(0, len(v))) AS k FROM kept)),
+    c0 AS MATERIALIZED (SELECT p, i AS e, j, x AS c FROM x WHERE i < 16),
+    {_rounds_sql()},
+    books AS (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, j)) AS codebooks_sha256 FROM c6),
+    codes AS (SELECT i, string_agg(printf('%02x', CAST(e AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a7 GROUP BY i)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+    FROM kept JOIN codes USING (i), books""",
+)
+def vector_code_compression(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    books = fit_codebooks(vectors)
+    digest = F.lit(books.digest if books else None).cast("string")
+    return compress(vectors, books).select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+_TERMS = r"'[^\x00-\x40\x5B-\x60\x7B-\x7F]+'"
+_SHARE = "CAST(1 + (1000000000::HUGEINT * ({n} + 2)) // ({total} + 2 * v) AS BIGINT)"
+
+
+@case(
+    "op12_source_divergence_audit",
+    f"""WITH d AS MATERIALIZED (
+      SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all({_LOWER.format("coalesce(text, '')")}, {_TERMS}) AS w FROM documents),
+    groups AS (SELECT DISTINCT lang, source FROM d),
+    kept AS MATERIALIZED (
+      SELECT lang, term FROM (SELECT lang, unnest(list_distinct(w)) AS term FROM d) GROUP BY lang, term HAVING count(*) >= 10),
+    sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+    found AS (
+      SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(w) AS term FROM d) JOIN kept USING (lang, term) GROUP BY ALL),
+    filled AS (
+      SELECT g.lang, g.source, k.term, coalesce(f.n, 0) AS n, v, sum(coalesce(f.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+      FROM groups g JOIN kept k USING (lang) JOIN sizes USING (lang) LEFT JOIN found f USING (lang, source, term)),
+    shares AS MATERIALIZED (SELECT lang, source, term, n, {_SHARE.format(n="n", total="total")} AS p FROM filled),
+    whole AS (
+      SELECT lang, term, {_SHARE.format(n="n", total="sum(n) OVER (PARTITION BY lang)")} AS q
+      FROM (SELECT lang, term, v, sum(n) AS n FROM filled GROUP BY lang, term, v)),
+    pairs AS (
+      SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+      FROM shares a JOIN shares b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+    all_pairs AS (
+      SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(p.value, 0) AS BIGINT) AS value
+      FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source),
+    terms AS (
+      SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q),
+    ranked AS (
+      SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+      FROM (SELECT * FROM all_pairs UNION ALL SELECT * FROM terms))
+    SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10""",
+)
+def source_divergence_audit(spark, folder):
+    return divergence(table(spark, folder, "documents"))
+
+
+@case("op13_packing")
+def packing(spark, folder):
+    import public_tokenizers
+
+    pieces = pack_sequences(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
