@@ -6,86 +6,135 @@ from pyspark.sql import functions as F
 
 from checks.base import case, table
 from tablesync.operators import xmlcols
-from tablesync.spec import XmlLayout
 
-XML_SQL = """'<Parameters><Parameter name="Brand">' || p_brand || '</Parameter><Parameter name="Size" unit="mm">' || p_size
-  || '</Parameter><Note/></Parameters>'"""
 
+def spelled(template: str):
+    """A text per part; {brand}, {size}, {type} and {name} stand for its cells."""
+    text = F.lit(template)
+    for hole, cell in (("brand", "p_brand"), ("size", "p_size"), ("type", "p_type"), ("name", "p_name")):
+        text = F.replace(text, F.lit("{" + hole + "}"), F.col(cell).cast("string"))
+    return text
 
-def xml(brand=None, size=None):
-    return F.concat(
-        F.lit('<Parameters><Parameter name="Brand">'), brand if brand is not None else F.col("p_brand"),
-        F.lit('</Parameter><Parameter name="Size" unit="mm">'), size if size is not None else F.col("p_size").cast("string"),
-        F.lit("</Parameter><Note/></Parameters>"),
-    )
 
+def spelled_sql(template: str) -> str:
+    text = "'" + template.replace("'", "''") + "'"
+    for hole, cell in (("brand", "p_brand"), ("size", "p_size"), ("type", "p_type"), ("name", "p_name")):
+        text = f"replace({text}, '{{{hole}}}', CAST({cell} AS VARCHAR))"
+    return text
 
-def xml_parts(spark, d):
-    """Every part with its XML; economy parts hold malformed text."""
-    text = F.when(F.col("p_type") == "ECONOMY", F.concat(F.lit("<broken>"), "p_name")).otherwise(xml())
-    return table(spark, d, "part").select("p_partkey", "p_type", "p_name", text.alias("doc"))
 
+XML = '<Parameters><Parameter name="Brand">{brand}</Parameter><Parameter name="Size" unit="mm">{size}</Parameter><Note/></Parameters>'
 
-def built(body: str) -> str:
-    return f"SELECT p_partkey, CASE WHEN p_type = 'ECONOMY' THEN '<broken>' || p_name ELSE {body} END AS doc FROM part"
 
+def xml_parts(spark, d, template=XML):
+    """Every part with its XML; economy parts hold malformed text."""
+    text = F.when(F.col("p_type") == "ECONOMY", spelled("<broken>{name}")).otherwise(spelled(template))
+    return table(spark, d, "part").select("p_partkey", "p_type", "p_name", text.alias("doc"))
 
-LAYOUT = XmlLayout("Parameters", "Parameter", "name", ("unit",), ("Note",))
+
+def built(template: str) -> str:
+    return f"SELECT p_partkey, CASE WHEN p_type = 'ECONOMY' THEN '<broken>' || p_name ELSE {spelled_sql(template)} END AS doc FROM part"
 
 
 @case(
     "i1_shred_xml",
-    """WITH p AS (SELECT * FROM part WHERE p_type <> 'ECONOMY')
-       SELECT p_partkey, 1 AS ord, 'Brand' AS elem_key, NULL AS attr, p_brand AS value FROM p
-       UNION ALL SELECT p_partkey, 2, 'Size', NULL, CAST(p_size AS VARCHAR) FROM p
-       UNION ALL SELECT p_partkey, 2, 'Size', 'unit', 'mm' FROM p""",
+    """SELECT p_partkey, v.*, CASE WHEN attr = 'unit' THEN 'mm' WHEN attr = 'no' THEN '007' WHEN node = 2 THEN p_brand
+         WHEN node = 3 THEN CAST(p_size AS VARCHAR) WHEN node = 5 THEN p_name || ' & <' || p_brand || '>' END AS value
+       FROM part, (VALUES (2, 1, 2, 1, 'Brand', NULL), (3, 1, 2, 2, 'Size', NULL), (3, 1, 2, 2, 'Size', 'unit'),
+         (5, 4, 3, 1, 'Line', NULL), (6, 4, 3, 2, 'Line', NULL), (6, 4, 3, 2, 'Line', 'no')) v(node, parent, level, ord, elem_key, attr)
+       WHERE p_type <> 'ECONOMY'""",
 )
 def _(spark, d):
-    return xmlcols.shred_xml(xml_parts(spark, d), ["p_partkey"], "doc", LAYOUT)
+    note = '<Note><!-- <x/> --><Line>{name} &amp; <![CDATA[<{brand}>]]></Line>\n<Line no="007"/></Note>'
+    return xmlcols.shred_xml(xml_parts(spark, d, XML.replace("<Note/>", note)), ["p_partkey"], "doc")
 
 
-@case("i2_drop_xml_elements", built("""'<Parameters><Parameter name="Brand">' || p_brand || '</Parameter></Parameters>'"""))
+@case("i2_drop_xml_elements", built('<Parameters><Parameter name="Brand">{brand}</Parameter><!-- note --><Group> <Other/></Group></Parameters>'))
 def _(spark, d):
-    return xmlcols.drop_xml_elements(xml_parts(spark, d), ["doc"], ["SIZE", "note"], LAYOUT).select("p_partkey", "doc")
+    group = '<!-- note --><Group><note><Size>{size}</Size></note> <Other/><P name="NOTE">x</P></Group>'
+    return xmlcols.drop_xml_elements(xml_parts(spark, d, XML.replace("<Note/>", group)), ["doc"], ["SIZE", "note"]).select("p_partkey", "doc")
+
+
+_LEAF = '<Parameter name="Size" unit="mm"><![CDATA[ {size}>  <{size} ]]></Parameter>'
 
 
 @case(
     "i3_canonical_xml",
-    built("""'<Parameters><Parameter name="Brand">' || p_brand || '</Parameter><Parameter name="Size" unit="mm">' || p_size || '</Parameter><Note /></Parameters>'"""),
+    built(f'<Parameters><Parameter name="Brand">{{brand}}</Parameter>{_LEAF}<Blank> </Blank><!-- >  < --><Note /></Parameters>'),
 )
 def _(spark, d):
-    spaced = xml_parts(spark, d).withColumn("doc", F.replace("doc", F.lit("><"), F.lit("> \n\t<")))
-    return xmlcols.canonical_xml(spaced, ["doc"]).select("p_partkey", "doc")
+    spaced = f'  <Parameters>\n <Parameter name="Brand">{{brand}}</Parameter>\t{_LEAF}\r\n<Blank> </Blank> <!-- >  < --> <Note  />\n</Parameters> '
+    return xmlcols.canonical_xml(xml_parts(spark, d, spaced), ["doc"]).select("p_partkey", "doc")
+
+
+# Target texts with what an incoming text does not know: foreign elements, attributes, comments, CDATA, blanks, spellings.
+OWN = """<?xml version="1.0"?>
+<Parameters  kind = '{type}'><!-- by <hand> --><Parameter name="Brand"> </Parameter>
+  <Parameter name="OWN" unit="007">{type}</Parameter><Group><A><![CDATA[{name} <1>]]></A><B/></Group><Parameter name="Size" max="">{size}.0</Parameter></Parameters>"""
+SEED = """<Parameters kind="other" lang='{brand}'><Parameter name="brand">{brand} &amp; co</Parameter><Parameter name="own">no</Parameter>
+<Parameter name="SIZE" unit="mm" max="{size}">1</Parameter><Group><B no="1">{brand}</B><C><D>{size}</D></C><A>no</A></Group><Note/></Parameters>"""
+FILLED = """<?xml version="1.0"?>
+<Parameters  kind = '{type}' lang='{brand}'><!-- by <hand> --><Parameter name="brand">{brand} &amp; co</Parameter>
+  <Parameter name="OWN" unit="007">{type}</Parameter><Group><A><![CDATA[{name} <1>]]></A><B no="1">{brand}</B><C><D>{size}</D></C></Group><Parameter name="Size" max="{size}" unit="mm">{size}.0</Parameter><Note/></Parameters>"""
 
 
 def xml_pair(spark, d):
     parts = table(spark, d, "part")
-    target = parts.select(
-        "p_partkey",
-        F.concat(F.lit('<Parameters><Parameter name="Brand"> </Parameter><Parameter name="Own">'), "p_type", F.lit("</Parameter></Parameters>")).alias("doc"),
-    )
-    return target, parts.select("p_partkey", xml().alias("doc"))
+    return parts.select("p_partkey", spelled(OWN).alias("doc")), parts.select("p_partkey", spelled(SEED).alias("doc"))
 
 
-@case(
-    "i4_xml_fill",
-    """SELECT p_partkey, '<Parameters><Parameter name="Own">' || p_type || '</Parameter><Parameter name="Brand">' || p_brand
-       || '</Parameter><Parameter name="Size">' || p_size || '</Parameter></Parameters>' AS doc, 'Brand,Size' AS filled FROM part""",
-)
+@case("i4_xml_fill", f"SELECT p_partkey, {spelled_sql(FILLED)} AS doc, '@lang,brand,@unit,@max,B,C,Note' AS filled FROM part")
 def _(spark, d):
-    target, incoming = xml_pair(spark, d)
-    rows = xmlcols.xml_fill(target, incoming, ["p_partkey"], "doc", LAYOUT)
+    rows = xmlcols.xml_fill(*xml_pair(spark, d), ["p_partkey"], "doc")
     return rows.select("p_partkey", "doc", F.array_join("filled", ",").alias("filled"))
 
 
-@case(
-    "i5_xml_overlay",
-    """SELECT p_partkey, '<Parameters><Parameter name="Brand">' || p_brand || '</Parameter><Parameter name="Size">' || p_size
-       || '</Parameter><Parameter name="Own">' || p_type || '</Parameter></Parameters>' AS doc FROM part""",
-)
+#: (target, incoming, result, filled): one shape per part, in turn.
+SHAPES = [
+    ("<r><a>{size}</a></r>", "<r><a>1</a><b>{brand}</b></r>", "<r><a>{size}</a><b>{brand}</b></r>", "b"),
+    ("<r><a></a></r>", "<r><a>{name}</a></r>", "<r><a>{name}</a></r>", "a"),
+    ("<r><a>  </a></r>", "<r><a>{name}</a></r>", "<r><a>{name}</a></r>", "a"),
+    ("<r><a>{name}</a><x>{type}</x></r>", "<r><a>other</a></r>", "<r><a>{name}</a><x>{type}</x></r>", ""),
+    ("<r><a>1</a></r>", "<r lang='{brand}'><a>2</a></r>", "<r lang='{brand}'><a>1</a></r>", "@lang"),
+    ("<r lang='{type}'/>", "<r lang='{brand}'/>", "<r lang='{type}'/>", ""),
+    ("<r lang=' '/>", "<r lang='{brand}'/>", "<r lang='{brand}'/>", "@lang"),
+    ("<r><o><a>{size}</a><b></b></o></r>", "<r><o><a>no</a><b>{brand}</b><c>{type}</c></o></r>", "<r><o><a>{size}</a><b>{brand}</b><c>{type}</c></o></r>", "b,c"),
+    ('<s><p name="N">{name}</p></s>', '<s><p name="n">x</p><p name="M">{brand}</p></s>', '<s><p name="N">{name}</p><p name="M">{brand}</p></s>', "M"),
+    ("<broken {name}", "<r><a>1</a></r>", "<broken {name}", ""),
+    ("<r><a>{size}</a></r>", "<broken", "<r><a>{size}</a></r>", ""),
+    ("<r><a>{size}</a></r>", '<!DOCTYPE r [<!ENTITY l "L">]><r><b>&l;</b></r>', "<r><a>{size}</a></r>", ""),
+    ("<r> </r>", "<r>{name}</r>", "<r>{name}</r>", "r"),
+    ("<r/>", "<r><a>{size}</a></r>", "<r><a>{size}</a></r>", "a"),
+    (" ", "<r><a>{size}</a></r>", " ", ""),
+]
+
+
+def by_shape(pick: int):
+    cell = F.lit(None).cast("string")
+    for n, shape in enumerate(SHAPES):
+        cell = F.when(F.col("p_partkey") % len(SHAPES) == n, spelled(shape[pick])).otherwise(cell)
+    return cell
+
+
+def by_shape_sql(pick: int) -> str:
+    return "CASE p_partkey % {} {} END".format(len(SHAPES), " ".join(f"WHEN {n} THEN {spelled_sql(s[pick])}" for n, s in enumerate(SHAPES)))
+
+
+@case("i4_xml_fill_shapes", f"SELECT p_partkey, {by_shape_sql(2)} AS doc, {by_shape_sql(3)} AS filled FROM part")
 def _(spark, d):
-    target, incoming = xml_pair(spark, d)
-    return xmlcols.xml_overlay(target, incoming.withColumn("doc", F.replace("doc", F.lit("<Note/>"), F.lit(""))), ["p_partkey"], "doc", LAYOUT)
+    parts = table(spark, d, "part")
+    target, incoming = (parts.select("p_partkey", by_shape(k).alias("doc")) for k in (0, 1))
+    return xmlcols.xml_fill(target, incoming, ["p_partkey"], "doc").select("p_partkey", "doc", F.array_join("filled", ",").alias("filled"))
+
+
+_EXTRA = '<Extra  no="{size}"><!--{type}--><B/></Extra>'
+
+
+@case("i5_xml_overlay", f"SELECT p_partkey, {spelled_sql(SEED.replace('</Parameters>', _EXTRA + '</Parameters>'))} AS doc FROM part")
+def _(spark, d):
+    parts = table(spark, d, "part")
+    target = parts.select("p_partkey", spelled(OWN.replace("<Group>", _EXTRA + "<Group>")).alias("doc"))
+    return xmlcols.xml_overlay(target, xml_pair(spark, d)[1], ["p_partkey"], "doc")
 
 
 @case(
@@ -100,14 +149,13 @@ def _(spark, d):
 
 @case(
     "i7_xml_element_inventory",
-    """SELECT DISTINCT p_type AS type_name, k.e AS elem_key FROM part, (VALUES ('Brand'), ('Size')) k(e) WHERE p_type <> 'ECONOMY'
-       UNION ALL SELECT DISTINCT event_type, 'key-' || event_type FROM events""",
+    """SELECT DISTINCT p_type AS type_name, k.e AS elem_key FROM part, (VALUES ('Note'), ('Parameter')) k(e) WHERE p_type <> 'ECONOMY'
+       UNION ALL SELECT DISTINCT event_type, 'key-' || event_type FROM events UNION ALL SELECT DISTINCT event_type, 'REST' FROM events""",
 )
 def _(spark, d):
-    params = F.concat(F.lit('<P><I name="key-'), "event_type", F.lit('">1</I></P>'))
+    params = F.concat(F.lit('<P><!--c--><I name="key-'), "event_type", F.lit('"><deep/></I><i>2</i><I name="REST"/><I name="Rest"/></P>'))
     events = table(spark, d, "events").select("event_type", params.alias("doc"))
-    layouts = [XmlLayout("Parameters", "Parameter", "name"), XmlLayout("P", "I", "name")]
-    return xmlcols.xml_element_inventory([(xml_parts(spark, d), "p_type", "doc"), (events, "event_type", "doc")], layouts)
+    return xmlcols.xml_element_inventory([(xml_parts(spark, d), "p_type", "doc"), (events, "event_type", "doc")])
 
 
 @case(

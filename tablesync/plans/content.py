@@ -29,7 +29,7 @@ from tablesync.operators.refs import link_sweep, rewrite_links, split_acknowledg
 from tablesync.operators.selection import compact_fields, exclude_columns, exclude_fields_by_type
 from tablesync.operators.tree import cascade_skip, filter_tree, renumber
 from tablesync.operators.xmlcols import canonical_xml, drop_xml_elements_by_type
-from tablesync.spec import DESTINATION_WINS, FAILED, SKIPPED, SOURCE_WINS, PathRule, TableSpec, XmlLayout
+from tablesync.spec import DESTINATION_WINS, FAILED, SKIPPED, SOURCE_WINS, PathRule, TableSpec
 
 MAP = T.MapType(T.StringType(), T.StringType())
 
@@ -48,8 +48,7 @@ class ContentSpec:
     """Which content a snapshot takes and what it leaves out.
 
     ``exclude_fields`` for all types, ``fields_by_type`` per item type; ``xml_cols`` maps an XML column
-    to the column that names its type; ``drop_elements`` and ``elements_by_type`` thin such XML, of ``xml_layout``,
-    out. ``exclude_area_cols`` are columns that areas do not bring along.
+    to the column that names its type; ``drop_elements`` and ``elements_by_type`` thin such XML out. ``exclude_area_cols`` are columns that areas do not bring along.
     """
 
     rules: tuple[PathRule, ...]
@@ -58,7 +57,6 @@ class ContentSpec:
     xml_cols: dict | None = None
     drop_elements: tuple[str, ...] = ()
     elements_by_type: dict | None = None
-    xml_layout: XmlLayout | None = None
     exclude_area_cols: tuple[str, ...] = ()
 
 
@@ -75,9 +73,7 @@ def _thinned(df: DataFrame, spec: ContentSpec) -> DataFrame:
         if col in df.columns:
             df = canonical_xml(df, [col])
             if spec.drop_elements or spec.elements_by_type:
-                df = drop_xml_elements_by_type(
-                    df, [col], type_col, list(spec.drop_elements), spec.elements_by_type or {}, spec.xml_layout
-                )
+                df = drop_xml_elements_by_type(df, [col], type_col, list(spec.drop_elements), spec.elements_by_type or {})
     return df
 
 

@@ -29,7 +29,7 @@ def snapshot_rows(df: DataFrame, spec: SyncSpec) -> DataFrame:
     if xml:
         rows = canonical_xml(rows, xml)
         if spec.drop_elements:
-            rows = drop_xml_elements(rows, xml, list(spec.drop_elements), spec.xml_layout)
+            rows = drop_xml_elements(rows, xml, list(spec.drop_elements))
     return rows.withColumn("_identity", row_identity(rows, spec.table))
 
 

@@ -51,20 +51,9 @@ class TableSpec:
         return not self.name_col or [k.lower() for k in self.keys] == [self.name_col.lower()]
 
 
-@dataclass(frozen=True)
-class XmlLayout:
-    """What XML texts hold: the root tag, items named by the attribute ``key``, their other attributes, plain leaves."""
-
-    root: str
-    item: str
-    key: str
-    attrs: tuple[str, ...] = ()
-    leaves: tuple[str, ...] = ()
-
-
 @dataclass(frozen=True)
 class SyncSpec:
-    """One selection to snapshot and apply. ``drop_elements`` are taken out of ``xml_text_cols``, by ``xml_layout``."""
+    """One selection to snapshot and apply. ``drop_elements`` are taken out of ``xml_text_cols``."""
 
     table: TableSpec
     where: str | None = None
@@ -72,7 +61,6 @@ class SyncSpec:
     include: tuple[str, ...] = ()
     xml_text_cols: tuple[str, ...] = ()
     drop_elements: tuple[str, ...] = ()
-    xml_layout: XmlLayout | None = None
     link_cols: tuple[str, ...] = ()
 
 

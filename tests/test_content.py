@@ -5,7 +5,7 @@ from tablesync.operators.placement import cut
 from tablesync.operators.quality import StrictModeError, run_summary
 from tablesync.plans import content as c
 from tablesync.plans.apply import apply_all
-from tablesync.spec import DESTINATION_WINS, PathRule, SyncSpec, TableSpec, XmlLayout
+from tablesync.spec import DESTINATION_WINS, PathRule, SyncSpec, TableSpec
 
 PAGES = (
     "page_id int, guid string, parent_id int, area_id int, menu_text string, sort int, item_type string, layout string, "
@@ -52,7 +52,7 @@ def groups(rows):
 
 SPEC = c.ContentSpec(
     (PathRule(1, "/Home", ("/Home/Draft",)),), exclude_fields=("SECRET",), xml_cols={"module_settings": "module"},
-    elements_by_type={"mod": ["sort"]}, xml_layout=XmlLayout("S", "P", "name"), exclude_area_cols=("Culture",),
+    elements_by_type={"mod": ["sort"]}, exclude_area_cols=("Culture",),
 )
 
 
