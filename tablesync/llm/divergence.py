@@ -8,6 +8,7 @@ language; all other terms of a pair share one value, which is multiplied.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,48 +17,103 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablesync.llm.shared import forget, saved
+from tablesync.llm.shared import saved
+from tablesync.llm.words import LOWER, Words, mix, word_blocks
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MAX_VOCABULARY = 2**31 - 1
-SLICE_TERMS = 1_000_000  # distinct terms for one vectorizer, whose vocabulary is held by the driver and sent to the tasks
+SLICE_TERMS = 1_000_000  # kept terms for one vectorizer, whose vocabulary is held by the driver and sent to the tasks
+SAMPLE = 256  # one term in so many is counted to find out how many are kept
 ROWS_PER_PIECE = 250_000  # counted terms of a language in one task of the evaluation
 CELLS = 1 << 20  # of one block of the evaluation
 SOURCES = 512  # in one block of a pair table
 TABLES = 64  # blocks of pair tables held by a task
+LETTERS = np.zeros(256, dtype=bool)
+LETTERS[97:123] = LETTERS[128:] = True
 _NOTHING = " "  # never a term: keeps a vocabulary from being empty
 _PAIR, _TERM = 0, 1
 
 
-def tagged_terms(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """lang, source and the terms of the whole text, each as "lang term"; nulls are ''."""
-    lower = F.translate(F.coalesce(F.col(text_col), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    rows = docs.select(
-        F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
-        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
-        F.regexp_extract_all(lower, F.lit(TERM), F.lit(0)).alias("found"),
-    )
-    return rows.select("lang", "source", F.transform("found", lambda t: F.concat(F.col("lang"), F.lit(" "), t)).alias("terms"))
+def _groups(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
+    """lang, source and text, nulls being ''."""
+    return docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))])
 
 
-def group_counts(terms: DataFrame, min_df: int = 10, slice_terms: int = SLICE_TERMS) -> DataFrame:
-    """lang, source, term, n for every kept term that occurs in a group, from tagged terms (a table that is read several times).
+def _tagged(block: Words, pick: np.ndarray, tags: list[bytes]) -> pa.Array:
+    """The picked terms of a block, lower-cased, each behind its text's tag, as one list per text; no loop over terms."""
+    starts, ends = block.starts[pick], block.ends[pick]
+    text = np.searchsorted(block.offsets, np.flatnonzero(pick), "right") - 1
+    lengths, front = ends - starts, np.array([len(t) for t in tags], np.int64)[text]
+    offsets = np.concatenate([[0], np.cumsum(lengths + front)])
+    out = np.empty(offsets[-1], np.uint8)
+    behind = offsets[:-1] + front
+    # the letters of all terms are copied at once: each byte's place is its number plus the shift of its term
+    letters = np.repeat(starts - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
+    out[letters + np.repeat(behind - starts, lengths)] = LOWER[block.data[letters]]
+    for tag in set(tags):
+        mine = np.flatnonzero(np.array([t == tag for t in tags])[text])
+        for k, byte in enumerate(tag):
+            out[offsets[mine] + k] = byte
+    terms = pa.StringArray.from_buffers(len(lengths), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(out))
+    held = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(tags)))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(held, pa.int32()), terms)
 
-    A term is kept if at least ``min_df`` documents of its language hold it. A vectorizer takes about ``slice_terms`` distinct terms:
-    a larger vocabulary is cut by hash into slices, each with its own vectorizer, so that no driver holds more. CountVectorizer counts
-    documents in 32 bits; 2^31 documents or more are refused.
+
+def _term_keys(block: Words, tags: list[bytes]) -> np.ndarray:
+    """A hash of each term of a block with its language, to deal terms into slices."""
+    seeds = np.array([zlib.crc32(t) for t in tags], np.uint64)
+    return mix(block.hashes ^ mix(np.repeat(seeds, np.diff(block.offsets))))
+
+
+def tagged_terms(groups: DataFrame, slices: int = 1, part: int = 0) -> DataFrame:
+    """lang, source and the terms of each whole text in order, as "lang term", from rows (lang, source, text).
+
+    Terms are runs of letters A-Z, lower-cased, and of characters beyond ASCII. With ``slices``, only the terms whose hash falls to ``part``.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs = batch.column(0).to_pylist()
+            for block in word_blocks(batch.column(2), LETTERS):
+                tags = [f"{lang} ".encode() for lang in langs[block.lo : block.hi]]
+                pick = np.ones(len(block.hashes), bool) if slices == 1 else _term_keys(block, tags) % np.uint64(slices) == part
+                rows = batch.slice(block.lo, block.hi - block.lo)
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), _tagged(block, pick, tags)], names=["lang", "source", "terms"])
+
+    return groups.mapInArrow(cut, "lang string, source string, terms array<string>")
+
+
+def kept_terms(groups: DataFrame, min_df: int) -> int:
+    """About how many terms ``min_df`` documents of their language hold: those of one in ``SAMPLE`` hashes, counted exactly."""
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs = batch.column(0).to_pylist()
+            for block in word_blocks(batch.column(2), LETTERS):
+                keys = _term_keys(block, [f"{lang} ".encode() for lang in langs[block.lo : block.hi]])
+                pick = np.flatnonzero(keys // np.uint64(SAMPLE) % np.uint64(SAMPLE) == 0)
+                text = np.searchsorted(block.offsets, pick, "right")
+                found = np.unique(np.stack([text.astype(np.int64), keys[pick].view(np.int64)], axis=1), axis=0)[:, 1]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["term"])
+
+    held = groups.mapInArrow(sample, "term long").groupBy("term").count().where(F.col("count") >= min_df)
+    return held.count() * SAMPLE
+
+
+def group_counts(groups: DataFrame, min_df: int = 10, slice_terms: int = SLICE_TERMS) -> DataFrame:
+    """lang, source, term, n for every kept term that occurs in a group, from rows (lang, source, text).
+
+    A term is kept if at least ``min_df`` documents of its language hold it. A vectorizer takes about ``slice_terms`` kept terms:
+    a larger vocabulary is cut by hash into slices, each with its own vectorizer, so that no driver holds more; every slice reads the
+    texts twice. CountVectorizer counts documents in 32 bits; 2^31 documents or more are refused.
     """
-    if terms.count() > MAX_VOCABULARY:
+    if groups.count() > MAX_VOCABULARY:
         raise ValueError("CountVectorizer counts at most 2**31 - 1 documents")
-    spark = terms.sparkSession
-    distinct = terms.select(F.explode("terms").alias("t")).agg(F.approx_count_distinct("t").alias("n")).first().n
-    slices = max(1, -(-int(distinct * 1.1) // slice_terms))
+    spark = groups.sparkSession
+    slices = 1 + int(kept_terms(groups, min_df) * 1.1) // slice_terms
     nothing = spark.range(0, min_df, 1, 1).select(F.array(F.lit(_NOTHING)).alias("terms"))
     parts = []
     for k in range(slices):
-        mine = terms
-        if slices > 1:
-            mine = terms.withColumn("terms", F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(slices)) == k))
+        mine = tagged_terms(groups, slices, k)
         vectorizer = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=MAX_VOCABULARY)
         model = vectorizer.fit(mine.select("terms").unionByName(nothing))
         names = pa.table({"at": pa.array(range(len(model.vocabulary)), pa.int32()), "tagged": pa.array(model.vocabulary, pa.string())})
@@ -255,14 +311,14 @@ def divergence(
     No group is held by one task: a language's terms are spread over pieces by hash, each piece gets the sizes of the language's
     groups, and sums of pieces are added up. Shares are whole numbers, so nothing depends on the order.
     """
-    terms = saved(tagged_terms(docs, text_col, lang_col, source_col), "terms")
-    counts = group_counts(terms, min_df, slice_terms)
+    texts = _groups(docs, text_col, lang_col, source_col)
+    counts = group_counts(texts, min_df, slice_terms)
     sizes = counts.groupBy("lang", "source").agg(F.sum("n").alias("size"))
     kept = counts.select("lang", "term").distinct().groupBy("lang").agg(F.count("*").alias("n_terms"))
     pieces = counts.groupBy("lang").agg(F.ceil(F.count("*") / ROWS_PER_PIECE).cast("int").alias("pieces"))
     languages = saved(kept.join(pieces, "lang"), "languages")
     # how a join runs is left to Spark: groups and languages are usually few
-    groups = terms.groupBy("lang", "source").agg(F.count("*")).join(sizes, ["lang", "source"], "left").join(languages, "lang", "left")
+    groups = texts.groupBy("lang", "source").agg(F.count("*")).join(sizes, ["lang", "source"], "left").join(languages, "lang", "left")
     groups = saved(groups.select("lang", "source", F.coalesce("size", F.lit(0)).alias("n"), F.coalesce("n_terms", F.lit(0)).alias("n_terms"),
         F.coalesce("pieces", F.lit(1)).alias("pieces")), "groups")
     columns = ["lang", "piece", "pieces", "term", "source", "n", "n_terms"]
@@ -274,7 +330,6 @@ def divergence(
     rows = heads.select(*columns).unionByName(starts).unionByName(cells)
     rows = rows.repartition("lang", "piece").sortWithinPartitions("lang", "piece", F.col("term").asc_nulls_first(), "source")
     found = saved(rows.mapInArrow(_evaluate(top), "kind int, lang string, source string, item string, value long"), "found")
-    forget(terms)
     pairs = found.where(F.col("kind") == _PAIR).groupBy("lang", "source", "item").agg(F.sum("value").alias("value")).withColumn("part", F.lit("pair"))
     best = found.where(F.col("kind") == _TERM).select("lang", "source", "item", "value", F.lit("term").alias("part"))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")

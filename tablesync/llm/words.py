@@ -87,13 +87,13 @@ class Words:
         return np.where(word, low, 32).astype(np.uint8)[keep].tobytes()
 
 
-def _words(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, starts and ends of the words in data[cuts[0]:cuts[-1]]; no word goes across a cut."""
+def _words(data: np.ndarray, cuts: np.ndarray, signs: np.ndarray = WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, starts and ends of the words in data[cuts[0]:cuts[-1]]; no word goes across a cut. ``signs``: the bytes of words."""
     a, n = cuts[0], cuts[-1] - cuts[0]
     if not n:
         return np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
     low = LOWER[data[a : a + n]]
-    word = WORD[low]
+    word = signs[low]
     inner = (cuts[1:-1] - a)
     inner = inner[(inner > 0) & (inner < n)]
     opens, closes = word.copy(), word.copy()
@@ -109,12 +109,12 @@ def _words(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return mix((sums[ends] - sums[starts]) * inverse[starts]), starts + a, ends + a
 
 
-def _pieces(data: np.ndarray, a: int, b: int) -> Iterator[tuple[int, int]]:
+def _pieces(data: np.ndarray, a: int, b: int, signs: np.ndarray = WORD) -> Iterator[tuple[int, int]]:
     """Parts of a long text that end between words."""
     while a < b:
         e = min(a + BLOCK, b)
         while e < b:
-            gaps = np.flatnonzero(~WORD[LOWER[data[a:e]]])
+            gaps = np.flatnonzero(~signs[LOWER[data[a:e]]])
             if len(gaps):
                 e = a + int(gaps[-1]) + 1
                 break
@@ -123,16 +123,16 @@ def _pieces(data: np.ndarray, a: int, b: int) -> Iterator[tuple[int, int]]:
         a = e
 
 
-def word_blocks(column) -> Iterator[Words]:
-    """The words of all texts of a column, block by block; a block holds whole texts."""
+def word_blocks(column, signs: np.ndarray = WORD) -> Iterator[Words]:
+    """The words of all texts of a column, block by block; a block holds whole texts. ``signs``: the bytes of words."""
     data, off = text_bytes(column)
     lo, n = 0, len(off) - 1
     while lo < n:
         hi = max(int(np.searchsorted(off, off[lo] + BLOCK, "right")) - 1, lo + 1)
         if off[hi] - off[lo] <= BLOCK:
-            h, s, e = _words(data, off[lo : hi + 1])
+            h, s, e = _words(data, off[lo : hi + 1], signs)
         else:
-            parts = [_words(data, np.array(p)) for p in _pieces(data, int(off[lo]), int(off[hi]))]
+            parts = [_words(data, np.array(p), signs) for p in _pieces(data, int(off[lo]), int(off[hi]), signs)]
             h, s, e = (np.concatenate(x) for x in zip(*parts, strict=True))
         yield Words(lo, hi, h, s, e, np.searchsorted(s, off[lo : hi + 1]), data)
         lo = hi
