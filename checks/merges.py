@@ -162,6 +162,13 @@ def other_fields(spark, d):
     )
 
 
+def repeated_fields(spark, d):
+    """Each incoming row comes twice; the second one counts."""
+    rows = other_fields(spark, d)
+    stale = rows.withColumn("fields", F.transform_values("fields", lambda k, v: F.lit("stale")))
+    return stale.withColumn("seq", F.lit(1)).unionByName(rows.withColumn("seq", F.lit(2)))
+
+
 @case(
     "e5_overwrite_fields",
     f"""WITH t AS ({FIELDS_SQL}), s AS ({OTHER_SQL}), k AS (SELECT p_partkey FROM part WHERE p_size <= 40)
@@ -170,7 +177,7 @@ def other_fields(spark, d):
         UNION ALL SELECT p_partkey, field, value FROM s WHERE field = 'Extra'""",
 )
 def _(spark, d):
-    return exploded(selection.overwrite_fields(part_fields(spark, d), other_fields(spark, d), ["p_partkey"], "fields"), "p_partkey")
+    return exploded(selection.overwrite_fields(part_fields(spark, d), repeated_fields(spark, d), ["p_partkey"], "fields", order="seq"), "p_partkey")
 
 
 @case(
@@ -184,7 +191,7 @@ def _(spark, d):
         SELECT m.p_partkey, n_filled, n_left, field, value FROM m JOIN n USING (p_partkey)""",
 )
 def _(spark, d):
-    rows = selection.fill_fields(part_fields(spark, d), other_fields(spark, d), ["p_partkey"], "fields")
+    rows = selection.fill_fields(part_fields(spark, d), repeated_fields(spark, d), ["p_partkey"], "fields", order="seq")
     return exploded(rows, "p_partkey", "n_filled", "n_left")
 
 
@@ -228,9 +235,13 @@ def _(spark, d):
         seo = F.when(F.col("o_orderstatus") != "O", seo) if drop_open else seo
         return df.select("o_orderkey", "o_custkey", "o_orderpriority", seo.alias("seo"))
 
+    def repeated(df):
+        stale = df.withColumns({"o_custkey": F.col("o_custkey") + 1, "o_orderpriority": F.lit("stale"), "seq": F.lit(1)})
+        return stale.unionByName(df.withColumn("seq", F.lit(2)))
+
     rows = merge.fill_scalars(
-        nested(unset_orders(spark, d), False), nested(incoming_orders(spark, d), True), ["o_orderkey"],
-        ["o_orderpriority"], {"seo": ["price", "status"]}, always=["o_custkey"],
+        nested(unset_orders(spark, d), False), repeated(nested(incoming_orders(spark, d), True)), ["o_orderkey"],
+        ["o_orderpriority"], {"seo": ["price", "status"]}, always=["o_custkey"], order="seq",
     )
     return rows.select("o_orderkey", "o_custkey", "o_orderpriority", "seo.price", "seo.status", "n_filled")
 
@@ -244,7 +255,9 @@ _DIFFS = " UNION ALL ".join(
 
 @case("e9_diff_rows", f"{SEED_SQL} {_DIFFS}")
 def _(spark, d):
-    return merge.diff_rows(unset_orders(spark, d), incoming_orders(spark, d), ORDERS)
+    stale = incoming_orders(spark, d).withColumns({"o_orderpriority": F.lit("stale"), "seq": F.lit(1)})
+    both = stale.unionByName(incoming_orders(spark, d).withColumn("seq", F.lit(2)))
+    return merge.diff_rows(unset_orders(spark, d), both, ORDERS, order="seq")
 
 
 _WOULD = " UNION ALL ".join(

@@ -361,14 +361,14 @@ def update_subset(target: DataFrame, patch: DataFrame, keys: list[str], cols: li
     return joined.select(*cells)
 
 
-def diff_rows(target: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
-    """Dry run of an update: one row per cell that differs, old and new as text.
+def diff_rows(target: DataFrame, incoming: DataFrame, spec: TableSpec, order: str | None = None) -> DataFrame:
+    """Dry run of an update: one row per cell that differs, old and new as text. The last incoming row of a key counts.
 
     The rows are joined once; the differing cells are unfolded afterwards, so the join does not grow
     with the number of columns.
     """
     t, keys = with_match_keys(target, spec)
-    s, _ = with_match_keys(incoming, spec)
+    s, _ = with_match_keys(last_incoming(incoming, spec, order), spec)
     pairs = prefixed(t, T, keys).join(prefixed(s, S, keys), keys)
     cells = []
     fields = []
@@ -413,10 +413,12 @@ def dedupe_incoming(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 def fill_scalars(
     target: DataFrame, incoming: DataFrame, keys: list[str], scalars: list[str], groups: dict[str, list[str]],
     always: list[str] = (), when_present: list[str] = (), whole_if_missing: tuple[str, ...] = (),
-    enabled_by: dict[str, str] | None = None,
+    enabled_by: dict[str, str] | None = None, order: str | None = None,
 ) -> DataFrame:
     """Fill the unset scalars and sub-object members of known pages; count what was filled and left.
 
+    Of several incoming rows with one key the last in ``order`` counts.
+
     ``groups``            struct columns and their members; a NULL struct in the source changes nothing
     ``always``            columns the source decides (parent, area)
     ``when_present``      columns considered only where the source has a value (dates)
@@ -426,7 +428,7 @@ def fill_scalars(
     enabled_by = enabled_by or {}
     spec = TableSpec("", tuple(keys))
     t, names = with_match_keys(target, spec)
-    s, _ = with_match_keys(incoming, spec)
+    s, _ = with_match_keys(last_incoming(incoming, spec, order), spec)
     s = prefixed(s.withColumn("in", F.lit(True)), S, names)
     rows = t.join(s, names, "left")
     hit = F.coalesce(F.col(f"{S}in"), F.lit(False))

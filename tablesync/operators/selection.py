@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablesync.operators.identity import last_per
 from tablesync.spec import RUNTIME_COLUMNS, SYSTEM_FIELDS
 
 
@@ -113,21 +114,26 @@ def fill_map_counts(target: Column, source: Column, excluded: Column | None = No
     return n_filled, n_offered - n_filled
 
 
-def _joined_maps(target: DataFrame, incoming: DataFrame, keys: list[str], map_col: str) -> DataFrame:
-    source = incoming.select(*keys, F.col(map_col).alias("_source"))
+def _joined_maps(target: DataFrame, incoming: DataFrame, keys: list[str], map_col: str, order: str | None) -> DataFrame:
+    place = [F.col(f"`{order}`").alias("_order")] if order else []
+    source = incoming.select(*keys, F.col(map_col).alias("_source"), *place)
+    source = last_per(source, keys, ["_order"] if order else []).drop("_order")
     return target.join(source, keys, "left")
 
 
-def overwrite_fields(target: DataFrame, incoming: DataFrame, keys: list[str], map_col: str, exclude=()) -> DataFrame:
-    """Apply ``overwrite_map`` to the rows of the same key; other target rows stay."""
-    rows = _joined_maps(target, incoming, keys, map_col)
+def overwrite_fields(target: DataFrame, incoming: DataFrame, keys: list[str], map_col: str, exclude=(), order: str | None = None) -> DataFrame:
+    """Apply ``overwrite_map`` to the rows of the same key; other target rows stay.
+
+    Of several incoming rows with one key the last in ``order`` counts (without one, by a hash of the content).
+    """
+    rows = _joined_maps(target, incoming, keys, map_col, order)
     merged = overwrite_map(F.col(map_col), F.col("_source"), lowered(exclude))
     return rows.withColumn(map_col, merged).select(*target.columns)
 
 
-def fill_fields(target: DataFrame, incoming: DataFrame, keys: list[str], map_col: str, exclude=()) -> DataFrame:
-    """Apply ``fill_map`` to the rows of the same key; add ``n_filled`` and ``n_left``."""
-    rows = _joined_maps(target, incoming, keys, map_col)
+def fill_fields(target: DataFrame, incoming: DataFrame, keys: list[str], map_col: str, exclude=(), order: str | None = None) -> DataFrame:
+    """Apply ``fill_map`` to the rows of the same key; add ``n_filled`` and ``n_left``. Repeated incoming keys as in ``overwrite_fields``."""
+    rows = _joined_maps(target, incoming, keys, map_col, order)
     n_filled, n_left = fill_map_counts(F.col(map_col), F.col("_source"), lowered(exclude))
     merged = fill_map(F.col(map_col), F.col("_source"), lowered(exclude))
     rows = rows.withColumns({"n_filled": n_filled, "n_left": n_left}).withColumn(map_col, merged)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 from dataclasses import dataclass
 from functools import reduce
 
@@ -41,7 +42,7 @@ class ApplyResult:
 def prepare_incoming(incoming: DataFrame, target: DataFrame, spec: SyncSpec, page_map=None, para_map=None, order=None):
     """Incoming rows fitted to the target: known columns, types, defaults, links; ``order`` becomes ``_order``."""
     table = spec.table
-    schema = target.schema
+    schema = copy.deepcopy(target.schema)  # the frame keeps its own
     for field in schema.fields:
         if listed(table.not_null, field.name) or listed(table.keys, field.name):
             field.nullable = False

@@ -341,3 +341,31 @@ def test_content_seed_keeps_set_fields_but_moves(rows):
     table, _ = apply_by_guid(target, incoming, "id", "guid", "area", "parent", strategy=DESTINATION_WINS)
     r = table.where("id = 50").first()
     assert (r["name"], r["note"], r["parent"]) == ("mine", "seed", 60)
+
+
+def test_repeated_incoming_keys_leave_one_row_per_target_row(rows):
+    target = rows([(1, {"a": "x", "b": ""}), (2, {"a": "y"}), (1, {"b": None})], "id int, f map<string,string>")
+    source = rows([(1, {"a": "old", "b": "old"}, 1), (1, {"a": "new", "b": "new"}, 2), (3, {"a": "z"}, 1)], "id int, f map<string,string>, at int")
+    got = selection.overwrite_fields(target, source, ["id"], "f", order="at")
+    assert sorted((r.id, sorted(r.f.items())) for r in got.collect()) == [
+        (1, [("a", "new"), ("b", "new")]), (1, [("a", "new"), ("b", "new")]), (2, [("a", "y")]),
+    ]
+    got = selection.fill_fields(target, source, ["id"], "f", order="at")
+    assert sorted((r.id, sorted(r.f.items()), r.n_filled) for r in got.collect()) == [
+        (1, [("a", "new"), ("b", "new")], 2), (1, [("a", "x"), ("b", "new")], 1), (2, [("a", "y")], 0),
+    ]
+    assert selection.fill_fields(target, source.drop("at"), ["id"], "f").count() == 3
+    pages = rows([(1, "")], "id int, title string")
+    seeds = rows([(1, "first", 1), (1, "last", 2)], "id int, title string, at int")
+    assert [r.title for r in merge.fill_scalars(pages, seeds, ["id"], ["title"], {}, order="at").collect()] == ["last"]
+    assert [r.new_value for r in merge.diff_rows(pages, seeds, TableSpec("t", ("id",)), order="at").collect()] == ["last"]
+
+
+def test_an_apply_leaves_the_callers_schema_alone(rows):
+    from tablesync.plans.apply import apply_snapshot
+    from tablesync.spec import SyncSpec
+
+    target = rows([(1, "a")], "k int, v string")
+    before = target.schema.json()
+    apply_snapshot(target, rows([(1, "b")], "k int, v string"), SyncSpec(TableSpec("t", ("k",), not_null=("v",))))
+    assert target.schema.json() == before

@@ -32,3 +32,20 @@ def test_entry(spark):
 
     assert {r["table_name"] for r in entry.entry(spark).collect()} == {"orders", "(total)"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_a_left_over_folder_is_no_installation(tmp_path):
+    """What is left of a deleted subpackage, a folder without sources, must not be imported."""
+    import shutil
+    import subprocess
+    import sys
+
+    root = pathlib.Path(__file__).parent.parent
+    shutil.copytree(root / "checks", tmp_path / "checks")
+    shutil.copytree(root / "tablesync", tmp_path / "tablesync", ignore=lambda d, names: ["llm"] if d.endswith("tablesync") else [])
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    (tmp_path / "tablesync/llm/__pycache__").mkdir(parents=True)
+    said = subprocess.run(
+        [sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()))"], cwd=tmp_path, capture_output=True, text=True, timeout=120
+    )
+    assert said.stdout.strip() == str(len(CASES)), said.stderr
