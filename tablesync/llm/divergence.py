@@ -1,13 +1,14 @@
 """Operator 12: how the words of sources differ inside each language, exact in integers.
 
 One CountVectorizer fits the vocabularies of all languages: every term carries its language, so each language's terms are kept by its
-own documents alone. Its sparse document vectors are summed by language and source. Pairs of sources are then evaluated from
+own documents alone. The sparse document vectors over its vocabulary are built in numpy and summed by source and term. Pairs of sources are then evaluated from
 the sums that are not zero: term by term, only the sources in which a term occurs are compared with the others of the
 language; all other terms of a pair share one value, which is multiplied.
 """
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -17,12 +18,14 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablesync.llm.shared import saved
-from tablesync.llm.words import LOWER, Words, mix, word_blocks
+from tablesync.llm.shared import forget, saved
+from tablesync.llm.words import LOWER, Words, mix, text_bytes, word_blocks
 
 MAX_VOCABULARY = 2**31 - 1
 SLICE_TERMS = 1_000_000  # kept terms for one vectorizer, whose vocabulary is held by the driver and sent to the tasks
 SAMPLE = 256  # one term in so many is counted to find out how many are kept
+FOLD = 16 << 20  # bytes of texts whose terms are folded or summed at once
+HELD = 1 << 21  # sums of sources and terms that a task holds before it hands them out
 ROWS_PER_PIECE = 250_000  # counted terms of a language in one task of the evaluation
 CELLS = 1 << 20  # of one block of the evaluation
 SOURCES = 512  # in one block of a pair table
@@ -64,69 +67,166 @@ def _term_keys(block: Words, tags: list[bytes]) -> np.ndarray:
     return mix(block.hashes ^ mix(np.repeat(seeds, np.diff(block.offsets))))
 
 
-def tagged_terms(groups: DataFrame, slices: int = 1, part: int = 0) -> DataFrame:
-    """lang, source and the terms of each whole text in order, as "lang term", from rows (lang, source, text).
+def _long_blocks(column) -> Iterator[Words]:
+    """Blocks of the words of whole texts, put together to about ``FOLD`` bytes so that equal terms meet."""
 
-    Terms are runs of letters A-Z, lower-cased, and of characters beyond ASCII. With ``slices``, only the terms whose hash falls to ``part``.
-    """
+    def merged(found: list[Words]) -> Words:
+        shifts = np.cumsum([0, *(len(b.hashes) for b in found)])
+        offsets = [np.zeros(1, np.int64), *(b.offsets[1:] + s for b, s in zip(found, shifts[:-1], strict=True))]
+        parts = (np.concatenate([getattr(b, name) for b in found]) for name in ("hashes", "starts", "ends"))
+        return Words(found[0].lo, found[-1].hi, *parts, np.concatenate(offsets), found[0].data)
+
+    found, size = [], 0
+    for block in word_blocks(column, LETTERS):
+        found.append(block)
+        size += int(block.ends[-1] - block.starts[0]) if len(block.ends) else 0
+        if size >= FOLD:
+            yield merged(found)
+            found, size = [], 0
+    if found:
+        yield merged(found)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs = batch.column(0).to_pylist()
-            for block in word_blocks(batch.column(2), LETTERS):
-                tags = [f"{lang} ".encode() for lang in langs[block.lo : block.hi]]
-                pick = np.ones(len(block.hashes), bool) if slices == 1 else _term_keys(block, tags) % np.uint64(slices) == part
-                rows = batch.slice(block.lo, block.hi - block.lo)
-                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), _tagged(block, pick, tags)], names=["lang", "source", "terms"])
 
-    return groups.mapInArrow(cut, "lang string, source string, terms array<string>")
+def _first_of_runs(values: np.ndarray) -> np.ndarray:
+    return np.concatenate([[True], values[1:] != values[:-1]]) if len(values) else np.zeros(0, bool)
 
 
-def kept_terms(groups: DataFrame, min_df: int) -> int:
-    """About how many terms ``min_df`` documents of their language hold: those of one in ``SAMPLE`` hashes, counted exactly."""
+def folded_documents(groups: DataFrame, min_df: int) -> DataFrame:
+    """Documents for fitting the vocabulary, from rows (lang, source, text): ``terms``, and the hashes of a sample of them.
 
-    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ``min_df`` documents of a block are enough to see whether a term is in ``min_df`` documents: the k-th of them holds the terms that
+    k documents of the block or more hold. So a term is in as many of them as in the block's own, or in all ``min_df``, and
+    the same terms reach ``min_df`` over all blocks.
+    """
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column(0).to_pylist()
-            for block in word_blocks(batch.column(2), LETTERS):
-                keys = _term_keys(block, [f"{lang} ".encode() for lang in langs[block.lo : block.hi]])
-                pick = np.flatnonzero(keys // np.uint64(SAMPLE) % np.uint64(SAMPLE) == 0)
-                text = np.searchsorted(block.offsets, pick, "right")
-                found = np.unique(np.stack([text.astype(np.int64), keys[pick].view(np.int64)], axis=1), axis=0)[:, 1]
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["term"])
+            for block in _long_blocks(batch.column(2)):
+                tags = [f"{lang} ".encode() for lang in langs[block.lo : block.hi]]
+                keys = _term_keys(block, tags)
+                order = np.argsort(keys, kind="stable")  # equal terms stay in the order of their texts
+                text = np.repeat(np.arange(len(tags)), np.diff(block.offsets))[order]
+                new_term = _first_of_runs(keys[order])
+                new_pair = new_term | _first_of_runs(text)
+                place = order[new_term]
+                held = np.add.reduceat(new_pair.astype(np.int64), np.flatnonzero(new_term)) if len(place) else np.zeros(0, np.int64)
+                for n in range(1, min_df + 1):
+                    pick = np.zeros(len(keys), bool)
+                    pick[place[held >= n]] = True
+                    terms, mine = _tagged(block, pick, tags).flatten(), keys[pick]
+                    sampled = pa.array(mine[mine // np.uint64(SAMPLE) % np.uint64(SAMPLE) == 0].view(np.int64), pa.int64())
+                    one = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (terms, sampled)]
+                    yield pa.RecordBatch.from_arrays(one, names=["terms", "sampled"])
+
+    return groups.mapInArrow(fold, "terms array<string>, sampled array<long>")
+
+
+class _Vocabulary:
+    """Terms of a vectorizer by their hash, with their bytes."""
+
+    def __init__(self, tagged: list[str]):
+        langs, terms = zip(*(t.rsplit(" ", 1) for t in tagged), strict=True)
+        blocks = list(word_blocks(pa.array(terms, pa.string()), LETTERS))
+        keys = np.concatenate([_term_keys(b, [f"{lang} ".encode() for lang in langs[b.lo : b.hi]]) for b in blocks])
+        self.order = np.argsort(keys)
+        self.keys = keys[self.order]
+        if (self.keys[1:] == self.keys[:-1]).any():
+            raise ValueError("two kept terms share a 64-bit hash")
+        self.codes = {lang: i for i, lang in enumerate(sorted(set(langs)))}
+        self.langs = np.array([self.codes[lang] for lang in langs], np.int64)
+        self.data, self.offsets = text_bytes(pa.array(terms, pa.string()))
+
+    def vectors(self, block: Words, langs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Text (from 0) and index of every occurrence of a kept term; candidates by hash are compared by language and bytes."""
+        keys = _term_keys(block, [f"{lang} ".encode() for lang in langs])
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        near = np.flatnonzero(self.keys[at] == keys)
+        index = self.order[at[near]]
+        text = np.searchsorted(block.offsets, near, "right") - 1
+        starts, lengths = block.starts[near], block.ends[near] - block.starts[near]
+        code = np.array([self.codes.get(lang, -1) for lang in langs], np.int64)
+        same = (self.offsets[index + 1] - self.offsets[index] == lengths) & (self.langs[index] == code[text])
+        text, index, starts, lengths = text[same], index[same], starts[same], lengths[same]
+        run = np.concatenate([[0], np.cumsum(lengths)])
+        inside = np.arange(run[-1])
+        differ = LOWER[block.data[inside + np.repeat(starts - run[:-1], lengths)]] != self.data[inside + np.repeat(self.offsets[index] - run[:-1], lengths)]
+        wrong = np.concatenate([[0], np.cumsum(differ)])
+        right = wrong[run[1:]] == wrong[run[:-1]]
+        return text[right], index[right]
+
+
+def _group_sums(groups: DataFrame, vocabulary: _Vocabulary) -> DataFrame:
+    """source, at, n: the sparse document vectors of rows (lang, source, text) summed by source and index, per task."""
+    shared = groups.sparkSession.sparkContext.broadcast(vocabulary)  # bounded: the terms of one slice
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, sources = shared.value, {}
+        held, open_, size = (np.zeros(0, np.int64), np.zeros(0, np.int64)), [], 0
+
+        def summed():
+            keys, counts = (np.concatenate(x) for x in zip(held, *open_, strict=True))
+            order = np.argsort(keys, kind="stable")
+            first = np.flatnonzero(_first_of_runs(keys[order]))
+            return keys[order][first], np.add.reduceat(counts[order], first) if len(first) else counts
+
+        def out():
+            names = pa.array(list(sources), pa.string())
+            keys, counts = held
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(keys >> 32)), pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(counts)], names=["source", "at", "n"])
 
-    held = groups.mapInArrow(sample, "term long").groupBy("term").count().where(F.col("count") >= min_df)
-    return held.count() * SAMPLE
+        for batch in batches:
+            langs, of = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            numbers = np.array([sources.setdefault(s, len(sources)) for s in of], np.int64)
+            for block in _long_blocks(batch.column(2)):
+                text, index = vocabulary.vectors(block, langs[block.lo : block.hi])
+                keys, counts = np.unique((numbers[block.lo + text] << 32) | index, return_counts=True)
+                open_.append((keys, counts))
+                size += len(keys)
+                if size >= HELD:
+                    held, open_, size = summed(), [], 0
+                    if len(held[0]) >= HELD:
+                        yield from out()
+                        held, sources = (np.zeros(0, np.int64), np.zeros(0, np.int64)), {}
+                        numbers = np.array([sources.setdefault(s, len(sources)) for s in of], np.int64)
+        held = summed()
+        yield from out()
+
+    return groups.mapInArrow(add, "source string, at int, n long")
 
 
 def group_counts(groups: DataFrame, min_df: int = 10, slice_terms: int = SLICE_TERMS) -> DataFrame:
     """lang, source, term, n for every kept term that occurs in a group, from rows (lang, source, text).
 
     A term is kept if at least ``min_df`` documents of its language hold it. A vectorizer takes about ``slice_terms`` kept terms:
-    a larger vocabulary is cut by hash into slices, each with its own vectorizer, so that no driver holds more; every slice reads the
-    texts twice. CountVectorizer counts documents in 32 bits; 2^31 documents or more are refused.
+    a larger vocabulary is cut by hash into slices, each with its own vectorizer, so that no driver and no task holds more; each
+    slice reads the texts once. How many terms are kept is estimated from those of one in ``SAMPLE`` hashes.
     """
-    if groups.count() > MAX_VOCABULARY:
-        raise ValueError("CountVectorizer counts at most 2**31 - 1 documents")
     spark = groups.sparkSession
-    slices = 1 + int(kept_terms(groups, min_df) * 1.1) // slice_terms
+    folded = saved(folded_documents(groups, min_df), "folded")
+    held = folded.select(F.explode("sampled").alias("term")).groupBy("term").count().where(F.col("count") >= min_df).count()
+    slices = 1 + int(held * SAMPLE * 1.1) // slice_terms
     nothing = spark.range(0, min_df, 1, 1).select(F.array(F.lit(_NOTHING)).alias("terms"))
     parts = []
     for k in range(slices):
-        mine = tagged_terms(groups, slices, k)
+        mine = folded.select("terms")
+        if slices > 1:
+            mine = mine.select(F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(slices)) == k).alias("terms"))  # noqa: B023
         vectorizer = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=MAX_VOCABULARY)
-        model = vectorizer.fit(mine.select("terms").unionByName(nothing))
-        names = pa.table({"at": pa.array(range(len(model.vocabulary)), pa.int32()), "tagged": pa.array(model.vocabulary, pa.string())})
-        vectors = model.transform(mine).select("lang", "source", F.unwrap_udt("vector").alias("v"))
-        cells = vectors.select("lang", "source", F.explode(F.arrays_zip("v.indices", "v.values")).alias("c"))
-        sums = cells.groupBy("lang", "source", F.col("c.indices").alias("at")).agg(F.sum(F.col("c.values").cast("long")).alias("n"))
+        vocabulary = [t for t in vectorizer.fit(mine.unionByName(nothing)).vocabulary if t != _NOTHING]
+        if not vocabulary:
+            continue
+        names = pa.table({"at": pa.array(range(len(vocabulary)), pa.int32()), "tagged": pa.array(vocabulary, pa.string())})
+        sums = _group_sums(groups, _Vocabulary(vocabulary)).groupBy("source", "at").agg(F.sum("n").alias("n"))
         # bounded: the vocabulary of a slice
-        named = sums.join(F.broadcast(spark.createDataFrame(names)), "at").where(F.col("tagged") != _NOTHING)
-        parts.append(saved(named.select("lang", "source", F.substring_index("tagged", " ", -1).alias("term"), "n"), "counts"))
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+        named = sums.join(F.broadcast(spark.createDataFrame(names)), "at")
+        term = F.substring_index("tagged", " ", -1)
+        lang = F.substring("tagged", F.lit(1), F.length("tagged") - F.length(term) - 1)
+        parts.append(saved(named.select(lang.alias("lang"), "source", term.alias("term"), "n"), "counts"))
+    forget(folded)
+    if not parts:
+        return spark.createDataFrame([], "lang string, source string, term string, n long")
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def _shares(counts: np.ndarray, size, n_terms: int) -> np.ndarray:
