@@ -24,7 +24,7 @@ from tablesync.llm.words import LOWER, Words, mix, text_bytes, word_blocks
 MAX_VOCABULARY = 2**31 - 1
 SLICE_TERMS = 1_000_000  # kept terms for one vectorizer, whose vocabulary is held by the driver and sent to the tasks
 SAMPLE = 256  # one term in so many is counted to find out how many are kept
-FOLD = 16 << 20  # bytes of texts whose terms are folded or summed at once
+FOLD = 4 << 20  # bytes of texts whose terms are folded or summed at once
 HELD = 1 << 21  # sums of sources and terms that a task holds before it hands them out
 ROWS_PER_PIECE = 250_000  # counted terms of a language in one task of the evaluation
 CELLS = 1 << 20  # of one block of the evaluation
