@@ -91,18 +91,18 @@ def _first_of_runs(values: np.ndarray) -> np.ndarray:
     return np.concatenate([[True], values[1:] != values[:-1]]) if len(values) else np.zeros(0, bool)
 
 
-def folded_documents(groups: DataFrame, min_df: int) -> DataFrame:
-    """Documents for fitting the vocabulary, from rows (lang, source, text): ``terms``, and the hashes of a sample of them.
+def folded_documents(groups: DataFrame, min_df: int, parts: int) -> DataFrame:
+    """Documents for fitting the vocabulary, from rows (lang, text, ...): ``part``, ``terms``, and the hashes of a sample of them.
 
     ``min_df`` documents of a block are enough to see whether a term is in ``min_df`` documents: the k-th of them holds the terms that
     k documents of the block or more hold. So a term is in as many of them as in the block's own, or in all ``min_df``, and
-    the same terms reach ``min_df`` over all blocks.
+    the same terms reach ``min_df`` over all blocks. Each is cut into ``parts`` by the terms' hashes, so that equal terms can be brought together.
     """
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column(0).to_pylist()
-            for block in _long_blocks(batch.column(2)):
+            for block in _long_blocks(batch.column(1)):
                 tags = [f"{lang} ".encode() for lang in langs[block.lo : block.hi]]
                 keys = _term_keys(block, tags)
                 order = np.argsort(keys, kind="stable")  # equal terms stay in the order of their texts
@@ -115,11 +115,19 @@ def folded_documents(groups: DataFrame, min_df: int) -> DataFrame:
                     pick = np.zeros(len(keys), bool)
                     pick[place[held >= n]] = True
                     terms, mine = _tagged(block, pick, tags).flatten(), keys[pick]
-                    sampled = pa.array(mine[mine // np.uint64(SAMPLE) % np.uint64(SAMPLE) == 0].view(np.int64), pa.int64())
-                    one = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (terms, sampled)]
-                    yield pa.RecordBatch.from_arrays(one, names=["terms", "sampled"])
+                    part = ((mine >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
+                    sorted_ = np.argsort(part, kind="stable")
+                    sampled = mine[sorted_] // np.uint64(SAMPLE) % np.uint64(SAMPLE) == 0
+                    ends = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
+                    lists = [
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), terms.take(pa.array(sorted_))),
+                        pa.ListArray.from_arrays(
+                            pa.array(np.concatenate([[0], np.cumsum(sampled)])[ends], pa.int32()), pa.array(mine[sorted_][sampled].view(np.int64), pa.int64())
+                        ),
+                    ]
+                    yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), *lists], names=["part", "terms", "sampled"])
 
-    return groups.mapInArrow(fold, "terms array<string>, sampled array<long>")
+    return groups.mapInArrow(fold, "part int, terms array<string>, sampled array<long>")
 
 
 class _Vocabulary:
@@ -157,11 +165,11 @@ class _Vocabulary:
 
 
 def _group_sums(groups: DataFrame, vocabulary: _Vocabulary) -> DataFrame:
-    """source, at, n: the sparse document vectors of rows (lang, source, text) summed by source and index, per task."""
+    """group, at, n: the sparse document vectors of rows (lang, text, group) summed by group and index, per task."""
     shared = groups.sparkSession.sparkContext.broadcast(vocabulary)  # bounded: the terms of one slice
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, sources = shared.value, {}
+        vocabulary, numbers_of = shared.value, {}
         held, open_, size = (np.zeros(0, np.int64), np.zeros(0, np.int64)), [], 0
 
         def summed():
@@ -171,14 +179,14 @@ def _group_sums(groups: DataFrame, vocabulary: _Vocabulary) -> DataFrame:
             return keys[order][first], np.add.reduceat(counts[order], first) if len(first) else counts
 
         def out():
-            names = pa.array(list(sources), pa.string())
+            names = np.fromiter(numbers_of, np.int64, len(numbers_of))
             keys, counts = held
-            yield pa.RecordBatch.from_arrays([names.take(pa.array(keys >> 32)), pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(counts)], names=["source", "at", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(names[keys >> 32]), pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(counts)], names=["group", "at", "n"])
 
         for batch in batches:
-            langs, of = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            numbers = np.array([sources.setdefault(s, len(sources)) for s in of], np.int64)
-            for block in _long_blocks(batch.column(2)):
+            langs, of = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            numbers = np.array([numbers_of.setdefault(g, len(numbers_of)) for g in of], np.int64)
+            for block in _long_blocks(batch.column(1)):
                 text, index = vocabulary.vectors(block, langs[block.lo : block.hi])
                 keys, counts = np.unique((numbers[block.lo + text] << 32) | index, return_counts=True)
                 open_.append((keys, counts))
@@ -187,27 +195,28 @@ def _group_sums(groups: DataFrame, vocabulary: _Vocabulary) -> DataFrame:
                     held, open_, size = summed(), [], 0
                     if len(held[0]) >= HELD:
                         yield from out()
-                        held, sources = (np.zeros(0, np.int64), np.zeros(0, np.int64)), {}
-                        numbers = np.array([sources.setdefault(s, len(sources)) for s in of], np.int64)
+                        held, numbers_of = (np.zeros(0, np.int64), np.zeros(0, np.int64)), {}
+                        numbers = np.array([numbers_of.setdefault(g, len(numbers_of)) for g in of], np.int64)
         held = summed()
         yield from out()
 
-    return groups.mapInArrow(add, "source string, at int, n long")
+    return groups.mapInArrow(add, "group long, at int, n long")
 
 
 def group_counts(groups: DataFrame, min_df: int = 10, slice_terms: int = SLICE_TERMS) -> DataFrame:
-    """lang, source, term, n for every kept term that occurs in a group, from rows (lang, source, text).
+    """group, lang, term, n for every kept term that occurs in a group, from rows (lang, text, group).
 
     A term is kept if at least ``min_df`` documents of its language hold it. A vectorizer takes about ``slice_terms`` kept terms:
     a larger vocabulary is cut by hash into slices, each with its own vectorizer, so that no driver and no task holds more; each
     slice reads the texts once. How many terms are kept is estimated from those of one in ``SAMPLE`` hashes.
     """
     spark = groups.sparkSession
-    folded = saved(folded_documents(groups, min_df), "folded")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folded = saved(folded_documents(groups, min_df, parts).repartition("part"), "folded")
     held = folded.select(F.explode("sampled").alias("term")).groupBy("term").count().where(F.col("count") >= min_df).count()
     slices = 1 + int(held * SAMPLE * 1.1) // slice_terms
     nothing = spark.range(0, min_df, 1, 1).select(F.array(F.lit(_NOTHING)).alias("terms"))
-    parts = []
+    counted = []
     for k in range(slices):
         mine = folded.select("terms")
         if slices > 1:
@@ -217,16 +226,16 @@ def group_counts(groups: DataFrame, min_df: int = 10, slice_terms: int = SLICE_T
         if not vocabulary:
             continue
         names = pa.table({"at": pa.array(range(len(vocabulary)), pa.int32()), "tagged": pa.array(vocabulary, pa.string())})
-        sums = _group_sums(groups, _Vocabulary(vocabulary)).groupBy("source", "at").agg(F.sum("n").alias("n"))
+        sums = _group_sums(groups, _Vocabulary(vocabulary)).groupBy("group", "at").agg(F.sum("n").alias("n"))
         # bounded: the vocabulary of a slice
         named = sums.join(F.broadcast(spark.createDataFrame(names)), "at")
         term = F.substring_index("tagged", " ", -1)
         lang = F.substring("tagged", F.lit(1), F.length("tagged") - F.length(term) - 1)
-        parts.append(saved(named.select(lang.alias("lang"), "source", term.alias("term"), "n"), "counts"))
+        counted.append(saved(named.select("group", lang.alias("lang"), term.alias("term"), "n"), "counts"))
     forget(folded)
-    if not parts:
-        return spark.createDataFrame([], "lang string, source string, term string, n long")
-    return functools.reduce(DataFrame.unionByName, parts)
+    if not counted:
+        return spark.createDataFrame([], "group long, lang string, term string, n long")
+    return functools.reduce(DataFrame.unionByName, counted)
 
 
 def _shares(counts: np.ndarray, size, n_terms: int) -> np.ndarray:
@@ -411,22 +420,25 @@ def divergence(
     No group is held by one task: a language's terms are spread over pieces by hash, each piece gets the sizes of the language's
     groups, and sums of pieces are added up. Shares are whole numbers, so nothing depends on the order.
     """
-    texts = _groups(docs, text_col, lang_col, source_col)
-    counts = group_counts(texts, min_df, slice_terms)
-    sizes = counts.groupBy("lang", "source").agg(F.sum("n").alias("size"))
+    texts = _groups(docs, text_col, lang_col, source_col).withColumn("group", F.xxhash64("lang", "source"))
+    occurring = saved(texts.groupBy("group").agg(F.min("lang").alias("lang"), F.min("source").alias("source"), F.count_distinct("lang", "source").alias("names")), "groups")
+    if not occurring.where("names > 1").isEmpty():
+        raise ValueError("two groups share a 64-bit hash")
+    counts = group_counts(texts.select("lang", "text", "group"), min_df, slice_terms)
+    sizes = counts.groupBy("group").agg(F.sum("n").alias("size"))
     kept = counts.select("lang", "term").distinct().groupBy("lang").agg(F.count("*").alias("n_terms"))
     pieces = counts.groupBy("lang").agg(F.ceil(F.count("*") / ROWS_PER_PIECE).cast("int").alias("pieces"))
     languages = saved(kept.join(pieces, "lang"), "languages")
     # how a join runs is left to Spark: groups and languages are usually few
-    groups = texts.groupBy("lang", "source").agg(F.count("*")).join(sizes, ["lang", "source"], "left").join(languages, "lang", "left")
-    groups = saved(groups.select("lang", "source", F.coalesce("size", F.lit(0)).alias("n"), F.coalesce("n_terms", F.lit(0)).alias("n_terms"),
+    groups = occurring.join(sizes, "group", "left").join(languages, "lang", "left")
+    groups = saved(groups.select("group", "lang", "source", F.coalesce("size", F.lit(0)).alias("n"), F.coalesce("n_terms", F.lit(0)).alias("n_terms"),
         F.coalesce("pieces", F.lit(1)).alias("pieces")), "groups")
     columns = ["lang", "piece", "pieces", "term", "source", "n", "n_terms"]
     nothing = F.lit(None).cast("string")
     heads = groups.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).withColumn("term", nothing)
     # a term of no source begins the work on a piece, also where no term is kept
     starts = heads.withColumn("term", F.lit("")).withColumn("source", nothing).select(*columns[:5], F.lit(0).cast("long").alias("n"), "n_terms").distinct()
-    cells = counts.join(languages, "lang").withColumn("piece", F.pmod(F.xxhash64("term"), F.col("pieces")).cast("int")).select(*columns)
+    cells = counts.drop("lang").join(groups.drop("n"), "group").withColumn("piece", F.pmod(F.xxhash64("term"), F.col("pieces")).cast("int")).select(*columns)
     rows = heads.select(*columns).unionByName(starts).unionByName(cells)
     rows = rows.repartition("lang", "piece").sortWithinPartitions("lang", "piece", F.col("term").asc_nulls_first(), "source")
     found = saved(rows.mapInArrow(_evaluate(top), "kind int, lang string, source string, item string, value long"), "found")
