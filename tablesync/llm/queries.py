@@ -149,10 +149,10 @@ run AS (
   SELECT *, share > 0 AND sum(size) OVER (PARTITION BY source ORDER BY rank, u, doc_id ROWS UNBOUNDED PRECEDING) <= need AS sampled FROM ranked),
 open_words AS (SELECT source, any_value(need) - coalesce(sum(size) FILTER (sampled), 0) AS gap FROM run WHERE share > 0 GROUP BY source),
 small AS (
-  SELECT r.source, doc_id, size, gap, row_number() OVER (PARTITION BY r.source ORDER BY size DESC, rank, u, doc_id) AS n,
+  SELECT r.source, doc_id, size, gap,
     sum(size) OVER (PARTITION BY r.source ORDER BY size DESC, rank, u, doc_id ROWS UNBOUNDED PRECEDING) AS filled
   FROM run r JOIN open_words o ON r.source IS NOT DISTINCT FROM o.source WHERE share > 0 AND NOT sampled AND size > 0 AND size <= gap),
-fills AS (SELECT source, doc_id, size FROM small WHERE n <= 1000 AND filled <= gap),
+fills AS (SELECT source, doc_id, size FROM small WHERE filled <= gap),
 still_open AS (
   SELECT o.source, o.gap - coalesce(f.words, 0) AS open FROM open_words o
   LEFT JOIN (SELECT source, sum(size) AS words FROM fills GROUP BY source) f ON f.source IS NOT DISTINCT FROM o.source),

@@ -70,6 +70,27 @@ def test_short_documents_close_the_gap_of_a_very_long_one(spark, long, gap):
     assert got.target == need and got.taken == pytest.approx(need, abs=30)
 
 
+def test_the_sql_beside_the_query_with_thousands_of_fillers(spark, tmp_path):
+    """The query's SQL states the same rule: here some 1,500 short documents close a gap."""
+    import duckdb
+
+    from tablesync.llm.queries import CASES
+
+    need, gap, long = 400_000, 45_000, 150_000
+    ids = spark.range(20_000).select(F.col("id").alias("doc_id"))
+    at = ids.orderBy(uniform(F.col("doc_id"))).collect()[(need - gap) // 30].doc_id
+    docs = ids.select("doc_id", F.repeat(F.lit("w "), F.when(F.col("doc_id") == at, long).otherwise(30).cast("int")).alias("text"), F.lit("a").alias("source"))
+    other = F.repeat(F.lit("w "), 1_200_000 - 19_999 * 30 - long)
+    docs = docs.unionByName(spark.range(1).select(F.lit(-1).cast("long").alias("doc_id"), other.alias("text"), F.lit("b").alias("source")))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    case = CASES["op9_source_mixing"]
+    want = sorted(con.execute(f"SELECT doc_id, size, source_size, target, taken FROM ({case.sql}) q").fetchall())
+    got = sorted(tuple(r) for r in case.run(spark, str(tmp_path)).select("doc_id", "size", "source_size", "target", "taken").collect())
+    assert got == want and sum(r[4] for r in got if r[0] >= 0) > need - 60
+
+
 def test_documents_are_repeated_as_often_as_taken(rows):
     docs = rows(corpus(300), SCHEMA)
     want = Counter({r.doc_id: r.copies for r in mix(docs).collect() if r.copies})

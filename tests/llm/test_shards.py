@@ -72,3 +72,46 @@ def test_texts_of_one_size_class_fill_shards_alike(spark):
     docs = spark.range(100_000).select(F.col("id").alias("doc_id"), F.lpad(F.col("id").cast("string"), 40, "a ").alias("text"))
     n = assign_shards(docs).groupBy("shard").agg(F.sum("size").alias("b")).toPandas()["b"]
     assert len(n) == 24 and n.max() < 1.01 * n.mean() and n.min() > 0.99 * n.mean()
+
+
+def test_rows_that_repeat_one_id_and_text(spark):
+    """Half of all rows have one id, or none, and one text, over many partitions: shards differ by a row at most."""
+    for same in (F.lit(7), F.lit(None)):
+        hot = spark.range(3000).repartition(5).select(same.cast("long").alias("doc_id"), F.lit("0123456789").alias("text"))
+        docs = hot.unionByName(spark.range(3000).select((F.col("id") + 100).alias("doc_id"), F.lpad(F.col("id").cast("string"), 10, "x").alias("text")))
+        got = assign_shards(docs).toPandas()
+        n = got.groupby("shard").slot.agg(["count", "min", "max", "nunique"])
+        assert len(n) == 24 and n["count"].max() - n["count"].min() <= 1
+        assert (n["min"] == 0).all() and (n["max"] == n["count"] - 1).all() and (n["nunique"] == n["count"]).all()
+
+
+def test_a_very_long_text(spark):
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.expr("repeat('word ', if(id = 5, 20000, 20))").alias("text"))
+    got = assign_shards(docs).toPandas()
+    size = got.groupby("shard")["size"].sum()
+    assert len(got) == 2000 and got["size"].max() == 100_008 and size.max() < 1.01 * max(size.mean(), 100_008)
+    rest = size[size.index != got.loc[got["size"].idxmax(), "shard"]]
+    assert rest.max() < 1.05 * rest.mean() and rest.min() > 0.95 * rest.mean()
+
+
+def plain_pack(vectors, shards):
+    """The packing rule with plain numbers: the largest first, each where its dot product with what is left is highest."""
+    capacity = [sum(v[d] for v in vectors) / shards for d in range(3)]
+    parts = [[v[d] / capacity[d] for d in range(3)] for v in vectors]
+    left, place = [[1.0] * 3 for _ in range(shards)], [0] * len(vectors)
+    for i in sorted(range(len(parts)), key=lambda i: (-max(parts[i]), i)):
+        fits = [sum(w * a * b for w, a, b in zip((8.0, 1.0, 1.0), left[s], parts[i], strict=True)) for s in range(shards)]
+        best = fits.index(max(fits))
+        place[i] = best
+        left[best] = [a - b for a, b in zip(left[best], parts[i], strict=True)]
+    return place
+
+
+def test_packer_against_its_plain_form():
+    rng = np.random.default_rng(8)
+    for n, shards in ((1, 3), (40, 4), (300, 24)):
+        vectors = np.floor(np.stack([rng.lognormal(5, 1, n), rng.lognormal(3, 1, n), np.ones(n)], axis=1)) + 1
+        place, plain = pack(vectors, shards), plain_pack(vectors.tolist(), shards)
+        # sums in another order may break near ties differently, so loads are compared
+        loads = [np.sort([vectors[np.array(p) == s, 0].sum() for s in range(shards)]) for p in (place, plain)]
+        assert (place == np.array(plain)).mean() > 0.9 and np.allclose(loads[0], loads[1], rtol=0.02)
