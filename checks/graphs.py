@@ -230,3 +230,29 @@ def _(spark, d):
     entries = F.map_entries(tree.sorted_fields(fields))
     text = F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
     return table(spark, d, "part").select("p_partkey", text.alias("fields"))
+
+
+# A tree with links back: every 40th node's parent waits for it, and every 75th one's grandparent, so cycles of different lengths meet.
+RINGS_SQL = f"""SELECT child, parent FROM ({EDGES_SQL}) e WHERE child <> parent
+  UNION SELECT CAST(floor(id / 3.0) AS BIGINT), id FROM ({TREE_SQL}) t WHERE id > 0 AND id % 40 = 0
+  UNION SELECT CAST(floor(floor(id / 3.0) / 3.0) AS BIGINT), id FROM ({TREE_SQL}) t WHERE id > 8 AND id % 75 = 0"""
+
+
+@case(
+    "g3_dependency_cycles",
+    f"""WITH RECURSIVE e AS ({RINGS_SQL}),
+        back AS (SELECT DISTINCT e.parent AS id FROM e WHERE e.parent > e.child),
+        r(a, b) AS (SELECT child, parent FROM e UNION SELECT r.a, e.parent FROM r JOIN e ON e.child = r.b),
+        on_one AS (SELECT a FROM r WHERE a = b)
+        SELECT 'T' || x.a AS name, min('t' || y.b) AS cycle FROM on_one x JOIN r y ON y.a = x.a JOIN r z ON z.a = y.b AND z.b = x.a GROUP BY 1""",
+)
+def _(spark, d):
+    nodes = part_tree(spark, d)
+    name = lambda c: F.concat(F.lit("T"), c.cast("string"))
+    up = nodes.where("parent is not null").select("id", "parent").unionByName(nodes.select("id", F.floor(F.col("id") / 3).alias("parent")))
+    third = F.floor(F.col("id") / 3)
+    back = nodes.where("id > 0 and id % 40 = 0").select(third.alias("id"), F.col("id").alias("parent"))
+    far = nodes.where("id > 8 and id % 75 = 0").select(F.floor(third / 3).alias("id"), F.col("id").alias("parent"))
+    edges = up.unionByName(back).unionByName(far).select(name(F.col("id")).alias("child"), F.lower(name(F.col("parent"))).alias("parent"))
+    rows = integrity.dependency_cycles(nodes.select(name(F.col("id")).alias("name")), edges)
+    return rows.select("name", F.lower("cycle").alias("cycle"))

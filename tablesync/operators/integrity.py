@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.functions.text import is_empty
-from tablesync.operators.placement import cut, delete_path, work_path
+from tablesync.operators.levels import Ranked, rank_nodes
+from tablesync.operators.placement import cut, work_path
+
+NAMED = 20  # members of cycles that an error names
 
 
 def _parent_keys(parent: DataFrame, key: str) -> DataFrame:
@@ -43,48 +46,45 @@ class CircularDependencyError(ValueError):
     """Some nodes wait for each other; the message says where all of them are listed."""
 
 
+def _graph(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, Ranked]:
+    """Names by their folded form, and the ranked graph of the edges among them."""
+    named = cut(nodes.groupBy(F.lower("name").alias("_n")).agg(F.min("name").alias("name")))
+    inside = named.select("_n")
+    links = edges.select(F.lower("child").alias("child"), F.lower("parent").alias("parent")).where("child <> parent").distinct()
+    links = links.join(inside, F.col("child") == F.col("_n"), "left_semi").join(inside, F.col("parent") == F.col("_n"), "left_semi")
+    return named, rank_nodes(inside.withColumnRenamed("_n", "node"), cut(links))
+
+
 def dependency_levels(nodes: DataFrame, edges: DataFrame, on_cycle: str = "raise") -> DataFrame:
     """Level of each node so that parents come before children; matched without case. Runs at once.
 
     ``nodes(name)``, ``edges(child, parent)``. Edges to the node itself or to outside nodes do not
-    count. On a cycle all nodes on or behind it are written to the work folder and an error names their number and place;
-    with ``on_cycle='mark'`` they get level NULL instead. Each round takes off the nodes whose last parent
-    went the round before: it writes the remaining links, apart from those just dissolved, and the new level.
+    count. On a cycle all names on or behind it are written to the work folder with the cycle they are on (NULL: behind one), and an
+    error names the first members, the number and that place; with ``on_cycle='mark'`` these nodes get level NULL instead. Rounds: see ``levels``.
     """
-    spark, root = nodes.sparkSession, work_path(nodes.sparkSession, "levels")
-    named = cut(nodes.groupBy(F.lower("name").alias("_n")).agg(F.min("name").alias("name")))
-    inside = named.select("_n")
-    links = edges.select(F.lower("child").alias("_c"), F.lower("parent").alias("_p")).where("_c <> _p").distinct()
-    links = links.join(inside, F.col("_c") == F.col("_n"), "left_semi").join(inside, F.col("_p") == F.col("_n"), "left_semi")
-    links = cut(links)
-
-    def read(kind: str, schema: str) -> DataFrame:
-        return spark.read.schema(schema).parquet(f"{root}/{kind}")
-
-    level, ready = 0, inside.join(links.select(F.col("_c").alias("_n")).distinct(), "_n", "left_anti")
-    while True:
-        ready.select("_n").write.parquet(f"{root}/ready/level={level}")
-        done = spark.read.schema("_n string").parquet(f"{root}/ready/level={level}")
-        if done.isEmpty():
-            break
-        gone = done.select(F.col("_n").alias("_g"))
-        judged = links.join(gone, F.col("_p") == F.col("_g"), "left").select("_c", "_p", F.col("_g").isNotNull().alias("gone"))
-        judged.write.partitionBy("gone").parquet(f"{root}/links/{level}")
-        if level:
-            delete_path(spark, f"{root}/links/{level - 1}")
-        round_ = read(f"links/{level}", "_c string, _p string, gone boolean")
-        links = round_.where("not gone").select("_c", "_p")
-        freed = round_.where("gone").select(F.col("_c").alias("_n")).distinct()
-        ready = freed.join(links.select(F.col("_c").alias("_n")).distinct(), "_n", "left_anti")
-        level += 1
-    levels = read("ready", "_n string, level int")
-    out = named.join(levels, "_n", "left").select("name", "level")
-    if on_cycle == "raise" and not links.isEmpty():
-        stuck = named.join(levels, "_n", "left_anti").select("name")
-        stuck.write.parquet(f"{root}/circular")
-        n = spark.read.schema("name string").parquet(f"{root}/circular").count()
-        raise CircularDependencyError(f"circular dependency: {n} names wait for each other, listed in {root}/circular")
-    return out
+    named, ranked = _graph(nodes, edges)
+    if on_cycle == "raise" and not ranked.cycles.isEmpty():
+        place = work_path(nodes.sparkSession, "circular")
+        waiting = named.join(ranked.levels.where("level is null"), F.col("_n") == F.col("node")).select("name")
+        waiting.join(_members(named, ranked), "name", "left").select("name", "cycle").write.parquet(place)
+        written = nodes.sparkSession.read.schema("name string, cycle string").parquet(place)
+        first = ", ".join(r.name for r in written.where("cycle is not null").orderBy("cycle", "name").limit(NAMED).collect())
+        raise CircularDependencyError(f"circular dependency among {first}: {written.count()} names wait for each other or behind them, listed in {place}")
+    return named.join(ranked.levels, F.col("_n") == F.col("node"), "left").select("name", "level")
+
+
+def _members(named: DataFrame, ranked: Ranked) -> DataFrame:
+    of = named.select(F.col("_n").alias("cycle"), F.col("name").alias("_first"))
+    rows = ranked.cycles.join(named, F.col("node") == F.col("_n")).join(of, "cycle")
+    return rows.select(F.col("_first").alias("cycle"), "name")
+
+
+def dependency_cycles(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """The nodes that wait for each other: (cycle, name), a cycle being named by its first member without regard to case.
+
+    Nodes that only lie behind a cycle are not in it; cycles that share a node are one. Runs at once.
+    """
+    return _members(*_graph(nodes, edges))
 
 
 def dangling_pairs(df: DataFrame, id_col: str, type_col: str):

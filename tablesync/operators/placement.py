@@ -42,6 +42,14 @@ def delete_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def complete_tables(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the tables below a folder that were written to the end, in order."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path(folder))] if fs.exists(path(folder)) else []
+    return sorted(n for n in names if fs.exists(path(f"{folder}/{n}/_SUCCESS")))
+
+
 def prefixed(df: DataFrame, prefix: str, keep=()) -> DataFrame:
     return df.select([F.col(f"`{c}`").alias(c if c in keep else prefix + c) for c in df.columns])
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.functions.text import is_blank, string_columns
-from tablesync.operators.identity import row_checksum, with_match_keys
+from tablesync.operators.digests import compared
 from tablesync.operators.placement import work_path
 from tablesync.spec import CREATED, FAILED, SKIPPED, UPDATED, TableSpec
 
@@ -129,22 +129,7 @@ def secret_scan(df: DataFrame, keys: list[str], pattern: str = CREDENTIAL) -> Da
 
 def reconcile(source: DataFrame, target: DataFrame, spec: TableSpec) -> DataFrame:
     """Row counts and content after a round trip: rows equal, different, and on one side only."""
-    columns = source.columns
-    s = source.withColumn("_source_sum", row_checksum(source, spec, columns))
-    t = target.withColumn("_target_sum", row_checksum(target, spec, columns))
-    s, keys = with_match_keys(s, spec)
-    t, _ = with_match_keys(t, spec)
-    both = s.select(*keys, "_source_sum").join(t.select(*keys, "_target_sum"), keys, "full_outer")
-    in_s, in_t = F.col("_source_sum").isNotNull(), F.col("_target_sum").isNotNull()
-    same = F.col("_source_sum") == F.col("_target_sum")
-    return both.agg(
-        F.count_if(in_s).alias("source_rows"),
-        F.count_if(in_t).alias("target_rows"),
-        F.count_if(in_s & in_t & same).alias("equal_rows"),
-        F.count_if(in_s & in_t & ~same).alias("different_rows"),
-        F.count_if(in_s & ~in_t).alias("only_source"),
-        F.count_if(in_t & ~in_s).alias("only_target"),
-    )
+    return compared(source, target, spec, source.columns)
 
 
 def verify_post(checks: dict[str, DataFrame]) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
-from tablesync.operators import integrity, tree
+from tablesync.operators import integrity, placement, tree
 from tablesync.spec import PathRule
 
 NODES = "id int, parent int, name string, area int"
@@ -150,6 +150,64 @@ def test_a_long_cycle_is_listed_whole(rows, spark):
     assert {r.name for r in listed.collect()} == {*names} - {"free"}
     marked = levels(rows, names, [*ring, ("behind", "r5")], on_cycle="mark")
     assert marked["free"] == 0 and {marked[n] for n in names if n != "free"} == {None}
+    assert str(e.value).startswith("circular dependency among r0, r1, r10") and listed.where("cycle is null").first().name == "behind"
+
+
+def strongly_connected(names, edges):
+    """Members by smallest member, from the closure of the links; and the longest way up, None on or behind a cycle."""
+    up = {n: set() for n in names}
+    for c, p in edges:
+        if c != p and c in up and p in up:
+            up[c].add(p)
+    reach = {n: set() for n in names}
+    for n in names:
+        todo = list(up[n])
+        while todo:
+            m = todo.pop()
+            if m not in reach[n]:
+                reach[n].add(m)
+                todo.extend(up[m])
+    on = {n for n in names if n in reach[n]}
+    cycles = sorted((min({m for m in reach[n] if n in reach[m]}), n) for n in on)
+
+    def level(n):
+        return None if n in on or reach[n] & on else max((level(p) + 1 for p in up[n]), default=0)
+
+    return cycles, {n: level(n) for n in names}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_cycles_and_levels_of_random_graphs(rows, seed):
+    r = random.Random(seed)
+    names = [f"n{i:02}" for i in range(40)]
+    edges = [(r.choice(names[5:]), r.choice(names)) for _ in range((20, 35, 50, 80)[seed])]
+    cycles, want = strongly_connected(names, edges)
+    frames = rows([(n,) for n in names], "name string"), rows(edges, "child string, parent string")
+    assert values(integrity.dependency_cycles(*frames), "cycle", "name") == cycles
+    assert dict(values(integrity.dependency_levels(*frames, on_cycle="mark"))) == want
+
+
+def test_rounds_grow_with_the_logarithm_of_the_depth(spark, monkeypatch):
+    from tablesync.operators import levels as module
+
+    written = []
+
+    def counted(df):
+        written.append(1)
+        return placement.cut(df)
+
+    monkeypatch.setattr(module, "cut", counted)
+    for n in (1_000, 100_000):
+        written.clear()
+        nodes = spark.range(n).select(F.concat(F.lit("c"), F.col("id")).alias("name"))
+        chain = spark.range(1, n).select(F.concat(F.lit("c"), F.col("id")).alias("child"), F.concat(F.lit("c"), F.col("id") - 1).alias("parent"))
+        got = integrity.dependency_levels(nodes, chain)
+        assert got.where("level = cast(substr(name, 2) as int)").count() == n
+        assert len(written) <= 2 * n.bit_length()
+    ring = chain.unionByName(spark.createDataFrame([("c50000", "c99999")], "child string, parent string"))
+    written.clear()
+    cycles = integrity.dependency_cycles(nodes, ring)
+    assert cycles.count() == 50_000 and cycles.where("cycle <> 'c50000'").isEmpty() and len(written) <= 8 * n.bit_length()
 
 
 def test_orphans(rows):
