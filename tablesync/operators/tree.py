@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,36 +91,54 @@ def subtree(nodes: DataFrame, id_col: str, parent_col: str, roots: DataFrame, ro
     return folded.where("hit").select(F.col("node_id").alias(id_col))
 
 
-def _under(path: Column, base: str) -> Column:
-    low = F.lower(path)
-    if base == "/":
-        return F.startswith(low, F.lit("/"))
-    return (low == base.lower()) | F.startswith(low, F.lit(base.lower() + "/"))
+def rule_tables(spark: SparkSession, rules: list[PathRule]) -> tuple[DataFrame, DataFrame]:
+    """Path rules as tables: includes (rule, area, path) and excludes (rule, path)."""
+    includes = [(i, r.area, r.path) for i, r in enumerate(rules)]
+    excludes = [(i, x) for i, r in enumerate(rules) for x in r.excludes]
+    return spark.createDataFrame(includes, "rule long, area long, path string"), spark.createDataFrame(excludes, "rule long, path string")
 
 
-def path_included(path: Column, area: Column, rules: list[PathRule]) -> Column:
-    """Some rule of the same area covers the path and none of its excludes does."""
-    result = F.lit(False)
-    for rule in rules:
-        hit = (area == rule.area) & _under(path, rule.path)
-        for exclude in rule.excludes:
-            hit = hit & ~_under(path, exclude)
-        result = result | hit
-    return F.coalesce(result, F.lit(False))
+def _prefixes(path: Column) -> Column:
+    """All paths that cover a path: itself and what stands before each of its slashes; ``/`` covers what begins with one."""
+    parts = F.split(path, "/")
+    heads = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    return F.array_distinct(F.concat(heads, F.when(F.startswith(path, F.lit("/")), F.array(F.lit("/"))).otherwise(F.array().cast("array<string>"))))
 
 
-def filter_paths(df: DataFrame, path_col: str, area_col: str, rules: list[PathRule]) -> DataFrame:
-    """Rows whose path the rules include. A filter: it never becomes a join."""
-    return df.where(path_included(F.col(path_col), F.col(area_col), rules))
+def covered_paths(paths: DataFrame, includes: DataFrame, excludes: DataFrame) -> DataFrame:
+    """The distinct (area, path) of which some rule covers the path and none of its excludes does; paths in lower case.
+
+    Paths unfold into what covers them, which meets the rules by equality: the plan has one size for any number of rules.
+    """
+    places = paths.select(F.col("area").cast("long").alias("area"), F.lower("path").alias("path")).distinct()
+    unfolded = places.select("area", "path", F.explode(_prefixes(F.col("path"))).alias("prefix"))
+    rules = includes.select("rule", F.col("area").cast("long").alias("area"), F.lower("path").alias("prefix")).distinct()
+    hits = unfolded.join(rules, ["area", "prefix"]).select("area", "path", "rule").distinct()
+    without = excludes.select("rule", F.lower("path").alias("prefix")).distinct()
+    barred = hits.withColumn("prefix", F.explode(_prefixes(F.col("path")))).join(without, ["rule", "prefix"], "left_semi")
+    return hits.join(barred, ["area", "path", "rule"], "left_anti").select("area", "path").distinct()
+
+
+def _included(df: DataFrame, path_col: str, area_col: str, rules, how: str) -> DataFrame:
+    """``df`` joined with the places that the rules include (as ``_in``)."""
+    includes, excludes = rule_tables(df.sparkSession, rules) if isinstance(rules, list) else rules
+    found = covered_paths(df.select(F.col(area_col).alias("area"), F.col(path_col).alias("path")), includes, excludes)
+    found = found.select(F.col("area").alias("_area"), F.col("path").alias("_path"), F.lit(True).alias("_in"))
+    return df.join(found, (F.col(area_col) == F.col("_area")) & (F.lower(path_col) == F.col("_path")), how)
+
+
+def filter_paths(df: DataFrame, path_col: str, area_col: str, rules: list[PathRule] | tuple[DataFrame, DataFrame]) -> DataFrame:
+    """Rows whose path the rules include: a list, or tables as of ``rule_tables`` for any number of them."""
+    return _included(df, path_col, area_col, rules, "left_semi")
 
 
 def filter_tree(
-    nodes: DataFrame, id_col: str, parent_col: str, name_col: str, area_col: str, rules: list[PathRule]
+    nodes: DataFrame, id_col: str, parent_col: str, name_col: str, area_col: str, rules: list[PathRule] | tuple[DataFrame, DataFrame]
 ) -> DataFrame:
     """Nodes that the rules include together with every ancestor. Returns id and path."""
     paths = build_paths(nodes, id_col, parent_col, name_col).select(F.col(id_col).alias("_id"), "path")
     placed = nodes.select(id_col, parent_col, area_col).join(paths, F.col(id_col) == F.col("_id"))
-    judged = placed.withColumn("_ok", path_included(F.col("path"), F.col(area_col), rules))
+    judged = _included(placed, "path", area_col, rules, "left").withColumn("_ok", F.coalesce("_in", F.lit(False)))
     judged = cut(judged.select(id_col, parent_col, "path", "_ok"))
     folded = fold_up(judged, id_col, parent_col, {"ok": (F.col("_ok"), lambda low, up: low & up)})
     kept = folded.where("ok and reached_root").select("node_id")
