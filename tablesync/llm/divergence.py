@@ -24,8 +24,9 @@ from tablesync.llm.words import LOWER, Words, mix, text_bytes, word_blocks
 MAX_VOCABULARY = 2**31 - 1
 SLICE_TERMS = 1_000_000  # kept terms for one vectorizer, whose vocabulary is held by the driver and sent to the tasks
 SAMPLE = 256  # one term in so many is counted to find out how many are kept
-FOLD = 4 << 20  # bytes of texts whose terms are folded or summed at once
-HELD = 1 << 21  # sums of sources and terms that a task holds before it hands them out
+FOLD = 4 << 20  # bytes of texts whose terms are folded at once
+SUMMED = 1 << 20  # bytes of texts whose vectors are made at once
+HELD = 1 << 19  # sums of sources and terms that a task holds before it hands them out
 ROWS_PER_PIECE = 250_000  # counted terms of a language in one task of the evaluation
 CELLS = 1 << 20  # of one block of the evaluation
 SOURCES = 512  # in one block of a pair table
@@ -67,8 +68,8 @@ def _term_keys(block: Words, tags: list[bytes]) -> np.ndarray:
     return mix(block.hashes ^ mix(np.repeat(seeds, np.diff(block.offsets))))
 
 
-def _long_blocks(column) -> Iterator[Words]:
-    """Blocks of the words of whole texts, put together to about ``FOLD`` bytes so that equal terms meet."""
+def _long_blocks(column, size_of: int) -> Iterator[Words]:
+    """Blocks of the words of whole texts, put together to about ``size_of`` bytes so that equal terms meet."""
 
     def merged(found: list[Words]) -> Words:
         shifts = np.cumsum([0, *(len(b.hashes) for b in found)])
@@ -80,7 +81,7 @@ def _long_blocks(column) -> Iterator[Words]:
     for block in word_blocks(column, LETTERS):
         found.append(block)
         size += int(block.ends[-1] - block.starts[0]) if len(block.ends) else 0
-        if size >= FOLD:
+        if size >= size_of:
             yield merged(found)
             found, size = [], 0
     if found:
@@ -102,7 +103,7 @@ def folded_documents(groups: DataFrame, min_df: int, parts: int) -> DataFrame:
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column(0).to_pylist()
-            for block in _long_blocks(batch.column(1)):
+            for block in _long_blocks(batch.column(1), FOLD):
                 tags = [f"{lang} ".encode() for lang in langs[block.lo : block.hi]]
                 keys = _term_keys(block, tags)
                 order = np.argsort(keys, kind="stable")  # equal terms stay in the order of their texts
@@ -186,7 +187,7 @@ def _group_sums(groups: DataFrame, vocabulary: _Vocabulary) -> DataFrame:
         for batch in batches:
             langs, of = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             numbers = np.array([numbers_of.setdefault(g, len(numbers_of)) for g in of], np.int64)
-            for block in _long_blocks(batch.column(1)):
+            for block in _long_blocks(batch.column(1), SUMMED):
                 text, index = vocabulary.vectors(block, langs[block.lo : block.hi])
                 keys, counts = np.unique((numbers[block.lo + text] << 32) | index, return_counts=True)
                 open_.append((keys, counts))

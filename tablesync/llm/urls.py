@@ -126,14 +126,14 @@ def url_parts(url: Column) -> tuple[Column, Column]:
 
 def candidate_keys(host: Column, path: Column, labels: int, lengths: list[int]) -> Column:
     """Every key that a rule fitting this URL could have: host suffixes of up to ``labels`` labels with path prefixes of
-    the ``lengths`` that occur in rules."""
+    the ``lengths`` that occur in rules. One expression for any number of either."""
+    if not labels or not lengths:
+        return F.array().cast("array<string>")
     held = F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
-    keys = [
-        F.when((F.length(host) > 0) & (held >= n) & (F.length(path) >= m), F.concat(F.substring_index(host, ".", -n), F.substring(path, 1, m)))
-        for n in range(1, labels + 1)
-        for m in lengths
-    ]
-    return F.array_compact(F.array(*keys)) if keys else F.array().cast("array<string>")
+    asked = F.filter(F.split(F.lit(",".join(map(str, lengths))), ",").cast("array<int>"), lambda m: m <= F.length(path))
+    suffixes = F.transform(F.sequence(F.lit(1), F.least(held, F.lit(labels))), lambda n: F.call_function("substring_index", host, F.lit("."), -n))
+    keys = F.flatten(F.transform(suffixes, lambda s: F.transform(asked, lambda m: F.concat(s, F.substring(path, F.lit(1), m)))))
+    return F.when(F.length(host) > 0, keys).otherwise(F.array().cast("array<string>"))
 
 
 def judge_urls(

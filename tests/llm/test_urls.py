@@ -60,3 +60,37 @@ def test_a_cascade_that_is_too_large_is_refused(spark):
         assert "max_bytes" in str(e)
     else:
         raise AssertionError
+
+
+def brute(url, rules, unlisted="allow"):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    cut = min((rest.find(c) for c in "/?#" if c in rest), default=len(rest))
+    host, tail = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:cut]), rest[cut:]
+    path = tail[: min((tail.find(c) for c in "?#" if c in tail), default=len(tail))]
+    fits = [(len(h + p), len(h), h + p, v) for h, p, v in rules if host and (host == h or host.endswith("." + h)) and path.startswith(p)]
+    if not fits:
+        return host, path, None, unlisted
+    best = max(fits, key=lambda f: (f[0], f[1], f[2], f[3] == "block"))
+    return host, path, best[2], best[3]
+
+
+def test_many_rules_with_many_path_lengths_and_a_very_long_url(rows, spark):
+    rng = random.Random(7)
+    rules = [(f"h{k % 50}.example", "/" + "ab"[k % 2] * n, "block" if k % 3 else "allow") for n in range(400) for k in range(25)]
+    rules = list({(h, p): (h, p, v) for h, p, v in rules}.values())
+    urls = [f"http://x.y.h{rng.randrange(60)}.example/{'ab'[rng.randrange(2)] * rng.randrange(500)}?q" for _ in range(150)]
+    urls.append("https://h1.example/" + "a" * 200_000)
+    got = judge(rows, urls, rules)
+    for i, url in enumerate(urls):
+        assert got[i] == brute(url, rules), url[:60]
+
+
+def test_keys_are_one_expression_for_any_rules(spark):
+    from tablesync.llm.urls import candidate_keys
+
+    pages = spark.createDataFrame([("a.b.c", "/x/y")], "host string, path string")
+    sizes = []
+    for labels, lengths in ((2, [1, 2]), (9, list(range(5000)))):
+        keys = pages.select(candidate_keys(F.col("host"), F.col("path"), labels, lengths).alias("k"))
+        sizes.append(keys._jdf.queryExecution().analyzed().toString().count("lambdafunction"))
+    assert sizes[0] == sizes[1] and set(keys.first().k) == {s + "/x/y"[:m] for s in ("c", "b.c", "a.b.c") for m in range(5)}
