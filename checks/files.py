@@ -8,6 +8,7 @@ from checks.base import DROP_SQL, LIVE_SQL, ORDERS, PAIR_SQL, SEED_SQL, case, in
 from checks.merges import FILLED, MERGED
 from tablesync.operators.digests import reconcile_by_digest
 from tablesync.operators.placement import work_path
+from tablesync.sources.chain import SnapshotChain
 from tablesync.sources.filetable import FileTable
 
 ROWS_PER_FILE = 5_000
@@ -94,3 +95,21 @@ def _(spark, d):
     target = FileTable.create(rows, work_path(spark, "table"), ORDERS, -(-rows.count() // source.buckets))
     target.remove(rows.where("o_orderstatus = 'P' and o_custkey <= 100"))
     return source.reconcile(target)[0]
+
+
+@case(
+    "a3_snapshot_chain",
+    f"""{PAIR_SQL}, merged AS (SELECT coalesce(i.o_orderkey, t.o_orderkey) AS o_orderkey, coalesce(i.o_orderpriority, t.o_orderpriority) AS o_orderpriority
+          FROM live t FULL JOIN inc i ON i.o_orderkey = t.o_orderkey)
+        SELECT 0 AS version, o_orderkey, o_orderpriority FROM live UNION ALL SELECT 1, * FROM merged
+        UNION ALL SELECT 2, o_orderkey, o_orderpriority FROM inc""",
+)
+def _(spark, d):
+    """Version 0 is the target, 1 has the incoming rows too, 2 is the incoming snapshot alone: inserts, updates and deletes."""
+    rows, incoming = live_orders(spark, d), incoming_orders(spark, d)
+    chain = SnapshotChain.create(rows, work_path(spark, "chain"), ORDERS)
+    chain.append(incoming)
+    chain.compact()
+    chain.snapshot(incoming)
+    parts = [chain.read(v).select(F.lit(v).alias("version"), "o_orderkey", "o_orderpriority") for v in range(3)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

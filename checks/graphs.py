@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.base import TREE_SQL, case, part_tree, table
-from tablesync.operators import integrity, tree
+from tablesync.operators import integrity, intervals, tree
 from tablesync.spec import PathRule
 
 GOOD = "SELECT * FROM customer WHERE c_acctbal >= 0"
@@ -256,3 +256,27 @@ def _(spark, d):
     edges = up.unionByName(back).unionByName(far).select(name(F.col("id")).alias("child"), F.lower(name(F.col("parent"))).alias("parent"))
     rows = integrity.dependency_cycles(nodes.select(name(F.col("id")).alias("name")), edges)
     return rows.select("name", F.lower("cycle").alias("cycle"))
+
+
+@case("h2_subtree_by_labels", f"{DOWN_SQL} SELECT id AS node_id FROM down")
+def _(spark, d):
+    nodes = part_tree(spark, d)
+    labels = intervals.label_tree(nodes, "id", "parent", F.col("name"))
+    return intervals.subtree_by_labels(labels, nodes.where("kind = 'SMALL' and sort > 30"), "id")
+
+
+@case("h3_survivors_by_labels", f"{DOWN_SQL} SELECT p_partkey AS node_id FROM part WHERE p_partkey NOT IN (SELECT id FROM down)")
+def _(spark, d):
+    nodes = part_tree(spark, d)
+    labels = intervals.label_tree(nodes, "id", "parent", F.col("name"))
+    return intervals.survivors_by_labels(labels, nodes.where("kind = 'SMALL' and sort > 30"), "id")
+
+
+@case(
+    "h8_counts_by_labels",
+    f"""WITH RECURSIVE nodes AS ({TREE_SQL}), up(id, top) AS (SELECT id, id FROM nodes
+          UNION ALL SELECT up.id, n.parent FROM up JOIN nodes n ON n.id = up.top WHERE n.parent IS NOT NULL)
+        SELECT top AS node_id, count(*) AS n FROM up GROUP BY top""",
+)
+def _(spark, d):
+    return intervals.counts_by_labels(intervals.label_tree(part_tree(spark, d), "id", "parent", F.col("name")))

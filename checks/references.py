@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.base import case, table
 from checks.identities import MAP_SQL, customer_map
-from tablesync.operators import refs
+from tablesync.operators import fragments, refs
 
 # Per document: a page link with anchor, a page link in lower case, a JSON selection, and a second
 # column that is a bare number for every document below 500 characters.
@@ -160,3 +160,32 @@ def _(spark, d):
 def _(spark, d):
     patterns = {"mail": "[a-z]+@[a-z]+", "license": refs.contains_any(["License", "Copyright"])}
     return refs.value_census({n: table(spark, d, n) for n in ("documents", "pages")}, patterns)
+
+
+# A fragment per document: twelve characters from its middle, which other documents may hold too.
+FRAGMENTS_SQL = "SELECT DISTINCT substr(text, CAST(floor(length(text) / 2.0) AS INTEGER), 12) AS fragment FROM documents WHERE length(text) > 40"
+
+
+def document_fragments(spark, d):
+    texts = table(spark, d, "documents").where(F.length("text") > 40)
+    return texts.select(F.substring("text", F.floor(F.length("text") / 2).cast("int"), F.lit(12)).alias("fragment")).distinct()
+
+
+@case(
+    "f8_clear_fragments",
+    f"""WITH f AS (SELECT fragment FROM ({FRAGMENTS_SQL}) x WHERE fragment LIKE '%e%e%e%')
+        SELECT doc_id, CASE WHEN EXISTS (SELECT 1 FROM f WHERE contains(text, fragment)) THEN NULL ELSE text END AS text, lang FROM documents""",
+)
+def _(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", "text", "lang")
+    return fragments.clear_fragments(rows, ["doc_id"], document_fragments(spark, d).where("fragment like '%e%e%e%'"))
+
+
+@case(
+    "f9_fragment_census",
+    f"""WITH f AS ({FRAGMENTS_SQL}) SELECT 'documents' AS table_name, 'text' AS col, fragment, count(*) AS n
+        FROM documents JOIN f ON contains(text, fragment) GROUP BY fragment""",
+)
+def _(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", "text", "lang")
+    return fragments.fragment_census({"documents": (rows, ["doc_id"])}, document_fragments(spark, d))

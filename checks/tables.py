@@ -408,3 +408,37 @@ def _(spark, d):
 
 
 __all__ = ["customers", "exploded", "part_fields", "part_tree"]
+
+
+@case(
+    "b4_filter_paths_rules_as_tables",
+    """SELECT '/' || lang || '/' || source || '/' || doc_id AS page_path, doc_id, CAST(length(lang) AS INTEGER) AS area FROM documents
+       WHERE source <> 'src3' AND n_chars <= 3000""",
+)
+def _(spark, d):
+    """A rule per language and source, and an exclude per long document: as many as there are documents."""
+    docs = table(spark, d, "documents").where("lang is not null and source is not null")
+    docs = docs.withColumn("page_path", F.concat_ws("/", F.lit(""), "lang", "source", F.col("doc_id").cast("string"))).withColumn("area", F.length("lang"))
+    rule = F.xxhash64("lang", "source").alias("rule")
+    includes = docs.where("source <> 'src3'").select(rule, "area", F.upper(F.concat_ws("/", F.lit(""), "lang", "source")).alias("path")).distinct()
+    excludes = docs.where("n_chars > 3000").select(rule, F.col("page_path").alias("path"))
+    return tree.filter_paths(docs, "page_path", "area", (includes, excludes)).select("page_path", "doc_id", "area")
+
+
+@case(
+    "c7_field_drift",
+    """SELECT DISTINCT event_type AS type_name, 'k' AS field, 'retyped' AS change, 'BIGINT' AS old_kind, 'STRING' AS new_kind FROM events WHERE event_type = 'view'
+       UNION ALL SELECT DISTINCT event_type, 'gone', 'lost', 'BIGINT', NULL FROM events WHERE event_type = 'click'
+       UNION ALL SELECT DISTINCT event_type, 'fresh', 'new', NULL, 'OBJECT<u: BIGINT>' FROM events WHERE user_id >= 100""",
+)
+def _(spark, d):
+    """Every event's field map, and the same maps after a change of the application."""
+    events, kind = table(spark, d, "events"), F.col("event_type")
+    more = lambda text: F.concat(F.regexp_replace("props", r"\}$", ""), F.lit(text), F.lit("}"))
+    before = events.select("event_type", F.when(kind == "click", more(', "gone": 1')).otherwise(F.col("props")).alias("fields"))
+    text = F.regexp_replace("props", r": (\d+)", ': "$1"')
+    fresh = F.concat(F.regexp_replace("props", r"\}$", ', "fresh": {"u": '), F.col("user_id"), F.lit("}}"))
+    fresh_text = F.concat(F.regexp_replace(text, r"\}$", ', "fresh": {"u": '), F.col("user_id"), F.lit("}}"))
+    held = F.when(F.col("user_id") >= 100, F.when(kind == "view", fresh_text).otherwise(fresh)).when(kind == "view", text).otherwise(F.col("props"))
+    after = events.select("event_type", held.alias("fields"))
+    return schema.field_drift(before, after, "event_type", "fields")

@@ -197,3 +197,25 @@ def schema_diff(spark: SparkSession, a: T.StructType, b: T.StructType) -> DataFr
     return both.select(
         F.coalesce("a_name", "b_name").alias("column_name"), change.alias("change"), "a_type", "b_type"
     ).where("change is not null")
+
+
+def field_kinds(df: DataFrame, type_col: str, json_col: str) -> DataFrame:
+    """(type_name, field, kind) of the top-level fields of JSON objects, per type: the kind that holds all values of the field."""
+    docs = df.select(F.col(type_col).cast("string").alias("type_name"), F.try_parse_json(json_col).alias("doc")).where("doc is not null")
+    fields = docs.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("doc").outer())).where("key is not null")
+    return fields.groupBy("type_name", F.col("key").alias("field")).agg(F.schema_of_variant_agg("value").alias("kind"))
+
+
+def field_drift(before: DataFrame, after: DataFrame, type_col: str, json_col: str) -> DataFrame:
+    """Fields of free-form JSON objects that are ``new``, ``lost`` or ``retyped`` between two snapshots, per type.
+
+    (type_name, field, change, old_kind, new_kind). No schema is declared: fields and their kinds come from all values. Texts that are no
+    JSON object are skipped; a field of one kind beside NULLs keeps the kind. Equal kinds are not listed.
+    """
+    old = field_kinds(before, type_col, json_col).select(F.col("type_name").alias("_t"), F.col("field").alias("_f"), F.col("kind").alias("old_kind"))
+    new = field_kinds(after, type_col, json_col).withColumnRenamed("kind", "new_kind")
+    both = new.join(old, F.col("type_name").eqNullSafe(F.col("_t")) & (F.col("field") == F.col("_f")), "full_outer")
+    change = F.when(F.col("_f").isNull(), "new").when(F.col("field").isNull(), "lost").when(F.col("old_kind") != F.col("new_kind"), "retyped")
+    rows = both.withColumn("change", change).where("change is not null")
+    named = F.when(F.col("field").isNull(), F.col("_t")).otherwise(F.col("type_name"))
+    return rows.select(named.alias("type_name"), F.coalesce("field", "_f").alias("field"), "change", "old_kind", "new_kind")

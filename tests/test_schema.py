@@ -101,3 +101,13 @@ def test_schema_diff(spark):
     a = T.StructType().add("a", "string").add("B", "integer").add("c", "string", False)
     b = T.StructType().add("A", "string").add("b", "long").add("c", "string").add("d", "string")
     assert dict(values(schema.schema_diff(spark, a, b), "column_name", "change")) == {"B": "type", "c": "nullability", "d": "only_b"}
+
+
+def test_field_drift(rows):
+    old = rows([("a", '{"x": 1, "y": "s", "z": {"q": 1}}'), ("a", '{"x": null}'), ("b", "bad"), ("b", "[1]"), (None, '{"m": 1}')], "t string, j string")
+    new = rows([("a", '{"x": 2.5, "z": {"q": "1"}, "w": true}'), ("a", '{"y": "t"}'), ("b", '{"k": 1}'), (None, '{"m": 2}'), ("c", None)], "t string, j string")
+    assert values(schema.field_drift(old, new, "t", "j"), "type_name", "field", "change", "old_kind", "new_kind") == [
+        ("a", "w", "new", None, "BOOLEAN"), ("a", "x", "retyped", "BIGINT", "DECIMAL(2,1)"), ("a", "z", "retyped", "OBJECT<q: BIGINT>", "OBJECT<q: STRING>"),
+        ("b", "k", "new", None, "BIGINT"),
+    ]
+    assert schema.field_drift(old, old, "t", "j").count() == 0
