@@ -9,6 +9,8 @@ from __future__ import annotations
 import functools
 import heapq
 import json
+import re
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,9 +22,12 @@ from pyspark.sql import functions as F
 
 MAX_VOCABULARY_BYTES = 64 << 20
 GROUP = 512  # full sequences that are packed together
-CACHED = 400_000  # words whose ids a worker keeps, twice at most
+CACHED = 700_000  # words whose ids a worker keeps, twice at most
 CACHED_CHARS = 40  # of a word, at most
 LATIN = "ɏ"  # lower-case letters up to here are their own normal form
+_ODD = re.compile("[^\x00-\u012f\u0131-\u024f]|<\\|")  # what does not fold letter by letter, or may begin a special token
+_STOP = re.compile("[a-zß-öø-ÿ][.,](?= )")
+_OTHER_STOP = re.compile("[^a-zß-öø-ÿ][.,] ")
 
 
 def piece_sizes(total: int, capacity: int) -> list[int]:
@@ -102,18 +107,28 @@ class _Words(dict):
         return ids
 
     def _ids(self, word: str) -> bytes:
-        if len(word) <= CACHED_CHARS and max(word, default="") <= LATIN:
-            if word[-1:] in (".", ",") and word[:-1].isalpha():
-                return self[word[:-1]] + self[word[-1]]
-            if word.isascii() and word.isalpha() and not word.islower():
-                return self[word.lower()]
-            if word.isalpha() and word.islower():
+        if len(word) <= CACHED_CHARS and word.isalpha() and word.islower():
+            if word.isascii():
+                return _packed([t.id for t in self._model.tokenize(word)])
+            if max(word) <= LATIN:
                 return _packed([t.id for t in self._model.tokenize("".join(self._signs[b] for b in word.encode()))])
         return _packed(self._encode(word))
 
+    def text(self, text: str) -> bytes:
+        """The ids of a text. Where letters fold one by one, they are folded at once, and a stop or comma between a letter and a blank,
+        which is a piece of its own, is cut off: so fewer different words are met."""
+        text = text.replace("\n", " ")
+        if text.isascii() and "<|" not in text or not _ODD.search(text):
+            text = text.lower()
+            if _OTHER_STOP.search(text):
+                text = _STOP.sub(lambda m: f"{m[0][0]} {m[0][1]}", text)
+            else:
+                text = text.replace(". ", " . ").replace(", ", " , ")
+        return b"".join(map(self.__getitem__, text.split(" ")))
+
 
 def _packed(ids) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @functools.lru_cache(2)
@@ -136,7 +151,7 @@ def _encoder(config: bytes):
 
     if steps == ["NFC", "Replace", "Lowercase"] and cuts == ["Split", "ByteLevel"] and ends and parts["model"]["type"] == "BPE":
         words = _Words(encode, tokenizer.model)
-        return lambda text: b"".join(map(words.__getitem__, text.replace("\n", " ").split(" ")))
+        return words.text
     return lambda text: _packed(encode(text))
 
 
