@@ -27,6 +27,7 @@ SAMPLE = 256  # one term in so many is counted to find out how many are kept
 FOLD = 4 << 20  # bytes of texts whose terms are folded at once
 SUMMED = 1 << 20  # bytes of texts whose vectors are made at once
 HELD = 1 << 19  # sums of sources and terms that a task holds before it hands them out
+DOCS_PER_PART, MOST_PARTS = 5_000, 100_000  # tasks of the fit, each with all occurrences of its terms
 ROWS_PER_PIECE = 250_000  # counted terms of a language in one task of the evaluation
 CELLS = 1 << 20  # of one block of the evaluation
 SOURCES = 512  # in one block of a pair table
@@ -119,14 +120,15 @@ def folded_documents(groups: DataFrame, min_df: int, parts: int) -> DataFrame:
                     part = ((mine >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
                     sorted_ = np.argsort(part, kind="stable")
                     sampled = mine[sorted_] // np.uint64(SAMPLE) % np.uint64(SAMPLE) == 0
-                    ends = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
+                    present, sizes = np.unique(part, return_counts=True)
+                    ends = np.concatenate([[0], np.cumsum(sizes)])
                     lists = [
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), terms.take(pa.array(sorted_))),
                         pa.ListArray.from_arrays(
                             pa.array(np.concatenate([[0], np.cumsum(sampled)])[ends], pa.int32()), pa.array(mine[sorted_][sampled].view(np.int64), pa.int64())
                         ),
                     ]
-                    yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), *lists], names=["part", "terms", "sampled"])
+                    yield pa.RecordBatch.from_arrays([pa.array(present, pa.int32()), *lists], names=["part", "terms", "sampled"])
 
     return groups.mapInArrow(fold, "part int, terms array<string>, sampled array<long>")
 
@@ -212,8 +214,8 @@ def group_counts(groups: DataFrame, min_df: int = 10, slice_terms: int = SLICE_T
     slice reads the texts once. How many terms are kept is estimated from those of one in ``SAMPLE`` hashes.
     """
     spark = groups.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    folded = saved(folded_documents(groups, min_df, parts).repartition("part"), "folded")
+    parts = min(MOST_PARTS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), groups.count() // DOCS_PER_PART))
+    folded = saved(folded_documents(groups, min_df, parts).repartition(parts, "part"), "folded")
     held = folded.select(F.explode("sampled").alias("term")).groupBy("term").count().where(F.col("count") >= min_df).count()
     slices = 1 + int(held * SAMPLE * 1.1) // slice_terms
     nothing = spark.range(0, min_df, 1, 1).select(F.array(F.lit(_NOTHING)).alias("terms"))
