@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from checks.base import case, table
 from checks.identities import MAP_SQL, customer_map
 from tablesync.operators import fragments, refs
+from tablesync.operators.placement import work_path
+from tablesync.sources.refindex import ReferenceIndex
 
 # Per document: a page link with anchor, a page link in lower case, a JSON selection, and a second
 # column that is a bare number for every document below 500 characters.
@@ -189,3 +191,17 @@ def _(spark, d):
 def _(spark, d):
     rows = table(spark, d, "documents").select("doc_id", "text", "lang")
     return fragments.fragment_census({"documents": (rows, ["doc_id"])}, document_fragments(spark, d))
+
+
+@case("f3_link_sweep_index", f"{_SWEEP} SELECT * FROM u")
+def _(spark, d):
+    """Half of the notes are indexed as they were, then changed and joined by the others; the sweep reads no text again."""
+    now, half = notes(spark, d), F.col("p") < 25
+    before = now.where(half).withColumn("note", F.regexp_replace("note", "ID=", "ID=1"))
+    index = ReferenceIndex(spark, work_path(spark, "index"), ["doc_id"], ["note", "short"])
+    index.update(0, None, before)
+    index.update(1, before, now.where(half))
+    index.update(2, None, now.where(~half))
+    index.fold()
+    pages = table(spark, d, "customer").where("c_acctbal >= 0")
+    return index.sweep(pages, "c_custkey", para_map(spark, d), "source_id")[0]

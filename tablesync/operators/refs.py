@@ -167,10 +167,21 @@ def link_sweep(
     The references are extracted once and written, at once. They are counted per distinct target before they meet the
     ids, so a page linked from everywhere is one row there; only the targets found missing are looked up again.
     """
+    refs = cut(link_postings(df, keys, cols).withColumn("n", F.lit(1).cast("long")))
+    unresolved, resolved = sweep_postings(refs, pages, page_id, paras, para_id)
+    return unresolved.select(*keys, "col", "kind", "missing_id", "ref"), resolved
+
+
+def link_postings(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """The references of rows to a target: keys, col, kind, target_id, anchor_id (``NO_ANCHOR`` without one), ref."""
     refs = extract_links(df, keys, cols).where("target_id is not null")
+    return refs.withColumn("anchor_id", F.coalesce("anchor_id", F.lit(NO_ANCHOR)))
+
+
+def sweep_postings(refs: DataFrame, pages: DataFrame, page_id: str, paras: DataFrame, para_id: str) -> tuple[DataFrame, DataFrame]:
+    """The sweep over extracted references, each of which occurs ``n`` times: (unresolved, resolved)."""
     token = ["kind", "target_id", "anchor_id"]
-    refs = cut(refs.withColumn("anchor_id", F.coalesce("anchor_id", F.lit(NO_ANCHOR))))
-    counts = refs.groupBy(*token).agg(F.count("*").alias("n"))
+    counts = refs.groupBy(*token).agg(F.sum("n").alias("n"))
     judged = _judged(counts, _known_ids(pages, page_id, "page_known"), _known_ids(paras, para_id, "para_known"))
     link = F.col("kind") == "link"
     has_anchor = F.col("anchor_id") != NO_ANCHOR
@@ -180,7 +191,8 @@ def link_sweep(
     missing = F.when(link & F.col("page_known"), F.col("anchor_id")).otherwise(F.col("target_id"))
     judged = judged.withColumn("_fine", fine)
     broken = judged.where(~F.col("_fine")).select(*token, missing.alias("missing_id"))
-    unresolved = refs.join(broken, token).select(*keys, "col", "kind", "missing_id", "ref")
+    found = refs.join(broken, token).drop("target_id", "anchor_id")
+    unresolved = found.withColumn("n", F.explode(F.array_repeat("n", F.col("n").cast("int")))).drop("n")
     resolved = judged.agg(F.coalesce(F.sum(F.when(F.col("_fine"), F.col("n"))), F.lit(0)).alias("resolved"))
     return unresolved, resolved
 
