@@ -59,21 +59,37 @@ def canonical_xml(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: _canonical(F.col(f"`{c}`")) for c in cols})
 
 
+def _bound(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` mentions it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def _canonical(text: Column) -> Column:
-    empty, own = F.lit(""), F.trim(text)
-
-    def spelled(parts: Column) -> Column:
-        kind = lambda i: F.coalesce(kind_of(F.get(parts, i)), empty)
-        holds = lambda t: ~t.rlike(r"^\s*+$")
-        inside = lambda i: (kind(i - 1).isin("o", "t", "d") & kind(i + 1).isin("c", "t", "d"))
-        mixed = F.exists(F.transform(parts, lambda t, i: ((kind(i) == "d") | ((kind(i) == "t") & holds(t))) & ~inside(i)), lambda x: x)
-        blank = lambda t, i: (kind(i) == "t") & ~holds(t) & ~inside(i)
-        short = lambda t, i: F.when(kind(i) == "e", F.regexp_replace(t, r"\s*/>$", " />")).otherwise(t)
-        out = F.transform(parts, lambda t, i: F.when(~mixed & blank(t, i), empty).otherwise(short(t, i)))
-        whole = (F.size(parts) > 1) & (F.array_join(parts, "") == own)
-        return F.when(whole, F.array_join(out, "")).otherwise(own)
-
-    return F.transform(F.array(tokens(own)), spelled)[0]  # the text is cut into tokens once
+    own = F.trim(text)
+
+    def kind(token: Column) -> Column:
+        """As ``kind_of``; ``b`` for a text of blanks only."""
+        found = kind_of(token)
+        return F.when((found == "t") & token.rlike(r"^\s*+$"), "b").otherwise(found)
+
+    def inside(kinds: Column, i: Column) -> Column:
+        """Only text up to the tags on both sides, which open and close one element."""
+        return F.coalesce(F.get(kinds, i - 1).isin("o", "t", "b", "d") & F.get(kinds, i + 1).isin("c", "t", "b", "d"), F.lit(False))
+
+    def judged(s: Column) -> Column:
+        mixed = F.exists(F.transform(s["kinds"], lambda k, i: k.isin("t", "d") & ~inside(s["kinds"], i)), lambda x: x)
+        return _bound(F.struct(s["parts"].alias("parts"), s["kinds"].alias("kinds"), mixed.alias("mixed")), spelled)
+
+    def spelled(s: Column) -> Column:
+        def one(token: Column, i: Column) -> Column:
+            k = F.get(s["kinds"], i)
+            gone = ~s["mixed"] & (k == "b") & ~inside(s["kinds"], i)
+            return F.when(gone, "").when(k == "e", F.regexp_replace(token, r"\s*/>$", " />")).otherwise(token)
+
+        whole = (F.size(s["parts"]) > 1) & (F.array_join(s["parts"], "") == own)
+        return F.when(whole, F.array_join(F.transform(s["parts"], one), "")).otherwise(own)
+
+    return _bound(tokens(own), lambda parts: _bound(F.struct(parts.alias("parts"), F.transform(parts, kind).alias("kinds")), judged))
 
 
 def _without(df: DataFrame, cols: list[str], names: Column, name_attr: str) -> DataFrame:
