@@ -104,6 +104,20 @@ def element_nodes(texts: DataFrame, name_attr: str = "name") -> DataFrame:
         "depth": F.sum(F.when(kind == OPEN, 1).when(kind == CLOSE, -1).otherwise(0)).over(until),
         "full": F.sum(F.col("set").cast("int")).over(until),
     })
+    wrong = (
+        (F.col("depth") < 0)
+        | ((F.col("depth") == 0) & (F.col("set") | (kind == DATA)))
+        | (kind.isin(TEXT, OPEN, EMPTY) & tok.rlike(_BARE_AMPERSAND))
+        | ((kind == TEXT) & F.contains(tok, F.lit("]]>")))
+        | ((kind == CLOSE) & ~tok.rlike(r"^</[^\s/>]+\s*>$"))
+        | (begins & (F.size(F.array_distinct(F.transform("attrs", lambda a: a["name"]))) < F.size("attrs")))
+        | ((kind == OTHER) & (F.lower(F.substring(tok, 1, 6)) == "<?xml ") & (F.col("pos") > 0))
+    )
+    roots = F.sum((begins & (F.col("depth") + (kind == EMPTY).cast("int") == 1)).cast("int")).over(whole)
+    sound = ~F.max(wrong).over(whole) & (F.sum("len").over(whole) == F.col("size")) & (roots == 1)
+    # from here on texts, CDATA and comments have done their part
+    rows = rows.withColumn("sound", F.coalesce(sound, F.lit(False))).where(begins | (kind == CLOSE) | (F.col("pos") == 0))
+
     named = F.filter("attrs", lambda a: a["name"] == name_attr)
     rows = rows.withColumn("level", F.col("depth") + kind.isin(EMPTY, CLOSE).cast("int")).withColumn(
         "elem_key", F.when(begins, F.coalesce(attribute_value(F.get(named, 0)["raw"]), F.substring_index("name", ":", -1)))
@@ -126,22 +140,11 @@ def element_nodes(texts: DataFrame, name_attr: str = "name") -> DataFrame:
 
     # what an element adds when it opens is taken away when it closes
     here = lambda c: F.coalesce(F.bit_xor(F.when(paired, F.col(c))).over(until), F.lit(0))
-    wrong = (
-        (F.col("depth") < 0)
-        | ((kind == OPEN) & ~F.coalesce((F.col("after.kind") == CLOSE) & (F.col("after.name") == F.col("name")), F.lit(False)))
-        | ((kind == CLOSE) & ~F.coalesce((F.col("before.kind") == OPEN) & tok.rlike(r"^</[^\s/>]+\s*>$"), F.lit(False)))
-        | ((F.col("depth") == 0) & (F.col("set") | (kind == DATA)))
-        | (kind.isin(TEXT, OPEN, EMPTY) & tok.rlike(_BARE_AMPERSAND))
-        | ((kind == TEXT) & F.contains(tok, F.lit("]]>")))
-        | (begins & (F.size(F.array_distinct(F.transform("attrs", lambda a: a["name"]))) < F.size("attrs")))
-        | ((kind == OTHER) & (F.lower(F.substring(tok, 1, 6)) == "<?xml ") & (F.col("pos") > 0))
+    unpaired = (
+        ((kind == OPEN) & ~F.coalesce((F.col("after.kind") == CLOSE) & (F.col("after.name") == F.col("name")), F.lit(False)))
+        | ((kind == CLOSE) & ~F.coalesce(F.col("before.kind") == OPEN, F.lit(False)))
     )
-    one_root = F.sum((begins & (F.col("level") == 1)).cast("int")).over(whole) == 1
-    rows = rows.withColumns({
-        "inst": here("own"), "path": here("step"),
-        "well": ~F.max(F.coalesce(wrong, F.lit(True))).over(whole) & (F.sum("len").over(whole) == F.col("size")) & one_root,
-    })
-    rows = rows.where(begins | (kind == CLOSE) | (F.col("pos") == 0))
+    rows = rows.withColumns({"inst": here("own"), "path": here("step"), "well": F.col("sound") & ~F.max(unpaired).over(whole)})
     rows = rows.withColumns({
         "parent": F.when(kind == OPEN, F.col("inst").bitwiseXOR(F.col("own"))).otherwise(F.col("inst")),
         "inst": F.when(kind == EMPTY, F.col("inst").bitwiseXOR(F.col("own"))).otherwise(F.col("inst")),
