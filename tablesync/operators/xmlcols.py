@@ -150,6 +150,8 @@ def _merged(pairs: DataFrame, name_attr: str, fill: bool) -> DataFrame:
     own = F.struct("kind", "tag", "name", "attrs", "level", "off", "len", "close_off", "end_off", "leaf", "unset")
     same_path = Window.partitionBy("doc", "path", "element")
     nodes = nodes.withColumn("match", F.first(F.when(base & F.col("first") & F.col("element"), own), ignorenulls=True).over(same_path))
+    # the base's own elements have done their part; its first token tells whether it is well-formed
+    nodes = nodes.where(extra | (F.col("pos") == 0))
     # an extra element stands beside its children, which see what it was matched with
     family = Window.partitionBy("doc", "side", "of")
     nodes = nodes.withColumn("of", F.explode(F.when(F.col("level") > 1, F.array("inst", "parent")).otherwise(F.array("inst", F.lit(None)))))
