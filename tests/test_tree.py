@@ -176,7 +176,7 @@ def strongly_connected(names, edges):
     return cycles, {n: level(n) for n in names}
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", (0, 1))
 def test_cycles_and_levels_of_random_graphs(rows, seed):
     r = random.Random(seed)
     names = [f"n{i:02}" for i in range(40)]
@@ -197,17 +197,21 @@ def test_rounds_grow_with_the_logarithm_of_the_depth(spark, monkeypatch):
         return placement.cut(df)
 
     monkeypatch.setattr(module, "cut", counted)
-    for n in (1_000, 100_000):
-        written.clear()
-        nodes = spark.range(n).select(F.concat(F.lit("c"), F.col("id")).alias("name"))
-        chain = spark.range(1, n).select(F.concat(F.lit("c"), F.col("id")).alias("child"), F.concat(F.lit("c"), F.col("id") - 1).alias("parent"))
-        got = integrity.dependency_levels(nodes, chain)
-        assert got.where("level = cast(substr(name, 2) as int)").count() == n
-        assert len(written) <= 2 * n.bit_length()
-    ring = chain.unionByName(spark.createDataFrame([("c50000", "c99999")], "child string, parent string"))
+
+    def chain_of(n):
+        name = lambda c: F.concat(F.lit("c"), F.lpad(c.cast("string"), 6, "0"))
+        links = spark.range(1, n).select(name(F.col("id")).alias("child"), name(F.col("id") - 1).alias("parent"))
+        return spark.range(n).select(name(F.col("id")).alias("name")), links
+
+    n = 100_000
+    nodes, chain = chain_of(n)
+    got = integrity.dependency_levels(nodes, chain)
+    assert got.where("level = cast(substr(name, 2) as int)").count() == n and len(written) <= 2 * n.bit_length()
+    nodes, chain = chain_of(2_000)
     written.clear()
+    ring = chain.unionByName(spark.createDataFrame([("c001000", "c001999")], "child string, parent string"))
     cycles = integrity.dependency_cycles(nodes, ring)
-    assert cycles.count() == 50_000 and cycles.where("cycle <> 'c50000'").isEmpty() and len(written) <= 8 * n.bit_length()
+    assert cycles.count() == 1_000 and cycles.where("cycle <> 'c001000'").isEmpty() and len(written) <= 8 * n.bit_length()
 
 
 def test_orphans(rows):
