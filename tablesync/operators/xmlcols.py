@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from tablesync.functions.text import is_blank
 from tablesync.operators.merge import last_incoming
-from tablesync.operators.xmltree import EMPTY, OPEN, attribute_value, element_nodes, inner_value, kind_of, spliced, tokens
+from tablesync.operators.placement import cut
+from tablesync.operators.xmltree import EMPTY, OPEN, attribute_value, by_document, element_nodes, inner_value, kind_of, spliced, tokens
 from tablesync.spec import TableSpec
 
 _BASE, _EXTRA = 0, 1
@@ -26,10 +27,10 @@ def shred_xml(df: DataFrame, keys: list[str], col: str, name_attr: str = "name")
 
     ``node`` numbers a text's elements by the place of their start tags, ``parent`` is NULL for the root, ``ord`` counts the
     siblings. ``attr`` is NULL for the text of an element without child elements, which is NULL where it is empty; attributes have a
-    row each, but the one that names the element. ``keys`` must be unique. Malformed texts have no rows.
+    row each, but the one that names the element. ``keys`` must be unique. Malformed texts have no rows. Writes the texts once, at once.
     """
     cells = df.select(F.struct(*keys).alias("doc"), F.col(f"`{col}`").alias("text")).where(~is_blank(F.col("text")))
-    docs = cells.repartition("doc")
+    docs = by_document(cells, F.length("text"))
     nodes = element_nodes(docs.select("doc", F.lit(_BASE).alias("side"), "text"), name_attr)
     nodes = nodes.where(F.col("well") & F.col("kind").isin(OPEN, EMPTY))
     siblings = Window.partitionBy("doc", "parent").orderBy("pos")
@@ -39,7 +40,8 @@ def shred_xml(df: DataFrame, keys: list[str], col: str, name_attr: str = "name")
     placed = nodes.withColumn("of", F.explode(F.array("inst", "parent"))).withColumn("own", F.col("of") == F.col("inst"))
     placed = placed.withColumn("above", F.first(F.when(F.col("own"), F.col("node")), ignorenulls=True).over(family)).where(~F.col("own"))
     raw = F.substring("text", F.col("off") + F.col("len") + 1, F.col("close_off") - F.col("off") - F.col("len"))
-    values = placed.join(docs, "doc").withColumn("value", F.when(F.col("leaf"), F.nullif(inner_value(raw), F.lit(""))))
+    # texts compress well: by the size of their files they would be broadcast
+    values = placed.join(docs.hint("merge"), "doc").withColumn("value", F.when(F.col("leaf"), F.nullif(inner_value(raw), F.lit(""))))
     own_text = F.struct(F.lit(None).cast("string").alias("attr"), F.col("value").alias("value"))
     named = F.filter("attrs", lambda a: a["name"] != name_attr)
     listed = F.concat(
@@ -100,8 +102,9 @@ def _without(df: DataFrame, cols: list[str], names: Column, name_attr: str) -> D
         hit = F.coalesce(F.exists("_names", lambda n: F.contains(F.lower(text), n)) | F.contains(text, F.lit("&")), F.lit(False))
         rows = df.withColumn("_names", names).withColumn("_doc", F.when(hit, F.md5(F.concat_ws("\x00", text, F.array_join("_names", "\x01")))))
         found = rows.where("_doc is not null").groupBy(F.col("_doc").alias("doc")).agg(F.first(text).alias("text"), F.first("_names").alias("names"))
+        found = by_document(found, F.length("text"))
         nodes = element_nodes(found.select("doc", F.lit(_BASE).alias("side"), "text", "names"), name_attr).where("well")
-        nodes = nodes.join(found.select("doc", "names"), "doc")
+        nodes = nodes.join(found.select("doc", "names").hint("merge"), "doc")
         local = F.lower(F.substring_index("name", ":", -1))
         named = (F.col("level") > 1) & (F.array_contains("names", local) | F.coalesce(F.array_contains("names", F.lower("elem_key")), F.lit(False)))
         cuts = nodes.withColumn("named", named).where("named")
@@ -110,8 +113,8 @@ def _without(df: DataFrame, cols: list[str], names: Column, name_attr: str) -> D
         nothing = F.array().cast("array<struct<off:bigint,len:bigint>>")
         edit = F.struct(F.col("off").alias("at"), (F.col("end_off") - F.col("off")).alias("cut"), F.lit("").alias("before"), nothing.alias("slices"), F.lit("").alias("after"))
         edits = cuts.groupBy("doc").agg(F.sort_array(F.collect_list(edit)).alias("edits"))
-        left = found.join(edits, "doc").select(F.col("doc").alias("_doc"), spliced(F.col("text"), F.col("edits"), F.col("text")).alias("_left"))
-        changed = rows.where("_doc is not null").join(left, "_doc", "left").withColumn(col, F.coalesce("_left", text)).select(*df.columns)
+        left = found.hint("merge").join(edits, "doc").select(F.col("doc").alias("_doc"), spliced(F.col("text"), F.col("edits"), F.col("text")).alias("_left"))
+        changed = rows.where("_doc is not null").join(left.hint("merge"), "_doc", "left").withColumn(col, F.coalesce("_left", text)).select(*df.columns)
         df = rows.where("_doc is null").select(*df.columns).unionByName(changed)
     return df
 
@@ -134,7 +137,7 @@ def drop_xml_elements_by_type(
 
 
 def _merged(pairs: DataFrame, name_attr: str, fill: bool) -> DataFrame:
-    """Merge pairs (doc, base, extra) of distinct docs: doc, text, filled, well (the base).
+    """Merge pairs (doc, base, extra) of distinct docs, dealt by doc: doc, text, filled, well (the base).
 
     ``fill``: what the base lacks or leaves unset, at any depth, comes from the extra text, if both are well-formed. Otherwise
     the root's elements that only the extra text has are put behind the base's own.
@@ -224,7 +227,7 @@ def _merged(pairs: DataFrame, name_attr: str, fill: bool) -> DataFrame:
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("filled")))).alias("filled"),
     )
     labels = F.flatten(F.transform(F.filter("filled", lambda x: x["names"].isNotNull()), lambda x: x["names"]))
-    rows = pairs.join(per_doc, "doc")
+    rows = pairs.hint("merge").join(per_doc, "doc")
     return rows.select("doc", spliced(F.col("base"), F.col("edits"), F.col("extra")).alias("text"), labels.alias("filled"), "well")
 
 
@@ -233,22 +236,23 @@ def _beside(target: DataFrame, incoming: DataFrame, keys: list[str], col: str) -
     one = last_incoming(incoming, TableSpec("", tuple(keys)))
     seeds = one.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)], F.col(f"`{col}`").alias("_seed"))
     same = reduce(lambda a, b: a & b, [target[k] == F.col(f"_s{i}") for i, k in enumerate(keys)])
-    return target.join(seeds, same, "left").drop(*[f"_s{i}" for i in range(len(keys))])
+    # texts compress well: by the size of their files they would be broadcast
+    return target.join(seeds.hint("merge"), same, "left").drop(*[f"_s{i}" for i in range(len(keys))])
 
 
 def _with_merged(rows: DataFrame, base: str, extra: str, needs: Column, name_attr: str, fill: bool) -> DataFrame:
-    """Rows with ``_text``, ``_filled`` and ``_well`` of their merged pair; equal pairs are merged once."""
+    """Rows with ``_text``, ``_filled`` and ``_well`` of their merged pair; equal pairs are merged once. Writes rows and pairs once, at once."""
     pair = F.md5(F.concat(F.md5(F.coalesce(base, F.lit(""))), F.md5(F.coalesce(extra, F.lit("")))))
-    rows = rows.withColumn("_doc", F.when(needs, pair))
+    rows = cut(rows.withColumn("_doc", F.when(needs, pair)))
     pairs = rows.where("_doc is not null").groupBy(F.col("_doc").alias("doc")).agg(
         F.first(base).alias("base"), F.coalesce(F.first(extra), F.lit("")).alias("extra")
     )
-    done = _merged(pairs, name_attr, fill)
+    done = _merged(by_document(pairs, F.coalesce(F.length("base"), F.lit(0)) + F.length("extra")), name_attr, fill)
     done = done.select(F.col("doc").alias("_doc"), F.col("text").alias("_text"), F.col("filled").alias("_filled"), F.col("well").alias("_well"))
     rest = rows.where("_doc is null").withColumns({
         "_text": F.lit(None).cast("string"), "_filled": F.lit(None).cast("array<string>"), "_well": F.lit(None).cast("boolean"),
     })
-    return rows.where("_doc is not null").join(done, "_doc", "left").unionByName(rest)
+    return rows.where("_doc is not null").join(done.hint("merge"), "_doc", "left").unionByName(rest)
 
 
 def xml_fill(target: DataFrame, incoming: DataFrame, keys: list[str], col: str, name_attr: str = "name") -> DataFrame:
@@ -297,6 +301,7 @@ def xml_element_inventory(parts: list[tuple[DataFrame, str, str]], name_attr: st
     ]
     # the type belongs to the document: equal texts of one type are one
     both = reduce(DataFrame.unionByName, texts).groupBy(F.struct("type_name", F.md5("text").alias("text")).alias("doc")).agg(F.first("text").alias("text"))
+    both = by_document(both, F.length("text"))
     nodes = element_nodes(both.select("doc", F.lit(_BASE).alias("side"), "text"), name_attr).where((F.col("level") == 2) & F.col("well"))
     local, named = F.substring_index("name", ":", -1), F.exists("attrs", lambda a: (a["name"] == name_attr) & (F.length(a["raw"]) > 2))
     doc = Window.partitionBy("doc")

@@ -13,6 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablesync.operators.placement import cut
+
+CHARS = 2_000_000  # of the documents of one task; a character takes up to about 70 bytes as tokens and nodes
 _ATTR = r"""\s+[^\s<>/=]+\s*=\s*(?:"[^"<]*+"|'[^'<]*+')"""
 TOKEN = (
     r"<!--(?s:.*?)-->|<!\[CDATA\[(?s:.*?)\]\]>|<\?(?s:.*?)\?>"
@@ -27,6 +30,16 @@ _ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&
 OPEN, CLOSE, EMPTY, TEXT, DATA, OTHER = "o", "c", "e", "t", "d", "x"
 
 
+def by_document(texts: DataFrame, size: Column) -> DataFrame:
+    """Rows with a ``doc``, written and dealt by it into as many parts as their characters ask for; ``size`` counts those of a row.
+
+    Tokens need far more room than the texts that are shuffled, which compress well: the bytes of a shuffle say little about a task. Runs at once.
+    """
+    texts = cut(texts)
+    chars = texts.agg(F.sum(size.cast("long"))).first()[0] or 0
+    return texts.repartition(max(1, -(-chars // CHARS)), "doc")
+
+
 def tokens(text: Column) -> Column:
     """The tokens of a text; put together they are the text, unless it is malformed."""
     return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
