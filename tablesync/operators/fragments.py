@@ -1,7 +1,8 @@
 """Many literal fragments looked for in all text cells at once.
 
-A cell can hold a fragment only if it holds each run of ``GRAM`` characters in it. Of each fragment the run that the fewest cells hold is looked up
-by equality, and only rows that hold it are searched for the fragment. The plan has one size for any number of fragments.
+A cell can hold a fragment only if it holds each run of characters in it. Runs are as long as the fragment allows, up to 16 characters: the longer, the fewer cells
+hold one by chance. Of each fragment the run that the fewest cells hold is looked up by equality, and only rows that hold it are searched for the
+fragment. The runs of the cells pass a sieve of bits, sent to every task, before any is shuffled or written. The plan has one size for any number of fragments.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 from tablesync.functions.text import string_columns
 from tablesync.operators.placement import cut
 
-GRAM = 4
+SIZES = (1, 2, 3, 4, 6, 8, 12, 16)  # of runs: a fragment goes by the greatest that it holds
+WORDS = 1 << 20  # of 64 bits, of the sieve; more runs than bits let more pass, which are told apart afterwards
 
 
 def _grams(text: Column, n: int) -> Column:
@@ -20,31 +22,37 @@ def _grams(text: Column, n: int) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)))
 
 
+def _among(grams: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``gram`` is one of ``wanted(gram)``, which are distinct."""
+    at = F.pmod(F.xxhash64("gram"), F.lit(64 * WORDS))
+    word, bit = F.shiftright(at, 6), F.expr("shiftleft(1L, cast(_at & 63 as int))")
+    sieve = wanted.select(at.alias("_at")).groupBy(F.shiftright("_at", 6).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    near = grams.withColumn("_at", at).withColumn("_w", word).join(F.broadcast(sieve), F.col("_w") == F.col("_word"))
+    near = near.where(F.col("_bits").bitwiseAND(bit) != 0).drop("_at", "_w", "_word", "_bits")
+    return near.join(wanted, "gram")  # an inner join stays behind the sieve
+
+
 def fragment_hits(df: DataFrame, keys: list[str], fragments: DataFrame, cols: list[str] | None = None, any_case: bool = False) -> DataFrame:
     """(keys, col, fragment) for every text cell that contains a fragment of ``fragments(fragment)``. Runs at once.
 
-    ``keys`` identify a row. Fragments shorter than ``GRAM`` characters are looked up whole; empty and NULL ones are found nowhere. With
-    ``any_case`` letters are compared without case. Runs are extracted once and written where some fragment holds them; a run that very many cells hold is used only by
+    ``keys`` identify a row. Empty and NULL fragments are found nowhere. With
+    ``any_case`` letters are compared without case. Runs are extracted once and written where some fragment has them as its own; a run that very many cells hold is used only by
     fragments that have no rarer one.
     """
     names = cols if cols is not None else [c for c in string_columns(df) if c.lower() not in {k.lower() for k in keys}]
     folded = (lambda c: F.lower(c)) if any_case else (lambda c: c)
     wanted = cut(fragments.select("fragment", folded(F.col("fragment")).alias("body")).where("fragment <> ''").distinct())
-    sizes = [n for n in range(1, GRAM + 1)]
-    # a fragment's runs, numbered by their length, which is its own if it is short
-    length = F.least(F.length("body"), F.lit(GRAM))
     runs = F.lit(None).cast("array<string>")
-    for n in sizes:
-        runs = F.when(length == n, _grams(F.col("body"), n)).otherwise(runs)
+    for n in SIZES:
+        runs = F.when(F.length("body") >= n, _grams(F.col("body"), n)).otherwise(runs)
     parts = cut(wanted.select("fragment", "body", F.explode(runs).alias("gram")))
-    lengths = sorted(r.n for r in parts.select(F.length("gram").alias("n")).distinct().collect())  # at most GRAM
+    lengths = sorted(r.n for r in parts.select(F.length("gram").alias("n")).distinct().collect())  # some of SIZES
     if not lengths or not names:
         return df.select(*keys, F.lit(None).cast("string").alias("col"), F.lit(None).cast("string").alias("fragment")).limit(0)
     cells = F.array(*[F.struct(F.lit(c).alias("col"), folded(F.col(f"`{c}`")).alias("text")) for c in names])
     texts = df.select(*keys, F.inline(cells)).where("text <> ''")
     held = F.flatten(F.array(*[_grams(F.col("text"), n) for n in lengths]))
-    pairs = texts.select(*keys, "col", F.explode(held).alias("gram")).join(parts.select("gram").distinct(), "gram", "left_semi")
-    pairs = cut(pairs)
+    pairs = cut(_among(texts.select(*keys, "col", F.explode(held).alias("gram")), parts.select("gram").distinct()))
     counts = pairs.groupBy("gram").agg(F.count("*").alias("n"))
     rank = Window.partitionBy("fragment").orderBy("n", "gram")
     # a run that no cell holds rules its fragment out

@@ -6,6 +6,7 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from tablesync.operators import fragments, tree
+from tablesync.operators.placement import cut
 from tablesync.spec import PathRule
 
 
@@ -70,3 +71,17 @@ def test_rules_against_a_loop(spark):
     df = spark.createDataFrame([(p.upper(), a) for p in paths for a in (1, 2, None)] + [(None, 1)], "p string, a int")
     want = sorted((p.upper(), a) for p in paths for a in (1, 2) if any(a == x.area and under(p, x.path) and not any(under(p, e) for e in x.excludes) for x in rules))
     assert values(tree.filter_paths(df, "p", "a", rules)) == want
+
+
+def test_runs_that_fragments_share_by_chance_are_not_written(spark, monkeypatch):
+    """Cells full of the same short runs: only whole runs of a fragment's own length may be written."""
+    text = F.concat(F.lit("the theme then there "), F.col("id"), F.lit(" other mothers bathe; breathe there " * 5))
+    df = spark.range(200).select("id", text.alias("text"))
+    frame = df.select(F.concat(F.lit("e "), F.col("id") + 150, F.lit(" other m")).alias("fragment"))
+    written = []
+    monkeypatch.setattr(fragments, "cut", lambda x: written.append(cut(x)) or written[-1])
+    hits = fragments.fragment_hits(df, ["id"], frame)
+    assert values(hits, "id", "fragment") == sorted(((i, f"e {i} other m") for i in range(150, 200)), key=lambda t: [(True, str(v)) for v in t])
+    assert max(t.count() for t in written if "id" in t.columns) <= 3 * 50
+    monkeypatch.setattr(fragments, "WORDS", 1)
+    assert fragments.fragment_hits(df, ["id"], frame).count() == 50  # a sieve that lets nearly all pass
