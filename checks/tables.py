@@ -59,7 +59,9 @@ def _(spark, d):
 
 def one_file_per_row(spark, text) -> str:
     out = f"{work_dir(spark)}/files-{uuid.uuid4().hex}"
-    text.write.option("maxRecordsPerFile", 1).text(out)
+    # many tasks write, and each moves its own files into place
+    spread = text.repartition(4 * spark.sparkContext.defaultParallelism)
+    spread.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(out)
     return out
 
 

@@ -38,6 +38,11 @@ def _value(raw: Column) -> Column:
     )
 
 
+def _in_few_tasks(files: DataFrame) -> DataFrame:
+    """Rows of very many small files by a number of tasks that goes by the cluster: Spark opens about 32 such files a task."""
+    return files.coalesce(8 * files.sparkSession.sparkContext.defaultParallelism)
+
+
 def read_row_files(
     spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.yml"
 ) -> tuple[DataFrame, DataFrame]:
@@ -53,6 +58,7 @@ def read_row_files(
         .select(F.col("_metadata.file_path").alias("_path"), "value", F.col("_metadata.file_name").alias("_file"))
         .where(F.lower("_file") != "_meta.yml")
     )
+    files = _in_few_tasks(files)
     body = F.regexp_replace(F.regexp_replace("value", "^﻿", ""), "\r\n", "\n")
     entries = F.zip_with(
         F.regexp_extract_all(body, F.lit(ENTRY), F.lit(1)), F.regexp_extract_all(body, F.lit(ENTRY), F.lit(2)),
@@ -80,7 +86,7 @@ def _log_lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
         F.struct(F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("n")).alias("place"),
         F.col("value").alias("line"),
     )
-    lines = cut(lines)
+    lines = cut(_in_few_tasks(lines))
     start, end = F.col("line").rlike(f"^{SUMMARY_START}\\s*$"), F.col("line").rlike(f"^{SUMMARY_END}\\s*$")
     marks = lines.where(start | end).groupBy("file_name").agg(F.min(F.when(start, F.col("place"))).alias("first"), F.min(F.when(end, F.col("place"))).alias("last"))
     marks = marks.where("first < last").withColumnRenamed("file_name", "_file")

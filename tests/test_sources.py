@@ -105,3 +105,15 @@ def test_cut_goes_to_the_shared_folder(spark, rows):
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert not shared or folder.startswith(shared)
     assert placement.cut(df.where(F.lit(False))).count() == 0
+
+
+def test_many_small_files_take_few_tasks(spark, tmp_path):
+    from checks.tables import one_file_per_row
+
+    text = spark.range(3_000, numPartitions=1).select(F.format_string("k: %d", "id").alias("value"))
+    folder = one_file_per_row(spark, text)
+    written = spark.read.text(folder).select(F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).alias("task"))
+    assert written.distinct().count() > 8  # tasks that wrote
+    got = rowfiles.read_row_files(spark, folder, T.StructType().add("k", "long"), "*.txt")[0]
+    assert got.rdd.getNumPartitions() <= 8 * spark.sparkContext.defaultParallelism < 3_000 / 32
+    assert got.agg(F.sum("k")).first()[0] == 3_000 * 2_999 // 2
