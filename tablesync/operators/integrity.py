@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.functions.text import is_empty
-from tablesync.operators.levels import Ranked, rank_nodes
+from tablesync.operators.levels import find_cycles, rank_nodes
 from tablesync.operators.placement import cut, work_path
 
 NAMED = 20  # members of cycles that an error names
@@ -46,13 +46,13 @@ class CircularDependencyError(ValueError):
     """Some nodes wait for each other; the message says where all of them are listed."""
 
 
-def _graph(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, Ranked]:
-    """Names by their folded form, and the ranked graph of the edges among them."""
+def _graph(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Names by their folded form, and the links (child, parent) among them without repeats and loops."""
     named = cut(nodes.groupBy(F.lower("name").alias("_n")).agg(F.min("name").alias("name")))
     inside = named.select("_n")
     links = edges.select(F.lower("child").alias("child"), F.lower("parent").alias("parent")).where("child <> parent").distinct()
     links = links.join(inside, F.col("child") == F.col("_n"), "left_semi").join(inside, F.col("parent") == F.col("_n"), "left_semi")
-    return named, rank_nodes(inside.withColumnRenamed("_n", "node"), cut(links))
+    return named, cut(links)
 
 
 def dependency_levels(nodes: DataFrame, edges: DataFrame, on_cycle: str = "raise") -> DataFrame:
@@ -62,20 +62,21 @@ def dependency_levels(nodes: DataFrame, edges: DataFrame, on_cycle: str = "raise
     count. On a cycle all names on or behind it are written to the work folder with the cycle they are on (NULL: behind one), and an
     error names the first members, the number and that place; with ``on_cycle='mark'`` these nodes get level NULL instead. Rounds: see ``levels``.
     """
-    named, ranked = _graph(nodes, edges)
+    named, links = _graph(nodes, edges)
+    ranked = rank_nodes(named.select(F.col("_n").alias("node")), links)
     if on_cycle == "raise" and not ranked.cycles.isEmpty():
         place = work_path(nodes.sparkSession, "circular")
         waiting = named.join(ranked.levels.where("level is null"), F.col("_n") == F.col("node")).select("name")
-        waiting.join(_members(named, ranked), "name", "left").select("name", "cycle").write.parquet(place)
+        waiting.join(_members(named, ranked.cycles), "name", "left").select("name", "cycle").write.parquet(place)
         written = nodes.sparkSession.read.schema("name string, cycle string").parquet(place)
         first = ", ".join(r.name for r in written.where("cycle is not null").orderBy("cycle", "name").limit(NAMED).collect())
         raise CircularDependencyError(f"circular dependency among {first}: {written.count()} names wait for each other or behind them, listed in {place}")
     return named.join(ranked.levels, F.col("_n") == F.col("node"), "left").select("name", "level")
 
 
-def _members(named: DataFrame, ranked: Ranked) -> DataFrame:
+def _members(named: DataFrame, cycles: DataFrame) -> DataFrame:
     of = named.select(F.col("_n").alias("cycle"), F.col("name").alias("_first"))
-    rows = ranked.cycles.join(named, F.col("node") == F.col("_n")).join(of, "cycle")
+    rows = cycles.join(named, F.col("node") == F.col("_n")).join(of, "cycle")
     return rows.select(F.col("_first").alias("cycle"), "name")
 
 
@@ -84,7 +85,8 @@ def dependency_cycles(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
     Nodes that only lie behind a cycle are not in it; cycles that share a node are one. Runs at once.
     """
-    return _members(*_graph(nodes, edges))
+    named, links = _graph(nodes, edges)
+    return _members(named, find_cycles(links))
 
 
 def dangling_pairs(df: DataFrame, id_col: str, type_col: str):

@@ -214,6 +214,40 @@ def test_rounds_grow_with_the_logarithm_of_the_depth(spark, monkeypatch):
     assert cycles.count() == 1_000 and cycles.where("cycle <> 'c001000'").isEmpty() and len(written) <= 8 * n.bit_length()
 
 
+def test_cycles_that_share_nodes_are_found_together(rows, monkeypatch):
+    """Rings chained by shared nodes, with bridges between them and tails at both ends: a pass for each ring would take some 600 tables."""
+    from tablesync.operators import levels as module
+
+    written = []
+    monkeypatch.setattr(module, "cut", lambda df: written.append(1) or placement.cut(df))
+    r, edges = random.Random(3), []
+    names = [f"n{i:03}" for i in range(240)]
+    for i in range(0, 180, 3):
+        edges += [(names[i], names[i + 1]), (names[i + 1], names[i + 2]), (names[i + 2], names[i])]
+        edges += [(names[i + 3], names[i + r.randrange(3)])]  # from ring to ring
+        if i % 4 == 0:
+            edges += [(names[i + 1], names[i + 5]), (names[i + 4], names[i])]
+    edges += [(names[i + 1], names[i]) for i in range(180, 239)]  # a tail
+    cycles, _ = strongly_connected(names, edges)
+    r.shuffle(names)
+    got = integrity.dependency_cycles(rows([(n,) for n in names], "name string"), rows(edges, "child string, parent string"))
+    assert values(got, "cycle", "name") == cycles and len({c for c, _ in cycles}) > 20 and len(written) < 150
+
+
+@pytest.mark.parametrize("rounds", (1, 64))
+def test_paths_between_and_through_cycles(rows, monkeypatch, rounds):
+    """A path from a node back to itself is a cycle, one between two cycles is not; labels that have not settled put together only what is sure."""
+    from tablesync.operators import levels as module
+
+    monkeypatch.setattr(module, "ROUNDS", rounds)
+    monkeypatch.setattr(module, "STEPS", 1)
+    edges = [("a", "b"), ("b", "a"), *[(f"p{i}", f"p{i + 1}") for i in range(9)], ("a", "p0"), ("p9", "c"), ("c", "d"), ("d", "c")]
+    edges += [("c", "q0"), ("q0", "q1"), ("q1", "c"), *[(f"w{i}", f"w{i + 1}") for i in range(12)], *[(f"w{i + 1}", f"w{i}") for i in range(12)]]
+    names = sorted({n for e in edges for n in e})
+    got = integrity.dependency_cycles(rows([(n,) for n in names], "name string"), rows(edges, "child string, parent string"))
+    assert values(got, "cycle", "name") == strongly_connected(names, edges)[0]
+
+
 def test_orphans(rows):
     child, parent = rows([(1, 5), (2, 6), (3, None), (4, 6)], "id int, fk int"), rows([(5,), (None,)], "k int")
     assert values(integrity.fk_orphans(child, parent, "fk", "k"), "id") == [(2,), (4,)]
