@@ -169,13 +169,14 @@ def allocate_ids(incoming: DataFrame, target: DataFrame, guid_col: str = "guid",
     known = target.groupBy(F.lower(guid_col).alias("_guid")).agg(F.max(id_col).cast("long").alias("target_id"))
     known = known.where("_guid is not null")
     top = target.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long").alias("_top")).first()["_top"]  # one number
-    fresh = ordinal(guids.join(known, "_guid", "left_anti").withColumn("_h", F.md5("_guid")), [], ["_h", "_guid"], "_n")
-    ids = known.withColumn("is_new", F.lit(False)).unionByName(
-        fresh.select("_guid", (F.col("_n") + F.lit(top)).alias("target_id"), F.lit(True).alias("is_new"))
-    )
+    fresh = ordinal(guids.join(known, "_guid", "left_anti"), [], [F.md5("_guid"), F.col("_guid")], "_n")
+    # Two lookups side by side: the known ids keep the shuffle of their grouping, and rows are shuffled once for both.
     rows = incoming.withColumn("_guid", F.lower(guid_col))
     out = [*[F.col(f"`{c}`") for c in incoming.columns], "target_id", "is_new"]
-    named = rows.where("_guid is not null").join(ids, "_guid").select(*out)
+    named = rows.where("_guid is not null").join(known.withColumnRenamed("target_id", "_known"), "_guid", "left")
+    named = named.join(fresh.select("_guid", (F.col("_n") + F.lit(top)).alias("_new")), "_guid", "left")
+    named = named.withColumns({"target_id": F.when(F.col("_new").isNull(), F.col("_known")).otherwise(F.col("_new")), "is_new": F.col("_new").isNotNull()})
+    named = named.select(*out)
     nameless = rows.where("_guid is null").withColumns({"target_id": F.lit(None).cast("long"), "is_new": F.lit(None).cast("boolean")})
     return named.unionByName(nameless.select(*out))
 

@@ -152,7 +152,7 @@ def assign_ids(target: DataFrame, incoming: DataFrame, id_col: str, guid_col: st
     scoped = F.concat_ws("|", F.col(scope_col).cast("string"), F.lower(guid_col))
     known = target.select(F.col(id_col).alias("id"), scoped.alias("_scoped"))
     # Rows and map are both used more than once; the new ids are fixed here.
-    numbered = cut(allocate_ids(incoming.withColumn("_scoped", scoped), known, "_scoped", "id"))
+    numbered = cut(allocate_ids(incoming.withColumn("_scoped", scoped), known, "_scoped", "id").drop("_scoped"))
     id_map = numbered.select(F.col(id_col).alias("source_id"), "target_id", "is_new")
     rows = numbered.withColumn(id_col, F.col("target_id").cast(target.schema[id_col].dataType))
     return rows.select(*incoming.columns), id_map
