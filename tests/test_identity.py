@@ -202,3 +202,18 @@ def test_last_per_takes_columns_of_any_type(rows):
     df = rows([(1, "a", {"x": "1"}), (1, "b", {"x": "2"}), (2, None, None), (2, None, {"y": None})], "k int, o string, m map<string,string>")
     got = {r.k: r.m for r in ident.last_per(df, ["k"], ["o"]).collect()}
     assert got[1] == {"x": "2"} and 2 in got and len(got) == 2
+
+
+def test_numbering_shuffles_its_rows_once(rows):
+    """Groups of several ranges, NULL groups and repeats of a sort value; the rows that were written are not shuffled again to be numbered."""
+    from tablesync.operators.placement import ordinal
+
+    df = rows([(None if g == 3 else g, k % 7, k) for g in range(4) for k in range(40)], "g int, s int, k int")
+    for group in ([], ["g"]):
+        got = ordinal(df, group, ["s", "k", F.coalesce("g", F.lit(9))], "n")
+        want = {}
+        for g, s, k in sorted(((r.g, r.s, r.k) for r in df.collect()), key=lambda r: (r[1], r[2], 9 if r[0] is None else r[0])):
+            of = want.setdefault(g if group else 0, [])
+            of.append((g, s, k, len(of) + 1))
+        assert {tuple(r) for r in got.collect()} == {r for of in want.values() for r in of}
+        assert "row_number" not in got._jdf.queryExecution().executedPlan().toString()
