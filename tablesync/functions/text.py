@@ -20,7 +20,7 @@ def trimmed(col: Column) -> Column:
 
 def is_blank(col: Column) -> Column:
     """NULL, empty or only white space."""
-    return F.coalesce(trimmed(col) == "", F.lit(True))
+    return F.coalesce(F.ltrim(col, F.lit(WHITESPACE)) == "", F.lit(True))
 
 
 def is_empty(col: Column) -> Column:

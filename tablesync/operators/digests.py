@@ -23,9 +23,17 @@ def key_bucket(df: DataFrame, spec: TableSpec, buckets: int) -> Column:
 
 
 def digest_sums(checksum: Column) -> list[Column]:
-    """Aggregates of MD5 checksums: ``rows``, ``sum_a`` and ``sum_b``."""
-    half = lambda at: F.conv(F.substring(checksum, at, 16), 16, 10).cast("decimal(20,0)")
-    return [F.count("*").alias("rows"), F.sum(half(1)).cast("decimal(38,0)").alias("sum_a"), F.sum(half(17)).cast("decimal(38,0)").alias("sum_b")]
+    """Aggregates of MD5 checksums: ``rows``, ``sum_a`` and ``sum_b``.
+
+    A half is summed in three parts of 22, 21 and 21 bits, whose sums are exact as long as a group has no more than two billion thousand rows.
+    """
+    sums = []
+    for at, name in ((1, "sum_a"), (17, "sum_b")):
+        half = F.conv(F.substring(checksum, at, 16), 16, -10).cast("long")  # the 64 bits, as a signed number
+        parts = [F.sum(F.shiftrightunsigned(half, shift).bitwiseAND(F.lit((1 << 22) - 1 if shift == 42 else (1 << 21) - 1))) for shift in (42, 21, 0)]
+        high, middle, low = [p.cast("decimal(38,0)") for p in parts]
+        sums.append((high * F.lit(1 << 42) + middle * F.lit(1 << 21) + low).cast("decimal(38,0)").alias(name))
+    return [F.count("*").alias("rows"), *sums]
 
 
 def key_digests(df: DataFrame, spec: TableSpec, columns: list[str], buckets: int) -> DataFrame:

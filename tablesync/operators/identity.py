@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablesync.functions.text import actual_name, cell, is_blank, safe_name, trimmed
-from tablesync.functions.unset import default_value
+from tablesync.functions.unset import NUMERIC, default_value
 from tablesync.operators.placement import ordinal
 from tablesync.spec import CREATED, SKIPPED, UPDATED, TableSpec
 
@@ -35,8 +35,9 @@ def row_checksum(df: DataFrame, spec: TableSpec, columns=None) -> Column:
         names = [c for c in (columns or df.columns) if c.lower() not in auto]
     parts = []
     for name in sorted(names, key=str.upper):
-        value = cell(df, name)
-        parts.append(F.concat(F.lit(name.upper() + "="), F.when(is_blank(value), "").otherwise(value)))
+        value, found = cell(df, name), actual_name(df, name)
+        never_blank = found is not None and isinstance(df.schema[found].dataType, NUMERIC)  # but NULL
+        parts.append(F.concat(F.lit(name.upper() + "="), F.coalesce(value, F.lit("")) if never_blank else F.when(is_blank(value), "").otherwise(value)))
     return F.md5(F.concat_ws("|", *parts))
 
 

@@ -1,5 +1,6 @@
 """Tables in files: the same rows as the plain merges, and only touched files read and written."""
 
+import hashlib
 import random
 
 import pytest
@@ -7,6 +8,7 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from tablesync.operators import digests, merge, quality
+from tablesync.operators.identity import row_checksum
 from tablesync.sources.filetable import FileTable
 from tablesync.spec import TableSpec
 
@@ -111,3 +113,67 @@ def test_digests_do_not_depend_on_order_and_add_up(spark):
     assert one == values(parts.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in digests.SUMS])) == values(digests.key_digests(rows.orderBy("v"), SPEC, rows.columns, 7))
     root = digests.digest_tree(digests.key_digests(rows, SPEC, rows.columns, 7), 7).where("level = 0").first()
     assert root["rows"] == 50 and digests.unequal_buckets(*[digests.digest_tree(digests.key_digests(rows, SPEC, rows.columns, 7), 7)] * 2).isEmpty()
+
+
+def largest_job(spark, group, run):
+    """The number of tasks of the largest stage that ``run`` starts, and what it returns."""
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        got = run()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in sc.statusTracker().getJobIdsForGroup(group) for s in sc.statusTracker().getJobInfo(j).stageIds]
+    return max((i.numTasks for i in map(sc.statusTracker().getStageInfo, stages) if i), default=0), got
+
+
+def test_many_files_are_listed_by_few_tasks_and_many_keys_name_their_files_early(spark, tmp_path, monkeypatch):
+    spec, rows = TableSpec("t", ("k",)), spark.range(6000).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    table = FileTable.create(rows, f"{tmp_path}/many", spec, rows_per_file=100)
+    files, before = table.files().count(), spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    most, read = largest_job(spark, "listing", table.read)
+    assert files == 60 > 32 >= most and read.count() == 6000
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == before
+    asked, plain = [], FileTable._named
+    monkeypatch.setattr(FileTable, "_named", staticmethod(lambda keys, *rest: asked.append(keys.count()) or plain(keys, *rest)))
+    # all keys: every file is named at last, some by a few keys; what is looked up first is a small part
+    assert table.candidates(rows).count() == 60 and 0 < asked[0] < 6000 / 20
+    # one key that is not among those looked up first still names its file
+    later = rows.where(F.pmod(F.xxhash64(F.xxhash64("k"), F.lit("first")), F.lit(64)) != 0).limit(1).select("k")
+    own = table.read().select("k", F.col("_metadata.file_path").alias("path")).join(later, "k").first()["path"]
+    assert any(own.endswith(r.file) for r in table.candidates(later).collect())
+    # keys to be removed are computed once
+    computed = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for p in parts:
+            computed.add(len(p))
+            yield p
+
+    table.remove(rows.select("k").where("k < 500").mapInPandas(counted, "k long"))
+    assert computed.value == 500 and table.read().count() == 5500 and table.read().where("k < 500").isEmpty()
+
+
+def test_ranges_of_keys_need_no_sort_and_hold_rows_without_a_key(spark, tmp_path):
+    days = spark.createDataFrame([(None, "a"), ("2020-01-02", "b"), ("2021-01-02", "c")], "d string, v string").select(F.col("d").cast("date").alias("d"), "v")
+    numbers = spark.createDataFrame([(None, "a"), (-3, "b"), (7, "c")], "n long, v string")
+    # dates have no default: rows without one stay, and match no other
+    for rows, key, low, values_ in ((days, "d", None, ["a", "b", "c", "new"]), (numbers, "n", -3, ["b", "c", "new"])):
+        table = FileTable.create(rows, f"{tmp_path}/{key}", TableSpec("t", (key,)))
+        assert table.files().first()["low"][0] == low
+        table.upsert(rows.where(F.col(key).isNull()).withColumn("v", F.lit("new")))
+        assert sorted(r.v for r in table.read().collect()) == values_
+    plan = numbers.groupBy("v").agg(*table._ranges(numbers))._jdf.queryExecution().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_sums_of_digests_are_exact(spark):
+    sums = ["f" * 32, "f" * 32, "8" + "0" * 15 + "7" + "f" * 15, "0" * 32, "0123456789abcdef" * 2]
+    got = spark.createDataFrame([(s,) for s in sums], "m string").agg(*digests.digest_sums(F.col("m"))).first()
+    assert [int(v) for v in got] == [5, sum(int(s[:16], 16) for s in sums), sum(int(s[16:], 16) for s in sums)]
+
+
+def test_blank_cells_and_numbers_in_checksums(spark):
+    rows = spark.createDataFrame([(None, None, None), (0, " 　\t", 1.5), (5, " a ", float("nan"))], "n int, s string, x double")
+    got = [r[0] for r in rows.select(row_checksum(rows, TableSpec("t", ("n",)))).collect()]
+    assert got == [hashlib.md5(t.encode()).hexdigest() for t in ("N=|S=|X=", "N=0|S=|X=1.5", "N=5|S= a |X=NaN")]
