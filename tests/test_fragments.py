@@ -1,7 +1,10 @@
 """Many fragments and many path rules against plain loops; plans of one size."""
 
 import random
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 from conftest import values
 from pyspark.sql import functions as F
 
@@ -85,3 +88,48 @@ def test_runs_that_fragments_share_by_chance_are_not_written(spark, monkeypatch)
     assert max(t.count() for t in written if "id" in t.columns) <= 3 * 50
     monkeypatch.setattr(fragments, "WORDS", 1)
     assert fragments.fragment_hits(df, ["id"], frame).count() == 50  # a sieve that lets nearly all pass
+
+
+def test_common_fragments_are_counted_not_written(spark, monkeypatch):
+    """Every cell holds every fragment: the census may write a row a fragment, never a row a hit, and fragments that are their own run are searched in no text."""
+    df = spark.range(400).select("id", F.concat(F.lit("alpha beta gamma delta "), F.col("id"), F.lit(" alpha beta gamma")).alias("text"))
+    frame = spark.range(20).select(F.substring(F.lit("alpha beta gamma delta "), F.col("id").cast("int"), F.lit(7)).alias("fragment")).where("length(fragment) = 7").distinct()
+    written = []
+    monkeypatch.setattr(fragments, "cut", lambda x: written.append(cut(x)) or written[-1])
+    census = fragments.fragment_census({"t": (df, ["id"])}, frame)
+    wanted = sorted(r.fragment for r in frame.collect())
+    assert len(wanted) > 10 and values(census) == [("t", "text", w, 400) for w in wanted]
+    assert max(t.count() for t in written) <= len(wanted)
+    assert "Contains" not in fragments.fragment_hits(df, ["id"], frame)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_census_agrees_with_hits_on_odd_rows(spark, rows):
+    """Keys that are null or come twice, fragments shorter and longer than a run, characters of one to four bytes, bytes that are no text."""
+    long = "a fragment of more than sixteen characters é日𝄞"
+    cells = [(1, "é日𝄞 x", long), (1, "é日𝄞 y", "é日𝄞"), (1, "é日𝄞 x", None), (2, f"-{long}-{long}", "É日"), (None, long, long), (3, "", "é日"), (4, "x" * 1_200_000 + "é日𝄞", "x")]
+    df = rows(cells, "id int, a string, b string").unionByName(spark.range(9, 10).selectExpr("cast(id as int) id", "cast(unhex('78FFC3A9E697A5') as string) a", "'x' b"))
+    frame = rows([(long,), (long[5:25],), ("é日",), ("é日𝄞",), ("x",), ("no such thing, nowhere to be found",)], "fragment string")
+    hits = fragments.fragment_hits(df, ["id"], frame)
+    census = fragments.fragment_census({"t": (df, ["id"])}, frame)
+    assert values(census, "col", "fragment", "n") == values(hits.groupBy("col", "fragment").count())
+    got = {(r.col, r.fragment): r.n for r in census.collect()}
+    assert got[("a", "é日𝄞")] == 9 + 1 + 1 and got[("a", "é日")] == 9 + 1 + 1 + 1 and got[("a", "x")] == 4 + 1 + 1 + 1  # three rows of key 1, two of them with an x
+    assert got[("a", long)] == 1 and got[("b", long)] == 1 and (("b", "É日") not in got)
+
+
+def test_runs_in_small_steps(monkeypatch):
+    """Runs across the places, texts and blocks where the work is cut."""
+    r = random.Random(5)
+    texts = ["".join(r.choices("ab日𝄞", k=r.randint(0, 30))) for _ in range(60)]
+    want = {(i, t[k : k + n]) for i, t in enumerate(texts) for n in (1, 3, 16) for k in range(len(t) - n + 1)}
+    full = np.full(4, -1, np.int64).view(np.uint64)
+    for chunk, made, block in ((5, 7, 40), (1 << 14, 1 << 20, 1 << 20)):
+        for name, size in (("CHUNK", chunk), ("MADE", made), ("BLOCK", block)):
+            monkeypatch.setattr(fragments, name, size)
+        found = fragments._runs_held(pa.array(texts), [1, 3, 16], full).to_pylist()
+        assert len(found) == len(want) and {(f["text"], f["gram"]) for f in found} == want
+        batch = pa.record_batch({"id": pa.array(range(60)), "col": pa.array(["a"] * 60), "text": pa.array(texts), "_apart": pa.array([None, True] * 30)})
+        pairs = [p for b in fragments._finder(SimpleNamespace(value=full), [3], ["id"], True)(iter([batch, batch.slice(0, 0)])) for p in b.to_pylist()]
+        threes = {(i, g) for i, g in want if len(g) == 3}
+        assert {(p["id"], p["gram"]) for p in pairs if p["id"] is not None} == {(i, g) for i, g in threes if i % 2}
+        assert sum(p["_n"] for p in pairs if p["id"] is None) == len({(i, g) for i, g in threes if i % 2 == 0})
